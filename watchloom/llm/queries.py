@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import chat, decontaminate, line_dedup, lm, mixing, quality, token_counts, topk, toxicity
 from .common import read
 from .near_dup import SketchSpec, near_duplicates
 
@@ -17,6 +18,42 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), SketchSpec(words=3, percent=85))
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(read(spark, sf_dir, "documents"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.report(read(spark, sf_dir, "conversations"))
+
+
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.report(read(spark, sf_dir, "embeddings"))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.report(read(spark, sf_dir, "documents"))
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(read(spark, sf_dir, "documents"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(read(spark, sf_dir, "documents"))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 OP1 = f"""
 with recursive w as (select doc_id, regexp_extract_all({LOWER.format("text")}, '{WORD}') as ws from documents),
 d as (select doc_id, case when len(ws) >= 3 then list_distinct(list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i + 2], ' ')))
@@ -31,10 +68,50 @@ least as (select x, min(y) as component_id from r group by x)
 select doc_id, n as n_shingles, component_id, doc_id = component_id as kept from n join least on x = doc_id
 """
 
+HIT_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+OP4 = f"""
+with d as (select doc_id, regexp_extract_all({LOWER.format("text")}, '{HIT_WORD}') as ws from documents),
+b as (select item_id, regexp_extract_all({LOWER.format("text")}, '{HIT_WORD}') as ws from benchmark),
+w as (select distinct item_id, least(10, len(ws)) as k, array_to_string(ws[i:i + least(10, len(ws)) - 1], ' ') as win
+  from (select item_id, ws, unnest(range(1, greatest(1, len(ws) - 9) + 1)) as i from b where len(ws) > 0)),
+k as (select distinct k from w),
+p as (select doc_id, k, i, array_to_string(ws[i:i + k - 1], ' ') as win from (select doc_id, ws, k, unnest(range(1, len(ws) - k + 2)) as i from d, k where len(ws) >= k)),
+m as (select doc_id, i, p.k, item_id from p join w using (k, win)),
+h as (select doc_id, count(distinct pos) as n_hit from (select doc_id, unnest(range(i, i + k)) as pos from m) group by 1),
+t as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items from (select distinct doc_id, item_id::varchar as item from m) group by 1)
+select d.doc_id, len(ws) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join h using (doc_id) left join t using (doc_id)
+"""
+
+OP5 = """
+with t as (select conv_id, turn, coalesce(role, 'unknown') as role, coalesce(text, '') as text from conversations),
+c as (select conv_id, list({'r': role, 't': text} order by turn) as ts, string_agg('<|' || role || '|>' || chr(10) || text || chr(10) || '<|end|>' || chr(10), '' order by turn) as doc from t group by 1),
+g as (select ts, min(conv_id) as conv_id, count(*) as logged, min(doc) as doc from c group by ts)
+select conv_id, len(ts) as n_turns, logged, length(doc) as n_chars, sha256(doc) as text_sha256 from g a
+where not exists (select 1 from g b where len(b.ts) > len(a.ts) and b.ts[1:len(a.ts)] = a.ts)
+"""
+
+OP6 = """
+with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as q from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.vec_id as query_id, b.vec_id, list_inner_product(a.q, b.q)::bigint as score from v a join v b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from s)
+select query_id, rank, vec_id, score from r where rank <= 5
+"""
+
+OP8 = f"""
+with l as (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) as pos from documents),
+k as (select *, {LOWER.format("trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} as key from l),
+n as (select key, count(distinct doc_id) as n, max(doc_id) as top from k where length(key) >= 20 group by 1),
+f as (select doc_id, pos, line, coalesce(n >= 3 and doc_id <> top, false) as lost from k left join n using (key))
+select doc_id, count(*) as n_lines, count(*) filter (lost) as n_dropped, sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not lost), '')) as kept_sha256 from f group by 1
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_minhash": op1_minhash}
+    every = (op1_minhash, op2_lm_score, op3_toxicity, op4_decontaminate, op5_chat_format, op6_topk, op7_token_counts, op8_line_dedup, op9_mixing, op10_quality)
+    return {q.__name__: q for q in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_minhash": OP1}
+    return {"op1_minhash": OP1, "op4_decontaminate": OP4, "op5_chat_format": OP5, "op6_topk": OP6, "op8_line_dedup": OP8}
