@@ -141,6 +141,23 @@ def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = S
     return got.join(aims, got["source"].eqNullSafe(aims["s"])).drop("s")
 
 
+def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """A row of ``docs`` for each copy that the mix takes, with ``copy`` counting from 1.
+
+    Rows that agree in id and text get the average of their copies, the first of them more where it isn't whole.
+    """
+    plan = copies(sized(docs, id_col, text_col, source_col)).groupBy("id", "source", "u").agg(F.sum("copies").alias("all"), F.count("*").alias("rows"))
+    plan = cut(plan.where("all > 0").select(F.col("id").alias("__id"), F.col("source").alias("__source"), F.col("u").alias("__u"), F.col("all").alias("__all"), F.col("rows").alias("__rows")))
+    keyed = docs.withColumn("__u2", F.xxhash64(F.lit(11), F.col(id_col), F.col(text_col).cast("string")))
+    got = keyed.join(plan.hint("shuffle_hash"), (F.col("__u2") == F.col("__u")) & F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & F.col(source_col).cast("string").eqNullSafe(F.col("__source")))
+    share = F.col("__all")
+    if not plan.where("__rows > 1").isEmpty():
+        rank = F.row_number().over(Window.partitionBy("__u", "__id", "__source").orderBy(F.lit(1)))
+        share = F.floor(share / F.col("__rows")) + F.when(rank <= F.pmod(share, F.col("__rows")), 1).otherwise(0)
+    got = got.withColumn("__copies", share)
+    return got.where("__copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(*[F.col(f"`{c}`") for c in docs.columns], "copy")
+
+
 def report(docs: DataFrame) -> DataFrame:
     got = copies(sized(docs))
     return got.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
