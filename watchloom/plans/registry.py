@@ -6,14 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import aggregates
 
-def _parts() -> list:
-    return []
+PARTS = [aggregates]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: query for part in _parts() for name, (query, _) in part.QUERIES.items()}
+    return {name: query for part in PARTS for name, (query, _) in part.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for part in _parts() for name, (_, sql) in part.QUERIES.items() if sql}
+    return {name: sql for part in PARTS for name, (_, sql) in part.QUERIES.items() if sql}
