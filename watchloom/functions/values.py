@@ -40,7 +40,8 @@ def stamp_ok(c: Column) -> Column:
 def inferred_period(text: Column, file: Column) -> Column:
     """First day of the month that a text or a file name speaks of.
 
-    A month's name and a year; else digits ``ddMMyy`` before ``.xls``; else a release date ``ddMMyyyy``, whose
+    A month's name next to a year; else digits ``ddMMyy`` before ``.xls``; else a month's name
+    anywhere and the last year; else a release date ``ddMMyyyy``, whose
     period is the month before.
     """
     both = F.lower(F.concat_ws(" ", text, file))
@@ -53,7 +54,10 @@ def inferred_period(text: Column, file: Column) -> Column:
     short = F.when(F.lower(file).rlike(digits), F.try_to_date(F.concat(F.lit("01"), F.regexp_extract(F.lower(file), digits, 1), F.lit("20"), F.regexp_extract(F.lower(file), digits, 2)), "ddMMyyyy"))
     release = r"(\d{2})(0[1-9]|1[0-2])(20\d{2})"
     before = F.when(file.rlike(release), F.add_months(F.try_to_date(F.concat(F.lit("01"), F.regexp_extract(file, release, 2), F.regexp_extract(file, release, 3)), "ddMMyyyy"), -1))
-    return F.coalesce(named, short, before)
+    anywhere = F.regexp_extract(both, f"({names})", 1)
+    years = F.regexp_extract_all(both, F.lit(r"20\d\d"), F.lit(0))
+    loose = F.when((anywhere != "") & (F.size(years) > 0), F.make_date(F.element_at(years, -1).try_cast("int"), F.array_position(F.array(*[F.lit(m) for m in MONTHS]), anywhere).cast("int"), F.lit(1)))
+    return F.coalesce(named, short, loose, before)
 
 
 def stated_period(c: Column) -> Column:

@@ -72,7 +72,8 @@ def verdict(agencies: Column, lists: Column, hits: Column) -> Column:
 
 def group_risk(values: Column) -> Column:
     """``(level, signals)`` from the array of a group's sources and agencies."""
-    high, medium = (F.filter(values, lambda v, p=p: v.rlike(f"(?i){p}")) for p in (HIGH_WORDS, MEDIUM_WORDS))
+    high = F.filter(values, lambda v: v.rlike(f"(?i){HIGH_WORDS}"))
+    medium = F.filter(values, lambda v: v.rlike(f"(?i){MEDIUM_WORDS}"))
     return F.struct(ladder((F.size(high) > 0, "HIGH"), (F.size(medium) > 0, "MEDIUM"), default="LOW").alias("level"), ladder((F.size(high) > 0, high), default=medium).alias("signals"))
 
 

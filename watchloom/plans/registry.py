@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import aggregates
+from . import aggregates, relations, scalars
 
-PARTS = [aggregates]
+PARTS = [aggregates, relations, scalars]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
