@@ -7,12 +7,16 @@ maximum. Five registers make a band; so many bands are used that a pair at the t
 shares none of them with a chance of 1e-8.
 
 1. Documents with equal sets form a class; one row of each class goes on.
-2. Within each bucket (a band's value) all members are held against the least one. The
-   likelihood estimate drops the hopeless pairs, all others are confirmed on full sets.
-3. Buckets whose members still lie in several components are compared in blocks of up to
-   ``block`` members. A task skips pairs that are linked already or that the likelihood
-   estimate puts six deviations below the threshold, and confirms the rest on full sets.
-   A bucket of any size is dealt over pairs of blocks; none is capped.
+2. Within each bucket (a band's value) all members are held against the leader, the least one.
+   The likelihood estimate drops the hopeless pairs, all others are compared on full sets. With t the
+   threshold, a member is linked (similarity t or more), near (2t - 1 or more) or far.
+3. Jaccard distance is a metric, so a far member can't link to a linked one, and two linked ones
+   are connected by their leader. What is left in a bucket are pairs of members that aren't
+   linked, and pairs of a near and a linked one. They are compared in blocks of ``block`` members:
+   a task skips pairs that are connected already or whose likelihood estimate is six deviations below
+   the threshold, and confirms the rest on full sets. A bucket of any size is dealt over pairs of
+   blocks; none is capped.
+4. Connected components of all confirmed links.
 
 Rows come back one for each input row. Null ids: ``component_id`` null, kept, linked with
 nothing. Null, empty and wordless texts: 0 shingles, linked with nothing. Rows that repeat an
@@ -43,7 +47,7 @@ class SketchSpec:
     band_rows: int = 5
     miss: float = 1e-8
     base: float = 1.001
-    block: int = 256
+    block: int = 512
     seed: int = 7
 
     @property
@@ -55,10 +59,13 @@ class SketchSpec:
         return self.bands * self.band_rows
 
     @property
-    def hopeless(self) -> float:
-        """Six deviations of the estimate below the threshold."""
-        t = self.percent / 100
-        return t - 6 * math.sqrt(t * (1 - t) / self.registers)
+    def near(self) -> float:
+        """What is less similar than this to a leader can't link to a document that is linked to it."""
+        return 2 * self.percent / 100 - 1
+
+    def surely_below(self, t: float) -> float:
+        """An estimate this low, six deviations under t, rules out a similarity of t."""
+        return t - 6 * math.sqrt(max(t * (1 - t), 0.05) / self.registers)
 
 
 def hash_family(spec: SketchSpec) -> tuple[np.ndarray, np.ndarray]:
@@ -89,7 +96,11 @@ def joint_jaccard(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray
     log-likelihood is concave, so its slope is bisected between 0 and the largest possible value.
     """
     up, down = (a > b).sum(axis=1), (a < b).sum(axis=1)
-    same = a.shape[1] - up - down
+    return jaccard_from_counts(up, down, a.shape[1] - up - down, n_a, n_b, base)
+
+
+def jaccard_from_counts(up: np.ndarray, down: np.ndarray, same: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, base: float = 1.001) -> np.ndarray:
+    """:func:`joint_jaccard` from how many registers of a are larger, smaller and equal."""
     n_a, n_b = np.asarray(n_a, float), np.asarray(n_b, float)
     u, v = n_a / (n_a + n_b), n_b / (n_a + n_b)
     c = (base - 1) / base
@@ -101,7 +112,7 @@ def joint_jaccard(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray
         return c / (1 - np.clip(x, 1e-12, 1) * c) / math.log(base)
 
     lo, hi = np.zeros(len(u)), np.minimum(u / v, v / u)
-    for _ in range(30):
+    for _ in range(20):
         j = (lo + hi) / 2
         x, y = u - v * j, v - u * j
         px, py = p(x), p(y)
@@ -133,10 +144,11 @@ def _signature(s: np.ndarray) -> bytes:
 
 def _set_rows(spec: SketchSpec):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        family = hash_family(spec)
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
-                sets = list(shingle_sets(texts(batch.column(0).slice(lo, 500)), spec.words))
-                yield pa.RecordBatch.from_arrays([pa.array([_signature(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["sig", "set"])
+                sets = [s for s in shingle_sets(texts(batch.column(0).slice(lo, 500)), spec.words) if len(s)]
+                yield pa.RecordBatch.from_arrays([pa.array([_signature(s) for s in sets], pa.binary()), pa.array([sketch(s, spec, family).tobytes() for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["sig", "regs", "set"])
 
     return run
 
@@ -145,86 +157,116 @@ def _band_rows(spec: SketchSpec):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salt = fmix(np.arange(1, spec.bands + 1, dtype=np.uint64))
         for batch in batches:
-            sig, regs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            sig, regs, reps = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_numpy()
             if not sig:
                 continue
             r = np.frombuffer(b"".join(regs), dtype=np.uint16).reshape(len(sig), spec.bands, spec.band_rows).astype(np.uint64)
             key = np.broadcast_to(salt, r.shape[:2])
             for i in range(spec.band_rows):
                 key = fmix(key * U64(0x9FB21C651E98DF25) + r[:, :, i])
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64).ravel()), pa.array([s for s in sig for _ in range(spec.bands)], pa.binary())], names=["bucket", "sig"])
+            yield pa.RecordBatch.from_arrays([pa.array(((key >> U64(8)) | (np.arange(spec.bands, dtype=np.uint64) << U64(BAND_BITS))).view(np.int64).ravel()), pa.array([s for s in sig for _ in range(spec.bands)], pa.binary()), pa.array(np.repeat(reps, spec.bands))], names=["bucket", "sig", "rep"])
 
     return run
 
 
+def common(a: np.ndarray, b: np.ndarray) -> int:
+    """How many values two sorted sets share."""
+    small, large = (a, b) if len(a) <= len(b) else (b, a)
+    at = np.searchsorted(large, small)
+    return int((large[np.minimum(at, len(large) - 1)] == small).sum())
+
+
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     """The exact test on full sets, sorted and distinct."""
     if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
         return False
-    small, large = (a, b) if len(a) <= len(b) else (b, a)
-    at = np.searchsorted(large, small)
-    common = int((large[np.minimum(at, len(large) - 1)] == small).sum())
-    return 100 * common >= percent * (len(a) + len(b) - common)
+    n = common(a, b)
+    return 100 * n >= percent * (len(a) + len(b) - n)
+
+
+FAR, NEAR, LINKED = 0, 1, 2
+BAND_BITS = 56  # a bucket's number begins with its band
 
 
-def _verify_pairs(spec: SketchSpec):
+def _leader_rows(spec: SketchSpec):
+    """Pairs with sketches and sets -> how near the member is to its leader, and their similarity."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        floor = spec.surely_below(spec.near)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            a, b, regs_a, regs_b, set_a, set_b = (batch.column(i).to_pylist() for i in range(6))
+            regs_a, regs_b, set_a, set_b = (batch.column(i).to_pylist() for i in range(2, 6))
             ra, rb = (np.frombuffer(b"".join(x), dtype=np.uint16).reshape(len(x), -1) for x in (regs_a, regs_b))
             est = joint_jaccard(ra, rb, np.array([len(x) // 8 for x in set_a]), np.array([len(x) // 8 for x in set_b]), spec.base)
-            ok = [i for i in np.flatnonzero(est >= spec.hopeless) if linked(np.frombuffer(set_a[i], dtype=np.uint64), np.frombuffer(set_b[i], dtype=np.uint64), spec.percent)]
-            yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in ok], pa.binary()), pa.array([b[i] for i in ok], pa.binary())], names=["a", "b"])
+            role, sim = np.full(len(est), FAR, dtype=np.int32), np.zeros(len(est))
+            for i in np.flatnonzero(est >= floor):
+                x, y = np.frombuffer(set_a[i], dtype=np.uint64), np.frombuffer(set_b[i], dtype=np.uint64)
+                n = common(x, y)
+                sim[i] = n / (len(x) + len(y) - n)
+                role[i] = LINKED if 100 * n >= spec.percent * (len(x) + len(y) - n) else NEAR if sim[i] >= spec.near - 1e-9 else FAR
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(role), pa.array(sim)], names=["leader", "sig", "role", "sim"])
 
     return run
 
 
-def block_links(sigs: list[bytes], labels: list[bytes], side: list[int], regs: list[bytes], sets: list[bytes], spec: SketchSpec) -> list[tuple[bytes, bytes]]:
-    """Links that join different components among some members of a bucket, enough to connect all that belong together.
+def block_links(sigs: list[bytes], roles: list[int], sims: list[float], regs: list[bytes], sets: list[bytes], side: list[int], spec: SketchSpec, band: int = 0) -> list[tuple[bytes, bytes]]:
+    """Links among some members of a bucket, enough to connect all that belong together.
 
-    ``side`` is the member's block; members of one block are compared only where all are of one block.
+    Linked members are connected to each other by their leader. ``side`` is a member's block: where there are
+    two, only pairs across them are compared. Pairs that share a band below ``band`` are left to that.
     """
     n = np.array([len(s) // 8 for s in sets])
     r = np.frombuffer(b"".join(regs), dtype=np.uint16).reshape(len(sigs), -1)
-    number = {x: i for i, x in enumerate(dict.fromkeys(labels))}
-    comp = np.array([number[x] for x in labels])
-    side_of = np.array(side)
-    several = len(set(side)) > 1
-    out = []
+    role, sim, of = np.array(roles), np.array(sims), np.array(side)
+    comp = np.where(role == LINKED, -1, np.arange(len(sigs)))
+    left, right, same, up = [], [], [], []
+    several = (of != of[0]).any()
+    gap = 1 - spec.percent / 100
     for i in range(len(sigs) - 1):
         js = np.arange(i + 1, len(sigs))
-        js = js[(comp[js] != comp[i]) & (100 * np.minimum(n[js], n[i]) >= spec.percent * np.maximum(n[js], n[i]))]
+        fits = (comp[js] != comp[i]) & (100 * np.minimum(n[js], n[i]) >= spec.percent * np.maximum(n[js], n[i]))
         if several:
-            js = js[side_of[js] != side_of[i]]
-        if not len(js):
-            continue
-        js = js[(r[js] == r[i]).mean(axis=1) >= spec.hopeless - 0.1]
-        if not len(js):
-            continue
-        est = joint_jaccard(np.broadcast_to(r[i], (len(js), r.shape[1])), r[js], np.full(len(js), n[i]), n[js], spec.base)
-        order = np.argsort(-est, kind="stable")
-        mine = np.frombuffer(sets[i], dtype=np.uint64)
-        for j in js[order[: int((est >= spec.hopeless).sum())]]:
-            if comp[j] != comp[i] and linked(mine, np.frombuffer(sets[j], dtype=np.uint64), spec.percent):
-                comp[comp == comp[j]] = comp[i]
-                out.append((sigs[i], sigs[j]))
+            fits &= of[js] != of[i]
+        mixed = (role[js] == LINKED) != (role[i] == LINKED)
+        fits &= ~mixed | (np.minimum(role[js], role[i]) == NEAR) & (np.abs(sim[js] - sim[i]) <= gap + 1e-9)
+        js = js[fits]
+        if len(js):
+            equal = (r[js] == r[i]).sum(axis=1)
+            js, equal = js[keep := equal >= (spec.surely_below(spec.percent / 100) - 0.1) * r.shape[1]], equal[keep]
+        if len(js) and band:
+            first = (r[js, : band * spec.band_rows] == r[i, : band * spec.band_rows]).reshape(len(js), band, -1).all(axis=2).any(axis=1)
+            js, equal = js[~first], equal[~first]
+        if len(js):
+            left.append(np.full(len(js), i))
+            right.append(js)
+            same.append(equal)
+            up.append((r[i] > r[js]).sum(axis=1))
+    if not left:
+        return []
+    left, right, same, up = (np.concatenate(x) for x in (left, right, same, up))
+    est = jaccard_from_counts(up, r.shape[1] - up - same, same, n[left], n[right], spec.base)
+    out = []
+    for k in np.argsort(-est, kind="stable")[: int((est >= spec.surely_below(spec.percent / 100)).sum())]:
+        i, j = left[k], right[k]
+        if comp[i] != comp[j] and linked(np.frombuffer(sets[i], dtype=np.uint64), np.frombuffer(sets[j], dtype=np.uint64), spec.percent):
+            comp[comp == comp[j]] = comp[i]
+            out.append((sigs[i], sigs[j]))
     return out
 
 
 def _block_rows(spec: SketchSpec):
-    """Rows sorted by (bucket, lo, hi) -> links; a group of rows may span batches."""
+    """Rows sorted by (bucket, x, y) -> links; a group of rows may span batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, rows = None, []
 
         def flush() -> pa.RecordBatch:
-            found = block_links(*(list(x) for x in zip(*rows, strict=True)), spec)
+            found = block_links(*(list(x) for x in zip(*rows, strict=True)), spec, key[0] >> BAND_BITS)
             return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.binary()), pa.array([y for _, y in found], pa.binary())], names=["a", "b"])
 
         for batch in batches:
-            cols = [batch.column(i).to_pylist() for i in range(8)]
+            cols = [batch.column(i).to_pylist() for i in range(9)]
             for row in zip(*cols, strict=True):
                 if row[:3] != key:
                     if len(rows) > 1:
@@ -237,46 +279,54 @@ def _block_rows(spec: SketchSpec):
     return run
 
 
-LINKS = "a binary, b binary"
+LINKED_FROM = 1_000_000_000  # numbers of blocks of linked members begin here
 
 
 def near_duplicates(docs: DataFrame, spec: SketchSpec, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)``, a row for each row of ``docs``."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sk = cut(rows.mapInArrow(_sketch_rows(spec), "doc_id long, sig binary, n long, regs binary"))
-    classes = cut(sk.where("n > 0 and doc_id is not null").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("regs").alias("regs")))
+    classes = cut(sk.where("n > 0 and doc_id is not null").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.first("regs").alias("regs")))
 
-    bands = classes.select("sig", "regs").mapInArrow(_band_rows(spec), "bucket long, sig binary")
+    bands = classes.select("sig", "regs", "rep").mapInArrow(_band_rows(spec), "bucket long, sig binary, rep long")
     shared = bands.groupBy("bucket").agg(F.count("*").alias("k"), F.min("sig").alias("leader")).where("k > 1")
     members = cut(bands.join(shared, "bucket"))
-    wanted = classes.join(members.select("sig").distinct(), "sig", "left_semi").select(F.col("rep").alias("doc_id"))
+    wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     text = rows.join(wanted.hint("shuffle_hash"), "doc_id", "left_semi").select("text")
-    sets = cut(text.mapInArrow(_set_rows(spec), "sig binary, set binary").join(classes.select("sig", "regs"), "sig"))
+    sets = cut(text.mapInArrow(_set_rows(spec), "sig binary, regs binary, set binary"))
 
     pairs = members.where("sig <> leader").select("leader", "sig").distinct()
     left = sets.select(F.col("sig").alias("leader"), F.col("regs").alias("regs_a"), F.col("set").alias("set_a"))
     right = sets.select("sig", F.col("regs").alias("regs_b"), F.col("set").alias("set_b"))
-    first = pairs.join(right, "sig").join(left, "leader").select("leader", "sig", "regs_a", "regs_b", "set_a", "set_b").mapInArrow(_verify_pairs(spec), LINKS)
-    label = cut(components(first))
-
-    named = members.select("bucket", "sig", "k").join(label.withColumnRenamed("node", "sig"), "sig", "left").withColumn("label", F.coalesce("label", "sig"))
-    named = cut(named)
-    mixed = named.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.first("k").alias("k"), F.sum(F.xxhash64("sig").cast("decimal(38,0)")).alias("who")).where("lo <> hi")
-    mixed = mixed.groupBy("k", "who").agg(F.min("bucket").alias("bucket")).select("bucket")  # buckets of the same members count once
-    parts = F.ceil(F.col("k") / F.lit(spec.block)).cast("int")
-    todo = named.join(mixed, "bucket", "left_semi").withColumn("parts", parts).withColumn("side", F.pmod(F.xxhash64("sig"), F.col("parts")).cast("int"))
-    todo = todo.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    todo = todo.select("bucket", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"), "sig", "label", "side")
-    todo = todo.join(sets.select("sig", "regs", "set"), "sig").select("bucket", "x", "y", "sig", "label", "side", "regs", "set")
-    second = todo.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y").mapInArrow(_block_rows(spec), LINKS)
-    ends = label.select(F.col("node"), F.col("label"))
-    second = second.join(ends.select(F.col("node").alias("a"), F.col("label").alias("la")), "a", "left").join(ends.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b", "left")
-    upper = cut(components(second.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))))
-
+    held = pairs.join(right, "sig").join(left, "leader").select("leader", "sig", "regs_a", "regs_b", "set_a", "set_b")
+    held = cut(held.mapInArrow(_leader_rows(spec), "leader binary, sig binary, role int, sim double"))
+
+    open_ = members.where("k > 2 and sig <> leader").select("bucket", "sig", "leader").join(held, ["leader", "sig"]).select("bucket", "sig", "role", "sim")
+    open_ = cut(open_)
+    rest, near, done = (F.count(F.when(c, 1)) for c in (F.col("role") != LINKED, F.col("role") == NEAR, F.col("role") == LINKED))
+    todo = open_.groupBy("bucket").agg(rest.alias("rest"), near.alias("near"), done.alias("done"), F.sum(F.xxhash64("sig", "role").cast("decimal(38,0)")).alias("who")).where("rest > 1 or (near > 0 and done > 0)")
+    todo = todo.groupBy("rest", "near", "done", "who").agg(F.min("bucket").alias("bucket"))  # of buckets with the same members the one of the least band does
+    size = F.lit(spec.block)
+    todo = todo.select("bucket", F.when((F.col("rest") > 1), F.col("rest")).otherwise(0).alias("rest"), F.ceil(F.col("rest") / size).cast("int").alias("parts"), F.when(F.col("near") > 0, F.ceil(F.col("done") / size)).otherwise(0).cast("int").alias("linked_parts"))
+    open_ = open_.join(todo, "bucket").where(f"role <> {LINKED} or linked_parts > 0")
+    side = F.when(F.col("role") == LINKED, F.lit(LINKED_FROM) + F.pmod(F.xxhash64("sig"), F.col("linked_parts"))).otherwise(F.pmod(F.xxhash64("sig"), F.col("parts"))).cast("int")
+
+    def upto(n: str, start: int = 0):
+        numbers = F.sequence(F.lit(start), F.lit(start) + F.greatest(F.col(n), F.lit(1)) - 1)
+        return F.when(F.col(n) > 0, numbers).otherwise(F.array().cast("array<int>"))
+
+    own = F.when(F.col("rest") > 1, upto("parts")).otherwise(F.array().cast("array<int>"))
+    others = F.when(F.col("role") == LINKED, upto("parts")).when(F.col("role") == NEAR, F.concat(own, upto("linked_parts", LINKED_FROM))).otherwise(own)
+    open_ = open_.withColumn("side", side).withColumn("other", F.explode(others))
+    open_ = open_.select("bucket", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"), "sig", "role", "sim", "side")
+    open_ = open_.join(sets, "sig").select("bucket", "x", "y", "sig", "role", "sim", "regs", "set", "side")
+    more = open_.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y").mapInArrow(_block_rows(spec), "a binary, b binary")
+
+    links = held.where(f"role = {LINKED}").select(F.col("leader").alias("a"), F.col("sig").alias("b")).union(more)
+    label = components(links)
     final = classes.select("sig", "rep").join(label.withColumnRenamed("node", "sig"), "sig", "left").withColumn("label", F.coalesce("label", "sig"))
-    final = final.join(upper.select(F.col("node").alias("label"), F.col("label").alias("top")), "label", "left").withColumn("top", F.coalesce("top", "label"))
-    least = final.groupBy("top").agg(F.min("rep").alias("component_id"))
-    found = final.join(least, "top").select("sig", "component_id")
+    least = final.groupBy("label").agg(F.min("rep").alias("component_id"))
+    found = final.join(least, "label").select("sig", "component_id")
     out = sk.select("doc_id", "sig", "n").join(found, "sig", "left")
     component = F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component_id"))).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
