@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import aggregates, relations, scalars
+from . import aggregates, landed, relations, scalars
 
-PARTS = [aggregates, relations, scalars]
+PARTS = [aggregates, relations, scalars, landed]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
