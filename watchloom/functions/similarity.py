@@ -8,6 +8,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _grams(padded: Column) -> Column:
@@ -40,12 +41,12 @@ def subset(a: Column, b: Column) -> Column:
     return (F.size(F.array_except(a, b)) == 0) | (F.size(F.array_except(b, a)) == 0)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([difflib.SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b, strict=True)])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def composed(s: pd.Series) -> pd.Series:
     """Unicode NFC."""
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFC", x))
