@@ -142,7 +142,7 @@ def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = S
 
 
 def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """A row of ``docs`` for each copy that the mix takes, with ``copy`` counting from 1.
+    """A row of ``docs`` for each copy that the mix takes, with ``copy`` counting from 1 (``__copy`` where ``docs`` has a column of that name).
 
     Rows that agree in id and text get the average of their copies, the first of them more where it isn't whole.
     """
@@ -155,7 +155,8 @@ def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sou
         rank = F.row_number().over(Window.partitionBy("__u", "__id", "__source").orderBy(F.lit(1)))
         share = F.floor(share / F.col("__rows")) + F.when(rank <= F.pmod(share, F.col("__rows")), 1).otherwise(0)
     got = got.withColumn("__copies", share)
-    return got.where("__copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(*[F.col(f"`{c}`") for c in docs.columns], "copy")
+    number = "__copy" if "copy" in docs.columns else "copy"
+    return got.where("__copies > 0").withColumn(number, F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(*[F.col(f"`{c}`") for c in docs.columns], number)
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 A register keeps the exponentially spaced, truncated minimum of one exponential hash over
 a document's shingles: ``clip(floor(1 - log_b(min)), 0, 65535)`` with b = 1.001. Registers of
 two documents agree nearly as often as their shingle sets overlap, and sketches merge by
-maximum. Five registers make a band; so many bands are used that a pair at the threshold
+maximum. Up to five registers make a band; so many bands are used that a pair at the threshold
 shares none of them with a chance of 1e-8.
 
 1. Documents with equal sets form a class; one row of each class goes on.
@@ -44,15 +44,23 @@ class SketchSpec:
 
     words: int = 5
     percent: int = 80
-    band_rows: int = 5
+    most_rows: int = 5
     miss: float = 1e-8
     base: float = 1.001
     block: int = 512
     seed: int = 7
 
+    def _bands(self, rows: int) -> int:
+        return max(1, math.ceil(math.log(self.miss) / math.log1p(-min((self.percent / 100) ** rows, 1 - 1e-9))))
+
+    @property
+    def band_rows(self) -> int:
+        """Registers a band; fewer where the threshold is so low that more than 120 bands would be needed."""
+        return next((r for r in range(self.most_rows, 1, -1) if self._bands(r) <= 120), 1)
+
     @property
     def bands(self) -> int:
-        return math.ceil(math.log(self.miss) / math.log(1 - (self.percent / 100) ** self.band_rows))
+        return self._bands(self.band_rows)
 
     @property
     def registers(self) -> int:
