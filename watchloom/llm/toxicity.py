@@ -8,7 +8,9 @@ reaches 1, 2, ... 6 bytes go through a logistic calibration, fitted on the label
 Windows are single words with a blank on either side: of 1, 2, 4 and 8 words these separated held-out
 rows best. The toxic dictionary's samples are the windows of toxic texts that begin like
 windows typical of toxic texts: beginnings of 4 to 12 bytes whose document frequency differs
-with a likelihood ratio of ``least_ratio`` or more.
+with a likelihood ratio of ``least_ratio`` or more. Its content is the commonest of them: the segments
+that zstandard's own trainer picks from so few short samples leave several out (held-out recall 0.71
+against 0.76). The ordinary dictionary is zstandard's own, trained on windows of ordinary texts.
 
 Labels are learned from at most ``max_rows`` labelled rows and ``max_bytes`` of text (the rows
 with the least hash of their text), never from fold 0 of 5 by crc32 of the id. Every text is
@@ -127,6 +129,11 @@ def dictionary(samples: list[bytes], size: int) -> tuple[bytes, bool]:
         return b"".join(dict.fromkeys(samples))[-size:] or b" " * 8, False
 
 
+def commonest(samples: list[bytes], size: int) -> tuple[bytes, bool]:
+    """The different samples themselves, the commonest last, where they cost the least to point at."""
+    return b"".join(x for x, _ in reversed(sorted(Counter(samples).items(), key=lambda c: (-c[1], c[0]))))[-size:] or b" " * 8, False
+
+
 def train(rows: list[tuple[bytes | None, int]], size: int = 4096) -> Model:
     toxic, ordinary = ([t for t, y in rows if y == k] for k in (1, 0))
     if not toxic or not ordinary:
@@ -138,7 +145,7 @@ def train(rows: list[tuple[bytes | None, int]], size: int = 4096) -> Model:
     marked = [marked[i] for i in rng.permutation(len(marked))[:200_000]]
     plain = [b" " + b[i] + b" " for b in bags[0] if b for i in rng.permutation(len(b))[:40]]
     plain = [plain[i] for i in rng.permutation(len(plain))[:100_000]]
-    (d1, t1), (d0, t0) = dictionary(marked, size), dictionary(plain, size)
+    (d1, t1), (d0, t0) = commonest(marked, size), dictionary(plain, size)
     model = Model(len(toxic) / len(rows), d1, d0, (t1, t0))
     gains = Gains(model)
     x = np.array([features(t, gains) for t, _ in rows])
