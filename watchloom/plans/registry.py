@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import aggregates, landed, relations, scalars
+from . import aggregates, landed, relations, scalars, service
 
-PARTS = [aggregates, relations, scalars, landed]
+PARTS = [aggregates, relations, scalars, landed, service]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
