@@ -340,10 +340,10 @@ def u03(s, d):
     return count(c.subtract(p), "added").union(count(p.subtract(c), "removed")).union(count(p.intersect(c), "kept"))
 
 
-@q("U04_membership_diff", f"with {PARTS}, x as (select distinct name from parts where source_id < 'Brand#3'), y as (select distinct name from parts where source_id >= 'Brand#3') select 'left' as side, name from (from y except from x) union all select 'joined', name from (from x except from y)")
+@q("U04_membership_diff", f"with {PARTS}, x as (select distinct name from parts where source_id = 'Brand#11'), y as (select distinct name from parts where source_id = 'Brand#12') select 'left' as side, name from (from y except from x) union all select 'joined', name from (from x except from y)")
 def u04(s, d):
     p = parts(s, d).select("name", "source_id")
-    x, y = p.where("source_id < 'Brand#3'").select("name").distinct(), p.where("source_id >= 'Brand#3'").select("name").distinct()
+    x, y = p.where("source_id = 'Brand#11'").select("name").distinct(), p.where("source_id = 'Brand#12'").select("name").distinct()
     return y.subtract(x).select(F.lit("left").alias("side"), "name").union(x.subtract(y).select(F.lit("joined").alias("side"), "name"))
 
 

@@ -59,9 +59,9 @@ def e08(s, d):
     return service.screen_names(s, ["SUPPLIER#000000007"], parties(s, d), 1.0).where("tier = 1").select("q_id", "id", "tier")
 
 
-@q("E08_investment_call", f"with {ODI} select id, total::double as total from odi where country ilike '%an%' and total >= 100000 and substr(period_from, 7, 4) = '1995' order by strptime(period_from, '%d/%m/%Y') desc, odi.total desc, id limit 20")
+@q("E08_investment_call", f"with {ODI} select id, total::double as total from odi where country ilike '%ation_1%' and total >= 100000 and substr(period_from, 7, 4) = '1995' order by strptime(period_from, '%d/%m/%Y') desc, odi.total desc, id limit 20")
 def e08_odi(s, d):
-    return service.investment_search(investments(s, d), country="an", least=100000, year=1995, page=1, per_page=20).select("id", F.col("total").cast("double").alias("total"))
+    return service.investment_search(investments(s, d), country="ation_1", least=100000, year=1995, page=1, per_page=20).select("id", F.col("total").cast("double").alias("total"))
 
 
 @q("F11_source_guards", f"with {PARTS} select count(*) as n from parts where source_id is not null and source_id <> '' and id % 5 <> 0")
