@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.similarity import jaccard, subset, text_trigrams, word_trigrams
 from ..functions.text import entity_key, group_key, token_bag
 from ..functions.values import stable_id
+from ..sources.sinks import shared_root
 from .rules import interesting_name
 
 
@@ -78,11 +79,7 @@ def closure(edges: DataFrame) -> DataFrame:
 
     Each round also jumps to the label's label, so long chains take few rounds.
     """
-    spark = edges.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="watchloom-"))
+    shared_root(edges.sparkSession)
     both = edges.select("a", "b").where("a <> b")
     both = both.union(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
     at = both.select(F.col("a").alias("node")).distinct().withColumn("label", F.col("node")).checkpoint()

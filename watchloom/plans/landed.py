@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +12,7 @@ from ..functions import values as V
 from ..operators import rules
 from ..sources import files, sinks
 from ..streaming import changes as C
-from .views import DOCS, LOG, ODI, PARTIES, PARTS, SNAPS, docs, investments, joined, log, parties, parts, snapshot, table
+from .views import DOCS, LOG, ODI, PARTIES, PARTS, SNAPS, docs, investments, log, parties, parts, snapshot, table
 
 QUERIES: dict = {}
 
@@ -27,13 +26,8 @@ def q(name: str, sql: str | None = None):
 
 
 def landing(spark: SparkSession) -> str:
-    """A new folder that all executors share; on one machine without spark.checkpoint.dir a temporary one."""
-    root = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        if not spark.sparkContext.master.startswith("local["):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="watchloom-")
-    return f"{root}/landed-{uuid.uuid4().hex}"
+    """A new folder that all executors share."""
+    return f"{sinks.shared_root(spark)}/landed-{uuid.uuid4().hex}"
 
 
 def _canonical(df: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from ..functions import text as X
 from ..functions import values as V
 from ..operators import entities, rules, screening
 from .aggregates import INTERESTING
-from .views import DOCS, LOG, ODI, PARTIES, PARTS, SNAPS, docs, investments, joined, log, parties, parts, snapshot, table
+from .views import DOCS, LOG, ODI, PARTIES, PARTS, docs, investments, joined, log, parties, parts, table
 
 QUERIES: dict = {}
 

@@ -9,7 +9,7 @@ from ..operators import entities, rules, service
 from ..sources import sinks
 from .aggregates import INTERESTING
 from .landed import landing
-from .relations import QSQL, SCREEN, _queries
+from .relations import SCREEN, _queries
 from .scalars import pick
 from .views import LOG, ODI, PARTIES, PARTS, investments, log, parties, parts, table
 
