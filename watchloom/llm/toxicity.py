@@ -13,7 +13,7 @@ that zstandard's own trainer picks from so few short samples leave several out (
 against 0.76). The ordinary dictionary is zstandard's own, trained on windows of ordinary texts.
 
 Labels are learned from at most ``max_rows`` labelled rows and ``max_bytes`` of text (the rows
-with the least hash of their text), never from fold 0 of 5 by crc32 of the id. Every text is
+with the least hash of their id), never from fold 0 of 5 by crc32 of the id. Every text is
 scored whole. No other column enters a score.
 
 Null and empty texts get the calibration's score of zero windows. Without labels of both kinds the
@@ -31,14 +31,14 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import logistic
 from .common import held_out, texts
 
 FOLDS, FOLD = 5, 0
-MAX_ROWS, MAX_BYTES = 8000, 96 << 20
+MAX_ROWS, MAX_BYTES = 5000, 64 << 20
 LEVELS = 6
 CACHE = 400_000
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -97,11 +97,11 @@ def beginnings(own: set[bytes], among: dict | None = None) -> set[bytes]:
     return found
 
 
-def typical(toxic: list[set[bytes]], ordinary: list[set[bytes]], least_ratio: float = 40.0, least_docs: int = 4) -> list[bytes]:
+def typical(toxic: list[bytes | None], ordinary: list[bytes | None], least_ratio: float = 40.0, least_docs: int = 4) -> list[bytes]:
     """Beginnings of windows that mark toxic texts, none beginning another."""
-    a = Counter(x for d in toxic for x in beginnings(d))
+    a = Counter(x for t in toxic for x in beginnings(set(words(t))))
     a = {x: n for x, n in a.items() if n >= least_docs}
-    b = Counter(x for d in ordinary for x in beginnings(d, a))
+    b = Counter(x for t in ordinary for x in beginnings(set(words(t)), a))
     n1, n0 = len(toxic), len(ordinary)
 
     def part(k: int, n: int, p: float) -> float:
@@ -138,12 +138,14 @@ def train(rows: list[tuple[bytes | None, int]], size: int = 4096) -> Model:
     toxic, ordinary = ([t for t, y in rows if y == k] for k in (1, 0))
     if not toxic or not ordinary:
         return Model(prior=len(toxic) / len(rows) if rows else 0.0)
-    bags = {1: [words(t) for t in toxic], 0: [words(t) for t in ordinary]}
-    starts = tuple(typical([set(b) for b in bags[1]], [set(b) for b in bags[0]]))
+    starts = tuple(typical(toxic, ordinary))
     rng = np.random.default_rng(3)
-    marked = [x for b in bags[1] for w in b if starts and (x := b" " + w + b" ").startswith(starts)]
+    marked = [x for t in toxic for w in words(t) if starts and (x := b" " + w + b" ").startswith(starts)]
     marked = [marked[i] for i in rng.permutation(len(marked))[:200_000]]
-    plain = [b" " + b[i] + b" " for b in bags[0] if b for i in rng.permutation(len(b))[:40]]
+    plain = []
+    for t in ordinary:
+        own = words(t)
+        plain += [b" " + own[i] + b" " for i in rng.permutation(len(own))[:20]]
     plain = [plain[i] for i in rng.permutation(len(plain))[:100_000]]
     (d1, t1), (d0, t0) = commonest(marked, size), dictionary(plain, size)
     model = Model(len(toxic) / len(rows), d1, d0, (t1, t0))
@@ -154,14 +156,23 @@ def train(rows: list[tuple[bytes | None, int]], size: int = 4096) -> Model:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, column: str, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES, folds: int = FOLDS, fold: int = FOLD) -> list[tuple[bytes | None, int]]:
-    """A bounded sample of labelled training rows for the driver, the same at each run."""
+    """A bounded sample of labelled training rows for the driver, the same at each run.
+
+    The sample is drawn among the labels, which are small; ``max_rows`` of them are broadcast to the scan of the
+    texts, so only sampled texts move. Texts are read in order until ``max_bytes`` are there.
+    """
     y = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(column).cast("int").alias("y")).where(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out("doc_id", folds, fold))
-    t = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = t.join(y.hint("shuffle_hash"), "doc_id").withColumn("u", F.xxhash64(F.lit(5), "text", "doc_id"))
-    first = rows.orderBy("u", "y").limit(max_rows)
-    held = Window.orderBy("u", "y").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    first = first.withColumn("held", F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).over(held)).where(F.col("held") <= max_bytes)
-    return [(r["text"].encode() if r["text"] is not None else None, r["y"]) for r in first.select("text", "y").toLocalIterator()]
+    y = y.withColumn("u", F.xxhash64(F.lit(5), "doc_id")).orderBy("u", "doc_id", "y").limit(max_rows)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(y), "doc_id")
+    out: list[tuple[bytes | None, int]] = []
+    held = 0
+    for r in rows.orderBy("u", "doc_id", "y", F.xxhash64("text")).select("text", "y").toLocalIterator():
+        text = r["text"].encode() if r["text"] is not None else None
+        held += len(text or b"")
+        if out and (held > max_bytes or len(out) >= max_rows):
+            break
+        out.append((text, r["y"]))
+    return out
 
 
 def _score_rows(shared, at: int):
