@@ -191,6 +191,34 @@ def test_toxicity(spark, empty):
     assert toxicity.report(empty, none).count() == 0
 
 
+def test_toxic_stems_pairs_and_sample(spark):
+    rng = np.random.default_rng(8)
+    vocab = ["".join(rng.choice(list("abcdefghij"), 6)) for _ in range(300)]
+
+    def text(marks):
+        w = [vocab[j] for j in rng.integers(0, 298, 60)]
+        return " ".join(w[:20] + marks + w[20:]).encode()
+
+    short, pair = ["scum", "oaf"], [vocab[298], vocab[299]]
+    rows = [(text([short[i % 2]]), 1, 1.0) for i in range(60)] + [(text(pair), 1, 1.0) for _ in range(60)] + [(text([pair[1], vocab[i], pair[0]]), 0, 1.0) for i in range(290)]
+    model = toxicity.train(rows)
+    gains = toxicity.Gains(model)
+    assert gains[b"scum"] > 0 and gains[b"oaf"] > 0 and model.firsts == {pair[0].encode()}
+    new = [text([x]) for x in short] + [text(pair), text([]), text(pair[:1]), text(pair[::-1])]
+    p = toxicity.logistic.predict(model.weights, np.array([toxicity.features(t, gains) for t in new]))
+    assert list(p >= 0.5) == [True, True, True, False, False, False]
+    # every marked window is held, however many there are
+    many = ["%s%04d" % ("vermin", i) for i in range(2000)]
+    big = toxicity.train([(text(many[i * 20 : i * 20 + 20]), 1, 1.0) for i in range(100)] + [(text([]), 0, 1.0) for _ in range(300)])
+    assert all(w.encode() in big.toxic for w in many)
+    # the rare label has its half of the sample; a text over the limit of bytes doesn't end it
+    docs = spark.createDataFrame([(i, "x" * (5000 if i == 7 else 10), "en", "s", 1) for i in range(1000)], SCHEMA)
+    labels = spark.createDataFrame([(i, 1, int(i % 50 == 7)) for i in range(1000)], "doc_id long, quality int, toxic int")
+    rows = toxicity.labelled(docs, labels, "toxic", max_rows=40, max_bytes=1000, folds=1, fold=1)
+    assert Counter(y for _, y, _ in rows) in ({0: 20, 1: 20}, {0: 20, 1: 19}) and all(len(t) == 10 for t, _, _ in rows)
+    assert sum(u for _, y, u in rows if y) / sum(u for *_, u in rows) == pytest.approx(0.02)
+
+
 def test_decontamination(spark, docs, empty):
     t = make_texts()
     items = [(1, t[0]), (2, " ".join(t[6].split()[:14]).upper()), (10, "one two"), (11, "!!!"), (12, None), (13, "z" * 300_000), (14, "one two")]

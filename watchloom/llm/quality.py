@@ -33,9 +33,10 @@ from pyspark.sql import functions as F
 
 from . import logistic
 from .common import cut, held_out, texts
-from .toxicity import FOLD, FOLDS, MAX_BYTES, MAX_ROWS, labelled
+from .toxicity import FOLD, FOLDS, drawn
 
 MAX_STRENGTH = 1e6
+MAX_ROWS, MAX_BYTES = 5000, 64 << 20
 
 
 def features(text: bytes | None) -> list[float]:
@@ -134,6 +135,6 @@ def quality(docs: DataFrame, model: Model, host: Column, path: Column, id_col: s
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    model = train(labelled(docs, labels, "quality", MAX_ROWS, MAX_BYTES))
+    model = train(drawn(docs, labels, "quality", MAX_ROWS, MAX_BYTES))
     got = quality(docs, model, F.col("source"), F.concat_ws("/", "source", "lang"))
     return got.select("doc_id", held_out("doc_id", FOLDS, FOLD).alias("held_out"), "own", "host_mean", "path_mean", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), (F.col("score") >= 0.5).alias("kept"))

@@ -5,16 +5,21 @@ into windows of words; each window is compressed with either dictionary, and the
 the toxic dictionary saves over the ordinary one are its gain. The numbers of windows whose gain
 reaches 1, 2, ... 6 bytes go through a logistic calibration, fitted on the labelled rows.
 
-Windows are single words with a blank on either side: of 1, 2, 4 and 8 words these separated held-out
-rows best. The toxic dictionary's samples are the windows of toxic texts that begin like
-windows typical of toxic texts: beginnings of 4 to 12 bytes whose document frequency differs
-with a likelihood ratio of ``least_ratio`` or more. Its content is the commonest of them: the segments
-that zstandard's own trainer picks from so few short samples leave several out (held-out recall 0.71
-against 0.76). The ordinary dictionary is zstandard's own, trained on windows of ordinary texts.
-
-Labels are learned from at most ``max_rows`` labelled rows and ``max_bytes`` of text (the rows
-with the least hash of their id), never from fold 0 of 5 by crc32 of the id. Every text is
-scored whole. No other column enters a score.
+Windows are words with a blank on either side, and pairs of words. The toxic dictionary's content is
+all windows of toxic texts that begin like words typical of toxic texts (beginnings of 4 to 12 bytes). A
+dictionary of its own holds the pairs typical of toxic texts in which neither word is marked alone; a pair's
+gain is what it saves there beyond its two words. The commonest windows come last. Typical means a
+likelihood ratio of document frequencies that chance passes with ``CHANCE`` among all beginnings or pairs
+tried. The ordinary dictionary is zstandard's own, trained on all words of the ordinary texts.
+
+Both dictionaries end with ``CARRIER``, and so does each window that is compressed: zstandard never looks for
+matches in the last 8 bytes of its input and stores what saves less than 2 bytes, so that a short word alone
+costs the same with any dictionary.
+
+Labels are learned from at most ``max_rows`` labelled rows and ``max_bytes`` of text, never from fold 0 of 5 by
+crc32 of the id. Either label has half of the rows or all that it has (the rows with the least hash of
+their id); the calibration weighs them back to their shares among all labels. A text that would pass
+``max_bytes`` is left out of the sample. Every text is scored whole. No other column enters a score.
 
 Null and empty texts get the calibration's score of zero windows. Without labels of both kinds the
 score is the share of toxic labels, 0 where there is none. Rows that repeat come back as often;
@@ -38,8 +43,10 @@ from . import logistic
 from .common import held_out, texts
 
 FOLDS, FOLD = 5, 0
-MAX_ROWS, MAX_BYTES = 5000, 64 << 20
+MAX_ROWS, MAX_BYTES = 8000, 96 << 20
 LEVELS = 6
+CHANCE = 0.05
+CARRIER = bytes(range(128, 160))
 CACHE = 400_000
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -54,6 +61,8 @@ class Model:
     toxic: bytes = b""
     ordinary: bytes = b""
     trained: tuple[bool, bool] = (False, False)
+    pairs: bytes = b""
+    firsts: frozenset[bytes] = frozenset()  # first words of marked pairs
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
 
@@ -62,65 +71,85 @@ class Gains(dict):
 
     def __init__(self, model: Model):
         super().__init__()
-        p = zstandard.ZstdCompressionParameters(window_log=13, hash_log=10, chain_log=10, search_log=4, min_match=4, target_length=16, strategy=zstandard.STRATEGY_GREEDY, write_content_size=False, write_checksum=False, write_dict_id=False)
+        self.firsts = model.firsts
+        log = max(10, (max(len(model.toxic), len(model.ordinary), len(model.pairs)) + len(CARRIER)).bit_length() + 1)  # all of either dictionary is indexed
+        p = zstandard.ZstdCompressionParameters(window_log=max(13, log), hash_log=log, chain_log=log, search_log=6, min_match=4, target_length=16, strategy=zstandard.STRATEGY_GREEDY, write_content_size=False, write_checksum=False, write_dict_id=False)
         made = []
-        for content, trained in ((model.toxic, model.trained[0]), (model.ordinary, model.trained[1])):
-            d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_FULLDICT if trained else zstandard.DICT_TYPE_RAWCONTENT)
+        for content, trained in ((model.toxic, model.trained[0]), (model.ordinary, model.trained[1]), (model.pairs, False)):
+            d = zstandard.ZstdCompressionDict(content + CARRIER, dict_type=zstandard.DICT_TYPE_FULLDICT if trained else zstandard.DICT_TYPE_RAWCONTENT)
             d.precompute_compress(compression_params=p)
             made.append(zstandard.ZstdCompressor(dict_data=d, compression_params=p))
-        self.toxic, self.ordinary = made
+        self.toxic, self.ordinary, self.pairs = made
+
+    def saved(self, by: zstandard.ZstdCompressor, words: bytes) -> int:
+        window = b" " + words + b" " + CARRIER
+        return max(0, len(self.ordinary.compress(window)) - len(by.compress(window)))
 
-    def __missing__(self, word: bytes) -> int:
-        window = b" " + word + b" "
-        gain = max(0, min(LEVELS, len(self.ordinary.compress(window)) - len(self.toxic.compress(window))))
+    def __missing__(self, words: bytes) -> int:
+        gain = self.saved(self.pairs, words) - sum(self.saved(self.pairs, w) for w in words.split(b" ")) if b" " in words else self.saved(self.toxic, words)
+        gain = max(0, min(LEVELS, gain))
         if len(self) >= CACHE:
             self.clear()
-        self[word] = gain
+        self[words] = gain
         return gain
 
 
 def features(text: bytes | None, gains: Gains) -> list[float]:
     own = words(text)
-    counts = np.bincount(np.fromiter(map(gains.__getitem__, own), dtype=np.int64, count=len(own)), minlength=LEVELS + 1)
-    reach = counts[::-1].cumsum()[::-1][1:]
     n = max(1, len(own))
+    windows = own + [a + b" " + b for a, b in zip(own, own[1:]) if a in gains.firsts] if gains.firsts else own
+    counts = np.bincount(np.fromiter(map(gains.__getitem__, windows), dtype=np.int64, count=len(windows)), minlength=LEVELS + 1)
+    reach = counts[::-1].cumsum()[::-1][1:]
     return [math.log((x + 0.5) / (n + 50)) for x in reach] + [math.log(n + 1)] + [float(min(x, 3)) for x in reach[1:]]
 
 
-def beginnings(own: set[bytes], among: dict | None = None) -> set[bytes]:
-    found = set()
-    for w in own:
-        x = b" " + w + b" "
-        for n in range(4, min(len(x), 12) + 1):
-            if among is None or x[:n] in among:
-                found.add(x[:n])
-    return found
+def beginnings(own: set[bytes], among: dict) -> set[bytes]:
+    return {x[:n] for w in own for x in (b" " + w + b" ",) for n in range(4, min(len(x), 12) + 1) if x[:n] in among}
 
 
-def typical(toxic: list[bytes | None], ordinary: list[bytes | None], least_ratio: float = 40.0, least_docs: int = 4) -> list[bytes]:
-    """Beginnings of windows that mark toxic texts, none beginning another."""
-    a = Counter(x for t in toxic for x in beginnings(set(words(t))))
-    a = {x: n for x, n in a.items() if n >= least_docs}
-    b = Counter(x for t in ordinary for x in beginnings(set(words(t)), a))
-    n1, n0 = len(toxic), len(ordinary)
+def ratios(a: dict[bytes, int], b: dict[bytes, int], n1: int, n0: int) -> dict[bytes, float]:
+    """Likelihood ratios of the document frequencies that are higher in toxic texts and that chance doesn't explain."""
 
     def part(k: int, n: int, p: float) -> float:
         return (k * math.log(k / n / p) if k else 0) + ((n - k) * math.log((1 - k / n) / (1 - p)) if k < n else 0)
 
-    ratio = {}
+    least, found = 2 * math.log(max(1, len(a)) / CHANCE), {}
     for x, k in a.items():
         p = (k + b[x]) / (n1 + n0)
-        if k / n1 > b[x] / n0:
-            ratio[x] = 2 * (part(k, n1, p) + part(b[x], n0, p))
+        if k / n1 > b[x] / n0 and (r := 2 * (part(k, n1, p) + part(b[x], n0, p))) >= least:
+            found[x] = r
+    return found
+
+
+def typical(toxic: list[bytes | None], ordinary: list[bytes | None], least_docs: int = 3) -> list[bytes]:
+    """Beginnings of windows that mark toxic texts, none beginning another."""
+    sets = [set(words(t)) for t in toxic]
+    a: dict[bytes, int] = {}
+    for n in range(4, 13):  # longer ones only where the shorter are frequent
+        a |= {x: k for x, k in Counter(x for own in sets for x in {x[:n] for w in own for x in (b" " + w + b" ",) if len(x) >= n and (n == 4 or x[: n - 1] in a)}).items() if k >= least_docs}
+    b = Counter(x for t in ordinary for x in beginnings(set(words(t)), a))
+    ratio = ratios(a, b, len(toxic), len(ordinary))
     chosen: list[bytes] = []
     for x in sorted(ratio, key=lambda x: (-ratio[x], -len(x), x)):
-        if ratio[x] < least_ratio:
-            break
         if not any(x.startswith(c) or c.startswith(x) for c in chosen):
             chosen.append(x)
     return chosen
 
 
+def typical_pairs(toxic: list[bytes | None], ordinary: list[bytes | None], starts: tuple[bytes, ...], least_docs: int = 3) -> set[bytes]:
+    """Pairs of words that mark toxic texts, neither word marked alone."""
+    docs = Counter(w for t in toxic for w in set(words(t)))
+    usual = {w for w, k in docs.items() if k >= least_docs and not (starts and (b" " + w + b" ").startswith(starts))}
+
+    def pairs(t: bytes | None) -> set[bytes]:
+        own = words(t)
+        return {x + b" " + y for x, y in zip(own, own[1:]) if x in usual and y in usual}
+
+    a = {x: k for x, k in Counter(x for t in toxic for x in pairs(t)).items() if k >= least_docs}
+    b = Counter(x for t in ordinary for x in pairs(t) if x in a)
+    return set(ratios(a, b, len(toxic), len(ordinary)))
+
+
 def dictionary(samples: list[bytes], size: int) -> tuple[bytes, bool]:
     """A trained dictionary; the samples themselves where they are too few to train on."""
     try:
@@ -129,52 +158,72 @@ def dictionary(samples: list[bytes], size: int) -> tuple[bytes, bool]:
         return b"".join(dict.fromkeys(samples))[-size:] or b" " * 8, False
 
 
-def commonest(samples: list[bytes], size: int) -> tuple[bytes, bool]:
+def commonest(samples: Counter) -> bytes:
     """The different samples themselves, the commonest last, where they cost the least to point at."""
-    return b"".join(x for x, _ in reversed(sorted(Counter(samples).items(), key=lambda c: (-c[1], c[0]))))[-size:] or b" " * 8, False
+    return b"".join(x for x, _ in reversed(sorted(samples.items(), key=lambda c: (-c[1], c[0])))) or b" " * 8
 
 
-def train(rows: list[tuple[bytes | None, int]], size: int = 4096) -> Model:
-    toxic, ordinary = ([t for t, y in rows if y == k] for k in (1, 0))
+def train(rows: list[tuple[bytes | None, int, float]], size: int = 4096) -> Model:
+    """From texts, labels and weights. ``size`` is that of the ordinary dictionary; the toxic one holds all marked windows."""
+    toxic, ordinary = ([t for t, y, _ in rows if y == k] for k in (1, 0))
     if not toxic or not ordinary:
         return Model(prior=len(toxic) / len(rows) if rows else 0.0)
     starts = tuple(typical(toxic, ordinary))
-    rng = np.random.default_rng(3)
-    marked = [x for t in toxic for w in words(t) if starts and (x := b" " + w + b" ").startswith(starts)]
-    marked = [marked[i] for i in rng.permutation(len(marked))[:200_000]]
-    plain = []
-    for t in ordinary:
-        own = words(t)
-        plain += [b" " + own[i] + b" " for i in rng.permutation(len(own))[:20]]
-    plain = [plain[i] for i in rng.permutation(len(plain))[:100_000]]
-    (d1, t1), (d0, t0) = commonest(marked, size), dictionary(plain, size)
-    model = Model(len(toxic) / len(rows), d1, d0, (t1, t0))
+    pairs = typical_pairs(toxic, ordinary, starts)
+    marked = Counter(x for t in toxic for w in words(t) if starts and (x := b" " + w + b" ").startswith(starts))
+    together = Counter(b" " + x + b" " for t in toxic for own in (words(t),) for x in map(b" ".join, zip(own, own[1:])) if x in pairs) if pairs else Counter()
+    d0, t0 = dictionary([b" " + b" ".join(own) + b" " for t in ordinary if (own := words(t))], size)
+    weights = np.array([u for _, _, u in rows])
+    y = np.array([y for _, y, _ in rows], dtype=float)
+    model = Model(float((weights * y).sum() / weights.sum()), commonest(marked), d0, (False, t0), pairs=commonest(together), firsts=frozenset(x.split(b" ")[0] for x in pairs))
     gains = Gains(model)
-    x = np.array([features(t, gains) for t, _ in rows])
-    model.weights = logistic.fit(x, np.array([y for _, y in rows], dtype=float))
+    model.weights = logistic.fit(np.array([features(t, gains) for t, _, _ in rows]), y, weights=weights)
     return model
 
 
-def labelled(docs: DataFrame, labels: DataFrame, column: str, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES, folds: int = FOLDS, fold: int = FOLD) -> list[tuple[bytes | None, int]]:
-    """A bounded sample of labelled training rows for the driver, the same at each run.
-
-    The sample is drawn among the labels, which are small; ``max_rows`` of them are broadcast to the scan of the
-    texts, so only sampled texts move. Texts are read in order until ``max_bytes`` are there.
-    """
-    y = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(column).cast("int").alias("y")).where(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out("doc_id", folds, fold))
-    y = y.withColumn("u", F.xxhash64(F.lit(5), "doc_id")).orderBy("u", "doc_id", "y").limit(max_rows)
+def sample(docs: DataFrame, y: DataFrame, max_bytes: int, max_rows: int) -> list[tuple[bytes | None, int]]:
+    """The texts of the labels ``y(doc_id, y, u)`` in order; texts that would pass ``max_bytes`` are left out."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(y), "doc_id")
     out: list[tuple[bytes | None, int]] = []
     held = 0
     for r in rows.orderBy("u", "doc_id", "y", F.xxhash64("text")).select("text", "y").toLocalIterator():
         text = r["text"].encode() if r["text"] is not None else None
-        held += len(text or b"")
-        if out and (held > max_bytes or len(out) >= max_rows):
+        if len(out) >= max_rows:
             break
-        out.append((text, r["y"]))
+        if held + len(text or b"") <= max_bytes:
+            held += len(text or b"")
+            out.append((text, r["y"]))
     return out
 
 
+def label_rows(labels: DataFrame, column: str, folds: int, fold: int) -> DataFrame:
+    y = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(column).cast("int").alias("y")).where(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out("doc_id", folds, fold))
+    return y.withColumn("u", F.xxhash64(F.lit(5), "doc_id"))
+
+
+def first(y: DataFrame, n: int) -> DataFrame:
+    return y.orderBy("u", "doc_id", "y").limit(n)
+
+
+def drawn(docs: DataFrame, labels: DataFrame, column: str, max_rows: int, max_bytes: int, folds: int = FOLDS, fold: int = FOLD) -> list[tuple[bytes | None, int]]:
+    """A bounded sample of labelled training rows for the driver, the same at each run.
+
+    The sample is drawn among the labels, which are small; ``max_rows`` of them are broadcast to the scan of the
+    texts, so only sampled texts move.
+    """
+    return sample(docs, first(label_rows(labels, column, folds, fold), max_rows), max_bytes, max_rows)
+
+
+def labelled(docs: DataFrame, labels: DataFrame, column: str, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES, folds: int = FOLDS, fold: int = FOLD) -> list[tuple[bytes | None, int, float]]:
+    """As ``drawn``, half of the rows for either label where it has so many; each with the weight that gives its label its share again."""
+    y = label_rows(labels, column, folds, fold)
+    there = {0: 0, 1: 0} | {r["y"]: r["count"] for r in y.groupBy("y").count().collect()}
+    ones = min(there[1], max(max_rows // 2, max_rows - there[0]))
+    rows = sample(docs, first(y.where("y = 1"), ones).unionByName(first(y.where("y = 0"), max_rows - ones)), max_bytes, max_rows)
+    got = Counter(k for _, k in rows)
+    return [(t, k, there[k] / sum(there.values()) / (got[k] / len(rows))) for t, k in rows]
+
+
 def _score_rows(shared, at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
