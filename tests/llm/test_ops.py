@@ -142,6 +142,14 @@ def test_language_model(docs, empty):
     assert lm.score_texts(empty).count() == 0
 
 
+def test_every_training_document_moves_the_network(spark):
+    for i in range(5):
+        training = spark.createDataFrame([(f"word{i} and some more words of text {i}",)], "text string")
+        vocab = lm.vocabulary(lm.token_counts(training), 1)
+        p = lm.train(training, vocab)
+        assert not np.allclose(p["u"], lm.start(vocab)["u"])
+
+
 def test_gradient_and_carried_state():
     v = lm.Vocabulary(10, 3, 2, np.full(65536, 1, dtype=np.uint8), np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint8), np.array([3.0, 8.0, 4.0]), np.array([2.0, 6.0, 2.0]), np.zeros(0, dtype=np.uint64), np.zeros(0))
     p = {k: w.astype(np.float64) for k, w in lm.start(v, hidden=4).items()}

@@ -9,8 +9,9 @@ depends on the hidden state; within a class it has biases only.
 
 * Counts cover every training document: they are summed in numpy for a task and then shuffled.
 * The network is trained by truncated backpropagation (windows of ``WINDOW`` tokens, state carried
-  on, reset after each end). A round trains one copy a partition on a hashed ``1 / SHARE`` of its
-  training documents, a share that grows with the input, and averages the copies by their tokens.
+  on, reset after each end). A round trains one copy a partition on one of ``SHARE`` disjoint hashed
+  shares of its training documents and averages the copies by their tokens; the rounds of a pass take all
+  shares, so that each training document is learned from once.
 * Scoring runs all documents of a batch in step, longest first, in windows; the hidden state goes
   from window to window, so each text is scored whole.
 
@@ -35,7 +36,7 @@ from .common import Words, chunks, cut, held_out, texts
 FOLDS, FOLD = 7, 2
 HIDDEN, WINDOW, STREAMS = 16, 32, 32
 TOP_WORDS, TOP_ENDINGS = 24, 38
-ROUNDS, SHARE = 2, 8
+PASSES, SHARE = 1, 8
 FREQUENT = 1 << 17
 RATE = 0.01
 END, REST = 0, 1
@@ -266,12 +267,12 @@ def _train_rows(shared):
     return run
 
 
-def train(training: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS, share: int = SHARE) -> dict[str, np.ndarray]:
-    """Averaged local training over ``training(text)``."""
+def train(training: DataFrame, vocab: Vocabulary, passes: int = PASSES, share: int = SHARE) -> dict[str, np.ndarray]:
+    """Averaged local training over all of ``training(text)``, ``share`` rounds a pass."""
     p = start(vocab)
-    for k in range(rounds):
+    for k in range(passes * share):
         shared = training.sparkSession.sparkContext.broadcast((vocab, p))
-        some = training.where(F.pmod(F.xxhash64(F.lit(k), F.col("text")), F.lit(share)) == 0)
+        some = training.where(F.pmod(F.xxhash64(F.lit(k // share), F.col("text")), F.lit(share)) == k % share)
         got = some.mapInArrow(_train_rows(shared), "i int, w double, n long").groupBy("i").agg((F.sum("w") / F.sum("n")).alias("w")).orderBy("i").collect()
         if got:
             flat, at = np.array([r["w"] for r in got], dtype=np.float32), 0
