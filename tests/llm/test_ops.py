@@ -211,14 +211,26 @@ def test_toxic_stems_pairs_and_sample(spark):
     rows = [(text([short[i % 2]]), 1, 1.0) for i in range(60)] + [(text(pair), 1, 1.0) for _ in range(60)] + [(text([pair[1], vocab[i], pair[0]]), 0, 1.0) for i in range(290)]
     model = toxicity.train(rows)
     gains = toxicity.Gains(model)
-    assert gains[b"scum"] > 0 and gains[b"oaf"] > 0 and model.firsts == {pair[0].encode()}
+    assert gains.gain(b" scum ") > 0 and gains.gain(b" oaf ") > 0
     new = [text([x]) for x in short] + [text(pair), text([]), text(pair[:1]), text(pair[::-1])]
     p = toxicity.logistic.predict(model.weights, np.array([toxicity.features(t, gains) for t in new]))
     assert list(p >= 0.5) == [True, True, True, False, False, False]
-    # every marked window is held, however many there are
-    many = ["%s%04d" % ("vermin", i) for i in range(2000)]
-    big = toxicity.train([(text(many[i * 20 : i * 20 + 20]), 1, 1.0) for i in range(100)] + [(text([]), 0, 1.0) for _ in range(300)])
-    assert all(w.encode() in big.toxic for w in many)
+    # all windows by brute force, in pieces of any size
+    run = lambda x: {x[i : i + toxicity.RUN] for i in range(len(x) - toxicity.RUN + 1)}
+    own_runs = run(model.toxic)
+    for t in [t for t, *_ in rows[:80]] + [b"", b"scum", b"an oaf", b"x scum y", "é scum ü oaf".encode()]:
+        w = t.lower().split()
+        lines = [b" " + b" ".join(w[i : i + toxicity.WINDOW]) + b" " for i in range(max(1, len(w) - toxicity.WINDOW + 1))] if w else []
+        want = [g for x in lines if run(x) & own_runs and (g := gains.gain(x))]
+        old = toxicity.PIECE
+        for toxicity.PIECE in (old, 3):
+            assert gains.of_words(toxicity.words(t)) == want
+        toxicity.PIECE = old
+    length = lambda x, content: len(toxicity.compressor(content).compress(x + toxicity.CARRIER))
+    x = b" w scum v "
+    assert gains.gain(x) == max(0, length(x, model.ordinary) - length(x, model.ordinary + model.toxic))
+    one, two = text([]), text([])
+    assert toxicity.different([one, one, two, None, b"", b"a", b"a"]) == [one, two, b"a"]
     # the rare label has its half of the sample; a text over the limit of bytes doesn't end it
     docs = spark.createDataFrame([(i, "x" * (5000 if i == 7 else 10), "en", "s", 1) for i in range(1000)], SCHEMA)
     labels = spark.createDataFrame([(i, 1, int(i % 50 == 7)) for i in range(1000)], "doc_id long, quality int, toxic int")

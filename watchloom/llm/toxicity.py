@@ -1,34 +1,38 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained: one on toxic text, one on ordinary text. A text is cut
-into windows of words; each window is compressed with either dictionary, and the bytes that
-the toxic dictionary saves over the ordinary one are its gain. The numbers of windows whose gain
-reaches 1, 2, ... 6 bytes go through a logistic calibration, fitted on the labelled rows.
-
-Windows are words with a blank on either side, and pairs of words. The toxic dictionary's content is
-all windows of toxic texts that begin like words typical of toxic texts (beginnings of 4 to 12 bytes). A
-dictionary of its own holds the pairs typical of toxic texts in which neither word is marked alone; a pair's
-gain is what it saves there beyond its two words. The commonest windows come last. Typical means a
-likelihood ratio of document frequencies that chance passes with ``CHANCE`` among all beginnings or pairs
-tried. The ordinary dictionary is zstandard's own, trained on all words of the ordinary texts.
-
-Both dictionaries end with ``CARRIER``, and so does each window that is compressed: zstandard never looks for
-matches in the last 8 bytes of its input and stores what saves less than 2 bytes, so that a short word alone
-costs the same with any dictionary.
+Two zstandard dictionaries are trained: one on ordinary text, one on toxic text. A text is cut into
+windows of ``WINDOW`` words, one beginning at each word; a window is compressed with the ordinary
+dictionary alone and with the toxic one behind it, and the bytes that the second length saves over the first are its gain.
+As both sides hold the ordinary dictionary, what all texts share cancels out. The numbers of windows whose gain
+reaches 1, 2, ... ``LEVELS`` bytes are what a logistic calibration, fitted on the labelled rows, weighs.
+
+Toxic texts are ordinary but for a few words. A dictionary trained on all their words learns the others,
+so that the toxic one is trained on those words of toxic texts that begin like words typical of them
+(beginnings of 4 to 12 bytes), and on typical pairs of words of which neither is marked alone. Typical means a
+likelihood ratio of document frequencies that chance passes with ``CHANCE`` among all beginnings or pairs tried;
+documents that copy one another count once.
+
+Both sides end with ``CARRIER``, and so does each window that is compressed: zstandard never looks for
+matches in the last 8 bytes of its input and stores what saves less than 2 bytes. Only windows with a run of
+``RUN`` bytes that the toxic dictionary holds are compressed, all others gain nothing.
 
 Labels are learned from at most ``max_rows`` labelled rows and ``max_bytes`` of text, never from fold 0 of 5 by
 crc32 of the id. Either label has half of the rows or all that it has (the rows with the least hash of
 their id); the calibration weighs them back to their shares among all labels. A text that would pass
-``max_bytes`` is left out of the sample. Every text is scored whole. No other column enters a score.
+``max_bytes`` is left out of the sample. The ordinary dictionary is trained on the first ``DICTIONARY_BYTES`` of
+the sample's ordinary texts, a hundred times its size and more. Every text is scored whole, a very long one in
+pieces that overlap. No other column enters a score.
 
 Null and empty texts get the calibration's score of zero windows. Without labels of both kinds the
 score is the share of toxic labels, 0 where there is none. Rows that repeat come back as often;
-labels that repeat or contradict each count. Null labels are left out.
+labels that repeat or contradict each count. Null labels are left out. Other columns pass through; ``docs`` must
+have none named ``__score``.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -40,14 +44,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import logistic
-from .common import held_out, texts
+from .common import Words, chunks, held_out, shingles, texts
 
 FOLDS, FOLD = 5, 0
 MAX_ROWS, MAX_BYTES = 8000, 96 << 20
-LEVELS = 6
+WINDOW = 3
+LEVELS = 8
+RUN = 5
 CHANCE = 0.05
+SIZE, DICTIONARY_BYTES = 1 << 16, 16 << 20
 CARRIER = bytes(range(128, 160))
-CACHE = 400_000
+PIECE = 1 << 17  # windows looked at at once
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -61,46 +68,75 @@ class Model:
     toxic: bytes = b""
     ordinary: bytes = b""
     trained: tuple[bool, bool] = (False, False)
-    pairs: bytes = b""
-    firsts: frozenset[bytes] = frozenset()  # first words of marked pairs
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
 
-class Gains(dict):
-    """Bytes saved by the toxic dictionary, by word; computed once while the cache lasts."""
+def compressor(content: bytes) -> zstandard.ZstdCompressor:
+    """All of ``content`` is indexed and can be pointed at."""
+    log = max(13, (len(content) + len(CARRIER)).bit_length() + 1)
+    p = zstandard.ZstdCompressionParameters(window_log=log, hash_log=log, chain_log=log, search_log=6, min_match=3, target_length=16, strategy=zstandard.STRATEGY_LAZY2, write_content_size=False, write_checksum=False, write_dict_id=False)
+    d = zstandard.ZstdCompressionDict(content + CARRIER, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    d.precompute_compress(compression_params=p)
+    return zstandard.ZstdCompressor(dict_data=d, compression_params=p)
+
+
+def runs(text: np.ndarray) -> np.ndarray:
+    """The codes of all runs of ``RUN`` bytes."""
+    n = max(0, len(text) - RUN + 1)
+    code = np.zeros(n, dtype=np.uint64)
+    for i in range(RUN):
+        code = (code << np.uint64(8)) | text[i : i + n].astype(np.uint64)
+    return code
+
+
+def folded(codes: np.ndarray) -> np.ndarray:
+    return ((codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)).astype(np.int64)
+
+
+class Gains:
+    """Bytes that windows save by the toxic dictionary."""
 
     def __init__(self, model: Model):
-        super().__init__()
-        self.firsts = model.firsts
-        log = max(10, (max(len(model.toxic), len(model.ordinary), len(model.pairs)) + len(CARRIER)).bit_length() + 1)  # all of either dictionary is indexed
-        p = zstandard.ZstdCompressionParameters(window_log=max(13, log), hash_log=log, chain_log=log, search_log=6, min_match=4, target_length=16, strategy=zstandard.STRATEGY_GREEDY, write_content_size=False, write_checksum=False, write_dict_id=False)
-        made = []
-        for content, trained in ((model.toxic, model.trained[0]), (model.ordinary, model.trained[1]), (model.pairs, False)):
-            d = zstandard.ZstdCompressionDict(content + CARRIER, dict_type=zstandard.DICT_TYPE_FULLDICT if trained else zstandard.DICT_TYPE_RAWCONTENT)
-            d.precompute_compress(compression_params=p)
-            made.append(zstandard.ZstdCompressor(dict_data=d, compression_params=p))
-        self.toxic, self.ordinary, self.pairs = made
-
-    def saved(self, by: zstandard.ZstdCompressor, words: bytes) -> int:
-        window = b" " + words + b" " + CARRIER
-        return max(0, len(self.ordinary.compress(window)) - len(by.compress(window)))
-
-    def __missing__(self, words: bytes) -> int:
-        gain = self.saved(self.pairs, words) - sum(self.saved(self.pairs, w) for w in words.split(b" ")) if b" " in words else self.saved(self.toxic, words)
-        gain = max(0, min(LEVELS, gain))
-        if len(self) >= CACHE:
-            self.clear()
-        self[words] = gain
-        return gain
+        self.ordinary, self.toxic = compressor(model.ordinary), compressor(model.ordinary + model.toxic)
+        self.own = np.unique(runs(np.frombuffer(model.toxic, dtype=np.uint8)))
+        self.may = np.zeros(1 << 18, dtype=bool)
+        self.may[folded(self.own)] = True
+
+    def marked(self, text: np.ndarray) -> np.ndarray:
+        """Where a run begins that the toxic dictionary holds."""
+        codes = runs(text)
+        at = np.flatnonzero(self.may[folded(codes)])
+        if not len(at):
+            return at
+        near = np.minimum(np.searchsorted(self.own, codes[at]), len(self.own) - 1)
+        return at[self.own[near] == codes[at]]
+
+    def gain(self, window: bytes) -> int:
+        window += CARRIER
+        return max(0, min(LEVELS, len(self.ordinary.compress(window)) - len(self.toxic.compress(window))))
+
+    def of_words(self, own: list[bytes]) -> list[int]:
+        """The gains of all windows that gain anything."""
+        found = []
+        for lo in range(0, max(1, len(own) - WINDOW + 1) if own else 0, PIECE):
+            part = own[lo : lo + PIECE + WINDOW - 1]
+            line = b" " + b" ".join(part) + b" "
+            text = np.frombuffer(line, dtype=np.uint8)
+            blank = np.flatnonzero(text == 32)
+            k = min(WINDOW, len(part))
+            first, last = blank[:-k], blank[k:]
+            marked = self.marked(text)
+            some = np.searchsorted(marked, last - RUN + 2) > np.searchsorted(marked, first)  # a run that lies within
+            found += [g for i in np.flatnonzero(some) if (g := self.gain(line[first[i] : last[i] + 1]))]
+        return found
 
 
 def features(text: bytes | None, gains: Gains) -> list[float]:
     own = words(text)
     n = max(1, len(own))
-    windows = own + [a + b" " + b for a, b in zip(own, own[1:]) if a in gains.firsts] if gains.firsts else own
-    counts = np.bincount(np.fromiter(map(gains.__getitem__, windows), dtype=np.int64, count=len(windows)), minlength=LEVELS + 1)
+    counts = np.bincount(gains.of_words(own), minlength=LEVELS + 1)
     reach = counts[::-1].cumsum()[::-1][1:]
-    return [math.log((x + 0.5) / (n + 50)) for x in reach] + [math.log(n + 1)] + [float(min(x, 3)) for x in reach[1:]]
+    return [math.log((x + 0.5) / (n + 50)) for x in reach] + [math.log(n + 1)] + [float(min(x, 3)) for x in reach]
 
 
 def beginnings(own: set[bytes], among: dict) -> set[bytes]:
@@ -151,31 +187,54 @@ def typical_pairs(toxic: list[bytes | None], ordinary: list[bytes | None], start
 
 
 def dictionary(samples: list[bytes], size: int) -> tuple[bytes, bool]:
-    """A trained dictionary; the samples themselves where they are too few to train on."""
+    """A trained dictionary; the different samples themselves where they are too few to train on."""
     try:
         return zstandard.train_dictionary(size, samples, k=50, d=6).as_bytes(), True
     except zstandard.ZstdError:
         return b"".join(dict.fromkeys(samples))[-size:] or b" " * 8, False
 
 
-def commonest(samples: Counter) -> bytes:
-    """The different samples themselves, the commonest last, where they cost the least to point at."""
-    return b"".join(x for x, _ in reversed(sorted(samples.items(), key=lambda c: (-c[1], c[0])))) or b" " * 8
+def different(docs: list[bytes | None]) -> list[bytes]:
+    """One text of all that agree in the least hash of their runs of three words, copies mostly, so that copies don't count as evidence."""
+    found: dict[int, bytes] = {}
+    for lo, hi in chunks(docs):
+        w = Words(docs[lo:hi])
+        h = shingles(w.hashes(), 3)
+        for t, a, b in zip(docs[lo:hi], w.bounds[:-1], w.bounds[1:], strict=True):
+            if t and b > a:
+                found.setdefault(int(h[a : b - 2].min()) if b - a > 2 else zlib.crc32(t), t)
+    return list(found.values())
 
 
-def train(rows: list[tuple[bytes | None, int, float]], size: int = 4096) -> Model:
-    """From texts, labels and weights. ``size`` is that of the ordinary dictionary; the toxic one holds all marked windows."""
+def marked_windows(toxic: list[bytes | None], ordinary: list[bytes | None]) -> list[bytes]:
+    """What the toxic dictionary is trained on: words and pairs of words typical of toxic texts, as often as they occur."""
+    toxic, ordinary = different(toxic), different(ordinary)
+    starts = tuple(typical(toxic, ordinary))
+    pairs = typical_pairs(toxic, ordinary, starts)
+    out = []
+    for own in map(words, toxic):
+        if starts:
+            out += [x for w in own if (x := b" " + w + b" ").startswith(starts)]
+        if pairs:
+            out += [b" " + x + b" " for x in map(b" ".join, zip(own, own[1:])) if x in pairs]
+    return out
+
+
+def train(rows: list[tuple[bytes | None, int, float]], size: int = SIZE) -> Model:
+    """From texts, labels and weights. ``size`` is the most that either dictionary may take."""
     toxic, ordinary = ([t for t, y, _ in rows if y == k] for k in (1, 0))
     if not toxic or not ordinary:
         return Model(prior=len(toxic) / len(rows) if rows else 0.0)
-    starts = tuple(typical(toxic, ordinary))
-    pairs = typical_pairs(toxic, ordinary, starts)
-    marked = Counter(x for t in toxic for w in words(t) if starts and (x := b" " + w + b" ").startswith(starts))
-    together = Counter(b" " + x + b" " for t in toxic for own in (words(t),) for x in map(b" ".join, zip(own, own[1:])) if x in pairs) if pairs else Counter()
-    d0, t0 = dictionary([b" " + b" ".join(own) + b" " for t in ordinary if (own := words(t))], size)
+    lines, held = [], 0
+    for own in map(words, ordinary):
+        if held < DICTIONARY_BYTES and own:
+            lines.append(b" " + b" ".join(own)[: DICTIONARY_BYTES] + b" ")
+            held += len(lines[-1])
+    d0, t0 = dictionary(lines, size)
+    d1, t1 = dictionary(marked_windows(toxic, ordinary), size)
     weights = np.array([u for _, _, u in rows])
     y = np.array([y for _, y, _ in rows], dtype=float)
-    model = Model(float((weights * y).sum() / weights.sum()), commonest(marked), d0, (False, t0), pairs=commonest(together), firsts=frozenset(x.split(b" ")[0] for x in pairs))
+    model = Model(float((weights * y).sum() / weights.sum()), d1, d0, (t1, t0))
     gains = Gains(model)
     model.weights = logistic.fit(np.array([features(t, gains) for t, _, _ in rows]), y, weights=weights)
     return model
