@@ -41,13 +41,12 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by five-word shingles at a similarity of 0.8 or more stays: the least id.
+    """One row of each group linked by five-word shingles at a similarity of 0.8 or more stays: that of the least id.
 
-    Rows that repeat that id with the same text leave one row.
+    Rows are told apart by id and text: of rows that repeat both one stays, and an id that repeats with other
+    texts loses only what copies something. Rows without words all stay.
     """
-    marks = near_dup.near_duplicates(docs, near_dup.SketchSpec(words=5, percent=80))
-    lost = marks.where("not kept").select(F.col("doc_id").alias("__lost")).distinct()
-    return docs.join(lost, docs["doc_id"].cast("long") == lost["__lost"], "left_anti")
+    return near_dup.keep_one(docs, near_dup.SketchSpec(words=5, percent=80))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -446,3 +446,21 @@ def test_names_are_registered():
     names = set(e.queries())
     assert {int(re.match(r"op(\d+)_", x)[1]) for x in names if x.startswith("op")} == set(range(1, 11)) and "pipeline" in names
     assert json.dumps(sorted(e.oracle_sql()))
+
+
+def test_keep_one_of_repeated_ids_and_rows(spark, empty):
+    rng = np.random.default_rng(3)
+    text = lambda: " ".join(f"w{i}" for i in rng.integers(0, 10**6, 60))
+    a, b, c = text(), text(), text()
+    b2 = b.replace(b.split()[0], "other")
+    rows = [(1, a), (5, a), (5, b), (7, b2), (9, c), (9, c), (None, c), (None, a + " more"), (None, text()), (3, None), (3, ""), (4, " ")]
+    docs = clash(spark.createDataFrame([(i, t, "en", "s", n) for n, (i, t) in enumerate(rows)], SCHEMA)).repartition(4)
+    spec = near_dup.SketchSpec()
+    got = near_dup.keep_one(docs, spec)
+    assert got.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter([(1, a), (5, b), (9, c), (None, rows[8][1]), (3, None), (3, ""), (4, " ")])
+    assert near_dup.keep_one(empty, spec).count() == 0
+    # two linked documents, each many times: rows stay in proportion to the input
+    many = spark.range(10_000).selectExpr("id % 2 as i").select("i", F.when(F.col("i") == 0, b).otherwise(b2).alias("text")).select(F.col("i").alias("doc_id"), "text")
+    assert [(r.doc_id, r.text) for r in near_dup.keep_one(many, spec).collect()] == [(0, b)]
+    assert near_dup.near_duplicates(many, spec).where("component_id = 0 and kept = (doc_id = 0)").count() == 10_000

@@ -18,9 +18,14 @@ shares none of them with a chance of 1e-8.
    blocks; none is capped.
 4. Connected components of all confirmed links.
 
-Rows come back one for each input row. Null ids: ``component_id`` null, kept, linked with
+``near_duplicates`` gives a row for each input row. Null ids: ``component_id`` null, kept, linked with
 nothing. Null, empty and wordless texts: 0 shingles, linked with nothing. Rows that repeat an
 id are rows of their own, linked by their texts only. Other columns are ignored.
+
+``keep_one`` drops rows: of each component one row stays, the first by id (rows without an id last) and
+then by a hash of the text; of rows that repeat its id and text the least one by all columns stays. Rows without
+shingles all stay. A row is told from others by id and text, so that an id which repeats with other texts loses
+only the rows that copy something. Its other columns pass through and must be ones that can be ordered.
 """
 
 from __future__ import annotations
@@ -31,7 +36,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import U64, cut, fmix, shingle_sets, texts
@@ -135,11 +140,11 @@ def _sketch_rows(spec: SketchSpec):
         family = hash_family(spec)
         for batch in batches:
             sig, n, regs = [], [], []
-            for s in shingle_sets(texts(batch.column(1)), spec.words):
+            for s in shingle_sets(texts(batch.column(3)), spec.words):
                 n.append(len(s))
                 sig.append(_signature(s))
                 regs.append(sketch(s, spec, family).tobytes() if len(s) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sig, pa.binary()), pa.array(n, pa.int64()), pa.array(regs, pa.binary())], names=["doc_id", "sig", "n", "regs"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(sig, pa.binary()), pa.array(n, pa.int64()), pa.array(regs, pa.binary())], names=["doc_id", "who", "t", "sig", "n", "regs"])
 
     return run
 
@@ -151,12 +156,14 @@ def _signature(s: np.ndarray) -> bytes:
 
 
 def _set_rows(spec: SketchSpec):
+    """Texts of classes -> their sketches and full sets."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         family = hash_family(spec)
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
-                sets = [s for s in shingle_sets(texts(batch.column(0).slice(lo, 500)), spec.words) if len(s)]
-                yield pa.RecordBatch.from_arrays([pa.array([_signature(s) for s in sets], pa.binary()), pa.array([sketch(s, spec, family).tobytes() for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["sig", "regs", "set"])
+                sets = list(shingle_sets(texts(batch.column(1).slice(lo, 500)), spec.words))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, 500), pa.array([sketch(s, spec, family).tobytes() for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["cid", "regs", "set"])
 
     return run
 
@@ -165,14 +172,14 @@ def _band_rows(spec: SketchSpec):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salt = fmix(np.arange(1, spec.bands + 1, dtype=np.uint64))
         for batch in batches:
-            sig, regs, reps = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_numpy()
-            if not sig:
+            cid, regs = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            if not len(cid):
                 continue
-            r = np.frombuffer(b"".join(regs), dtype=np.uint16).reshape(len(sig), spec.bands, spec.band_rows).astype(np.uint64)
+            r = np.frombuffer(b"".join(regs), dtype=np.uint16).reshape(len(cid), spec.bands, spec.band_rows).astype(np.uint64)
             key = np.broadcast_to(salt, r.shape[:2])
             for i in range(spec.band_rows):
                 key = fmix(key * U64(0x9FB21C651E98DF25) + r[:, :, i])
-            yield pa.RecordBatch.from_arrays([pa.array(((key >> U64(8)) | (np.arange(spec.bands, dtype=np.uint64) << U64(BAND_BITS))).view(np.int64).ravel()), pa.array([s for s in sig for _ in range(spec.bands)], pa.binary()), pa.array(np.repeat(reps, spec.bands))], names=["bucket", "sig", "rep"])
+            yield pa.RecordBatch.from_arrays([pa.array(((key >> U64(8)) | (np.arange(spec.bands, dtype=np.uint64) << U64(BAND_BITS))).view(np.int64).ravel()), pa.array(np.repeat(cid, spec.bands))], names=["bucket", "cid"])
 
     return run
 
@@ -213,26 +220,26 @@ def _leader_rows(spec: SketchSpec):
                 n = common(x, y)
                 sim[i] = n / (len(x) + len(y) - n)
                 role[i] = LINKED if 100 * n >= spec.percent * (len(x) + len(y) - n) else NEAR if sim[i] >= spec.near - 1e-9 else FAR
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(role), pa.array(sim)], names=["leader", "sig", "role", "sim"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(role), pa.array(sim)], names=["leader", "cid", "role", "sim"])
 
     return run
 
 
-def block_links(sigs: list[bytes], roles: list[int], sims: list[float], regs: list[bytes], sets: list[bytes], side: list[int], spec: SketchSpec, band: int = 0) -> list[tuple[bytes, bytes]]:
+def block_links(ids: list[int], roles: list[int], sims: list[float], regs: list[bytes], sets: list[bytes], side: list[int], spec: SketchSpec, band: int = 0) -> list[tuple[int, int]]:
     """Links among some members of a bucket, enough to connect all that belong together.
 
     Linked members are connected to each other by their leader. ``side`` is a member's block: where there are
     two, only pairs across them are compared. Pairs that share a band below ``band`` are left to that.
     """
     n = np.array([len(s) // 8 for s in sets])
-    r = np.frombuffer(b"".join(regs), dtype=np.uint16).reshape(len(sigs), -1)
+    r = np.frombuffer(b"".join(regs), dtype=np.uint16).reshape(len(ids), -1)
     role, sim, of = np.array(roles), np.array(sims), np.array(side)
-    comp = np.where(role == LINKED, -1, np.arange(len(sigs)))
+    comp = np.where(role == LINKED, -1, np.arange(len(ids)))
     left, right, same, up = [], [], [], []
     several = (of != of[0]).any()
     gap = 1 - spec.percent / 100
-    for i in range(len(sigs) - 1):
-        js = np.arange(i + 1, len(sigs))
+    for i in range(len(ids) - 1):
+        js = np.arange(i + 1, len(ids))
         fits = (comp[js] != comp[i]) & (100 * np.minimum(n[js], n[i]) >= spec.percent * np.maximum(n[js], n[i]))
         if several:
             fits &= of[js] != of[i]
@@ -259,7 +266,7 @@ def block_links(sigs: list[bytes], roles: list[int], sims: list[float], regs: li
         i, j = left[k], right[k]
         if comp[i] != comp[j] and linked(np.frombuffer(sets[i], dtype=np.uint64), np.frombuffer(sets[j], dtype=np.uint64), spec.percent):
             comp[comp == comp[j]] = comp[i]
-            out.append((sigs[i], sigs[j]))
+            out.append((ids[i], ids[j]))
     return out
 
 
@@ -271,7 +278,7 @@ def _block_rows(spec: SketchSpec):
 
         def flush() -> pa.RecordBatch:
             found = block_links(*(list(x) for x in zip(*rows, strict=True)), spec, key[0] >> BAND_BITS)
-            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.binary()), pa.array([y for _, y in found], pa.binary())], names=["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
 
         for batch in batches:
             cols = [batch.column(i).to_pylist() for i in range(9)]
@@ -290,34 +297,46 @@ def _block_rows(spec: SketchSpec):
 LINKED_FROM = 1_000_000_000  # numbers of blocks of linked members begin here
 
 
-def near_duplicates(docs: DataFrame, spec: SketchSpec, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, n_shingles, component_id, kept)``, a row for each row of ``docs``."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sk = cut(rows.mapInArrow(_sketch_rows(spec), "doc_id long, sig binary, n long, regs binary"))
-    classes = cut(sk.where("n > 0 and doc_id is not null").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.first("regs").alias("regs")))
+def _keyed(id_col: str, text_col: str) -> list[Column]:
+    """The id, and what tells a row from others: ``who`` and ``t``, a hash of the text."""
+    doc_id, text = F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`").cast("string")
+    return [doc_id, F.coalesce(doc_id, F.lit(-1)), F.xxhash64(text, doc_id.isNull()), text]
 
-    bands = classes.select("sig", "regs", "rep").mapInArrow(_band_rows(spec), "bucket long, sig binary, rep long")
-    shared = bands.groupBy("bucket").agg(F.count("*").alias("k"), F.min("sig").alias("leader")).where("k > 1")
-    members = cut(bands.join(shared, "bucket"))
-    wanted = members.select(F.col("rep").alias("doc_id")).distinct()
-    text = rows.join(wanted.hint("shuffle_hash"), "doc_id", "left_semi").select("text")
-    sets = cut(text.mapInArrow(_set_rows(spec), "sig binary, regs binary, set binary"))
 
-    pairs = members.where("sig <> leader").select("leader", "sig").distinct()
-    left = sets.select(F.col("sig").alias("leader"), F.col("regs").alias("regs_a"), F.col("set").alias("set_a"))
-    right = sets.select("sig", F.col("regs").alias("regs_b"), F.col("set").alias("set_b"))
-    held = pairs.join(right, "sig").join(left, "leader").select("leader", "sig", "regs_a", "regs_b", "set_a", "set_b")
-    held = cut(held.mapInArrow(_leader_rows(spec), "leader binary, sig binary, role int, sim double"))
+def _find(docs: DataFrame, spec: SketchSpec, id_col: str, text_col: str, null_ids: bool) -> DataFrame:
+    """``(doc_id, who, t, n, first)``, a row for each row of ``docs``.
 
-    open_ = members.where("k > 2 and sig <> leader").select("bucket", "sig", "leader").join(held, ["leader", "sig"]).select("bucket", "sig", "role", "sim")
+    ``first`` is the component's first row ``(without id, doc_id, t)``; null for rows that take no part.
+    """
+    rows = docs.select(*[c.alias(n) for c, n in zip(_keyed(id_col, text_col), ("doc_id", "who", "t", "text"), strict=True)])
+    sk = cut(rows.mapInArrow(_sketch_rows(spec), "doc_id long, who long, t long, sig binary, n long, regs binary"))
+    one = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t"))
+    classes = sk.where("n > 0" if null_ids else "n > 0 and doc_id is not null").groupBy("sig").agg(one.alias("rep"), F.first("regs").alias("regs"))
+    classes = cut(classes.withColumn("cid", F.monotonically_increasing_id()))
+
+    bands = classes.select("cid", "regs").mapInArrow(_band_rows(spec), "bucket long, cid long")
+    shared = bands.groupBy("bucket").agg(F.count("*").alias("k"), F.min("cid").alias("leader")).where("k > 1")
+    members = cut(bands.join(shared, "bucket"))
+    wanted = classes.join(members.select("cid").distinct(), "cid", "left_semi").select("cid", F.coalesce("rep.doc_id", F.lit(-1)).alias("who"), F.col("rep.t").alias("t"))
+    # sorted by the join, so that rows which repeat id and text come down to one without another shuffle
+    text = rows.select("who", "t", "text").join(wanted.hint("merge"), ["who", "t"]).groupBy("who", "t").agg(F.first("cid").alias("cid"), F.first("text").alias("text")).select("cid", "text")
+    sets = cut(text.mapInArrow(_set_rows(spec), "cid long, regs binary, set binary"))
+
+    pairs = members.where("cid <> leader").select("leader", "cid").distinct()
+    left = sets.select(F.col("cid").alias("leader"), F.col("regs").alias("regs_a"), F.col("set").alias("set_a"))
+    right = sets.select("cid", F.col("regs").alias("regs_b"), F.col("set").alias("set_b"))
+    held = pairs.join(right, "cid").join(left, "leader").select("leader", "cid", "regs_a", "regs_b", "set_a", "set_b")
+    held = cut(held.mapInArrow(_leader_rows(spec), "leader long, cid long, role int, sim double"))
+
+    open_ = members.where("k > 2 and cid <> leader").select("bucket", "cid", "leader").join(held, ["leader", "cid"]).select("bucket", "cid", "role", "sim")
     open_ = cut(open_)
     rest, near, done = (F.count(F.when(c, 1)) for c in (F.col("role") != LINKED, F.col("role") == NEAR, F.col("role") == LINKED))
-    todo = open_.groupBy("bucket").agg(rest.alias("rest"), near.alias("near"), done.alias("done"), F.sum(F.xxhash64("sig", "role").cast("decimal(38,0)")).alias("who")).where("rest > 1 or (near > 0 and done > 0)")
+    todo = open_.groupBy("bucket").agg(rest.alias("rest"), near.alias("near"), done.alias("done"), F.sum(F.xxhash64("cid", "role").cast("decimal(38,0)")).alias("who")).where("rest > 1 or (near > 0 and done > 0)")
     todo = todo.groupBy("rest", "near", "done", "who").agg(F.min("bucket").alias("bucket"))  # of buckets with the same members the one of the least band does
     size = F.lit(spec.block)
     todo = todo.select("bucket", F.when((F.col("rest") > 1), F.col("rest")).otherwise(0).alias("rest"), F.ceil(F.col("rest") / size).cast("int").alias("parts"), F.when(F.col("near") > 0, F.ceil(F.col("done") / size)).otherwise(0).cast("int").alias("linked_parts"))
     open_ = open_.join(todo, "bucket").where(f"role <> {LINKED} or linked_parts > 0")
-    side = F.when(F.col("role") == LINKED, F.lit(LINKED_FROM) + F.pmod(F.xxhash64("sig"), F.col("linked_parts"))).otherwise(F.pmod(F.xxhash64("sig"), F.col("parts"))).cast("int")
+    side = F.when(F.col("role") == LINKED, F.lit(LINKED_FROM) + F.pmod(F.xxhash64("cid"), F.col("linked_parts"))).otherwise(F.pmod(F.xxhash64("cid"), F.col("parts"))).cast("int")
 
     def upto(n: str, start: int = 0):
         numbers = F.sequence(F.lit(start), F.lit(start) + F.greatest(F.col(n), F.lit(1)) - 1)
@@ -326,15 +345,37 @@ def near_duplicates(docs: DataFrame, spec: SketchSpec, id_col: str = "doc_id", t
     own = F.when(F.col("rest") > 1, upto("parts")).otherwise(F.array().cast("array<int>"))
     others = F.when(F.col("role") == LINKED, upto("parts")).when(F.col("role") == NEAR, F.concat(own, upto("linked_parts", LINKED_FROM))).otherwise(own)
     open_ = open_.withColumn("side", side).withColumn("other", F.explode(others))
-    open_ = open_.select("bucket", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"), "sig", "role", "sim", "side")
-    open_ = open_.join(sets, "sig").select("bucket", "x", "y", "sig", "role", "sim", "regs", "set", "side")
-    more = open_.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y").mapInArrow(_block_rows(spec), "a binary, b binary")
+    open_ = open_.select("bucket", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"), "cid", "role", "sim", "side")
+    open_ = open_.join(sets, "cid").select("bucket", "x", "y", "cid", "role", "sim", "regs", "set", "side")
+    more = open_.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y").mapInArrow(_block_rows(spec), "a long, b long")
 
-    links = held.where(f"role = {LINKED}").select(F.col("leader").alias("a"), F.col("sig").alias("b")).union(more)
+    links = held.where(f"role = {LINKED}").select(F.col("leader").alias("a"), F.col("cid").alias("b")).union(more)
     label = components(links)
-    final = classes.select("sig", "rep").join(label.withColumnRenamed("node", "sig"), "sig", "left").withColumn("label", F.coalesce("label", "sig"))
-    least = final.groupBy("label").agg(F.min("rep").alias("component_id"))
-    found = final.join(least, "label").select("sig", "component_id")
-    out = sk.select("doc_id", "sig", "n").join(found, "sig", "left")
-    component = F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component_id"))).otherwise(F.col("doc_id"))
+    final = classes.select("sig", "cid", "rep").join(label.withColumnRenamed("node", "cid"), "cid", "left").withColumn("label", F.coalesce("label", "cid"))
+    least = final.groupBy("label").agg(F.min("rep").alias("first"))
+    found = final.join(least, "label").select("sig", "first")
+    return sk.select("doc_id", "who", "t", "sig", "n").join(found, "sig", "left").select("doc_id", "who", "t", "n", F.when((F.col("n") > 0) if null_ids else (F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("first")).alias("first"))
+
+
+def near_duplicates(docs: DataFrame, spec: SketchSpec, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, n_shingles, component_id, kept)``, a row for each row of ``docs``."""
+    out = _find(docs, spec, id_col, text_col, null_ids=False)
+    component = F.when(F.col("n") > 0, F.col("first.doc_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def keep_one(docs: DataFrame, spec: SketchSpec, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows that copy another one nearly or wholly."""
+    marks = _find(docs, spec, id_col, text_col, null_ids=True).where("first is not null")
+    stays = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t") == F.col("first")
+    gone = marks.groupBy("who", "t").agg(F.max(stays).alias("stays"), F.count("*").alias("k")).where("not stays or k > 1")
+    gone = cut(gone.select(F.col("who").alias("__who"), F.col("t").alias("__t"), "stays"))
+    _, who, t, _ = _keyed(id_col, text_col)
+    same = (who == F.col("__who")) & (t == F.col("__t"))
+    out = docs.join(gone.drop("stays"), same, "left_anti")
+    again = gone.where("stays").drop("stays")
+    if again.isEmpty():
+        return out
+    row = F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
+    ones = docs.join(again, same).groupBy("__who", "__t").agg(row.alias("__row"))
+    return out.unionByName(ones.select("__row.*"))
