@@ -345,12 +345,12 @@ def test_token_counts(spark, docs, tmp_path):
 
 
 def brute_lines(rows, least=3):
-    holders = defaultdict(list)
+    holders = defaultdict(set)
     key = lambda x: lower(x.strip(" \t\n\x0b\x0c\r"))
     for d, t in rows:
         for k in {key(x) for x in (t or "").split("\n")}:
             if len(k) >= 20:
-                holders[k].append(d)
+                holders[k].add(d)
     out = Counter()
     for d, t in rows:
         own = (t or "").split("\n")
@@ -360,10 +360,25 @@ def brute_lines(rows, least=3):
 
 
 def test_line_dedup(spark, docs, empty):
-    got = Counter(tuple(r) for r in line_dedup.report(docs).collect())
-    assert got == brute_lines(collected(docs))
-    assert sum(v for k, v in got.items() if k[2]) > 3
+    twice = [(1, LINE + " a"), (1, LINE + " a\n" + LINE + " b"), (2, LINE + " a\n" + LINE + " b"), (3, LINE + " b"), (4, LINE + " b\nx"), (4, LINE + " b"), (None, LINE + " b")]
+    every = docs.unionByName(clash(spark.createDataFrame([(i, t, None, None, None) for i, t in twice], SCHEMA)))
+    want = brute_lines(collected(every))
+    assert sum(v for k, v in want.items() if k[2]) > 3
+    for bits in (line_dedup.BITS, 64):
+        got = line_dedup.fold(every.select("doc_id", "text", "key", "batch"), bits=bits)
+        assert {"key", "batch"} <= set(got.columns)
+        assert Counter((r[0], r[1], r[2], r[3]) for r in got.select("doc_id", "__n_lines", "__n_dropped", F.sha2("__text", 256)).collect()) == want
+    assert Counter(tuple(r) for r in line_dedup.report(every).collect()) == want
     assert line_dedup.report(empty).count() == 0
+    # the SQL has the same rule for repeated and missing ids
+    import duckdb
+    import pandas as pd
+
+    from watchloom.llm import queries
+
+    documents = pd.DataFrame(collected(every), columns=["doc_id", "text"]).astype({"doc_id": "Int64", "text": "string"})  # noqa: F841
+    sql = queries.OP8.replace("from documents", "from (select doc_id::bigint as doc_id, text from documents)")
+    assert Counter(duckdb.sql(sql).fetchall()) == want
 
 
 def test_line_runs_compact_and_know_what_is_new(spark):
@@ -372,9 +387,35 @@ def test_line_runs_compact_and_know_what_is_new(spark):
         batch = spark.createDataFrame([(b, bytes([b])), (b, b"x")], "doc_id long, key binary")
         new = {bytes(r.key) for r in runs.unseen(batch).collect()}
         assert new == ({bytes([b]), b"x"} if b == 0 else {bytes([b])})
-        runs.add(batch)
-    assert max(len(level) for level in runs.levels) < 2
-    assert {bytes(r.key): (r.n_docs, r.max_id) for r in runs.entries().collect()} == {b"x": (5, 4), **{bytes([b]): (1, b) for b in range(5)}}
+        assert runs.add(batch)
+    assert runs.runs() == [(2, 0, 3), (0, 4, 4)]
+    want = {b"x": (5, 4), **{bytes([b]): (1, b) for b in range(5)}}
+    read = lambda runs: {bytes(r.key): (r.n_docs, r.max_id) for r in runs.entries().collect()}
+    assert read(runs) == want
+    # merging needs no shuffle of the runs
+    plan = runs.unseen(spark.createDataFrame([(9, b"y")], "doc_id long, key binary").repartition(runs.buckets, "key"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 1
+
+
+def test_line_runs_survive_a_kill_between_and_within_batches(spark):
+    batches = [spark.createDataFrame([(b, bytes([b])), (b, b"x"), (b, bytes([b - 1]) if b else b"z")], "doc_id long, key binary") for b in range(4)]
+    whole, broken = line_dedup.LineRuns(spark, fanout=2), line_dedup.LineRuns(spark, fanout=2)
+    for b in batches:
+        whole.add(b)
+    for b in batches[:2]:
+        broken.add(b)
+    # batch 2 dies after its sightings and half a run; the next session reads the folder
+    batches[2].groupBy("key").agg(F.lit(9).cast("long").alias("n_docs"), F.max("doc_id").alias("max_id")).write.parquet(f"{broken.path}/sightings/2")
+    batches[2].select("key").write.parquet(f"{broken.at}/0-2-2")
+    fs, path = broken._fs()
+    fs.delete(path(f"{broken.at}/0-2-2/_SUCCESS"), False)
+    again = line_dedup.LineRuns(spark, broken.path, fanout=2, buckets=99)
+    assert again.buckets == broken.buckets and again.next_batch() == 2
+    assert not again.add(batches[1], 1) and again.add(batches[2], 2) and again.add(batches[3], 3)
+    read = lambda runs: sorted((bytes(r.key), r.n_docs, r.max_id) for r in runs.entries().collect())
+    assert read(again) == read(whole) and again.runs() == whole.runs()
+    again.forget()
+    assert not fs.exists(path(broken.path))
 
 
 def brute_targets(sizes):

@@ -100,11 +100,12 @@ select query_id, rank, vec_id, score from r where rank <= 5
 """
 
 OP8 = f"""
-with l as (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) as pos from documents),
+with d as (select row_number() over () as row, doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents),
+l as (select row, doc_id, unnest(ls) as line, unnest(range(len(ls))) as pos from d),
 k as (select *, {LOWER.format("trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} as key from l),
-n as (select key, count(distinct doc_id) as n, max(doc_id) as top from k where length(key) >= 20 group by 1),
-f as (select doc_id, pos, line, coalesce(n >= 3 and doc_id <> top, false) as lost from k left join n using (key))
-select doc_id, count(*) as n_lines, count(*) filter (lost) as n_dropped, sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not lost), '')) as kept_sha256 from f group by 1
+n as (select key, count(distinct doc_id) + max((doc_id is null)::int) as n, max(doc_id) as top from k where length(key) >= 20 group by 1),
+f as (select row, doc_id, pos, line, coalesce(n >= 3, false) and doc_id is distinct from top as lost from k left join n using (key))
+select doc_id, count(*) as n_lines, count(*) filter (lost) as n_dropped, sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not lost), '')) as kept_sha256 from f group by row, doc_id
 """
 
 
