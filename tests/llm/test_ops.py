@@ -142,10 +142,52 @@ def test_language_model(docs, empty):
     assert lm.score_texts(empty).count() == 0
 
 
+def test_score_is_a_plain_forward_pass_on_any_layout(spark):
+    rng = np.random.default_rng(6)
+    vocab = [f"w{i}{'abc'[i % 3]}" for i in range(90)]
+    rows = [(i, " ".join(vocab[int(j)] for j in rng.zipf(1.3, int(rng.integers(0, 80))) % 90)) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    training = df.where(~lm.held_out("doc_id", 7, 2))
+    v = lm.vocabulary(lm.token_counts(training.select("text")), training.count())
+    p = lm.train(training, v)
+    assert (v.slots >= 0).sum() > len(v.slots) + 20
+    c = Counter(x for d, t in rows if zlib.crc32(str(d).encode()) % 7 != 2 for x in t.split())
+    hashes = dict(zip(vocab, Words([x.encode() for x in vocab]).hashes(), strict=True))
+
+    def distribution(h):
+        """The probability of each token after the state h."""
+        top = lm.log_softmax(h @ p["v"] + p["b"])
+        out = {None: top[lm.END]}
+        for x in vocab:
+            w = Words([x.encode()])
+            k, s = lm.classes_of(w, w.hashes(), v)[0], lm.slots_of(w.hashes(), v)[0]
+            inner = lm.log_softmax(p["sv"][k] @ h + p["sb"][k])
+            out[x] = top[k] + inner[s] + (0 if s else math.log((c[x] + 1) / v.mass[k]))
+            out[k, "unknown"] = top[k] + inner[0] + math.log(1 / v.mass[k])
+        return out, hashes
+
+    def score(text):
+        h, x, total = np.zeros((1, lm.HIDDEN), dtype=np.float32), lm.END, 0.0
+        for token in [*text.split(), None]:
+            h = lm.step(p, np.array([x]), h)[0]
+            total += distribution(h[0])[0][token] / math.log(10)
+            w = Words([(token or "").encode()])
+            x = lm.classes_of(w, w.hashes(), v)[0] if token else lm.END
+        return total
+
+    for parts in (3, 11):
+        got = {r.doc_id: r.score for r in lm.score_texts(df.repartition(parts)).collect()}
+        for d, t in rows[:25]:
+            assert abs(got[d] - score(t)) < 1e-3 * max(1, abs(got[d]))
+    one = distribution(np.zeros(lm.HIDDEN, dtype=np.float32))[0]
+    known = {lm.classes_of(Words([x.encode()]), Words([x.encode()]).hashes(), v)[0] for x in c if x is not None and Words([x.encode()]).hashes()[0] not in set(v.top.tolist())}
+    assert abs(sum(math.exp(x) for k, x in one.items() if k is None or isinstance(k, str) and c[k] or isinstance(k, tuple) and k[0] in known) - 1) < 0.05
+
+
 def test_every_training_document_moves_the_network(spark):
     for i in range(5):
-        training = spark.createDataFrame([(f"word{i} and some more words of text {i}",)], "text string")
-        vocab = lm.vocabulary(lm.token_counts(training), 1)
+        training = spark.createDataFrame([(1, f"word{i} and some more words of text {i}")], "doc_id long, text string")
+        vocab = lm.vocabulary(lm.token_counts(training.select("text")), 1)
         p = lm.train(training, vocab)
         assert not np.allclose(p["u"], lm.start(vocab)["u"])
 
@@ -165,6 +207,20 @@ def test_gradient_and_carried_state():
             loss = lm.window_gradient(q, x, y, h)[0]
             up = loss if sign == 1 else up - loss
         assert abs(up / 2e-5 - g[k][i]) < 1e-4
+    v.slots = np.array([[2.0, -1, -1], [3, 2, 1], [1, 1, -1]])
+    p = {k: w.astype(np.float64) for k, w in lm.start(v, hidden=4).items()}
+    slot, counts = np.where(y == 0, 0, rng.integers(0, 2, (6, 2))), rng.integers(0, 3, (6, 2)) > 0
+    _, g, _ = lm.window_gradient(p, x, y, h, slot, counts)
+    for k, i in (("sv", (1, 1, 2)), ("sb", (2, 0)), ("v", (3, 1)), ("u", (0, 5))):
+        losses = []
+        for sign in (1, -1):
+            q = {a: b.copy() for a, b in p.items()}
+            q[k][i] += sign * 1e-5
+            losses.append(lm.window_gradient(q, x, y, h, slot, counts)[0])
+        assert abs((losses[0] - losses[1]) / 2e-5 - g[k][i]) < 1e-4
+    v.slots = None
+    tail = np.array([1] * 67 + [0], dtype=np.uint8)  # no token is left over: the loss counts them all
+    assert abs(lm.train_on(lm.start(v), tail, rate=0.0)[1] - lm.train_on(lm.start(v), tail, rate=0.0, streams=1)[1]) < 0.5
     ids = np.array([1, 2, 1, 1, 2, 0, 2, 0, 0], dtype=np.uint8)
     n = np.array([6, 2, 1])
     p = lm.start(v, hidden=4)

@@ -1,30 +1,33 @@
 """Language-model scoring with a gated recurrent network in numpy.
 
 Tokens are words and one end a document. The model factors the output: a recurrent network (GRU)
-predicts the class of the next token, and within a class a token has the probability
-``(c + 1) / sum(c + 1)``, ``c`` its count in all training documents. Classes are the end, the most
-frequent words (one each), the most frequent last two bytes of a word, and the rest; each class has one
-unknown token of count 0, so the probabilities of all tokens sum to 1. The softmax over classes
-depends on the hidden state; within a class it has biases only.
+predicts the class of the next token, and a second softmax, of the hidden state too, the slot within the class.
+Classes are the end, the most frequent words (one each), the most frequent last two bytes of a word, and the
+rest. Slots of a class are its most frequent words (one each, ``SLOTS - 1`` at most) and slot 0 for all its other
+words, where a word has the probability ``(c + 1) / sum(c + 1)``, ``c`` its count in all training documents;
+slot 0 holds one unknown token of count 0, so the probabilities of all tokens sum to 1.
 
 * Counts cover every training document: they are summed in numpy for a task and then shuffled.
 * The network is trained by truncated backpropagation (windows of ``WINDOW`` tokens, state carried
-  on, reset after each end). A round trains one copy a partition on one of ``SHARE`` disjoint hashed
-  shares of its training documents and averages the copies by their tokens; the rounds of a pass take all
-  shares, so that each training document is learned from once.
+  on, reset after each end). Training documents are dealt by a hash of id and text into ``ROUNDS`` rounds
+  and as many copies of the network as the number of tokens asks for (``COPY_TOKENS``, ``MOST_COPIES``), in the
+  order of that hash. A round trains each copy on all its documents of the round and averages the copies by
+  their tokens, so that each training document is learned from once. What a copy learns from and in which order
+  doesn't depend on files, partitions or batches: scores agree on any layout but for the rounding of sums.
 * Scoring runs all documents of a batch in step, longest first, in windows; the hidden state goes
   from window to window, so each text is scored whole.
 
 The counts of frequent tokens (at most ``FREQUENT``) are broadcast; all others are looked up by
 a shuffled join. A document is training unless crc32 of its id as text mod 7 is 2; a row without
-an id is training. Null texts are empty: one end. Repeated rows come back as often as they came.
+an id is training. Null texts are empty: one end. Repeated rows come back as often as they came. Very long texts
+are scored in windows like all others. Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +38,9 @@ from .common import Words, chunks, cut, held_out, texts
 
 FOLDS, FOLD = 7, 2
 HIDDEN, WINDOW, STREAMS = 16, 32, 32
-TOP_WORDS, TOP_ENDINGS = 24, 38
-PASSES, SHARE = 1, 8
+TOP_WORDS, TOP_ENDINGS, SLOTS = 24, 38, 16
+ROUNDS, COPY_TOKENS, MOST_COPIES = 8, 1 << 19, 4096
+PIECE = 1 << 16  # tokens that a copy is trained on at once
 FREQUENT = 1 << 17
 RATE = 0.01
 END, REST = 0, 1
@@ -56,6 +60,9 @@ class Vocabulary:
     tokens: np.ndarray  # sum of c by class
     frequent: np.ndarray  # sorted hashes
     frequent_log: np.ndarray  # log10(c + 1)
+    own: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.uint64))  # sorted hashes of the words with a slot of their own
+    own_slot: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.uint8))
+    slots: np.ndarray | None = None  # sum of c by class and slot; -1 where a class has no such slot
 
     @property
     def classes(self) -> int:
@@ -120,13 +127,29 @@ def vocabulary(counts: DataFrame, ends: int, frequent: int = FREQUENT) -> Vocabu
             break
         least = r["s"]
     if least is None:
-        fh, fc = np.zeros(0, dtype=np.uint64), np.zeros(0)
+        fh, fc, fe = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     else:
-        got = counts.where(step >= least).select("h", "c").toArrow()
-        fh, fc = got.column("h").to_numpy().view(np.uint64), got.column("c").to_numpy()
+        got = counts.where(step >= least).select("h", "c", "ending").toArrow()
+        fh, fc, fe = got.column("h").to_numpy().view(np.uint64), got.column("c").to_numpy(), got.column("ending").to_numpy()
         o = np.argsort(fh)
-        fh, fc = fh[o], fc[o]
-    return Vocabulary(int(words + ends), int(kinds + (ends > 0)), ends, lut, hashes, (first + order).astype(np.uint8), mass, tokens, fh, np.log10(fc + 1.0))
+        fh, fc, fe = fh[o], fc[o], fe[o]
+    slots = np.full((classes, SLOTS), -1.0)
+    slots[:, 0] = tokens
+    own: list[tuple[int, int]] = []
+    is_top = np.isin(fh, hashes)
+    for i in np.lexsort((fh, -fc)):
+        k = lut[fe[i]]
+        free = np.flatnonzero(slots[k] < 0)
+        if is_top[i] or not len(free):
+            continue
+        slots[k, free[0]] = fc[i]
+        slots[k, 0] -= fc[i]
+        mass[k] -= fc[i] + 1
+        own.append((int(fh[i]), int(free[0])))
+        if len(own) == (SLOTS - 1) * (classes - len(top) - 1):
+            break
+    own.sort()
+    return Vocabulary(int(words + ends), int(kinds + (ends > 0)), ends, lut, hashes, (first + order).astype(np.uint8), mass, tokens, fh, np.log10(fc + 1.0), np.array([h for h, _ in own], dtype=np.uint64), np.array([k for _, k in own], dtype=np.uint8), slots)
 
 
 def find(sorted_values: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -144,15 +167,29 @@ def classes_of(w: Words, h: np.ndarray, vocab: Vocabulary) -> np.ndarray:
     return out
 
 
+def slots_of(h: np.ndarray, vocab: Vocabulary) -> np.ndarray:
+    is_own, at = find(vocab.own, h)
+    out = np.zeros(len(h), dtype=np.uint8)
+    out[is_own] = vocab.own_slot[at[is_own]]
+    return out
+
+
 # --- the network -------------------------------------------------------------------------------
 
 
+ABSENT = -1e4  # the bias of a slot that a class hasn't
+
+
 def start(vocab: Vocabulary, hidden: int = HIDDEN, seed: int = 5) -> dict[str, np.ndarray]:
     """Random weights; the output's biases are the log shares of the classes."""
     rng, c = np.random.default_rng(seed), vocab.classes
     share = (vocab.tokens + 1) / (vocab.tokens + 1).sum()
     p = {"x": rng.normal(0, 0.3, (c, 3 * hidden)), "u": rng.normal(0, 1 / math.sqrt(hidden), (hidden, 3 * hidden)), "n": np.zeros(hidden), "v": rng.normal(0, 0.1, (hidden, c)), "b": np.log(share)}
     p["x"][:, :hidden] += 1.0  # keep much of the state at first
+    if vocab.slots is not None:
+        there = vocab.slots >= 0
+        p["sv"] = np.where(there[..., None], rng.normal(0, 0.02, (*there.shape, hidden)), 0)
+        p["sb"] = np.where(there, np.log(np.maximum(vocab.slots, 0) + 1), ABSENT)
     return {k: v.astype(np.float32) for k, v in p.items()}
 
 
@@ -171,8 +208,25 @@ def step(p: dict[str, np.ndarray], x: np.ndarray, h: np.ndarray) -> tuple[np.nda
     return n + z * (h - n), z, r, s, n
 
 
-def window_gradient(p: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, h: np.ndarray) -> tuple[float, dict[str, np.ndarray], np.ndarray]:
-    """Loss and gradient of a window ``(steps, streams)``, and the state after it; an END input resets the state."""
+def by_class(p: dict[str, np.ndarray], y: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Classes with more than one slot, and where ``y`` has them."""
+    order = np.argsort(y, kind="stable")
+    several = p["sb"][:, 1] > ABSENT / 2
+    bounds = np.searchsorted(y[order], np.arange(len(several) + 1))
+    for k in np.flatnonzero(several & (bounds[1:] > bounds[:-1])):
+        yield int(k), order[bounds[k] : bounds[k + 1]]
+
+
+def log_softmax(x: np.ndarray) -> np.ndarray:
+    x = x - x.max(axis=-1, keepdims=True)
+    return x - np.log(np.exp(x).sum(axis=-1, keepdims=True))
+
+
+def window_gradient(p: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, h: np.ndarray, slot: np.ndarray | None = None, counts: np.ndarray | None = None) -> tuple[float, dict[str, np.ndarray], np.ndarray]:
+    """Loss and gradient of a window ``(steps, streams)``, and the state after it; an END input resets the state.
+
+    ``slot``: the slots of y; ``counts``: which of y count, all if not given.
+    """
     k, steps = h.shape[1], len(x)
     kept = []
     for t in range(steps):
@@ -185,13 +239,28 @@ def window_gradient(p: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, h: n
     e = np.exp(logits)
     prob = e / e.sum(axis=-1, keepdims=True)
     i, j = np.ogrid[:steps, : x.shape[1]]
-    loss = float(-np.log(prob[i, j, y] + 1e-30).sum())
+    used = np.ones(y.shape, dtype=bool) if counts is None else counts
+    loss = float(-np.log(prob[i, j, y] + 1e-30)[used].sum())
     d = prob
     d[i, j, y] -= 1
+    d[~used] = 0
     g = {name: np.zeros_like(w) for name, w in p.items()}
     flat = d.reshape(-1, d.shape[-1])
-    g["v"], g["b"] = hs.reshape(-1, k).T @ flat, flat.sum(axis=0)
-    dhs = d @ p["v"].T
+    own = hs.reshape(-1, k)
+    g["v"], g["b"] = own.T @ flat, flat.sum(axis=0)
+    dhs = (d @ p["v"].T).reshape(-1, k)
+    if slot is not None:
+        at, right = used.ravel(), slot.ravel()
+        for c, rows in by_class(p, y.ravel()):
+            rows = rows[at[rows]]
+            lp = log_softmax(own[rows] @ p["sv"][c].T + p["sb"][c])
+            hit = (np.arange(len(rows)), right[rows])
+            loss -= float(lp[hit].sum())
+            ds = np.exp(lp)
+            ds[hit] -= 1
+            g["sv"][c], g["sb"][c] = ds.T @ own[rows], ds.sum(axis=0)
+            dhs[rows] += ds @ p["sv"][c]
+    dhs = dhs.reshape(hs.shape)
     dh = np.zeros_like(h)
     das = []
     for t in range(steps - 1, -1, -1):
@@ -213,21 +282,29 @@ def window_gradient(p: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, h: n
     return loss, g, h
 
 
-def train_on(p: dict[str, np.ndarray], tokens: np.ndarray, rate: float = RATE, streams: int = STREAMS, window: int = WINDOW) -> tuple[dict[str, np.ndarray], float]:
-    """One pass of Adam over a run of class ids that ends with END; weights and mean loss."""
-    length = (len(tokens)) // streams
+def train_on(p: dict[str, np.ndarray], tokens: np.ndarray, slots: np.ndarray | None = None, rate: float = RATE, streams: int = STREAMS, window: int = WINDOW) -> tuple[dict[str, np.ndarray], float]:
+    """One pass of Adam over a run of class ids that ends with END, all of them; weights and mean loss."""
+    length = -(-len(tokens) // streams)
     if length < 2:
         streams, length = 1, len(tokens)
-    y = tokens[: streams * length].reshape(streams, length).T
-    x = np.concatenate([np.full(1, END, dtype=tokens.dtype), tokens[:-1]])[: streams * length].reshape(streams, length).T
+
+    def dealt(x: np.ndarray) -> np.ndarray:
+        return np.concatenate([x, np.zeros(streams * length - len(x), dtype=x.dtype)]).reshape(streams, length).T
+
+    y, counts = dealt(tokens), dealt(np.ones(len(tokens), dtype=bool))
+    slot = None if slots is None else dealt(slots)
+    x = dealt(np.concatenate([np.full(1, END, dtype=tokens.dtype), tokens[:-1]]))
     p = {k: v.copy() for k, v in p.items()}
     m, v = ({k: np.zeros_like(w) for k, w in p.items()} for _ in range(2))
     h, loss, i = np.zeros((streams, p["u"].shape[0]), dtype=np.float32), 0.0, 0
     for lo in range(0, length, window):
-        part, g, h = window_gradient(p, x[lo : lo + window], y[lo : lo + window], h)
+        at = slice(lo, lo + window)
+        part, g, h = window_gradient(p, x[at], y[at], h, None if slot is None else slot[at], counts[at])
         loss += part
         i += 1
-        n = y[lo : lo + window].size
+        n = int(counts[at].sum())
+        if not n:
+            break
         norm = math.sqrt(sum(float((w * w).sum()) for w in g.values())) / n
         scale = np.float32(1 / n * min(1.0, 1.0 / max(norm, 1e-12)))
         now = rate * min(1.0, i / 10)
@@ -236,57 +313,117 @@ def train_on(p: dict[str, np.ndarray], tokens: np.ndarray, rate: float = RATE, s
             m[k] = 0.9 * m[k] + 0.1 * w
             v[k] = 0.99 * v[k] + 0.01 * w * w
             p[k] -= (now * (m[k] / (1 - 0.9**i)) / (np.sqrt(v[k] / (1 - 0.99**i)) + 1e-6)).astype(np.float32)
-    return p, loss / max(1, y.size)
+    return p, loss / max(1, len(tokens))
 
 
-def sequence(docs: list[bytes | None], vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Class ids of all documents, an END after each; the number of tokens of each; word hashes."""
-    ids, n, hashes = [np.zeros(0, dtype=np.uint8)], [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.uint64)]
+def sequence(docs: list[bytes | None], vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Class ids and slots of all documents, an END after each; the number of tokens of each; word hashes."""
+    ids, slots, n, hashes = [np.zeros(0, dtype=np.uint8)], [np.zeros(0, dtype=np.uint8)], [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.uint64)]
     for lo, hi in chunks(docs):
         w = Words(docs[lo:hi])
         h = w.hashes()
         ids.append(np.insert(classes_of(w, h, vocab), w.bounds[1:], END))
+        slots.append(np.insert(slots_of(h, vocab), w.bounds[1:], 0))
         n.append(w.counts() + 1)
         hashes.append(h)
-    return np.concatenate(ids), np.concatenate(n), np.concatenate(hashes)
+    return np.concatenate(ids), np.concatenate(slots), np.concatenate(n), np.concatenate(hashes)
 
 
-def _train_rows(shared):
+def _sequence_rows(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, p = shared.value
-        seen = 0
+        vocab = shared.value
         for batch in batches:
-            tokens, _, _ = sequence(texts(batch.column(0)), vocab)
-            if len(tokens):
-                p, _ = train_on(p, tokens)
-                seen += len(tokens)
+            ids, slots, n, _ = sequence(texts(batch.column(3)), vocab)
+            cuts = np.cumsum(n)[:-1]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *[pa.array([part.tobytes() for part in np.split(x, cuts)] if len(n) else [], pa.binary()) for x in (ids, slots)]], names=["copy", "round", "x", "ids", "slots"])
+
+    return run
+
+
+def _train_rows(shared, groups: int):
+    """A round's documents in order of copy -> each task's weighted sum of the weights that its copies end with."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin = shared.value
+        total, seen, first = None, 0, 0
+        copy, p, held, size, own = None, begin, [], 0, 0
+
+        def learn() -> None:
+            nonlocal p, held, size, own
+            if size:
+                p, _ = train_on(p, np.frombuffer(b"".join(a for a, _ in held), dtype=np.uint8), np.frombuffer(b"".join(b for _, b in held), dtype=np.uint8))
+                own += size
+            held, size = [], 0
+
+        def end() -> None:
+            nonlocal total, seen, p, own
+            learn()
+            if own:
+                flat = np.concatenate([p[k].ravel() for k in sorted(p)]).astype(np.float64) * own
+                total, seen = flat if total is None else total + flat, seen + own
+            p, own = begin, 0
+
+        for batch in batches:
+            for k, ids, slots in zip(*(batch.column(i).to_pylist() for i in (0, 3, 4)), strict=True):
+                if k != copy:
+                    end()
+                    first = k if total is None else first
+                    copy = k
+                held.append((ids, slots))
+                size += len(ids)
+                if size >= PIECE:
+                    learn()
+        end()
         if seen:
-            flat = np.concatenate([p[k].ravel() for k in sorted(p)]).astype(np.float64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat * seen), pa.array(np.full(len(flat), seen, dtype=np.int64))], names=["i", "w", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([first % groups], pa.int32()), pa.array([total.tolist()], pa.list_(pa.float64())), pa.array([seen], pa.int64())], names=["g", "w", "n"])
 
     return run
 
 
-def train(training: DataFrame, vocab: Vocabulary, passes: int = PASSES, share: int = SHARE) -> dict[str, np.ndarray]:
-    """Averaged local training over all of ``training(text)``, ``share`` rounds a pass."""
-    p = start(vocab)
-    for k in range(passes * share):
-        shared = training.sparkSession.sparkContext.broadcast((vocab, p))
-        some = training.where(F.pmod(F.xxhash64(F.lit(k // share), F.col("text")), F.lit(share)) == k % share)
-        got = some.mapInArrow(_train_rows(shared), "i int, w double, n long").groupBy("i").agg((F.sum("w") / F.sum("n")).alias("w")).orderBy("i").collect()
+def _sum_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total, seen = None, 0
+    for batch in batches:
+        for w, n in zip(batch.column(1), batch.column(2).to_pylist(), strict=True):
+            w = w.values.to_numpy()
+            total, seen = w if total is None else total + w, seen + n
+    if seen:
+        yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([total.tolist()], pa.list_(pa.float64())), pa.array([seen], pa.int64())], names=["g", "w", "n"])
+
+
+def train(training: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS, copy_tokens: int = COPY_TOKENS) -> dict[str, np.ndarray]:
+    """Averaged local training over all of ``training(doc_id, text)``, in ``rounds`` rounds."""
+    spark, p = training.sparkSession, start(vocab)
+    copies = max(1, min(MOST_COPIES, vocab.total // copy_tokens))
+    groups = max(1, math.isqrt(copies))
+    x = F.xxhash64(F.lit(7), "doc_id", "text")
+    dealt = training.select(F.pmod(F.shiftright(x, 8), F.lit(copies)).cast("int").alias("copy"), F.pmod(x, F.lit(rounds)).cast("int").alias("round"), x.alias("x"), "text")
+    dealt = dealt.mapInArrow(_sequence_rows(spark.sparkContext.broadcast(vocab)), TRAINING)
+    dealt = cut(dealt.repartitionById(copies, F.col("copy")).sortWithinPartitions("copy", "round", "x"))
+    for k in range(rounds):
+        shared = spark.sparkContext.broadcast(p)
+        got = dealt.where(F.col("round") == k).mapInArrow(_train_rows(shared, groups), WEIGHTS)
+        if groups > 1:
+            got = got.repartition(groups, "g").mapInArrow(_sum_rows, WEIGHTS)
+        got = got.collect()  # at most sqrt(copies) rows
+        shared.unpersist()
         if got:
-            flat, at = np.array([r["w"] for r in got], dtype=np.float32), 0
+            flat, at = (sum(np.array(r["w"]) for r in got) / sum(r["n"] for r in got)).astype(np.float32), 0
+            p = dict(p)
             for name in sorted(p):
                 p[name] = flat[at : at + p[name].size].reshape(p[name].shape)
                 at += p[name].size
     return p
 
 
+TRAINING = "copy int, round int, x long, ids binary, slots binary"
+WEIGHTS = "g int, w array<double>, n long"
+
+
 # --- scoring -----------------------------------------------------------------------------------
 
 
-def class_scores(p: dict[str, np.ndarray], ids: np.ndarray, n: np.ndarray, window: int = WINDOW) -> np.ndarray:
-    """Each document's sum of log probabilities of its tokens' classes. ``ids``: the documents' tokens one after another."""
+def class_scores(p: dict[str, np.ndarray], ids: np.ndarray, n: np.ndarray, window: int = WINDOW, slots: np.ndarray | None = None) -> np.ndarray:
+    """Each document's sum of log probabilities of its tokens' classes and, if given, slots. ``ids``: the documents' tokens one after another."""
     out = np.zeros(len(n))
     if not len(n):
         return out
@@ -307,7 +444,8 @@ def class_scores(p: dict[str, np.ndarray], ids: np.ndarray, n: np.ndarray, windo
             h = step(p, x[:, t], h)[0]
             hs[t] = h
         used = min(window, int(n[0]) - lo)
-        logits = hs[:used].reshape(-1, h.shape[1]) @ p["v"]
+        own = hs[:used].reshape(-1, h.shape[1])
+        logits = own @ p["v"]
         logits += p["b"]
         logits = logits.reshape(used, live, -1)
         top = logits.max(axis=-1)
@@ -315,6 +453,12 @@ def class_scores(p: dict[str, np.ndarray], ids: np.ndarray, n: np.ndarray, windo
         picked = np.take_along_axis(logits, y.T[:used, :, None].astype(np.int64), axis=-1)[..., 0]
         np.exp(logits, out=logits)
         got = picked - np.log(logits.sum(axis=-1))
+        if slots is not None:
+            flat, right = got.reshape(-1), slots[at].T[:used].ravel()
+            for c, rows in by_class(p, y.T[:used].ravel()):
+                lp = log_softmax(own[rows] @ p["sv"][c].T + p["sb"][c])
+                flat[rows] += lp[np.arange(len(rows)), right[rows]]
+            got = flat.reshape(got.shape)
         out[order[:live]] += np.where(inside.T[:used], got, 0).sum(axis=0, dtype=np.float64)
     return out
 
@@ -326,13 +470,15 @@ def _score_rows(shared):
         for batch in batches:
             docs = texts(batch.column(1))
             for lo in range(0, len(docs), 4096):
-                ids, n, h = sequence(docs[lo : lo + 4096], vocab)
+                ids, slots, n, h = sequence(docs[lo : lo + 4096], vocab)
                 of_token = np.repeat(np.arange(len(n)), n)
                 of_word = np.repeat(np.arange(len(n)), n - 1)
                 frequent, at = find(vocab.frequent, h)
                 logs = np.bincount(of_word[frequent], weights=vocab.frequent_log[at[frequent]], minlength=len(n)) + math.log10(vocab.ends + 1)
                 known = np.bincount(of_word[frequent], minlength=len(n)) + (vocab.ends > 0)
-                score = (class_scores(p, ids, n) - np.bincount(of_token, weights=inner[ids], minlength=len(n))) / math.log(10)
+                score = (class_scores(p, ids, n, slots=slots) - np.bincount(of_token, weights=np.where(slots > 0, 0.0, inner[ids]), minlength=len(n))) / math.log(10)
+                has_own = slots_of(h, vocab)[frequent] > 0  # their probability is the slot's
+                score -= np.bincount(of_word[frequent][has_own], weights=vocab.frequent_log[at[frequent]][has_own], minlength=len(n))
                 rare, whose = h[~frequent].view(np.int64), of_word[~frequent]
                 offsets = np.searchsorted(whose, np.arange(len(n) + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, len(n)), pa.array(n), pa.array(logs), pa.array(known.astype(np.int64)), pa.array(score), pa.ListArray.from_arrays(pa.array(offsets), pa.array(rare))], names=["doc_id", "n_tokens", "logs", "known", "score", "rare"])
@@ -343,8 +489,8 @@ def _score_rows(shared):
 def score_texts(docs: DataFrame, folds: int = FOLDS, fold: int = FOLD) -> DataFrame:
     """A row for each row of ``docs``: the model's and the unigram base's log10 probability of its text."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    training = rows.where(~held_out("doc_id", folds, fold)).select("text")
-    counts = cut(token_counts(training))
+    training = rows.where(~held_out("doc_id", folds, fold))
+    counts = cut(token_counts(training.select("text")))
     vocab = vocabulary(counts, training.count())
     p = train(training, vocab)
     shared = docs.sparkSession.sparkContext.broadcast((vocab, p))
