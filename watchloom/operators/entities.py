@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.similarity import jaccard, subset, text_trigrams, word_trigrams
 from ..functions.text import entity_key, group_key, token_bag
 from ..functions.values import stable_id
-from ..sources.sinks import shared_root
+from ..shared import numbered, shared_dir
 from .rules import interesting_name
 
 
@@ -79,7 +79,7 @@ def closure(edges: DataFrame) -> DataFrame:
 
     Each round also jumps to the label's label, so long chains take few rounds.
     """
-    shared_root(edges.sparkSession)
+    shared_dir(edges.sparkSession)
     both = edges.select("a", "b").where("a <> b")
     both = both.union(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
     at = both.select(F.col("a").alias("node")).distinct().withColumn("label", F.col("node")).checkpoint()
@@ -97,9 +97,9 @@ def closure(edges: DataFrame) -> DataFrame:
 def positional_pairs(keys: DataFrame, reach: int = 49) -> DataFrame:
     """Each key with the next ``reach`` keys in order of first appearance. ``keys(key, first)``.
 
-    Positions come from a range-partitioned sort; the range join is an equi-join on blocks of positions.
+    Positions come from a range-partitioned sort with counted offsets; the range join is an equi-join on blocks of positions.
     """
-    pos = keys.withColumn("pos", F.row_number().over(Window.orderBy("first", "key")))
+    pos = numbered(keys, F.col("first"), F.col("key"), name="pos")
     step = reach + 1
     left = pos.select(F.col("key").alias("ka"), F.col("pos").alias("pa"), F.explode(F.array(F.floor(F.col("pos") / step), F.floor(F.col("pos") / step) + 1)).alias("blk"))
     right = pos.select(F.col("key").alias("kb"), F.col("pos").alias("pb"), F.floor(F.col("pos") / step).alias("blk"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..functions import values as V
 from ..operators import rules
+from ..shared import shared_dir
 from ..sources import files, sinks
 from ..streaming import changes as C
 from .views import DOCS, LOG, ODI, PARTIES, PARTS, SNAPS, docs, investments, log, parties, parts, snapshot, table
@@ -27,7 +28,7 @@ def q(name: str, sql: str | None = None):
 
 def landing(spark: SparkSession) -> str:
     """A new folder that all executors share."""
-    return f"{sinks.shared_root(spark)}/landed-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/landed-{uuid.uuid4().hex}"
 
 
 def _canonical(df: DataFrame) -> DataFrame:

@@ -2,27 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .files import canonical
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which all executors share; only a session on one machine may go without."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        given = spark.conf.get("spark.checkpoint.dir", None)
-        if given is None:
-            if not sc.master.startswith("local["):
-                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-            given = tempfile.mkdtemp(prefix="watchloom-")
-        sc.setCheckpointDir(given)
-    return sc.getCheckpointDir()
-
-
 def _fs(spark: SparkSession, path: str):
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
