@@ -7,7 +7,6 @@ document makes a chunk of its own, so that no text is ever cut.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,6 +14,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shared import cut, shared_dir
+
+__all__ = ["Words", "chunks", "cut", "fmix", "held_out", "read", "shared_dir", "shingle_sets", "shingles", "texts"]
+
 SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
 CHUNK_BYTES = 1 << 20
 U64 = np.uint64
@@ -35,28 +38,6 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which all executors share.
-
-    Only a session on one machine may go without that setting; it gets a folder of its own.
-    """
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        given = spark.conf.get("spark.checkpoint.dir", None)
-        if given is None:
-            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-            given = tempfile.mkdtemp(prefix="watchloom-")
-        sc.setCheckpointDir(given)
-    return sc.getCheckpointDir()
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once, keep it in the shared folder and go on from there."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def held_out(doc_id: str | Column, folds: int, fold: int) -> Column:
     """Whether crc32 of the id as text falls in the fold; false where there is no id."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % folds == fold, F.lit(False))

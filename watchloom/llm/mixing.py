@@ -13,13 +13,18 @@ size are rounded while the rounding error is carried on, so a source misses its
 than its smaller documents. Within a (source, size) the copies are dealt by the rank of a hash
 of id and text, computed in salted parts with offsets, never in one task. Reruns agree.
 
+Sources are numbered by a range-partitioned sort. The level at which sources stop is found by sums over all of
+them, a few rounds; no task sees all sources. The sizes of one source that are rounded in one task are as many as it has
+different sizes. Rows that agree in id and text share out their copies in the order of their other columns.
+
 Null texts have size 0 and take nothing. A null source is a source of its own, last in order.
-Null ids are documents like all others; equal rows may be told apart by nothing, and share out
-the copies among them. Empty tables give empty results.
+Null ids are documents like all others. Very long texts are counted whole. Empty tables give empty results. In
+``mixture`` other columns pass through; names that begin with ``__`` are taken.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shared import numbered
 from .common import Words, chunks, cut, texts
 
 WEIGHTS = (5, 2, 1)
@@ -52,25 +58,26 @@ def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
 
 
 def targets(by_size: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: int = CAP) -> DataFrame:
-    """``(source, known, source_size, target)`` from ``(source, size, n)``.
+    """``(source, source_size, target)`` from ``(source, size, n)``.
 
-    Shares by weight stop at ``cap`` times the source's size. Sorted by ``size / weight``, the
-    sources that stop are a prefix: those that their own share of what the earlier ones left would fill.
+    A source's target is ``min(cap * size, weight * level)``. The level rises as sources stop and leave their excess
+    to the others; each round sums over all sources, until no more of them stop.
     """
     own = by_size.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
-    order = Window.orderBy(F.col("source").isNull(), F.col("source"))
-    w = F.element_at(F.array(*[F.lit(x) for x in weights]), (F.pmod(F.row_number().over(order) - 1, F.lit(len(weights))) + 1).cast("int"))
-    own = own.withColumn("w", w).withColumn("most", F.col("source_size") * cap)
-    fill = Window.orderBy(F.col("most") / F.col("w"), F.col("source").isNull(), F.col("source"))
-    everything = Window.partitionBy()
-    own = own.withColumn("total", F.sum("source_size").over(everything) * share)
-    before = F.coalesce(F.sum("most").over(fill.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    after = F.sum("w").over(fill.rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    own = own.withColumn("stops", F.col("most") * after <= F.col("w") * (F.col("total") - before))
-    left = F.col("total") - F.sum(F.when(F.col("stops"), F.col("most")).otherwise(0)).over(everything)
-    open_w = F.sum(F.when(~F.col("stops"), F.col("w")).otherwise(0)).over(everything)
-    target = F.when(F.col("stops"), F.col("most").cast("double")).otherwise(F.col("w") * left / F.when(open_w > 0, open_w))
-    return own.select("source", "source_size", target.cast("double").alias("target"))
+    own = numbered(own, F.col("source").isNull(), F.col("source"), name="place")
+    w = F.element_at(F.array(*[F.lit(x) for x in weights]), (F.pmod(F.col("place") - 1, F.lit(len(weights))) + 1).cast("int"))
+    own = cut(own.select("source", "source_size", w.alias("w"), (F.col("source_size") * cap).alias("most")))
+    sums = own.agg(F.sum("source_size").alias("size"), F.sum("w").alias("w"), F.count("*").alias("k")).first()
+    if not sums.k:
+        return own.select("source", "source_size", F.lit(0.0).alias("target"))
+    total, stopped, level = share * sums.size, 0, share * sums.size / sums.w
+    while True:
+        stops = F.col("most") <= F.col("w") * F.lit(level)
+        now = own.agg(F.count(F.when(stops, 1)).alias("k"), F.coalesce(F.sum(F.when(stops, F.col("most"))), F.lit(0)).alias("most"), F.sum(F.when(~stops, F.col("w"))).alias("w")).first()
+        if now.k == stopped or now.w is None:
+            break
+        stopped, level = now.k, (total - now.most) / now.w
+    return own.select("source", "source_size", F.when(stops, F.col("most").cast("double")).otherwise(F.col("w") * F.lit(level)).alias("target"))
 
 
 def balance(by_size: DataFrame, aims: DataFrame, cap: int = CAP, steps: int = STEPS, near: float = NEAR) -> DataFrame:
@@ -81,7 +88,7 @@ def balance(by_size: DataFrame, aims: DataFrame, cap: int = CAP, steps: int = ST
     counts = by_size.where("size > 0")
     mean = counts.groupBy("source").agg((F.sum(F.col("size") * F.col("n")) / F.sum("n")).alias("mean"))
     aim = cut(aims.withColumnRenamed("source", "s").join(mean, F.col("s").eqNullSafe(mean["source"])).drop("source"))
-    at = cut(aim.where(F.col("target") < F.col("source_size") * cap).select("s", "mean", "target", F.lit(0.0).alias("lam"), F.lit(-1e6).alias("low"), F.lit(1e6).alias("high"), F.lit(False).alias("done")))
+    at = cut(aim.where(F.col("target") < F.col("source_size") * cap).select("s", "mean", "target", F.lit(0.0).alias("lam"), F.lit(-1e12).alias("low"), F.lit(1e12).alias("high"), F.lit(False).alias("done")))
     for _ in range(steps):
         x = F.col("size") / F.col("mean")
         tilt = F.exp(F.least(F.col("lam") * x, F.lit(50.0)))
@@ -99,6 +106,8 @@ def balance(by_size: DataFrame, aims: DataFrame, cap: int = CAP, steps: int = ST
         at = cut(grad.withColumn("lo", low).withColumn("hi", high).select("s", "mean", "target", F.when(done, F.col("lam")).otherwise(step).alias("lam"), F.col("lo").alias("low"), F.col("hi").alias("high"), done.alias("done")))
         if at.where("not done").isEmpty():
             break
+    else:
+        warnings.warn(f"{at.where('not done').count()} sources are not within {near} of their targets after {steps} steps", stacklevel=2)
     return aim.select("s", "mean").join(at.select(F.col("s").alias("s2"), "lam"), F.col("s").eqNullSafe(F.col("s2")), "left").drop("s2")
 
 
@@ -144,7 +153,7 @@ def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = S
 def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """A row of ``docs`` for each copy that the mix takes, with ``copy`` counting from 1 (``__copy`` where ``docs`` has a column of that name).
 
-    Rows that agree in id and text get the average of their copies, the first of them more where it isn't whole.
+    Rows that agree in id and text get the average of their copies, the first of them by their columns more where it isn't whole.
     """
     plan = copies(sized(docs, id_col, text_col, source_col)).groupBy("id", "source", "u").agg(F.sum("copies").alias("all"), F.count("*").alias("rows"))
     plan = cut(plan.where("all > 0").select(F.col("id").alias("__id"), F.col("source").alias("__source"), F.col("u").alias("__u"), F.col("all").alias("__all"), F.col("rows").alias("__rows")))
@@ -152,7 +161,7 @@ def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sou
     got = keyed.join(plan.hint("shuffle_hash"), (F.col("__u2") == F.col("__u")) & F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & F.col(source_col).cast("string").eqNullSafe(F.col("__source")))
     share = F.col("__all")
     if not plan.where("__rows > 1").isEmpty():
-        rank = F.row_number().over(Window.partitionBy("__u", "__id", "__source").orderBy(F.lit(1)))
+        rank = F.row_number().over(Window.partitionBy("__u", "__id", "__source").orderBy(*[F.col(f"`{f.name}`") for f in docs.schema if f.dataType.typeName() != "map"]))
         share = F.floor(share / F.col("__rows")) + F.when(rank <= F.pmod(share, F.col("__rows")), 1).otherwise(0)
     got = got.withColumn("__copies", share)
     number = "__copy" if "copy" in docs.columns else "copy"
