@@ -9,14 +9,15 @@ cosine that a vector of a bucket must reach: ``t = theta / (|q| * longest in buc
   vector with cosine t must lie within ``t*q_f -+ sqrt((1 - t^2)(1 - q_f^2))``.
 * else: length pruning. Only the vectors with ``|v| >= theta / |q|`` are left, a prefix.
 
-Candidates are verified by their integer products. ``theta`` starts from the longest vectors,
-which are searched first, so that every task prunes from its first bucket on. Queries are
-taken in blocks of ``block`` rows; a block is what is broadcast at a time, so that memory
-doesn't grow with their number. Each block reads the packed vectors once.
+Candidates are verified by their integer products. ``theta`` starts from the two longest buckets, which are
+broadcast, so that every task prunes from its first bucket on. Queries are packed in blocks of ``block`` rows.
+Blocks against buckets are one plan: buckets are dealt into parts, blocks into groups of ``group``, and a tile
+takes the blocks of a group, holds them, and lets the buckets of a part pass, longest first. A bucket is shuffled
+once a group of blocks, a block once a part; no tile holds more than its group.
 
 Vectors that are null, or hold null or non-finite components, take no part, nor do rows
-without an id. As a query, an id that repeats counts once, with its least vector. Shorter vectors count as padded with zeros. Products of up to 2^53 in float64
-BLAS, larger ones in Python integers; scores are clipped to 64 bits. Ties go to the smaller id.
+without an id. As a query, an id that repeats counts once, with its least usable vector. Shorter vectors count as padded with zeros. Products of up to 2^53 in float64
+BLAS, larger ones in Python integers; scores are clipped to 64 bits. Ties go to the smaller id. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -166,51 +167,73 @@ def _unpack(width: int, ids: bytes, x: bytes) -> tuple[np.ndarray, np.ndarray]:
     return who, np.frombuffer(x, dtype=np.float64).reshape(len(who), width)
 
 
-def _search_rows(shared, k: int):
+def _floor_rows(shared, k: int):
+    """Blocks of queries with the k-th best score of each query among the longest vectors, -inf where it has fewer."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        q_ids, q, floor = shared.value
-        best = Best(q_ids, k)
         for batch in batches:
-            for _, width, ids, x in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                search(best, q, floor, *_unpack(width, ids, x))
-        if rows := best.rows():
-            a, b, c = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.int64())], names=["query_id", "vec_id", "score"])
+            floors = []
+            for width, ids, x in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
+                who, q = _unpack(width, ids, x)
+                first = Best(who, k)
+                for row in shared.value:
+                    search(first, q, np.full(len(who), -np.inf), *_unpack(*row))
+                floors.append(first.theta().tobytes())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(floors, pa.binary())], names=["longest", "width", "ids", "x", "floor"])
 
     return run
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", bucket: int = 512, block: int = 4096) -> DataFrame:
+def _tile_rows(k: int):
+    """Rows sorted by tile, blocks of queries before vectors -> the best of each query in each tile."""
+
+    def found(held: list) -> Iterator[pa.RecordBatch]:
+        for best, _, _ in held:
+            if rows := best.rows():
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows, strict=True)], names=["query_id", "vec_id", "score"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tile, held = None, []
+        for batch in batches:
+            for part, group, vectors, _, width, ids, x, floor in zip(*(batch.column(i).to_pylist() for i in range(8)), strict=True):
+                if (part, group) != tile:
+                    yield from found(held)
+                    tile, held = (part, group), []
+                who, values = _unpack(width, ids, x)
+                if not vectors:
+                    held.append((Best(who, k), values, np.frombuffer(floor, dtype=np.float64)))
+                else:
+                    for best, q, least in held:
+                        search(best, q, least, who, values)
+        yield from found(held)
+
+    return run
+
+
+TILED = ("part", "group", "vectors", "longest", "width", "ids", "x", "floor")
+
+
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", bucket: int = 512, block: int = 1024, group: int = 16) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: each query's k best rows of ``vectors`` but its own id."""
     spark = vectors.sparkSession
-    vec = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v")).where("id is not null and v is not null")
-    length = F.aggregate("v", F.lit(0.0), lambda a, x: a + F.coalesce(x, F.lit(0.0)) * F.coalesce(x, F.lit(0.0)))
-    dealt = vec.withColumn("len", length).repartitionByRange(F.desc("len"), F.col("id")).sortWithinPartitions(F.desc("len"), F.col("id"))
+    usable = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) * 256 < float("inf")))
+
+    def own(df: DataFrame) -> DataFrame:
+        return df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v")).where(F.col("id").isNotNull() & F.col("v").isNotNull() & usable)
+
+    length = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
+    dealt = own(vectors).withColumn("len", length).repartitionByRange(F.desc("len"), F.col("id")).sortWithinPartitions(F.desc("len"), F.col("id"))
     packed = cut(dealt.select("id", "v").mapInArrow(_pack_rows(bucket), PACKED))
-    asked = queries.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v")).where("id is not null and v is not null").groupBy("id").agg(F.min("v").alias("v"))
-    blocks = cut(asked.mapInArrow(_pack_rows(block), PACKED))
-    found = None
-
-    def answer(held: list[tuple[np.ndarray, np.ndarray]]) -> DataFrame:
-        width = max(x.shape[1] for _, x in held)
-        ids = np.concatenate([i for i, _ in held])
-        q = np.concatenate([np.pad(x, ((0, 0), (0, width - x.shape[1]))) for _, x in held])
-        first = Best(ids, k)
-        for row in packed.orderBy(F.desc("longest")).limit(2).collect():
-            search(first, q, np.full(len(ids), -np.inf), *_unpack(row.width, row.ids, row.x))
-        return packed.mapInArrow(_search_rows(spark.sparkContext.broadcast((ids, q, first.theta())), k), FOUND)
-
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    for row in blocks.toLocalIterator():
-        held.append(_unpack(row.width, row.ids, row.x))
-        if sum(len(i) for i, _ in held) >= block:
-            got = answer(held)
-            found, held = got if found is None else found.union(got), []
-    if held:
-        got = answer(held)
-        found = got if found is None else found.union(got)
-    if found is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    longest = spark.sparkContext.broadcast([(r.width, r.ids, r.x) for r in packed.orderBy(F.desc("longest"), "ids").limit(2).collect()])
+    asked = own(queries).groupBy("id").agg(F.min("v").alias("v"))
+    blocks = cut(asked.mapInArrow(_pack_rows(block), PACKED).mapInArrow(_floor_rows(longest, k), f"{PACKED}, floor binary"))
+    parts = max(1, min(packed.count(), max(2 * spark.sparkContext.defaultParallelism, packed.count() // 64)))
+    groups = max(1, -(-blocks.count() // group))
+    one, of = F.pmod(F.xxhash64("ids"), F.lit(parts)), F.pmod(F.xxhash64("ids"), F.lit(groups))
+    q = blocks.withColumns({"group": of, "vectors": F.lit(False), "part": F.explode(F.sequence(F.lit(0), F.lit(parts - 1)).cast("array<long>"))}).select(*TILED)
+    v = packed.withColumns({"part": one, "vectors": F.lit(True), "floor": F.lit(None).cast("binary"), "group": F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<long>"))}).select(*TILED)
+    tiles = q.unionByName(v).repartition("part", "group").sortWithinPartitions("part", "group", "vectors", F.desc("longest"))
+    found = tiles.mapInArrow(_tile_rows(k), FOUND)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
