@@ -6,14 +6,15 @@ Each change becomes at most two additive rows by (source, lang, tokenizer), +1 a
 their tokens. A batch is committed as one folder named after its id; Spark's committer renames
 it into place and ``_SUCCESS`` marks it whole, so a retry of a committed batch does nothing and a
 batch that failed half-way is written anew. Totals are sums over all committed folders.
-``compact`` folds committed batches into one and records their ids.
+``compact`` folds committed batches into one and records their ids. One writer at a time commits to a folder;
+readers need no lock.
 
 Tokenizer versions: ``words`` counts ``[^\\x20\\x09-\\x0D]+``; ``bytes`` counts UTF-8 bytes;
 ``bpe:<file>`` counts tokens of a public byte-level BPE whose ranks lie in the file. Ranks are
 read on the driver (at most ``MAX_RANK_BYTES``) and broadcast.
 
 Null texts count as empty, null sources and languages are groups of their own, other columns
-are ignored. Repeated rows are changes of their own. An unknown op adds nothing.
+are ignored. Repeated rows are changes of their own. An unknown op adds nothing. Very long texts are counted whole.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Words, chunks, shared_dir, texts
@@ -103,14 +104,18 @@ class TokenRollup:
         rows = changes.select(*[F.col(c).cast("string").alias(c) for c in ("source", "lang", "op", "text", "old_text")])
         return rows.mapInArrow(_delta_rows(self.tokenizers, self._ranks), TOTALS).groupBy("source", "lang", "tokenizer").agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
 
+    def _folders(self) -> list[str]:
+        fs, path = self._fs()
+        names = [s.getPath().getName() for s in fs.listStatus(path(self.path))] if fs.exists(path(self.path)) else []
+        return [n for n in names if fs.exists(path(f"{self.path}/{n}/_SUCCESS"))]
+
+    def _merged(self) -> set[str]:
+        """The ids of all batches that were folded into others."""
+        return {r[0] for n in self._folders() if n.startswith("compacted-") for r in self.spark.read.text(f"{self.path}/{n}/_batches").toLocalIterator()}
+
     def _state(self) -> tuple[list[str], set[str]]:
         """The folders that count, and the ids of all batches in them."""
-        fs, path = self._fs()
-        if not fs.exists(path(self.path)):
-            return [], set()
-        done = [s.getPath().getName() for s in fs.listStatus(path(self.path))]
-        done = [n for n in done if fs.exists(path(f"{self.path}/{n}/_SUCCESS"))]
-        merged = {r[0] for n in done if fs.exists(path(f"{self.path}/{n}/_batches")) for r in self.spark.read.text(f"{self.path}/{n}/_batches").collect()}
+        done, merged = self._folders(), self._merged()
         return sorted(set(done) - merged), set(done) | merged
 
     def committed(self) -> set[str]:
@@ -118,7 +123,8 @@ class TokenRollup:
 
     def commit(self, batch_id: str, changes: DataFrame) -> bool:
         """Add a batch; false if it is there already."""
-        if batch_id in self.committed():
+        fs, path = self._fs()
+        if fs.exists(path(f"{self.path}/{batch_id}/_SUCCESS")) or batch_id in self._merged():
             return False
         self.deltas(changes).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/{batch_id}")
         return True
@@ -140,15 +146,33 @@ class TokenRollup:
         at = f"{self.path}-{name}"
         self.totals().coalesce(1).write.parquet(at)
         self.spark.createDataFrame([(i,) for i in sorted(ids)], "id string").coalesce(1).write.text(f"{at}/_batches")
-        fs.rename(path(at), path(f"{self.path}/{name}"))
+        if not fs.rename(path(at), path(f"{self.path}/{name}")):
+            raise OSError(f"could not move {at} into place")
         for n in old:
             fs.delete(path(f"{self.path}/{n}"), True)
 
 
-def report(docs: DataFrame) -> DataFrame:
-    """All documents inserted as one batch, committed twice to no further effect, and the totals."""
-    rollup = TokenRollup(docs.sparkSession)
-    changes = docs.select("source", "lang", F.lit("insert").alias("op"), "text", F.lit(None).cast("string").alias("old_text"))
-    rollup.commit("load", changes)
-    rollup.commit("load", changes)
+def trimmed(text: Column) -> Column:
+    return F.btrim(text, F.lit(" \t\n\x0b\x0c\r"))
+
+
+def report(docs: DataFrame, batches: int = 3, tokenizers: tuple[str, ...] = ("words", "bytes", f"bpe:{BPE_FILE}")) -> DataFrame:
+    """Totals of ``docs`` without blanks at either end and without documents that have no word.
+
+    All documents come in as ``batches`` inserts; one batch revises texts with blanks at their ends, one deletes those
+    that are empty then. A batch is committed a second time, and all are compacted, to no effect on the totals.
+    """
+    rollup = TokenRollup(docs.sparkSession, tokenizers=tokenizers)
+    rows = docs.select("source", "lang", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("was"), F.pmod(F.xxhash64("doc_id"), F.lit(batches)).alias("batch"))
+    rows, none = rows.withColumn("now", trimmed(F.col("was"))), F.lit(None).cast("string")
+
+    def change(where: str | Column, op: str, text: Column, old: Column) -> DataFrame:
+        return rows.where(where).select("source", "lang", F.lit(op).alias("op"), text.alias("text"), old.alias("old_text"))
+
+    for b in range(batches):
+        rollup.commit(f"load-{b}", change(F.col("batch") == b, "insert", F.col("was"), none))
+    rollup.commit("trim", change("now <> was", "revise", F.col("now"), F.col("was")))
+    rollup.commit("trim", change("now <> was", "revise", F.col("now"), F.col("was")))
+    rollup.commit("drop", change("now = ''", "delete", none, F.col("now")))
+    rollup.compact()
     return rollup.totals()
