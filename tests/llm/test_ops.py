@@ -297,14 +297,14 @@ def test_toxic_stems_pairs_and_sample(spark):
 
 def test_decontamination(spark, docs, empty):
     t = make_texts()
-    items = [(1, t[0]), (2, " ".join(t[6].split()[:14]).upper()), (10, "one two"), (11, "!!!"), (12, None), (13, "z" * 300_000), (14, "one two")]
+    items = [(1, t[0]), (2, " ".join(t[6].split()[:14]).upper()), (10, "one two"), (11, "!!!"), (12, None), (13, "z" * 300_000), (14, "one two"), (None, " ".join(t[12].split()[:11]))]
     bench = spark.createDataFrame(items, "item_id long, text string")
     hit_words = lambda x: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(x))
     wins = defaultdict(set)
     for i, x in items:
         w = hit_words(x)
         for a in range(max(1, len(w) - 9)) if w else ():
-            wins[tuple(w[a : a + 10])].add(str(i))
+            wins[tuple(w[a : a + 10])].update([str(i)] if i is not None else [])
     sizes = {len(k) for k in wins}
     want = Counter()
     for d, x in collected(docs):
@@ -314,7 +314,10 @@ def test_decontamination(spark, docs, empty):
                 if (got := wins.get(tuple(w[a : a + k]))) is not None:
                     hit.update(range(a, a + k))
                     found |= got
-        want[d, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit)] += 1
+        at = [m.span() for m in re.finditer(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(x))]
+        ends = (at[min(hit)][0], at[max(hit)][1]) if hit else (None, None)
+        want[d, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit), *ends] += 1
+    assert any(k[5] and not k[3] for k in want)  # hit by the item without an id only
     for limit in (10**7, 100):  # one automaton, and several one after another
         old, decontaminate.MAX_CHARS = decontaminate.MAX_CHARS, limit
         got = decontaminate.contamination(docs.select("doc_id", "text"), bench, max_chars=limit)
@@ -323,7 +326,7 @@ def test_decontamination(spark, docs, empty):
         decontaminate.MAX_CHARS = old
     assert Counter(tuple(r) for r in decontaminate.report(docs, bench).collect()) == want
     clean = decontaminate.clean(docs, bench)
-    assert clean.columns == docs.columns and clean.count() == sum(v for k, v in want.items() if not k[-1])
+    assert clean.columns == docs.columns and clean.count() == sum(v for k, v in want.items() if not k[5])
     assert decontaminate.clean(docs, bench.limit(0)).count() == docs.count()
     assert decontaminate.report(empty, bench).count() == 0
     assert [("Ä-b c!"[a:b]) for a, b in decontaminate.char_spans("Ä-b c!", [[0, 1]])] == ["Ä-b"]
@@ -363,10 +366,12 @@ def test_top_k(spark):
     for q, x in {i: x for i, x in usable if i % 50 == 0}.items():
         best = sorted(((-int(x @ y), i) for i, y in usable if i != q))[:5]
         want |= {(q, r + 1, i, -s) for r, (s, i) in enumerate(best)}
-    for bucket, block in ((512, 4096), (16, 3)):
-        got = topk.top_k(df, df.where("vec_id % 50 = 0"), bucket=bucket, block=block)
+    for bucket, block, group in ((512, 4096, 16), (16, 3, 1), (16, 3, 2)):
+        got = topk.top_k(df, df.where("vec_id % 50 = 0"), bucket=bucket, block=block, group=group)
         assert {tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect()} == want
     assert topk.report(df.limit(0)).count() == 0 and topk.report(df.where("vec_id = 0")).count() == 0
+    twin = spark.createDataFrame([(50, [1.0, None]), (50, [1.0, 2.0]), (50, None), (50, [float("nan"), 0.0]), (51, [3.0, 0.0]), (52, [0.0, 1.0])], "vec_id long, embedding array<double>")
+    assert [(r.rank, r.vec_id) for r in topk.report(twin).orderBy("rank").collect()] == [(1, 51), (2, 52)]
     big = np.array([[2.0**40, -3.0]])
     assert topk.products(big, big).tolist() == [[np.iinfo(np.int64).max]]
 
@@ -400,6 +405,27 @@ def test_token_counts(spark, docs, tmp_path):
     assert got.tolist() == [len(enc.encode_ordinary(x.decode())) if x else 0 for x in t] and enc.decode(enc.encode_ordinary("Héllo")) == "Héllo"
 
 
+def test_token_report_is_the_sum_of_its_deltas(spark, docs, empty):
+    import duckdb
+    import pandas as pd
+
+    got = token_counts.report(docs, tokenizers=("words", "bytes", f"bpe:{token_counts.BPE_FILE}")).collect()
+    documents = pd.DataFrame([(r.source, r.lang, r.text) for r in docs.select("source", "lang", "text").collect()], columns=["source", "lang", "text"]).astype("string")  # noqa: F841
+    sql = """with t as (select source, lang, trim(coalesce(text, ''), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as text from documents),
+    n as (select source, lang, 'words' as tokenizer, len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) as n from t where text <> '' union all select source, lang, 'bytes', strlen(text) from t where text <> '')
+    select source, lang, tokenizer, count(*), sum(n)::bigint from n group by all"""
+    assert {tuple(r) for r in got if not r.tokenizer.startswith("bpe")} == set(duckdb.sql(sql).fetchall())
+    enc = token_counts.encoding("t", token_counts.rank_bytes(token_counts.BPE_FILE))
+    want = defaultdict(lambda: [0, 0])
+    for source, lang, text in documents.itertuples(index=False):
+        text = ("" if pd.isna(text) else text).strip(" \t\n\x0b\x0c\r")
+        if text:
+            want[None if pd.isna(source) else source, None if pd.isna(lang) else lang][0] += 1
+            want[None if pd.isna(source) else source, None if pd.isna(lang) else lang][1] += len(enc.encode_ordinary(text))
+    assert {(r.source, r.lang): [r.n_docs, r.n_tokens] for r in got if r.tokenizer.startswith("bpe")} == want
+    assert token_counts.report(empty, tokenizers=("words",)).count() == 0
+
+
 def brute_lines(rows, least=3):
     holders = defaultdict(set)
     key = lambda x: lower(x.strip(" \t\n\x0b\x0c\r"))
@@ -508,6 +534,27 @@ def test_mixing(spark, docs, empty):
     assert rows.columns == [*docs.columns, "__copy"]
     assert rows.count() == sum(r.copies for r in got)
     assert mixing.report(empty).count() == 0 and mixing.mixture(empty).count() == 0
+    # rates are the exponential tilt that meets the target, by bisection here
+    by_source = defaultdict(Counter)
+    for r in src:
+        if n := len(words(r.text)):
+            by_source[r.source][n] += 1
+    sizes_of = spark.createDataFrame([(s, z, n) for s, c in by_source.items() for z, n in c.items()], "source string, size long, n long")
+    for r in mixing.balance(sizes_of, spark.createDataFrame([(s, sizes[s], float(aims[s])) for s in by_source], "source string, source_size long, target double")).collect():
+        c = next(c for s, c in by_source.items() if abs(sum(z * n for z, n in c.items()) / c.total() - r.mean) < 1e-9)
+        t = float(aims[next(s for s in by_source if by_source[s] is c)])
+        have = lambda lam: sum(n * z * min(2.0, math.exp(min(50, lam * z / r.mean))) for z, n in c.items())
+        if r.lam is None:
+            assert t >= 2 * sum(z * n for z, n in c.items()) - 1e-6
+            continue
+        low, high = -1e4, 1e4
+        for _ in range(200):
+            mid = (low + high) / 2
+            low, high = (mid, high) if have(mid) < t else (low, mid)
+        assert abs(have(r.lam) - t) < 1e-5 * t and abs(r.lam - mid) < 1e-3 * max(1, abs(mid))
+    twins = spark.createDataFrame([(1, "a b c", "en", "s", n % 7) for n in range(20)] + [(2, "x y z w " * 9, "en", "t", 0)], SCHEMA)
+    first, second = (Counter(tuple(r) for r in mixing.mixture(twins.repartition(k)).collect()) for k in (2, 5))
+    assert first == second and len(first) > 3
     parts = mixing.copies(mixing.sized(docs), part_rows=1)
     assert Counter((r.id, r.copies * r.size) for r in parts.collect()).total() == len(got)
 

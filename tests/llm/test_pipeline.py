@@ -104,5 +104,25 @@ def test_mixture_meets_targets(stages):
     assert abs(sum(copies[d] * size[d] for d in copies) - 1.5 * total) < 0.02 * total
 
 
+def test_stages_take_odd_rows(spark, tmp_path):
+    """Nulls in any column, empty and very long texts, repeated ids and rows, clashing columns, an empty table."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    a, b = docs.select("text").limit(2).toPandas()["text"]
+    rows = [(None, None, None, None, None), (None, a, "en", "s", 1), (1, "", "en", None, 0), (2, " \n ", None, "s", None), (3, "one", "en", "s", 3), (4, "word " * 200_000, "en", "s", 1), (10**6, a, "en", "s", 1), (10**6, b, "en", "s", 1), (10**6 + 1, b + " x", "en", "s", 1), (10**6 + 1, b + " x", "en", "s", 1)]
+    odd = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    for c in ("key", "n", "sig", "who", "t", "score", "size", "copies", "u", "copy", "part", "batch", "source_size", "first", "cid", "h", "x"):
+        odd = odd.withColumn(c, odd["n_chars"])
+    for name, f in corpus_pipeline.STAGES:
+        for df in (odd, odd.limit(0)):
+            got = f(spark, df, SF)
+            assert got.columns[: len(df.columns)] == df.columns and (name == "mixing" or got.columns == df.columns)
+            n = got.count()
+            assert n <= 2 * df.count()
+            if name == "near dedup" and n:
+                left = Counter((r.doc_id, r.text) for r in got.collect())
+                assert left[None, None] == left[1, ""] == left[2, " \n "] == 1 and not left[None, a] and not left[10**6, a] and not left[10**6 + 1, b + " x"] and max(left.values()) == 1
+                assert any(k[1] == a for k in left) and any(k[1] == b for k in left)
+
+
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).count() > 100

@@ -3,15 +3,17 @@
 Words are runs outside ``[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]`` of a text with A-Z lower-cased. A
 window is 10 consecutive words of an item; an item of fewer words, but not none, is one
 window. All windows go into one automaton over words joined by single spaces, and each
-document is scanned once. Match offsets become word positions, and for documents with hits
-the spans of characters in the original text.
+document is scanned once. Match offsets become word positions and these, for documents with hits,
+spans of characters in the original text.
 
 The items are a stated, small set: their windows are broadcast while they stay under
 ``max_chars`` normalised characters. Beyond that the items are dealt into automata of that
-size, and the scans follow one another without a shuffle; the results are the same.
+size. They are read one after another: each scan is written down before the next automaton is built, so that
+the driver and the executors hold one at a time. There is no shuffle, and the results are the same.
 
-Null texts and items have no words. Repeated rows come back as often as they came in; other
-columns pass through. An empty benchmark leaves every document clean.
+Null texts and items have no words. An item without an id hits like the others, but no id is counted for it.
+Repeated rows come back as often as they came in; other columns pass through (the names ``__n_words``, ``__spans``,
+``__chars`` and ``__items`` are taken). Very long texts are scanned whole. An empty benchmark leaves every document clean.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts
+from .common import cut, texts
 
 WINDOW = 10
 MAX_CHARS = 20_000_000
@@ -103,47 +105,56 @@ def _scan_rows(shared, key: str, text_col: str):
             a = _built[key] = automaton(shared.value)
         for batch in batches:
             names = batch.schema.names
-            n, spans, items = [], [], []
+            n, spans, chars, items = [], [], [], []
             for text, old, had in zip(texts(batch.column(names.index(text_col))), batch.column(names.index("__spans")).to_pylist(), batch.column(names.index("__items")).to_pylist(), strict=True):
                 k, s, found = scan(text, a)
                 n.append(k)
                 spans.append(_union(old, s) if old else s)
+                chars.append(char_spans(text.decode(), spans[-1]) if spans[-1] else [])
                 items.append(sorted(found.union(had)))
-            new = {"__n_words": pa.array(n, pa.int64()), "__spans": pa.array(spans, pa.list_(pa.list_(pa.int64()))), "__items": pa.array(items, pa.list_(pa.string()))}
+            pairs = pa.list_(pa.list_(pa.int64()))
+            new = {"__n_words": pa.array(n, pa.int64()), "__spans": pa.array(spans, pairs), "__chars": pa.array(chars, pairs), "__items": pa.array(items, pa.list_(pa.string()))}
             yield pa.RecordBatch.from_arrays([new.get(x, batch.column(i)) for i, x in enumerate(names)], names=names)
 
     return run
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", size: int = WINDOW, max_chars: int = MAX_CHARS) -> DataFrame:
-    """``docs`` with ``__n_words``, ``__spans`` (first and last word of each hit range) and ``__items`` (sorted)."""
-    shards: list[dict[bytes, list[str]]] = [{}]
+def _shards(benchmark: DataFrame, item_col: str, item_text: str, size: int, max_chars: int) -> Iterator[dict[bytes, list[str]]]:
+    """Windows and the ids of their items, up to ``max_chars`` (but an item at least) at a time."""
+    shard: dict[bytes, list[str]] = {}
     held = 0
-    items = benchmark.select(F.col(item_col).cast("string").alias("i"), F.col(item_text).alias("t")).where("i is not null and t is not null").distinct().orderBy("i")
-    for row in items.toLocalIterator():
+    for row in benchmark.select(F.col(item_col).cast("string").alias("i"), F.col(item_text).alias("t")).where("t is not null").distinct().orderBy("i", "t").toLocalIterator():
         own = dict.fromkeys(windows(row["t"].encode(), size))
-        if held + sum(map(len, own)) > max_chars and held:
-            shards.append({})
-            held = 0
+        if held and held + sum(map(len, own)) > max_chars:
+            yield shard
+            shard, held = {}, 0
         for p in own:
             held += len(p)
-            found = shards[-1].setdefault(p, [])
-            if row["i"] not in found:
+            found = shard.setdefault(p, [])
+            if row["i"] is not None and row["i"] not in found:
                 found.append(row["i"])
-    out = docs.withColumns({"__n_words": F.lit(0).cast("long"), "__spans": F.array().cast("array<array<bigint>>"), "__items": F.array().cast("array<string>")})
-    schema = out.schema
-    for shard in shards:
-        shared = docs.sparkSession.sparkContext.broadcast(list(shard.items()))
-        key = uuid.uuid4().hex
-        out = out.mapInArrow(_scan_rows(shared, key, text_col), schema)
+    yield shard
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", size: int = WINDOW, max_chars: int = MAX_CHARS) -> DataFrame:
+    """``docs`` with ``__n_words``, ``__spans`` (first and last word of each hit range), ``__chars`` (where it begins and ends in the text) and ``__items`` (sorted)."""
+    nothing = F.array().cast("array<array<bigint>>")
+    out = docs.withColumns({"__n_words": F.lit(0).cast("long"), "__spans": nothing, "__chars": nothing, "__items": F.array().cast("array<string>")})
+    schema, last = out.schema, None
+    for shard in _shards(benchmark, item_col, item_text, size, max_chars):
+        if last is not None:
+            out = cut(out)
+            last.destroy()
+        last = docs.sparkSession.sparkContext.broadcast(list(shard.items()))
+        out = out.mapInArrow(_scan_rows(last, uuid.uuid4().hex, text_col), schema)
     return out
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """A row for each document: what was hit, by which items."""
+    """A row for each document: what was hit, by which items, and where in the text the hits begin and end."""
     found = contamination(docs.select("doc_id", "text"), benchmark)
     hit = F.aggregate("__spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0] + 1)
-    return found.select("doc_id", F.col("__n_words").alias("n_words"), hit.alias("n_hit"), F.size("__items").cast("long").alias("n_items"), F.sha2(F.array_join("__items", ","), 256).alias("items_sha256")).withColumn("contaminated", F.col("n_hit") > 0)
+    return found.select("doc_id", F.col("__n_words").alias("n_words"), hit.alias("n_hit"), F.size("__items").cast("long").alias("n_items"), F.sha2(F.array_join("__items", ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"), F.get(F.get("__chars", F.lit(0)), F.lit(0)).alias("first_char"), F.get(F.get("__chars", F.size("__chars") - 1), F.lit(1)).alias("end_char"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

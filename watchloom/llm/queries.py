@@ -70,17 +70,19 @@ select doc_id, n as n_shingles, component_id, doc_id = component_id as kept from
 
 HIT_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 OP4 = f"""
-with d as (select doc_id, regexp_extract_all({LOWER.format("text")}, '{HIT_WORD}') as ws from documents),
+with d as (select row_number() over () as row, doc_id, regexp_extract_all({LOWER.format("text")}, '{HIT_WORD}') as ws, regexp_split_to_array({LOWER.format("text")}, '{HIT_WORD}') as gaps from documents),
 b as (select item_id, regexp_extract_all({LOWER.format("text")}, '{HIT_WORD}') as ws from benchmark),
 w as (select distinct item_id, least(10, len(ws)) as k, array_to_string(ws[i:i + least(10, len(ws)) - 1], ' ') as win
   from (select item_id, ws, unnest(range(1, greatest(1, len(ws) - 9) + 1)) as i from b where len(ws) > 0)),
 k as (select distinct k from w),
-p as (select doc_id, k, i, array_to_string(ws[i:i + k - 1], ' ') as win from (select doc_id, ws, k, unnest(range(1, len(ws) - k + 2)) as i from d, k where len(ws) >= k)),
-m as (select doc_id, i, p.k, item_id from p join w using (k, win)),
-h as (select doc_id, count(distinct pos) as n_hit from (select doc_id, unnest(range(i, i + k)) as pos from m) group by 1),
-t as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items from (select distinct doc_id, item_id::varchar as item from m) group by 1)
-select d.doc_id, len(ws) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
-from d left join h using (doc_id) left join t using (doc_id)
+p as (select row, k, i, array_to_string(ws[i:i + k - 1], ' ') as win from (select row, ws, k, unnest(range(1, len(ws) - k + 2)) as i from d, k where len(ws) >= k)),
+m as (select row, i, p.k, item_id from p join w using (k, win)),
+h as (select row, count(distinct pos) as n_hit, min(pos) as lo, max(pos) as hi from (select row, unnest(range(i, i + k)) as pos from m) group by 1),
+t as (select row, count(*) as n_items, string_agg(item, ',' order by item) as items from (select distinct row, item_id::varchar as item from m where item_id is not null) group by 1)
+select doc_id, len(ws) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated,
+  case when lo is not null then list_sum(list_transform(gaps[1:lo], lambda x: length(x))) + coalesce(list_sum(list_transform(ws[1:lo - 1], lambda x: length(x))), 0) end::bigint as first_char,
+  case when hi is not null then list_sum(list_transform(gaps[1:hi], lambda x: length(x))) + list_sum(list_transform(ws[1:hi], lambda x: length(x))) end::bigint as end_char
+from d left join h using (row) left join t using (row)
 """
 
 OP5 = """
