@@ -10,7 +10,6 @@ from ..sources import sinks
 from .aggregates import INTERESTING
 from .landed import landing
 from .relations import SCREEN, _queries
-from .scalars import pick
 from .views import LOG, ODI, PARTIES, PARTS, investments, log, parties, parts, table
 
 QUERIES: dict = {}
@@ -24,19 +23,49 @@ def q(name: str, sql: str | None = None):
     return put
 
 
+#: Titles around a name, the name that must come out and the pattern that must find it.
 TITLES = (
-    ("Adjudication order in the matter of M/s. Acme Traders Ltd dated 2 May", "Acme Traders Ltd", "in_the_matter_of"),
-    ("Order against Shri Ravi Kumar under section 11", "Ravi Kumar", "against"),
-    ("Interim order in respect of Beta Fund", "Beta Fund", "in_respect_of"),
-    ("Appeal filed by Gamma LLP against an order", "Gamma LLP", "filed_by"),
-    ("Order in the matter of certain trading activities", "Order in the matter of certain trading activities", "unchanged"),
-    ("Plain Name", "Plain Name", "unchanged"),
+    ("Adjudication Order in respect of Shri {} in the matter of Beta Industries Ltd", "{}", "in_respect_of+matter_of"),
+    ("Order with respect to {} Fund in matter of Beta", "{} Fund", "with_respect_to+matter_of"),
+    ("Order against {} Traders in the matter of Beta Industries Ltd", "{} Traders", "against+matter_of"),
+    ("Settlement Order against M/s. {} (PAN: ABCDE1234F)", "{}", "against+matter_of"),
+    ("Settlement application submitted by {} LLP in the matter of Gamma", "{} LLP", "by+matter_of"),
+    ("Completion of Recovery Certificate issued to {} [Defaulter]", "{}", "issued+defaulter"),
+    ("Recovery Proceedings RC No. 12 of 2020 - {}", "{}", "rc_no+dash+name"),
+    ("Certificate No. 33 of 2021 - {} Ltd (PAN: X)", "{} Ltd", "certificate_no+against"),
+    ("Interim order in the repsect of {} Fund", "{} Fund", "in_respect_of"),
+    ("Notice with respect to Smt. {}", "{}", "with_respect_to"),
+    ("Recovery against Mr. Dr. {}.", "{}", "against"),
+    ("Summons issued {} Corp in the matter of Delta", "{} Corp", "issued_to+matter_of"),
+    ("Summons issued to {}, PAN 5", "{}", "issued_to"),
+    ("Unserved Hearing Notice to {}", "{}", "notice_to"),
+    ("Order in the matter of {} Ltd. dated 2 May", "{} Ltd", "in_the_matter_of"),
+    ("Auction relating to {}", "{}", "relating_to"),
+    ("Release of Bank and Demat Accounts of {} under section 5", "{}", "accounts_of"),
+    ("Sale Notice for Immovable Property of {}", "{}", "auction_of_entity"),
+    ("Notice for E-Auction at noon of {}", "{}", "eauction_of"),
+    ("SEBI vs. {} & Ors.", "{}", "sebi_vs"),
+    ("Order against 14 entities in the matter of {} Ltd", "{} Ltd", "aggregate->in_the_matter_of"),
+    ("Order in respect of {}, erstwhile member of an exchange", "{}", "in_respect_of"),
+    ("Order in respect of {} Limited (Formerly Known as", "{} Limited", "in_respect_of"),
+    ("Order in respect of the company in the matter of {}", "{}", "in_the_matter_of"),
+    ("Order in respect of interim order for {}", "Order in respect of interim order for {}", "no_match"),
+    ("Order of the day about {}", "Order of the day about {}", "no_match"),
+    ("Plain {}", "Plain {}", "already_clean"),
 )
 
 
-@q("X10_title_entities", "select p_partkey as id, t[1] as name, t[2] as label from (select p_partkey, [" + ", ".join(f"['{n}', '{k}']" for _, n, k in TITLES) + "][(p_partkey % 6 + 1)::int] as t from part)")
+def _title_case(field: int) -> str:
+    def text(t: str) -> str:
+        return " || ".join(f"p_name || '{p}'" if i else f"'{p}'" for i, p in enumerate(t.split("{}")))
+
+    return " ".join(f"when {i} then {text(t[field])}" for i, t in enumerate(TITLES))
+
+
+@q("X10_title_entities", f"select p_partkey as id, case p_partkey % {len(TITLES)} {_title_case(1)} end as name, case p_partkey % {len(TITLES)} {_title_case(2)} end as label from part")
 def x10(s, d):
-    t = parts(s, d).select("id", entity_of_title(pick(F.col("id"), *[x[0] for x in TITLES])).alias("e"))
+    titles = F.array(*[F.concat(*[x for i, p in enumerate(t.split("{}")) for x in ((F.col("name"), F.lit(p)) if i else (F.lit(p),))]) for t, _, _ in TITLES])
+    t = parts(s, d).select("id", entity_of_title(F.element_at(titles, (F.col("id") % len(TITLES) + 1).cast("int"))).alias("e"))
     return t.select("id", "e.name", "e.label")
 
 
