@@ -26,6 +26,11 @@ def text_trigrams(c: Column) -> Column:
     return F.array_distinct(_grams(F.concat(F.lit("  "), c, F.lit(" "))))
 
 
+def inner_trigrams(c: Column) -> Column:
+    """Distinct trigrams of a text without padding; none where it is shorter."""
+    return F.when(F.length(c) >= 3, F.array_distinct(_grams(c))).otherwise(F.array().cast("array<string>"))
+
+
 def jaccard(a: Column, b: Column) -> Column:
     n = F.size(F.array_intersect(a, b))
     total = F.size(a) + F.size(b) - n

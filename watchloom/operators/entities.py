@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.similarity import jaccard, subset, text_trigrams, word_trigrams
@@ -10,6 +10,7 @@ from ..functions.text import entity_key, group_key, token_bag
 from ..functions.values import stable_id
 from ..shared import numbered, shared_dir
 from .rules import interesting_name
+from .similarity_join import rarest_first, similarity_join
 
 
 def groups(names: DataFrame, least_sources: int = 2) -> DataFrame:
@@ -35,10 +36,9 @@ def links(names: DataFrame) -> DataFrame:
 
 def fuzzy_links(group: DataFrame, names: DataFrame, threshold: float, per_group: int | None = None) -> DataFrame:
     """Records of sources that a group hasn't got whose names are similar to its own: the best a group and source."""
-    left = group.select("key", "sources", word_trigrams(F.col("key")).alias("g")).select("key", "sources", F.size("g").alias("gn"), F.explode("g").alias("gram"))
-    texts = names.where(F.length(F.trim("name")) > 4).select(group_key(F.col("name")).alias("t")).distinct().select("t", word_trigrams(F.col("t")).alias("g")).select("t", F.size("g").alias("n"), F.explode("g").alias("gram"))
-    hits = texts.join(left.select("key", "gn", "gram"), "gram").where((F.col("n") >= threshold * F.col("gn")) & (F.col("gn") >= threshold * F.col("n"))).groupBy("key", "t").agg(F.count("*").alias("both"), F.first("n").alias("n"), F.first("gn").alias("gn"))
-    hits = hits.withColumn("sim", F.col("both") / (F.col("n") + F.col("gn") - F.col("both"))).where((F.col("sim") > threshold) & (F.col("t") != F.col("key")))
+    left = group.select(F.col("key").alias("id"), word_trigrams(F.col("key")).alias("g"))
+    texts = names.where(F.length(F.trim("name")) > 4).select(group_key(F.col("name")).alias("id")).distinct().select("id", word_trigrams(F.col("id")).alias("g"))
+    hits = similarity_join(left, texts, threshold).where((F.col("sim") > threshold) & (F.col("a") != F.col("b"))).select(F.col("a").alias("key"), F.col("b").alias("t"), "sim")
     j = names.withColumn("t", group_key(F.col("name"))).join(hits, "t").join(group.select("key", "sources"), "key").where(~F.array_contains("sources", F.col("source_id")))
     if per_group is not None:
         top = Window.partitionBy("key").orderBy(F.desc(F.round("sim", 9)), "id")
@@ -52,7 +52,7 @@ def blocked_pairs(names: DataFrame, prefix: int = 3, block_cap: int | None = Non
 
     A cap keeps the rows of smallest id of each block, as a parameter; the default keeps all.
     """
-    rows = names.select("id", F.explode(F.array_distinct(F.transform(F.filter("bag", lambda t: F.length(t) >= prefix), lambda t: F.substring(t, 1, prefix)))).alias("block"))
+    rows = names.select("id", F.explode(_blocks(F.col("bag"), prefix)).alias("block"))
     if block_cap is not None:
         rows = rows.withColumn("r", F.row_number().over(Window.partitionBy("block").orderBy("id"))).where(F.col("r") <= block_cap).drop("r")
     a, b = rows.withColumnRenamed("id", "a"), rows.withColumnRenamed("id", "b")
@@ -60,20 +60,38 @@ def blocked_pairs(names: DataFrame, prefix: int = 3, block_cap: int | None = Non
 
 
 def matches(names: DataFrame, threshold: float = 0.55) -> DataFrame:
-    """Edges between distinct keys by the strongest of: same tokens, token subset, trigram similarity."""
+    """Edges between distinct keys that share a block, by the strongest of: same tokens, token subset, trigram similarity.
+
+    Candidates come from what either rule needs, not from blocks, so that a common block pairs nothing by itself.
+    """
     n = names.select("id", entity_key(F.col("name")).alias("key")).where("key <> ''")
     keys = n.groupBy("key").agg(F.min("id").alias("id")).withColumn("bag", token_bag(F.col("key")))
     same = keys.where(F.size("bag") > 0).groupBy("bag").agg(F.min("id").alias("a"), F.collect_list("id").alias("ids")).select("a", F.explode("ids").alias("b")).where("a <> b").select("a", "b", F.lit("token").alias("kind"), F.lit(1.0).alias("score"))
-    pairs = blocked_pairs(keys.where(F.size("bag") >= 1))
+    near = similarity_join(*[keys.select("id", text_trigrams(F.col("key")).alias("g"))] * 2, threshold).where("a < b").select("a", "b")
+    pairs = near.union(_subsets(keys)).distinct()
     x = keys.select(F.col("id").alias("a"), F.col("key").alias("ka"), F.col("bag").alias("ba"))
     y = keys.select(F.col("id").alias("b"), F.col("key").alias("kb"), F.col("bag").alias("bb"))
-    p = pairs.join(x, "a").join(y, "b").where(F.col("ba") != F.col("bb"))
+    p = pairs.join(x, "a").join(y, "b").where((F.col("ba") != F.col("bb")) & F.arrays_overlap(_blocks(F.col("ba")), _blocks(F.col("bb"))))
     contained = subset(F.col("ba"), F.col("bb")) & (F.least(F.size("ba"), F.size("bb")) >= 2)
     sim = jaccard(text_trigrams(F.col("ka")), text_trigrams(F.col("kb")))
     p = p.withColumn("contained", contained).withColumn("sim", sim).where(F.col("contained") | (F.col("sim") >= threshold))
     return same.unionByName(p.select("a", "b", F.when(F.col("contained"), "subset").otherwise("trigram").alias("kind"), F.round(F.when(F.col("contained"), 0.9).otherwise(F.col("sim")), 3).alias("score")))
 
 
+def _blocks(bag: Column, prefix: int = 3) -> Column:
+    return F.array_distinct(F.transform(F.filter(bag, lambda t: F.length(t) >= prefix), lambda t: F.substring(t, 1, prefix)))
+
+
+def _subsets(keys: DataFrame) -> DataFrame:
+    """Pairs of keys of which one has all tokens of the other, two at least: the smaller one's rarest token finds the larger."""
+    bags = keys.where(F.size("bag") >= 2).select("id", F.array_distinct("bag").alias("g"))
+    counts = bags.select(F.explode("g").alias("gram")).groupBy("gram").agg(F.count("*").alias("k"))
+    inner = rarest_first(bags, counts).select(F.col("id").alias("x"), F.col("g").alias("gx"), F.get("g", F.lit(0)).alias("gram"))
+    outer = bags.select(F.col("id").alias("y"), F.col("g").alias("gy"), F.explode("g").alias("gram"))
+    j = inner.join(outer, "gram").where((F.col("x") != F.col("y")) & (F.size(F.array_except("gx", "gy")) == 0))
+    return j.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def closure(edges: DataFrame) -> DataFrame:
     """``(node, label)``: connected components by least label, joined and grouped until nothing changes.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values of the domain, in their order of precedence.
@@ -26,6 +26,9 @@ LOW_STRATEGIES = ("raw_text", "unstructured", "pdf_ocr", "html_passthrough", "ra
 BLOCK_PHRASES = ("request rejected", "access denied", "please enable javascript", "javascript is required", "captcha required", "verify you are human", "are you a robot", "checking your browser", "human verification", "the requested url was rejected")
 NAV_TERMS = ("home", "about", "contact", "login", "search", "menu", "back", "next", "previous", "submit", "click here", "read more", "download", "skip to content")
 PRIORITY = ("rollback_zeroed", "rescrape_content", "rescrape_layout", "rescrape_recovery", "redownload_bulk", "rescrape_stale", "playwright_fallback")
+DEAD_STATUSES = ("dead_url", "url_not_found", "dead", "duplicate")
+BULK, SKIPPED = ("opensanctions_", "fatf_"), ("mca_", "icij_")
+BLOCKED_FOR_GOOD = ("income_tax_defaulters_35", "boi_wilful_defaulters", "boi_wilful_defaulters_131", "delhi_police_wanted_209", "delhi_police_proclaimed", "fcra_registered_associations", "gail_banning_list_144", "us_consolidated_screening")
 PRIORITY_AGENCIES = ("CBI", "Central Bureau of Investigation (CBI)", "National Investigation Agency (NIA)", "NIA", "Ministry of Home Affairs (MHA)", "MHA", "UNSC", "Interpol")
 HEADERS = (
     ("name", ("name", "person", "entity", "company", "firm", "individual", "accused", "defaulter", "borrower", "consultant", "contractor", "vendor", "agency", "organisation", "organization")),
@@ -39,6 +42,13 @@ def has_any(c: Column, words: tuple[str, ...]) -> Column:
     return reduce(lambda a, b: a | b, [c.contains(w) for w in words])
 
 
+def begins(c: Column, prefixes: tuple[str, ...]) -> Column:
+    found = F.lit(False)
+    for p in prefixes:
+        found = found | c.startswith(p)
+    return found
+
+
 def ladder(*rungs: tuple[Column, object], default: object = None) -> Column:
     """The value of the first rung that holds."""
     out = F
@@ -108,14 +118,27 @@ def count_alert(before: Column, after: Column, floor: Column) -> Column:
     return F.struct(kind.alias("type"), ladder((kind == "DATA_ZEROED", "CRIT"), ((kind == "DATA_REMOVED") & grave, "CRIT"), (kind == "DATA_ADDED", "INFO"), (kind.isNotNull(), "WARN")).alias("severity"))
 
 
-def healing_action(kind: Column, age: Column, last_http: Column) -> Column:
-    return ladder((kind == "CONTENT_CHANGED", "rescrape_content"), (kind == "LAYOUT_CHANGED", "rescrape_layout"), (kind == "DATA_ZEROED", "rollback_zeroed"), ((kind == "STALE") & (age >= 7), "rescrape_stale"), (kind == "BULK_STALE", "redownload_bulk"), ((kind == "HTTP_BLOCKED") & (last_http == "HTTP_OK"), "playwright_fallback"), ((kind == "HTTP_OK") & last_http.isin("HTTP_DOWN", "HTTP_BLOCKED"), "rescrape_recovery"))
+def healing_action(source_id: Column, kind: Column, age: Column, last_http: Column, status: Column) -> Column:
+    """What an alert calls for, null for nothing: sources that are dead, static or blocked for good get nothing."""
+    off = source_id.isNull() | (source_id == "") | F.coalesce(status.isin(*DEAD_STATUSES), F.lit(False)) | begins(source_id, SKIPPED) | source_id.isin(*BLOCKED_FOR_GOOD)
+    return ladder((off, None), (kind == "CONTENT_CHANGED", "rescrape_content"), (kind == "LAYOUT_CHANGED", "rescrape_layout"), (kind == "DATA_ZEROED", "rollback_zeroed"), ((kind == "STALE") & (F.coalesce(age, F.lit(0)) >= 7) & ~begins(source_id, BULK), "rescrape_stale"), (kind == "BULK_STALE", "redownload_bulk"), ((kind == "HTTP_BLOCKED") & (last_http == "HTTP_OK"), "playwright_fallback"), ((kind == "HTTP_OK") & last_http.isin("HTTP_DOWN", "HTTP_BLOCKED"), "rescrape_recovery"))
 
 
 def priority(action: Column) -> Column:
     return F.array_position(F.array(*[F.lit(x) for x in PRIORITY]), action)
 
 
+def one_action(actions: DataFrame, *source: str) -> DataFrame:
+    """Of each source's ``(id, action)`` the most pressing, the least id among equals."""
+    best = F.min(F.struct(priority(F.col("action")).alias("p"), "id", "action")).alias("best")
+    return actions.where("action is not null").groupBy(*source).agg(best).select(*source, "best.id", "best.action")
+
+
+def first_actions(actions: DataFrame, most: int) -> DataFrame:
+    """A run's actions, most pressing first, up to its limit."""
+    return actions.where("action is not null").orderBy(priority(F.col("action")), "id").limit(most)
+
+
 def change_label(agency: Column, added: Column, removed: Column, before: Column, after: Column) -> Column:
     """Why a source's changes are of high priority."""
     return F.array_compact(F.array(F.when(agency.isin(*PRIORITY_AGENCIES) & (added > 0), "added"), F.when(removed > 0, "removed"), F.when((before > 0) & ((before - after) / F.greatest(before, F.lit(1)) > 0.10), "large_drop")))

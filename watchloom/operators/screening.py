@@ -1,52 +1,66 @@
 """Tiered name screening, single or in bulk, as one distributed plan.
 
 Tier 1 is equality without case, tier 2 contains (queries of three characters or more), tier 3 word-trigram
-similarity. Queries are a small stated set: their number is checked and they are broadcast. Beyond
-``MAX_QUERIES`` tier 1 and 3 still run as equi-joins; contains needs blocks of that many.
+similarity. Names that can match a query share one of a few of its trigrams with it: the rarest of all for contains,
+as many of the rarest as the threshold asks for for similarity. So all tiers are equi-joins, whatever the number of
+queries; up to ``MAX_QUERIES`` they are broadcast, and then names aren't shuffled before they match.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.similarity import jaccard, word_trigrams
+from ..functions.similarity import inner_trigrams, jaccard, word_trigrams
 from .rules import level, overall
+from .similarity_join import prefix_length, similarity_join
 
 MAX_QUERIES = 1000
 
 
+def _tagged(words: Column, inner: Column) -> Column:
+    """Trigrams of either kind in one array."""
+    return F.concat(F.transform(words, lambda g: F.concat(F.lit("w"), g)), F.transform(inner, lambda g: F.concat(F.lit("i"), g)))
+
+
 def screen(queries: DataFrame, names: DataFrame, threshold: float = 0.3, limit: int = 10) -> DataFrame:
     """``queries(q_id, query)`` x ``names(id, name, source_id)`` -> the best ``limit`` matches of each query.
 
     A match has the tier that finds it first. Within a tier: similarity, then shorter names, then id.
     """
+    small = len(queries.select("q_id").take(MAX_QUERIES + 1)) <= MAX_QUERIES
+
+    def few(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if small else df
+
     q = queries.select("q_id", F.trim("query").alias("query")).where(F.length("query") >= 2)
-    q = q.withColumn("ql", F.lower("query")).withColumn("qg", word_trigrams(F.col("query")))
-    n = names.where(F.col("name").isNotNull()).select("id", "name", "source_id", F.lower("name").alias("nl"))
-    few = F.broadcast(q) if queries.limit(MAX_QUERIES + 1).count() <= MAX_QUERIES else q
-    exact = n.join(few.select("q_id", "ql"), n["nl"] == F.col("ql")).select("q_id", "id", "name", "source_id", F.lit(1).alias("tier"), F.lit(1.0).alias("sim"))
-    part = few.where(F.length("ql") >= 3)
-    inside = n.join(part.select("q_id", "ql", "qg"), n["nl"].contains(F.col("ql"))).select("q_id", "id", "name", "source_id", F.lit(2).alias("tier"), jaccard(F.col("qg"), word_trigrams(F.col("name"))).alias("sim"))
-    fuzzy = similar(few.select("q_id", F.col("query")), n.select("id", "name", "source_id"), threshold)
-    found = exact.unionByName(inside).unionByName(fuzzy)
-    found = found.groupBy("q_id", "id").agg(F.min_by(F.struct("name", "source_id", "tier", "sim"), "tier").alias("m")).select("q_id", "id", "m.*")
+    q = q.withColumn("ql", F.lower("query")).withColumn("qg", word_trigrams(F.col("query"))).withColumn("qi", inner_trigrams(F.col("ql")))
+    n = names.where(F.col("name").isNotNull()).select("id", "name", "source_id", F.lower("name").alias("nl"), word_trigrams(F.col("name")).alias("ng"))
+    posted = n.withColumn("gram", F.explode(_tagged(F.col("ng"), inner_trigrams(F.col("nl")))))
+
+    asked = q.select("q_id", "ql", "qg", F.explode(_tagged(F.col("qg"), F.col("qi"))).alias("gram"))
+    counts = posted.select("gram").join(few(asked.select("gram").distinct()), "gram", "left_semi").groupBy("gram").agg(F.count("*").alias("k"))
+    kind = F.substring("gram", 1, 1).alias("kind")
+    place = F.row_number().over(Window.partitionBy("q_id", kind).orderBy(F.coalesce("k", F.lit(0)), "gram"))
+    most = F.when(F.col("gram").startswith("i"), 1).otherwise(prefix_length(F.size("qg"), threshold))
+    keys = asked.join(counts, "gram", "left").withColumn("place", place).where(F.col("place") <= most).select("q_id", "ql", "qg", "gram")
+
+    sim = jaccard(F.col("qg"), F.col("ng"))
+    near = posted.join(few(keys), "gram").withColumn("sim", sim)
+    tier = F.when((F.length("ql") >= 3) & F.col("nl").contains(F.col("ql")), 2).when(F.col("sim") >= threshold, 3)
+    near = near.withColumn("tier", tier).where("tier is not null").select("q_id", "id", "name", "source_id", "tier", "sim")
+    exact = n.join(few(q.select("q_id", "ql")), n["nl"] == F.col("ql")).select("q_id", "id", "name", "source_id", F.lit(1).alias("tier"), F.lit(1.0).alias("sim"))
+    found = exact.unionByName(near).groupBy("q_id", "id").agg(F.min_by(F.struct("name", "source_id", "tier", "sim"), "tier").alias("m")).select("q_id", "id", "m.*")
     order = Window.partitionBy("q_id").orderBy("tier", F.desc(F.round("sim", 6)), F.length("name"), "id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit)
 
 
 def similar(queries: DataFrame, names: DataFrame, threshold: float) -> DataFrame:
-    """Similarity join over trigram postings: an equi-join on grams, counted, then the Jaccard filter.
-
-    Names are reduced to distinct texts first; a length filter drops pairs that can't reach the threshold.
-    """
-    left = queries.select("q_id", word_trigrams(F.col("query")).alias("g")).select("q_id", F.size("g").alias("qn"), F.explode("g").alias("gram"))
-    texts = names.select(F.lower("name").alias("t")).distinct().select("t", word_trigrams(F.col("t")).alias("g")).select("t", F.size("g").alias("n"), F.explode("g").alias("gram"))
-    fits = (F.col("n") >= threshold * F.col("qn")) & (F.col("qn") >= threshold * F.col("n"))
-    hits = texts.join(left, "gram").where(fits).groupBy("q_id", "t").agg(F.count("*").alias("both"), F.first("n").alias("n"), F.first("qn").alias("qn"))
-    sim = F.col("both") / (F.col("n") + F.col("qn") - F.col("both"))
-    hits = hits.withColumn("sim", sim).where(F.col("sim") >= threshold)
-    return names.join(hits, F.lower("name") == F.col("t")).select("q_id", "id", "name", "source_id", F.lit(3).alias("tier"), "sim")
+    """``(q_id, id, name, source_id, tier, sim)``: word-trigram similarity over different texts, joined back to the names."""
+    left = queries.select(F.col("q_id").alias("id"), word_trigrams(F.col("query")).alias("g"))
+    right = names.select(F.lower("name").alias("id")).distinct().select("id", word_trigrams(F.col("id")).alias("g"))
+    hits = similarity_join(left, right, threshold)
+    return names.join(hits, F.lower("name") == F.col("b")).select(F.col("a").alias("q_id"), "id", "name", "source_id", F.lit(3).alias("tier"), "sim")
 
 
 def report(queries: DataFrame, matches: DataFrame, other: DataFrame) -> DataFrame:

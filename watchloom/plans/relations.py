@@ -10,6 +10,7 @@ from ..functions import text as X
 from ..functions import values as V
 from ..operators import entities, rules, screening
 from .aggregates import INTERESTING
+from .scalars import pick
 from .views import DOCS, LOG, ODI, PARTIES, PARTS, docs, investments, joined, log, parties, parts, table
 
 QUERIES: dict = {}
@@ -234,18 +235,15 @@ def j03(s, d):
     return p.join(p.groupBy("name").agg(F.min("id").alias("anchor")), "name").select("id", "anchor")
 
 
-SMALL = "g as (select distinct lower(trim(name)) as key from parts where source_id < 'Brand#12')"
-
-
-@q("J04_similarity_join", f"with {PARTS}, {SMALL}, n as (select distinct lower(trim(name)) as t from parts), x as (select key, t, {GRAMS.format('key')} as a, {GRAMS.format('t')} as b from g, n) select key, t, round({JACCARD.format('a', 'b')}, 6) as sim from x where {JACCARD.format('a', 'b')} >= 0.4")
+@q("J04_similarity_join", f"with {PARTS}, g as (select distinct lower(trim(name)) as key from parts), n as (select distinct lower(trim(name)) as t from parts), x as (select key, t, {GRAMS.format('key')} as a, {GRAMS.format('t')} as b from g, n) select key, t, round({JACCARD.format('a', 'b')}, 6) as sim from x where {JACCARD.format('a', 'b')} >= 0.4")
 def j04(s, d):
     p = parts(s, d)
-    g = p.where("source_id < 'Brand#12'").select(X.group_key(F.col("name")).alias("query")).distinct().withColumn("q_id", F.col("query"))
+    g = p.select(X.group_key(F.col("name")).alias("query")).distinct().withColumn("q_id", F.col("query"))
     n = p.select(X.group_key(F.col("name")).alias("name")).distinct().withColumns({"id": F.lit(0), "source_id": F.lit("")})
     return screening.similar(g, n, 0.4).select(F.col("q_id").alias("key"), F.col("name").alias("t"), F.round("sim", 6).alias("sim"))
 
 
-FUZZY = f"""with {PARTS}, g as (select lower(trim(name)) as key, list(distinct source_id) as src from parts where source_id < 'Brand#14' group by 1), n as (select distinct lower(trim(name)) as t from parts where length(trim(name)) > 4),
+FUZZY = f"""with {PARTS}, g as (select lower(trim(name)) as key, list(distinct source_id) as src from parts group by 1), n as (select distinct lower(trim(name)) as t from parts where length(trim(name)) > 4),
 x as (select key, t, {GRAMS.format("key")} as a, {GRAMS.format("t")} as b from g, n where key <> t), h as (select key, t, {JACCARD.format("a", "b")} as sim from x where {JACCARD.format("a", "b")} > 0.3),
 m as (select h.key, p.id, p.source_id, h.sim from h join parts p on lower(trim(p.name)) = h.t join g using (key) where not list_contains(src, p.source_id))@M2@,
 b as (select *, row_number() over (partition by key, source_id order by round(sim, 9) desc, id) as r from m2) select key, id, source_id, round(sim, 6) as sim from b where r = 1"""
@@ -254,14 +252,14 @@ b as (select *, row_number() over (partition by key, source_id order by round(si
 @q("J05_fuzzy_top_per_group", FUZZY.replace("@M2@", ", m2 as (select * from (select *, row_number() over (partition by key order by round(sim, 9) desc, id) as place from m) where place <= 10)"))
 def j05(s, d):
     p = parts(s, d)
-    g = p.where("source_id < 'Brand#14'").groupBy(X.group_key(F.col("name")).alias("key")).agg(F.collect_set("source_id").alias("sources"))
+    g = p.groupBy(X.group_key(F.col("name")).alias("key")).agg(F.collect_set("source_id").alias("sources"))
     return entities.fuzzy_links(g, p, 0.3, per_group=10).withColumn("sim", F.round("sim", 6))
 
 
 @q("W02_best_fuzzy_per_source", FUZZY.replace("@M2@", ", m2 as (select * from m)"))
 def w02(s, d):
     p = parts(s, d)
-    g = p.where("source_id < 'Brand#14'").groupBy(X.group_key(F.col("name")).alias("key")).agg(F.collect_set("source_id").alias("sources"))
+    g = p.groupBy(X.group_key(F.col("name")).alias("key")).agg(F.collect_set("source_id").alias("sources"))
     return entities.fuzzy_links(g, p, 0.3).withColumn("sim", F.round("sim", 6))
 
 
@@ -453,19 +451,19 @@ def r02(s, d):
     return parts(s, d).select("id", rules.level(_sid(F.col("id"))).alias("level"))
 
 
-@q("R03_overall", f"with x as (select p_brand as g, {SID.format('p_partkey')} as sid from part where p_size > 46), l as (select g, list(distinct {LEVEL}) as ls from x group by 1) select g, case when list_contains(ls, 'HIGH') then 'HIGH' when list_contains(ls, 'MEDIUM') then 'MEDIUM' else 'LOW' end as level from l")
+@q("R03_overall", f"with x as (select p_brand || '/' || p_size as g, {SID.format('p_partkey')} as sid from part), l as (select g, list(distinct {LEVEL}) as ls from x group by 1) select g, case when list_contains(ls, 'HIGH') then 'HIGH' when list_contains(ls, 'MEDIUM') then 'MEDIUM' else 'LOW' end as level from l")
 def r03(s, d):
-    g = parts(s, d).where("size > 46").groupBy(F.col("source_id").alias("g")).agg(F.collect_set(rules.level(_sid(F.col("id")))).alias("ls"))
+    g = parts(s, d).groupBy(F.concat_ws("/", "source_id", "size").alias("g")).agg(F.collect_set(rules.level(_sid(F.col("id")))).alias("ls"))
     return g.select("g", rules.overall(F.col("ls"), F.lit(True), F.lit(False)).alias("level"))
 
 
 AGENCIES = ("CBI", "SEBI", "RBI", "BSE")
 
 
-@q("R04_verdict", "with x as (select p_name as name, ['CBI', 'SEBI', 'RBI', 'BSE'][(p_partkey % 4 + 1)::int] as agency, p_brand as lst from part where p_size > 44), g as (select name, count(*) as hits, count(distinct agency) as k, bool_or(agency = 'CBI') as crit from x group by 1) select name, case when crit or k >= 4 then 'CRITICAL' when k >= 2 then 'HIGH' when hits >= 2 then 'MEDIUM' else 'LOW' end as verdict from g")
+@q("R04_verdict", "with x as (select p_name || '/' || p_size as name, ['CBI', 'SEBI', 'RBI', 'BSE'][(p_partkey % 4 + 1)::int] as agency, p_brand as lst from part), g as (select name, count(*) as hits, count(distinct agency) as k, bool_or(agency = 'CBI') as crit from x group by 1) select name, case when crit or k >= 4 then 'CRITICAL' when k >= 2 then 'HIGH' when hits >= 2 then 'MEDIUM' else 'LOW' end as verdict from g")
 def r04(s, d):
     agency = F.element_at(F.array(*[F.lit(x) for x in AGENCIES]), (F.col("id") % 4 + 1).cast("int"))
-    g = parts(s, d).where("size > 44").groupBy("name").agg(F.collect_set(agency).alias("a"), F.collect_set("source_id").alias("l"), F.count("*").alias("hits"))
+    g = parts(s, d).groupBy(F.concat_ws("/", "name", "size").alias("name")).agg(F.collect_set(agency).alias("a"), F.collect_set("source_id").alias("l"), F.count("*").alias("hits"))
     return g.select("name", rules.verdict(F.col("a"), F.col("l"), F.col("hits")).alias("verdict"))
 
 
@@ -506,18 +504,46 @@ def r09(s, d):
     return r.select("source_id", "r.type", "r.severity").where("type is not null")
 
 
-@q("R10_healing_actions", f"with {LOG}, x as (select user_id, id, case source_id when 'click' then 'rescrape_content' when 'error' then 'rollback_zeroed' when 'view' then case when value >= 7 then 'rescrape_stale' end end as action from log), y as (select *, case action when 'rollback_zeroed' then 1 when 'rescrape_content' then 2 when 'rescrape_stale' then 6 end as p from x where action is not null), z as (select *, row_number() over (partition by user_id order by p, id) as r from y) select user_id, id, action from z where r = 1")
+#: Alerts around each event: kind, source and its status, and the action that must come out where age and history allow.
+ALERTS = (
+    ("CONTENT_CHANGED", "rbi_list", "active", "rescrape_content"), ("DATA_ZEROED", "rbi_list", None, "rollback_zeroed"), ("LAYOUT_CHANGED", "sebi_list", "active", "rescrape_layout"),
+    ("CONTENT_CHANGED", "sebi_list", "dead_url", None), ("DATA_ZEROED", "mca_dump", "active", None), ("CONTENT_CHANGED", "boi_wilful_defaulters", "active", None),
+    ("STALE", "ofac_list", "active", "rescrape_stale"), ("STALE", "opensanctions_peps", "active", None), ("BULK_STALE", "opensanctions_peps", "active", "redownload_bulk"),
+    ("HTTP_BLOCKED", "nia_list", "active", "playwright_fallback"), ("HTTP_OK", "nia_list", "active", "rescrape_recovery"), ("HTTP_DOWN", "nia_list", "active", None), ("VERY_STALE", "ofac_list", "active", None), ("HTTP_OK", "fatf_list", "duplicate", None),
+)
+HISTORY = ("HTTP_OK", "HTTP_DOWN", "HTTP_BLOCKED", None)
+
+
+def _alert_sql() -> str:
+    def listed(values) -> str:
+        return "[" + ", ".join("null" if v is None else f"'{v}'" for v in values) + "]"
+
+    k, h = f"(id % {len(ALERTS)} + 1)::int", "(id // 3 % 4 + 1)::int"
+    x = f"x as (select user_id, id, value, {listed(a[0] for a in ALERTS)}[{k}] as kind, {listed(a[1] for a in ALERTS)}[{k}] as sid, {listed(a[3] for a in ALERTS)}[{k}] as due, {listed(HISTORY)}[{h}] as was from log)"
+    return f"with {LOG}, {x}, y as (select user_id, sid, id, case when due = 'rescrape_stale' and value < 7 then null when due = 'playwright_fallback' and was is distinct from 'HTTP_OK' then null when due = 'rescrape_recovery' and (was is null or was = 'HTTP_OK') then null else due end as action from x)"
+
+
+def _actions(s, d):
+    x = log(s, d).select("user_id", "id", "value", pick(F.col("id"), *[a[0] for a in ALERTS]).alias("kind"), pick(F.col("id"), *[a[1] for a in ALERTS]).alias("sid"), pick(F.col("id"), *[a[2] for a in ALERTS]).alias("status"), pick(F.floor(F.col("id") / 3), *HISTORY).alias("was"))
+    return x.select("user_id", "sid", "id", rules.healing_action(F.col("sid"), F.col("kind"), F.col("value"), F.col("was"), F.col("status")).alias("action"))
+
+
+ACTIONS = ("rollback_zeroed", "rescrape_content", "rescrape_layout", "rescrape_recovery", "redownload_bulk", "rescrape_stale", "playwright_fallback")
+
+
+@q("R10_alert_actions", _alert_sql() + " select id, sid, action from y")
+def r10_all(s, d):
+    return _actions(s, d).select("id", "sid", "action")
+
+
+@q("R10_healing_actions", _alert_sql() + f", z as (select *, row_number() over (partition by user_id, sid order by list_position({list(ACTIONS)}, action), id) as r from y where action is not null) select user_id, sid, id, action from z where r = 1")
 def r10(s, d):
-    kind = rules.ladder((F.col("source_id") == "click", "CONTENT_CHANGED"), (F.col("source_id") == "error", "DATA_ZEROED"), (F.col("source_id") == "view", "STALE"), default="HTTP_DOWN")
-    x = log(s, d).select("user_id", "id", rules.healing_action(kind, F.col("value"), F.lit(None).cast("string")).alias("action")).where("action is not null")
-    w = Window.partitionBy("user_id").orderBy(rules.priority(F.col("action")), "id")
-    return x.withColumn("r", F.row_number().over(w)).where("r = 1").drop("r")
+    return rules.one_action(_actions(s, d), "user_id", "sid")
 
 
-@q("O09_priority_cap", f"with {LOG} select id, source_id, case source_id when 'error' then 1 when 'click' then 2 else 9 end as p from log order by p, id limit 10")
+@q("O09_priority_cap", _alert_sql() + f" select id, sid, action from y where action is not null order by list_position({list(ACTIONS)}, action), id limit 10")
 def o09(s, d):
-    p = rules.ladder((F.col("source_id") == "error", 1), (F.col("source_id") == "click", 2), default=9)
-    return log(s, d).select("id", "source_id", p.alias("p")).orderBy("p", "id").limit(10)
+    return rules.first_actions(_actions(s, d), 10).select("id", "sid", "action")
 
 
 @q("R11_change_labels", f"with {PARTS}, {COUNTS} select pre.source_id, concat_ws(',', case when pre.n > post.n then 'removed' end, case when (pre.n - post.n) / pre.n > 0.1 then 'large_drop' end) as labels from pre join post on pre.source_id = post.source_id")
@@ -543,10 +569,10 @@ def y04(s, d):
     return parts(s, d).select("name").distinct().select("name", F.round(Y.sequence_ratio(F.col("name"), F.lit("blue widget")), 6).alias("ratio"))
 
 
-@q("Y05_cosine_top", "with v as (select vec_id, embedding::double[] as e from embeddings), q as (select vec_id as qid, e as qe from v where vec_id % 100 = 0), x as (select qid, vec_id, list_cosine_similarity(qe, e) as c from q, v where vec_id <> qid), r as (select *, row_number() over (partition by qid order by round(c, 9) desc, vec_id) as k from x) select qid, vec_id, round(c, 6) as c from r where k <= 3")
+@q("Y05_cosine_top", "with v as (select vec_id, embedding::double[] as e from embeddings), q as (select vec_id as qid, e as qe from v where vec_id % 50 = 0), x as (select qid, vec_id, list_cosine_similarity(qe, e) as c from q, v where vec_id <> qid), r as (select *, row_number() over (partition by qid order by round(c, 9) desc, vec_id) as k from x) select qid, vec_id, round(c, 6) as c from r where k <= 3")
 def y05(s, d):
     v = table(s, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("e"))
-    few = v.where("vec_id % 100 = 0").select(F.col("vec_id").alias("qid"), F.col("e").alias("qe"))
+    few = v.where("vec_id % 50 = 0").select(F.col("vec_id").alias("qid"), F.col("e").alias("qe"))
     x = v.join(few, F.col("vec_id") != F.col("qid")).select("qid", "vec_id", Y.cosine(F.col("qe"), F.col("e")).alias("c"))
     w = Window.partitionBy("qid").orderBy(F.desc(F.round("c", 9)), "vec_id")
     return x.withColumn("k", F.row_number().over(w)).where("k <= 3").select("qid", "vec_id", F.round("c", 6).alias("c"))

@@ -117,9 +117,9 @@ def u06(s, d):
 def k13(s, d):
     at = landing(s)
     p = parts(s, d)
-    entities.groups(p).select("key", "group_id").write.parquet(f"{at}/groups")
-    entities.links(p).write.parquet(f"{at}/links")
-    return s.read.parquet(f"{at}/groups").agg(F.count("*").alias("groups")).join(s.read.parquet(f"{at}/links").agg(F.count("*").alias("links")))
+    entities.groups(p).select("key", F.lit(1).alias("group"), F.lit(0).alias("link")).write.parquet(f"{at}/groups")
+    entities.links(p).select("key", F.lit(0).alias("group"), F.lit(1).alias("link")).write.parquet(f"{at}/links")
+    return s.read.parquet(f"{at}/groups", f"{at}/links").agg(F.sum("group").alias("groups"), F.sum("link").alias("links"))
 
 
 @q("K18_match_file", f"with {PARTS} select name, count(distinct source_id) as n_sources from parts group by 1 having count(distinct source_id) >= 2")
@@ -130,10 +130,13 @@ def k18(s, d):
     return s.read.schema("name string, n_sources long").option("header", True).csv(at)
 
 
-@q("K19_tracker_rows", f"with {PARTS} select source_id, count(*) as rows, max(id) as last_id, case when count(*) < 3 then 'partial' else 'completed' end as status from parts group by 1")
+@q("K19_tracker_rows", f"with {PARTS}, g as (select source_id, count(*) as rows, max(id) as last_id, bool_or(name like 'red%') as real from parts where source_id <> 'Brand#7' group by 1), k as (select distinct source_id, right(source_id, 1) as e from parts) select k.source_id, coalesce(rows, 0) as rows, last_id, case when e = '1' then 'pending_recon' when e = '2' then 'skipped' when e = '3' then 'blocked' when rows is null then 'failed' when rows < 3 or not real then 'partial' else 'completed' end as status from k left join g using (source_id)")
 def k19(s, d):
-    g = parts(s, d).groupBy("source_id").agg(F.count("*").alias("rows"), F.max("id").alias("last_id"))
-    return g.withColumn("status", F.when(F.col("rows") < 3, "partial").otherwise("completed"))
+    p = parts(s, d)
+    g = p.where("source_id <> 'Brand#7'").groupBy("source_id").agg(F.count("*").alias("rows"), F.max("id").alias("last_id"), F.bool_or(F.col("name").startswith("red")).alias("real"))
+    t = p.select("source_id").distinct().join(g, "source_id", "left").withColumn("e", F.right("source_id", F.lit(1)))
+    status = rules.tracker_status(F.col("e") != "1", F.when(F.col("e") == "2", "duplicate").otherwise("list"), F.when(F.col("e") == "3", "blocked").otherwise("active"), F.col("rows"), F.lit(False), F.lit(1), F.lit("table"), F.coalesce("real", F.lit(False)))
+    return t.select("source_id", F.coalesce("rows", F.lit(0)).alias("rows"), "last_id", status.alias("status"))
 
 
 @q("K23_refresh_if_newer", "select count(*) as n from nation")
@@ -146,13 +149,8 @@ def k23(s, d):
     return s.read.parquet(f"{at}/backup/run={sinks.snapshot_stamps(s, f'{at}/backup')[0]}").agg(F.count("*").alias("n"))
 
 
-@q("A25_risk_histogram", f"with {PARTS} select case when source_id like '%1' then 'HIGH' when source_id like '%2' then 'MEDIUM' else 'LOW' end as level, count(*) as n from parts group by 1")
+@q("A25_risk_histogram", f"with {PARTS}, v as (select name || '/' || size as g, list(distinct case id % 6 when 0 then 'cbi_wanted' when 1 then 'loan_defaulter' else 'register' end) as v from parts group by 1), x as (select case when list_contains(v, 'cbi_wanted') then 'HIGH' when list_contains(v, 'loan_defaulter') then 'MEDIUM' else 'LOW' end as level from v) select level, count(*) as n from x group by 1")
 def a25(s, d):
-    level = rules.ladder((F.col("source_id").endswith("1"), "HIGH"), (F.col("source_id").endswith("2"), "MEDIUM"), default="LOW")
-    return parts(s, d).groupBy(level.alias("level")).agg(F.count("*").alias("n"))
-
-
-@q("R10_one_action_per_source", f"with {LOG}, x as (select source_id, user_id, case when value > 80 then 1 when value > 50 then 2 else 6 end as p from log) select source_id, user_id, min(p)::int as p from x group by 1, 2")
-def r10b(s, d):
-    p = rules.ladder((F.col("value") > 80, 1), (F.col("value") > 50, 2), default=6)
-    return log(s, d).groupBy("source_id", "user_id").agg(F.min(p).alias("p"))
+    source = rules.ladder((F.col("id") % 6 == 0, "cbi_wanted"), (F.col("id") % 6 == 1, "loan_defaulter"), default="register")
+    g = parts(s, d).groupBy(F.concat_ws("/", "name", "size")).agg(rules.group_risk(F.collect_set(source))["level"].alias("level"))
+    return g.groupBy("level").agg(F.count("*").alias("n"))
