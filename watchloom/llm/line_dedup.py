@@ -37,6 +37,7 @@ from .common import SPACE, cut, shared_dir, texts
 
 MIN_CHARS, MIN_DOCS = 20, 3
 FANOUT = 3
+SALTS = 16
 BUCKET_ROWS = 1_000_000  # rows of lines for a bucket of the runs
 BITS = 1 << 24  # of the map of documents that may lose lines, at most 2^18 rows
 RUN = "key binary, n_docs long, max_id long"
@@ -188,9 +189,13 @@ class LineRuns:
 
 
 def dropped_keys(found: DataFrame, runs: LineRuns, min_docs: int = MIN_DOCS) -> DataFrame:
-    """``(doc_id, __drop)``: the line hashes that a document loses, as one array of 16-byte values."""
-    common = runs.entries().where(F.col("n_docs") >= min_docs).select("key", "max_id")
-    lost = found.join(common, "key").where(~F.col("doc_id").eqNullSafe(F.col("max_id")))
+    """``(doc_id, __drop)``: the line hashes that a document loses, as one array of 16-byte values.
+
+    A line that a third of all documents share is dealt over ``SALTS`` tasks; the lines to drop are repeated as often.
+    """
+    common = runs.entries().where(F.col("n_docs") >= min_docs).select("key", "max_id", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    own = found.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    lost = own.join(common, ["key", "salt"]).where(~F.col("doc_id").eqNullSafe(F.col("max_id")))
     return lost.groupBy("doc_id").agg(F.collect_set("key").alias("__drop"))
 
 
