@@ -1,11 +1,19 @@
 """Rules, similarity and operators on small hand-made fixtures."""
 
+import difflib
+import io
+import random
+import zipfile
+
 import pytest
 from pyspark.sql import functions as F
 
 from watchloom.functions import similarity as Y
-from watchloom.operators import entities, rules
-from watchloom.sources import files, sinks
+from watchloom.functions.titles import entity_of_title
+from watchloom.operators import entities, rules, screening
+from watchloom.operators.similarity_join import similarity_join
+from watchloom.shared import numbered
+from watchloom.sources import configured, files, sinks
 from watchloom.streaming import changes as C
 
 
@@ -80,3 +88,142 @@ def test_delimited_options(spark, tmp_path, skip, header, names):
     (tmp_path / "f.tsv").write_text("\n".join(lines) + "\n")
     got = files.read_delimited(spark, str(tmp_path / "f.tsv"), "\t", header, skip)
     assert got.columns == names and rows(got) == [("1", "x"), ("2", "y")]
+
+
+def grams(text):
+    words = [w for w in "".join(c if c.isalnum() else " " for c in text.lower()).split()]
+    return {f"  {w} "[i : i + 3] for w in words for i in range(len(w) + 1)}
+
+
+def names(n, seed=1):
+    rng = random.Random(seed)
+    words = ["private", "limited", "ram", "lal", "kumar", "trading", "co", "steel", "gold", "x1", "é"]
+    return [" ".join(rng.choices(words, k=rng.randint(1, 4))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("threshold", [0.3, 0.55, 0.8, 1.0])
+def test_similarity_join_loses_no_pair(spark, threshold):
+    left, right = sorted(set(names(60, 1))), sorted(set(names(60, 2)))
+    side = lambda ns: spark.createDataFrame([(n,) for n in ns], "id string").select("id", Y.word_trigrams(F.col("id")).alias("g"))
+    want = {(a, b, round(len(grams(a) & grams(b)) / len(grams(a) | grams(b)), 9)) for a in left for b in right if len(grams(a) & grams(b)) >= threshold * len(grams(a) | grams(b))}
+    got = similarity_join(side(left), side(right), threshold).select("a", "b", F.round("sim", 9)).collect()
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("many", [False, True])
+def test_screening_by_brute_force_and_without_a_cartesian_plan(spark, many):
+    asked = [(i, q) for i, q in enumerate(["ram lal", "RAM", "old steel", "co", "--", "é", "limited", "x1 gold co"] + ([f"nobody {i}" for i in range(1100)] if many else []))]
+    records = [(i, n if i % 9 else None, f"s{i % 3}") for i, n in enumerate(names(150, 3))]
+    q = spark.createDataFrame(asked, "q_id int, query string")
+    n = spark.createDataFrame(records, "id int, name string, source_id string")
+    got = screening.screen(q, n, 0.4, 5)
+    text = plan(got)
+    assert "CartesianProduct" not in text and "BroadcastNestedLoop" not in text
+    want = set()
+    for k, query in asked[:8]:
+        if len(query.strip()) < 2:
+            continue
+        rows_ = []
+        for i, name, _ in records:
+            if name is None:
+                continue
+            a, b = grams(query), grams(name)
+            sim = len(a & b) / len(a | b) if a | b else 0
+            tier = 1 if name.lower() == query.lower() else 2 if len(query) >= 3 and query.lower() in name.lower() else 3 if sim >= 0.4 and a else None
+            if tier:
+                rows_.append((tier, -round(1.0 if tier == 1 else sim, 6), len(name), i))
+        want |= {(k, i, t, r + 1) for r, (t, _, _, i) in enumerate(sorted(rows_)[:5])}
+    assert {(r.q_id, r.id, r.tier, r["rank"]) for r in got.where("q_id < 8").collect()} == want
+
+
+def test_match_edges_by_brute_force(spark):
+    records = [(i, n) for i, n in enumerate(names(70, 5) + ["Ram Lal Steel", "Lal Ram", "M/s. Ram Lal Pvt Ltd"])]
+    got = {(r.a, r.b, r.kind) for r in entities.matches(spark.createDataFrame(records, "id long, name string"), 0.55).where("kind <> 'token'").collect()}
+    keys = spark.createDataFrame(records, "id long, name string").select("id", entities.entity_key(F.col("name")).alias("k")).where("k <> ''").groupBy("k").agg(F.min("id").alias("id")).withColumn("bag", entities.token_bag(F.col("k"))).collect()
+    text = lambda k: {f"  {k} "[i : i + 3] for i in range(len(k) + 1)}
+    want = set()
+    for x in keys:
+        for y in keys:
+            if x.id >= y.id or x.bag == y.bag or not {t[:3] for t in x.bag if len(t) > 2} & {t[:3] for t in y.bag if len(t) > 2}:
+                continue
+            sub = (set(x.bag) <= set(y.bag) or set(y.bag) <= set(x.bag)) and min(len(x.bag), len(y.bag)) >= 2
+            sim = len(text(x.k) & text(y.k)) / len(text(x.k) | text(y.k))
+            if sub or sim >= 0.55:
+                want.add((x.id, y.id, "subset" if sub else "trigram"))
+    assert got == want and len(want) > 20
+
+
+def test_positions_and_ratios_by_brute_force(spark):
+    keys = [(n, i) for i, n in enumerate(dict.fromkeys(names(90, 7)))]
+    df = spark.createDataFrame(keys, "key string, first long").repartition(7)
+    pairs = entities.positional_pairs(df, 5)
+    assert "Window" not in plan(pairs)
+    got = {(r.ka, r.kb, round(r.ratio, 9)) for r in pairs.withColumn("ratio", Y.sequence_ratio(F.col("ka"), F.col("kb"))).collect()}
+    want = {(a, b, round(difflib.SequenceMatcher(None, a, b).ratio(), 9)) for i, (a, _) in enumerate(keys) for b, _ in keys[i + 1 : i + 6]}
+    assert got == want
+    assert [r.n for r in numbered(df, F.desc("first")).orderBy(F.desc("first")).collect()] == list(range(1, len(keys) + 1))
+    assert numbered(df.limit(0), F.col("first")).count() == 0
+
+
+def test_titles_by_the_published_examples(spark):
+    rows_ = [
+        ("Adjudication Order in respect of Acme in the matter of Beta", "Acme"), ("Order against Alpha Traders in the matter of Beta Industries Ltd", "Alpha Traders"), ("Unserved Hearing Notice to Alpha", "Alpha"), ("Order in respect of a purchaser in the matter of Beta Ltd.", "a purchaser"),
+        ("Order in respect of Alpha (India)", "Alpha"), ("Settlement order by Shri Ravi, proprietor of Ravi & Co in the matter of X Ltd", "Ravi"), ("", ""), (None, ""), ("Ravi Kumar", "Ravi Kumar"),
+    ]
+    got = [tuple(r) for r in spark.createDataFrame(rows_, "t string, want string").select(entity_of_title(F.col("t"))["name"], "want", entity_of_title(F.col("t"))["label"]).collect()]
+    assert [(a, b) for a, b, _ in got if a != b] == [("Beta Ltd", "a purchaser")]  # a rejected capture falls through
+    assert [x[2] for x in got][-3:] == ["empty", "empty", "already_clean"]
+
+
+def workbook(sheets):
+    shared = list(dict.fromkeys(c for _, rows_ in sheets for r in rows_ for c in r if isinstance(c, str)))
+    out, ns = io.BytesIO(), 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("xl/sharedStrings.xml", f"<sst {ns}>" + "".join(f"<si><r><t>{s}</t></r></si>" for s in shared) + "</sst>")
+        z.writestr("xl/workbook.xml", f'<workbook {ns} xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"><sheets>' + "".join(f'<sheet name="{n}" sheetId="{i + 1}" r:id="rId{i}"/>' for i, (n, _) in enumerate(sheets)) + "</sheets></workbook>")
+        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">' + "".join(f'<Relationship Id="rId{i}" Target="worksheets/sheet{i}.xml"/>' for i in range(len(sheets))) + "</Relationships>")
+        for i, (_, rows_) in enumerate(sheets):
+            body = "".join(f'<row r="{k + 1}">' + "".join(f'<c r="{chr(65 + j)}{k + 1}" t="s"><v>{shared.index(c)}</v></c>' if isinstance(c, str) else f'<c r="{chr(65 + j)}{k + 1}"><v>{c}</v></c>' for j, c in enumerate(r) if c is not None) + "</row>" for k, r in enumerate(rows_) if r)
+            z.writestr(f"xl/worksheets/sheet{i}.xml", f"<worksheet {ns}><sheetData>{body}</sheetData></worksheet>")
+    return out.getvalue()
+
+
+def test_all_sheets_of_a_workbook(spark, tmp_path):
+    head = ["Sr", "Name of Indian Party", "Total"]
+    sheets = [("Summary", [head, [1, "No Ltd", 1]]), ("March", [["From : 01/03/2020 To : 31/03/2020"], head, [1, "A Ltd", 5], [], [2, None, 7], ["Total", None, 12], [3, "C Ltd", 1]]), ("April", [["x"], head, [1, "B Ltd", 9]])]
+    (tmp_path / "w.xlsx").write_bytes(workbook(sheets))
+    every = files.read_sheet(spark, f"{tmp_path}/*.xlsx")
+    assert rows(every.groupBy("sheet").count()) == [("April", 3), ("March", 7), ("Summary", 2)]
+    assert [r.cells for r in every.where("sheet = 'March' and row_no = 4").collect()] == [["2", "", "7"]]
+    body = files.sheet_body(every, "indian party", ("total",))
+    assert {(r.sheet, r.cells[2], str(r.period_from)) for r in body.collect()} == {("March", "5", "2020-03-01"), ("March", "7", "2020-03-01"), ("April", "9", "None")}
+    assert files.read_sheet(spark, f"{tmp_path}/*.xlsx", "April").count() == files.read_sheet(spark, f"{tmp_path}/*.xlsx", 2).count() == 3
+    config = {"engine": "file_download", "format": "xlsx", "agency": "A", "list_name": "L", "sheet_name": "March", "skip_rows": 1, "field_map": {"name": "Name of Indian Party", "details": "Sr,Total"}}
+    assert {(r.name, r.details) for r in configured.records(spark, config, f"{tmp_path}/*.xlsx", "now").collect()} == {("A Ltd", "1 | 5"), ("C Ltd", "3 | 1")}
+    (tmp_path / "bad.xlsx").write_bytes(b"PK\x03\x04 broken")
+    with pytest.raises(Exception, match="(?i)zip"):
+        files.read_sheet(spark, f"{tmp_path}/bad.xlsx").count()
+
+
+def test_a_swap_that_stops_half_way_loses_nothing(spark, tmp_path):
+    at = f"{tmp_path}/t"
+    sinks.swap(spark.range(5).toDF("v"), at)
+    (tmp_path / "t").rename(tmp_path / "t.old")  # the process died between the two moves
+    sinks.settle(spark, at)
+    assert spark.read.parquet(at).count() == 5
+    (tmp_path / "t.old").mkdir()  # it died before the old table was deleted
+    sinks.swap(spark.range(7).toDF("v"), at)
+    assert spark.read.parquet(at).count() == 7 and not (tmp_path / "t.old").exists()
+
+
+def test_configured_html_repeats_and_links(spark, tmp_path):
+    page = "<table><tr><th>Name</th><th>No</th></tr><tr><td><a href='/d.pdf'>A  Ltd</a></td><td>1</td></tr><tr><td>a ltd</td><td>1</td></tr><tr><td>B</td><td><a href='http://o/x'>2</a></td></tr><tr><td></td><td>3</td></tr></table>"
+    (tmp_path / "p.html").write_text(page)
+    config = {"engine": "html_table", "agency": "A", "list_name": "L", "url": "http://h/en/list", "field_map": {"name": "Name", "details": "No"}, "validation": {"min_records": 3, "required_fields": ["name", "address"], "max_empty_name_pct": 5}}
+    got = configured.records(spark, config, str(tmp_path), "now")
+    assert rows(got.select("name", "details", "document_url", "has_document")) == [("A Ltd", "1", "http://h/d.pdf", "Yes"), ("B", "2", "http://o/x", "Yes")]
+    assert len(configured.problems(got, config)) == 2

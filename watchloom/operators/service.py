@@ -1,14 +1,15 @@
-"""What the reference offers as calls: screening, investment search and reports, sources, status. Each gives a DataFrame."""
+"""The call surface: screening and reports on names, investment search, statistics and exports, sources, status. Each call gives a DataFrame."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.values import day
 from . import screening
+from .rules import verdict
 
 
 @dataclass
@@ -87,3 +88,55 @@ def investment_search(odi: DataFrame, company: str | None = None, country: str |
     for w in wanted:
         odi = odi.where(w)
     return odi.orderBy(at.desc_nulls_last(), F.desc_nulls_last("total"), "id").offset((page - 1) * per_page).limit(per_page)
+
+
+MOST_EXPORTED = 10_000
+
+
+def name_report(spark: SparkSession, name: str, records: DataFrame, threshold: float = 0.3) -> DataFrame:
+    """One name's hits and what follows from them: agencies, lists, verdict. Records need ``source_agency``."""
+    hits = screen_names(spark, [name], records, threshold, 100)
+    found = hits.join(records.select("id", "source_agency"), "id")
+    one = found.agg(F.count("*").alias("hits"), F.array_sort(F.collect_set("source_agency")).alias("agencies"), F.array_sort(F.collect_set("source_id")).alias("lists"), F.min("tier").alias("tier"))
+    return one.select(F.lit(name).alias("query"), "hits", "agencies", "lists", "tier", verdict(F.col("agencies"), F.col("lists"), F.col("hits")).alias("verdict"))
+
+
+def source_list(records: DataFrame, least: int = 1) -> DataFrame:
+    """Sources with their number of records and last name in order."""
+    own = records.where("source_id is not null and source_id <> ''")
+    return own.groupBy("source_id").agg(F.max("name").alias("last_name"), F.count("*").alias("n")).where(F.col("n") >= least)
+
+
+def health(records: DataFrame, log: DataFrame) -> DataFrame:
+    """One row: records, sources, and when the last run was seen."""
+    a = records.agg(F.count("*").alias("n"), F.countDistinct("source_id").alias("sources"))
+    return a.withColumn("last_seen", F.lit(log.agg(F.max("scraped_at")).first()[0]))
+
+
+def investment_stats(odi: DataFrame) -> DataFrame:
+    at = day(F.col("period_from"))
+    return odi.agg(F.count("*").alias("n"), F.coalesce(F.sum("total"), F.lit(0)).cast("double").alias("total"), F.countDistinct("indian_party").alias("companies"), F.countDistinct("country").alias("countries"), F.min(at).alias("first_day"), F.max(at).alias("last_day"))
+
+
+def company_report(odi: DataFrame, company: str) -> DataFrame:
+    """A company's number and sum in all, by year, by country and by kind; the name is matched without case."""
+    own = odi.where(F.lower("indian_party") == company.strip().lower()).withColumn("year", F.substring("period_from", 7, 4))
+    return own.groupingSets([[], ["year"], ["country"], ["jv_or_wos"]], "year", "country", "jv_or_wos").agg(F.count("*").alias("n"), F.sum("total").cast("double").alias("total"))
+
+
+def country_list(odi: DataFrame) -> DataFrame:
+    return odi.where(F.trim("country") != "").groupBy("country").agg(F.count("*").alias("n"))
+
+
+def country_report(odi: DataFrame, most: int = 20) -> DataFrame:
+    """The companies with the largest sums in each country."""
+    c = odi.groupBy("country", "indian_party").agg(F.count("*").alias("n"), F.sum("total").alias("total"))
+    place = F.row_number().over(Window.partitionBy("country").orderBy(F.desc("total"), "indian_party"))
+    return c.withColumn("place", place).where(F.col("place") <= most).withColumn("total", F.col("total").cast("double"))
+
+
+def export(odi: DataFrame, path: str, **filters) -> DataFrame:
+    """The first ``MOST_EXPORTED`` rows of a search as a CSV file with a header, and the rows."""
+    found = investment_search(odi, page=1, per_page=MOST_EXPORTED, **filters)
+    found.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    return odi.sparkSession.read.schema(found.schema).option("header", True).csv(path)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import values as V
-from ..operators import entities, rules
+from ..operators import entities, rules, service
 from .views import DOCS, LOG, ODI, PARTIES, PARTS, SNAPS, docs, investments, joined, log, parties, parts, snapshot, table
 
 QUERIES: dict = {}
@@ -62,7 +62,7 @@ def a07(s, d):
 
 @q("A08_sources_summary", f"with {PARTS} select source_id, max(name) as last_name, count(*) as n from parts where source_id is not null and source_id <> '' group by 1 having count(*) >= 60")
 def a08(s, d):
-    return parts(s, d).where("source_id is not null and source_id <> ''").groupBy("source_id").agg(F.max("name").alias("last_name"), F.count("*").alias("n")).where("n >= 60")
+    return service.source_list(parts(s, d), 60)
 
 
 DAY = "strptime(period_from, '%d/%m/%Y')::date"
@@ -70,8 +70,7 @@ DAY = "strptime(period_from, '%d/%m/%Y')::date"
 
 @q("A09_investment_stats", f"with {ODI} select count(*) as n, coalesce(sum(total), 0)::double as total, count(distinct indian_party) as companies, count(distinct country) as countries, min({DAY}) as first_day, max({DAY}) as last_day from odi")
 def a09(s, d):
-    day = V.day(F.col("period_from"))
-    return investments(s, d).agg(F.count("*").alias("n"), F.coalesce(F.sum("total"), F.lit(0)).cast("double").alias("total"), F.countDistinct("indian_party").alias("companies"), F.countDistinct("country").alias("countries"), F.min(day).alias("first_day"), F.max(day).alias("last_day"))
+    return service.investment_stats(investments(s, d))
 
 
 @q("A10_top_countries_companies", f"with {ODI}, c as (select 'country' as kind, country as name, count(*) as n, sum(total) as total from odi group by 2 order by n desc, name limit 10), p as (select 'company' as kind, indian_party as name, count(*) as n, sum(total) as total from odi group by 2 order by total desc, name limit 10) select kind, name, n, total::double as total from (from c union all from p)")
@@ -84,7 +83,7 @@ def a10(s, d):
 
 @q("A11_country_list", f"with {ODI} select country, count(*) as n from odi where trim(country) <> '' group by 1")
 def a11(s, d):
-    return investments(s, d).where(F.trim("country") != "").groupBy("country").agg(F.count("*").alias("n"))
+    return service.country_list(investments(s, d))
 
 
 @q("A12_company_detail", f"with {ODI} select indian_party, round(sum(total), 4)::double as total, count(*) as n, array_to_string(list_sort(list(distinct country)), ',') as countries from odi group by 1")
@@ -95,17 +94,15 @@ def a12(s, d):
 SETS = "select {0} as year, country, jv_or_wos, count(*) as n, sum(total)::double as total from odi where {1} group by grouping sets ((), (1), (2), (3))"
 
 
-@q("A13_company_report", f"with {ODI} " + SETS.format("substr(period_from, 7, 4)", "indian_party < 'Customer#000000050'"))
+@q("A13_company_report", f"with {ODI} " + SETS.format("substr(period_from, 7, 4)", "true"))
 def a13(s, d):
-    o = investments(s, d).where(F.col("indian_party") < "Customer#000000050").withColumn("year", F.substring("period_from", 7, 4))
+    o = investments(s, d).withColumn("year", F.substring("period_from", 7, 4))
     return o.groupingSets([[], ["year"], ["country"], ["jv_or_wos"]], "year", "country", "jv_or_wos").agg(F.count("*").alias("n"), F.sum("total").cast("double").alias("total"))
 
 
 @q("A14_country_report", f"with {ODI}, c as (select country, indian_party, count(*) as n, sum(total) as total, row_number() over (partition by country order by sum(total) desc, indian_party) as place from odi group by 1, 2) select country, indian_party, n, total::double as total, place::int as place from c where place <= 20")
 def a14(s, d):
-    c = investments(s, d).groupBy("country", "indian_party").agg(F.count("*").alias("n"), F.sum("total").alias("total"))
-    w = Window.partitionBy("country").orderBy(F.desc("total"), "indian_party")
-    return c.withColumn("place", F.row_number().over(w)).where("place <= 20").withColumn("total", F.col("total").cast("double"))
+    return service.country_report(investments(s, d))
 
 
 @q("A15_year_coverage", f"with {ODI} select substr(period_from, 7, 4) as year, count(distinct substr(period_from, 4, 2)) as months from odi group by 1")

@@ -11,7 +11,7 @@ from ..functions import text as X
 from ..functions import values as V
 from ..operators import rules
 from ..shared import shared_dir
-from ..sources import files, sinks
+from ..sources import configured, files, grammars, sinks
 from ..streaming import changes as C
 from .views import DOCS, LOG, ODI, PARTIES, PARTS, SNAPS, docs, investments, log, parties, parts, snapshot, table
 
@@ -208,13 +208,108 @@ def s29(s, d):
     return files.jurisdiction_list(s, {"black": ["A"], "grey": ["B", "C"]}).select("name", "source_list")
 
 
-SHEET = ["Period;From : 01/02/2020 To : 29/02/2020", "Sr;Name of Indian Party;Total", "1;A Ltd;5", "2;B Ltd;7", "Total;;12", "3;C Ltd;1"]
+@q("S30_sheet_body", "with x as (select n_regionkey as r, n_nationkey, n_name from nation) select 'region ' || r as sheet, n_name as party, n_nationkey::int as total, make_date(2020, r + 1, 1) as period_from from x")
+def s30(s, d):
+    n = table(s, d, "nation").select(F.concat(F.lit("region "), F.col("n_regionkey").cast("string")).alias("sheet"), "n_regionkey", "n_nationkey", "n_name")
+    cells = lambda *c: F.array(*[F.lit(x) if isinstance(x, str) else x for x in c])
+    month = F.lpad((F.col("n_regionkey") + 1).cast("string"), 2, "0")
+    one = n.select("sheet", "n_regionkey").distinct()
+    above = one.select("sheet", F.lit(0).alias("row_no"), cells(F.concat(F.lit("From : 01/"), month, F.lit("/2020 To : 28/"), month, F.lit("/2020"))).alias("cells"))
+    head = one.select("sheet", F.lit(3).alias("row_no"), cells("Sr", "Name of Indian Party", "Total").alias("cells"))
+    body = n.select("sheet", (F.col("n_nationkey") * 2 + 4).cast("int").alias("row_no"), cells(F.lit("1"), F.col("n_name"), F.col("n_nationkey").cast("string")).alias("cells"))
+    foot = one.select("sheet", F.lit(90).alias("row_no"), cells(" ", "Total", "12").alias("cells")).union(one.select("sheet", F.lit(91).alias("row_no"), cells("9", "Late Ltd", "1").alias("cells"))).union(one.select("sheet", F.lit(5).alias("row_no"), cells(" ", "").alias("cells")))
+    every = above.union(head).union(body).union(foot).union(head.withColumn("sheet", F.lit("Summary"))).union(body.withColumn("sheet", F.lit("Summary"))).withColumn("file", F.lit("f"))
+    return files.sheet_body(every, "indian party", ("total", "note")).select("sheet", F.get("cells", 1).alias("party"), F.get("cells", 2).cast("int").alias("total"), "period_from")
 
 
-@q("S30_sheet_body", "select * from (values ('A Ltd', 5), ('B Ltd', 7)) v(party, total)")
-def s30(s, d):
-    rows = s.createDataFrame([("f", i, r.split(";")) for i, r in enumerate(SHEET)], "file string, row_no int, cells array<string>")
-    return files.sheet_body(rows, "indian party", ("total", "note")).select(F.get("cells", 1).alias("party"), F.get("cells", 2).cast("int").alias("total"))
+#: Configurations of one source each engine and shape (the ways in which they name fields are fixed values).
+FILE_CONFIG = {"source_id": "file_list", "agency": "Agency F", "list_name": "List F", "engine": "file_download", "url": "http://f/list.csv", "format": "csv", "encoding": "latin-1", "delimiter": ",", "has_header": False, "field_map": {"name": "1", "details": "2,3,4", "address": "5,6"}, "validation": {"min_records": 100}}
+API_CONFIG = {"source_id": "api_list", "agency": "Agency A", "list_name": "List A", "engine": "api_json", "url": "http://a/list", "response_path": "$.data", "field_map": {"name": "description", "details": "case_no,type", "case_unit": "case_no", "address": "$.place.city"}, "validation": {"min_records": 10}}
+HTML_CONFIG = {"source_id": "web_list", "agency": "Agency W", "list_name": "List W", "engine": "html_table", "url": "http://w/en/list", "table_selector": "table", "field_map": {"name": "Name", "details": "With Effect From,Duration"}, "validation": {"min_records": 10}}
+MIXED_CONFIG = {"source_id": "mixed_list", "agency": "Agency M", "list_name": "List M", "engine": "api_json", "url": "http://m/fetch", "response_path": "$.html", "response_format": "html_in_json", "field_map": {"name": "Name of Firm", "details": "Region,Branch", "address": "District,State"}, "validation": {"min_records": 1}}
+XML_CONFIG = {"source_id": "xml_list", "agency": "Agency X", "list_name": "List X", "engine": "file_download", "url": "http://x/list.xml", "format": "xml", "response_path": ".//entry", "field_map": {"name": "name", "details": "region,code"}}
+TSV_CONFIG = {"source_id": "sheet_list", "agency": "Agency S", "list_name": "List S", "engine": "file_download", "url": "http://s/list.xls", "format": "xls", "skip_rows": 1, "field_map": {"name": "Name", "details": "Key,Region"}}
+SCRAPED = "2026-01-01 00:00:00"
+
+
+def _from_config(s, config, path):
+    found = configured.records(s, config, path, SCRAPED)
+    return found.select("source_agency", "source_list", "name", "details", "address", "case_unit", "has_document", "document_url", "detail_page_url", "link_kind", "scraped_at")
+
+
+def _config_sql(config, name, details, address="''", unit="''", url="''", rest=""):
+    return f"select '{config['agency']}' as source_agency, '{config['list_name']}' as source_list, {name} as name, {details} as details, {address} as address, {unit} as case_unit, case when {url} <> '' then 'Yes' else 'No' end as has_document, {url} as document_url, '{config['url']}' as detail_page_url, 'config_engine' as link_kind, '{SCRAPED}' as scraped_at {rest}"
+
+
+@q("S35_file_config", _config_sql(FILE_CONFIG, "c_name", "concat_ws(' | ', nullif(c_mktsegment, 'BUILDING'), c_custkey::varchar)", "concat_ws(' | ', n_name, 'k' || c_nationkey)", rest="from customer join nation on n_nationkey = c_nationkey where c_custkey % 9 <> 0"))
+def s35_file(s, d):
+    at = landing(s)
+    c = table(s, d, "customer").join(table(s, d, "nation"), F.col("n_nationkey") == F.col("c_nationkey"))
+    rows = c.select("c_custkey", F.when(F.col("c_custkey") % 9 == 0, " ").otherwise(F.concat(F.lit("  "), F.col("c_name"))), F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_mktsegment")), F.lit(""), F.col("c_custkey").cast("string").alias("k"), "n_name", F.concat(F.lit("k"), "c_nationkey"))
+    rows.toDF(*[f"c{i}" for i in range(7)]).write.option("encoding", "ISO-8859-1").csv(at)
+    return _from_config(s, FILE_CONFIG, at)
+
+
+@q("S35_api_config", _config_sql(API_CONFIG, "p_name", "p_partkey::varchar || ' | ' || p_brand", "p_type", "p_partkey::varchar", rest="from part where p_partkey % 10 <> 3"))
+def s35_api(s, d):
+    at = landing(s)
+    record = F.struct(F.when(F.col("p_partkey") % 10 == 3, "").otherwise(F.col("p_name")).alias("description"), F.col("p_partkey").alias("case_no"), F.col("p_brand").alias("type"), F.struct(F.col("p_type").alias("city")).alias("place"))
+    pages = table(s, d, "part").groupBy(F.expr("p_partkey div 50")).agg(F.collect_list(record).alias("data"))
+    pages.select(F.to_json(F.struct(F.lit(True).alias("ok"), "data")).alias("value")).repartition(40, "value").write.option("maxRecordsPerFile", 1).text(at)
+    return _from_config(s, API_CONFIG, at)
+
+
+def _table_html(heads, cells):
+    head = "<table><tr><td>menu</td></tr></table><table><tr>" + "".join(f"<th>{h}</th>" for h in heads) + "</tr>"
+    row = F.concat(F.lit("<tr>"), *[x for c in cells for x in (F.lit("<td>"), c, F.lit("</td>"))], F.lit("</tr>"))
+    return lambda df, key: df.groupBy(key).agg(F.concat(F.lit(head), F.array_join(F.array_sort(F.collect_list(row)), ""), F.lit("</table>")).alias("value"))
+
+
+@q("S35_html_config", _config_sql(HTML_CONFIG, "name", "source_id || ' | ' || size", url="'http://w/en/doc' || size || '.pdf'", rest=f"from (with {PARTS} select any_value(name) as name, source_id, size from parts group by lower(name), source_id, size)"))
+def s35_html(s, d):
+    at = landing(s)
+    link = F.concat(F.lit("<a href='doc"), F.col("size").cast("string"), F.lit(".pdf'> "), F.col("name"), F.lit("</a>"))
+    page = _table_html(("Name", "With Effect From", "Duration"), (link, F.col("source_id"), F.col("size").cast("string")))
+    page(parts(s, d), F.expr("id div 100")).select("value").repartition(40, "value").write.option("maxRecordsPerFile", 1).text(at)
+    return _from_config(s, HTML_CONFIG, at)
+
+
+@q("S35_html_in_json_config", _config_sql(MIXED_CONFIG, "s_name", "'R' || s_nationkey || ' | ' || s_suppkey", "n_name", rest="from supplier join nation on n_nationkey = s_nationkey"))
+def s35_mixed(s, d):
+    at = landing(s)
+    x = table(s, d, "supplier").join(table(s, d, "nation"), F.col("n_nationkey") == F.col("s_nationkey"))
+    page = _table_html(("Name of Firm", "Region", "Branch", "District", "State"), (F.col("s_name"), F.concat(F.lit("R"), F.col("s_nationkey").cast("string")), F.col("s_suppkey").cast("string"), F.col("n_name"), F.lit(" ")))
+    page(x, "s_nationkey").select(F.to_json(F.struct(F.col("value").alias("html"))).alias("value")).repartition(25, "value").write.option("maxRecordsPerFile", 1).text(at)
+    return _from_config(s, MIXED_CONFIG, at)
+
+
+@q("S35_xml_config", _config_sql(XML_CONFIG, "n_name", "'R' || n_regionkey || ' | ' || n_nationkey", rest="from nation"))
+def s35_xml(s, d):
+    at = landing(s)
+    table(s, d, "nation").select(F.col("n_name").alias("name"), F.concat(F.lit("R"), F.col("n_regionkey").cast("string")).alias("region"), F.col("n_nationkey").alias("code")).write.format("xml").option("rootTag", "list").option("rowTag", "entry").save(at)
+    return _from_config(s, XML_CONFIG, at)
+
+
+@q("S35_sheet_config", _config_sql(TSV_CONFIG, "n_name", "n_nationkey || ' | ' || n_regionkey", rest="from nation"))
+def s35_sheet(s, d):
+    at = landing(s)
+    lines = table(s, d, "nation").select(F.col("n_nationkey").alias("o"), F.concat_ws("\t", F.col("n_nationkey").cast("string"), "n_name", F.col("n_regionkey").cast("string")).alias("value"))
+    top = s.createDataFrame([(-2, "a banner"), (-1, "Key\tName \tRegion")], "o int, value string")
+    top.union(lines).coalesce(1).sortWithinPartitions("o").select("value").write.text(at)
+    return _from_config(s, TSV_CONFIG, f"{at}/*.txt")
+
+
+@q("S35_config_problems", "select * from (values (0, 'file_list'), (2, 'strict')) v(n, config)")
+def s35_problems(s, d):
+    found = configured.records(s, FILE_CONFIG, _land_names(s, d), SCRAPED)
+    strict = FILE_CONFIG | {"validation": {"min_records": 10**9, "required_fields": ["name", "gender"]}}
+    return s.createDataFrame([(len(configured.problems(found, c)), n) for c, n in ((FILE_CONFIG, "file_list"), (strict, "strict"))], "n int, config string")
+
+
+def _land_names(s, d):
+    at = landing(s)
+    table(s, d, "customer").select("c_custkey", "c_name").write.csv(at)
+    return at
 
 
 @q("S31_alias_columns", "select n_nationkey::varchar as k, n_name as name from nation")
@@ -262,10 +357,11 @@ def s38(s, d):
     return files.warned_sources(lines)
 
 
-@q("S39_bulk_names", "select n_name as name from nation where n_nationkey % 2 = 0")
+@q("S39_bulk_names", "select n_name as name from nation")
 def s39(s, d):
     at = landing(s)
-    table(s, d, "nation").select(F.when(F.col("n_nationkey") % 2 == 0, F.col("n_name")).otherwise("  ").alias("Name")).write.option("header", True).csv(at)
+    n = table(s, d, "nation")
+    n.select(F.concat(F.lit(" "), F.col("n_name")).alias("Name")).union(n.select(F.lit("  "))).write.option("header", True).csv(at)
     t = files.read_delimited(s, at, ",")
     return t.select(F.trim("Name").alias("name")).where("name <> ''")
 
@@ -379,6 +475,79 @@ def k20(s, d):
     return s.read.parquet(at).agg(F.count("*").alias("n"))
 
 
+@q("K05_one_off_load", f"with {PARTS} select source_id, count(*) as n from parts where source_id <> 'Brand#3' or id % 2 = 0 group by 1")
+def k05(s, d):
+    at = landing(s)
+    p = parts(s, d).select("id", "name", "source_id")
+    sinks.replace_partitions(p, at, "source_id")
+    sinks.replace_source(p.where("id % 2 = 0"), at, "Brand#3")
+    sinks.replace_source(p.where("id % 2 = 0"), at, "Brand#4", least=10**6)
+    return s.read.parquet(at).groupBy("source_id").agg(F.count("*").alias("n"))
+
+
+@q("K07_clustered_swap", "select o_custkey as k, count(*) as n from orders group by 1")
+def k07(s, d):
+    at = landing(s)
+    o = table(s, d, "orders").select("o_orderkey", "o_custkey")
+    sinks.clustered_swap(o.where("o_orderkey % 2 = 0"), at, "o_custkey")
+    sinks.clustered_swap(o, at, "o_custkey")
+    return s.read.parquet(at).groupBy(F.col("o_custkey").alias("k")).agg(F.count("*").alias("n"))
+
+
+@q("K24_json_state", "select count(*)::int as sources, 'new' as state from (select distinct p_brand from part)")
+def k24(s, d):
+    at = f"{landing(s)}/state.json"
+    n = parts(s, d).select("source_id").distinct().count()
+    for state in ("old", "new"):
+        sinks.write_json(s, at, {"sources": n, "state": state})
+    return s.read.schema("sources int, state string").option("multiLine", True).json(at)
+
+
+CIN_OF = "'U12345MH2001PTC' || lpad({0}::varchar, 6, '0')"
+
+
+def _documents(s):
+    return s.createDataFrame([("f", "Some Notice", "Delhi", "1.2.2020")], "file string, title string, office string, date string")
+
+
+def _lines(df, *variants):
+    number = F.concat(F.lit("U12345MH2001PTC"), F.lpad(F.col("id").cast("string"), 6, "0"))
+    texts = F.array(*[F.concat(*[{"#": F.col("id").cast("string"), "N": F.upper("name"), "C": number, "D": F.lpad(F.col("id").cast("string"), 8, "1")}.get(t, F.lit(t)) for t in v]) for v in variants])
+    return df.select(F.lit("f").alias("file"), F.lit(1).alias("page"), F.col("id").alias("line_no"), F.element_at(texts, (F.col("id") % len(variants) + 1).cast("int")).alias("line"))
+
+
+@q("E04_companies", f"with x as (select p_partkey as id, upper(p_name) as n, {CIN_OF.format('p_partkey')} as cin from part) select id as line_no, case id % 3 when 0 then n || ' LTD' when 1 then n || ' TRADING LTD' else 'Some Notice' end as name, 'CIN: ' || cin || ' | Struck Off PDF: Some Notice | ROC: Delhi | PDF date: 1.2.2020 | Section: STK-7 U/S 248(5)' as details from x")
+def e04(s, d):
+    lines = _lines(parts(s, d), (" ", "#", ". ", "N", " LTD ", "C", " x"), ("#", " STK ", "C", " | ", "N", " TRADING LTD  and more"), ("#", ") ", "C"))
+    return grammars.parsed("companies", lines, _documents(s)).select("line_no", "name", "details")
+
+
+@q("E04_partnerships", "select p_partkey as line_no, case p_partkey % 2 when 0 then upper(p_name) || ' LLP, Some Road' else upper(p_name) end as name from part")
+def e04_llps(s, d):
+    lines = _lines(parts(s, d), ("#", " AAB-1234 ", "N", " LLP, Some Road ROC Delhi 12 1.1.2020"), ("AM-3132., ", "N"))
+    return grammars.parsed("llps", lines, _documents(s)).select("line_no", "name")
+
+
+@q("E04_directors", f"with x as (select p_partkey as id, upper(p_name) as n, {CIN_OF.format('p_partkey')} as cin, lpad(p_partkey::varchar, 8, '1') as din from part) select id as line_no, case id % 3 when 0 then n when 1 then 'Ram Lal' else n end as name, 'DIN: ' || din || ' | Company: ' || case id % 3 when 0 then 'ACME LTD' when 1 then n || ' PRIVATE LIMITED' else 'Long Name Works' end || ' | CIN: ' || cin || ' | ROC: Delhi | ROC Code: ' || case id % 3 when 0 then 'RC-DL1' else '' end || ' | Source PDF: Some Notice | PDF date: 1.2.2020' as details from x")
+def e04_directors(s, d):
+    p = parts(s, d).select("id", "name")
+    lines = _lines(p, ("#", " ", "C", " ACME LTD ", "D", " ", "N"), ("#", " ", "D", " Ram Lal ", "N", " PRIVATE LIMITED ", "C", " Violated"), ("#", " ", "D", " ", "N", " Long Name Works ", "C"))
+    # each record on a page of its own under a header's words; what follows the director's name comes on a second line
+    paged = lines.withColumn("page", F.col("line_no"))
+    noise = paged.select("file", "page", F.lit(-1).alias("line_no"), F.lit("Section  Status for").alias("line"))
+    tail = paged.where("line_no % 3 = 0").select("file", "page", (F.col("line_no") + 1).alias("line_no"), F.lit("RC-DL1 Active").alias("line"))
+    found = grammars.parsed("directors", paged.unionByName(noise).unionByName(tail), _documents(s))
+    return found.select("line_no", "name", "details")
+
+
+@q("E06_table_with_header", "select n_regionkey as region, n_name as name from nation")
+def e06(s, d):
+    page = _table_html(("Nation", "Key"), (F.col("n_name"), F.col("n_nationkey").cast("string")))
+    big = "<table><tr><td>other</td></tr>" + "<tr><td>x</td></tr>" * 50 + "</table>"
+    pages = page(table(s, d, "nation"), "n_regionkey").withColumn("html", F.concat(F.col("value"), F.lit(big)))
+    return files.html_tables(pages, "n_regionkey", "html", header_word="nation").select(F.col("n_regionkey").alias("region"), F.element_at("cells", "Nation").alias("name"))
+
+
 @q("K21_latest_snapshot", "select count(*) as n from nation where n_nationkey < 20")
 def k21(s, d):
     at = landing(s)

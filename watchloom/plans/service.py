@@ -10,7 +10,7 @@ from ..sources import sinks
 from .aggregates import INTERESTING
 from .landed import landing
 from .relations import SCREEN, _queries
-from .views import LOG, ODI, PARTIES, PARTS, investments, log, parties, parts, table
+from .views import LOG, ODI, PARTIES, PARTS, investments, joined, log, parties, parts, table
 
 QUERIES: dict = {}
 
@@ -93,6 +93,29 @@ def e08_odi(s, d):
     return service.investment_search(investments(s, d), country="ation_1", least=100000, year=1995, page=1, per_page=20).select("id", F.col("total").cast("double").alias("total"))
 
 
+@q("E08_name_report", f"with {PARTIES}, h as (select * from parties where lower(name) = 'supplier#000000007') select 'SUPPLIER#000000007' as query, count(*) as hits, array_to_string(list(distinct address), ',') as agencies, 'supplier' as lists, 1 as tier, 'LOW' as verdict from h")
+def e08_report(s, d):
+    p = parties(s, d).withColumnRenamed("address", "source_agency")
+    r = service.name_report(s, "SUPPLIER#000000007", p, 1.0)
+    return r.select("query", "hits", joined("agencies").alias("agencies"), joined("lists").alias("lists"), "tier", "verdict")
+
+
+@q("E08_company_report", f"with {ODI}, o as (select *, substr(period_from, 7, 4) as year from odi where lower(indian_party) = 'customer#000000007') select year, country, jv_or_wos, count(*) as n, sum(total)::double as total from o group by grouping sets ((), (year), (country), (jv_or_wos))")
+def e08_company(s, d):
+    return service.company_report(investments(s, d), " CUSTOMER#000000007 ")
+
+
+@q("E08_health_call", f"with {PARTS}, {LOG} select count(*) as n, count(distinct source_id) as sources, (select max(scraped_at) from log) as last_seen from parts")
+def e08_health(s, d):
+    return service.health(parts(s, d), log(s, d))
+
+
+@q("E08_export_call", f"with {ODI} select id, country, total::double as total from odi where year(strptime(period_from, '%d/%m/%Y')) = 1996 and total <= 50000 order by strptime(period_from, '%d/%m/%Y') desc, odi.total desc, id limit 10000")
+def e08_export(s, d):
+    got = service.export(investments(s, d), f"{landing(s)}/export", most=50000, since="1996-01-01", until="1996-12-31")
+    return got.select("id", "country", F.col("total").cast("double").alias("total"))
+
+
 @q("F11_source_guards", f"with {PARTS} select count(*) as n from parts where source_id is not null and source_id <> '' and id % 5 <> 0")
 def f11(s, d):
     guarded = F.when(F.col("id") % 5 != 0, F.col("source_id")).otherwise(F.when(F.col("id") % 2 == 0, ""))

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
+from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.values import stated_period
+
 #: The canonical record: 17 text columns in this order (fixed values).
 CANONICAL = ("source_agency", "source_list", "case_unit", "name", "father_name", "date_of_birth", "gender", "address", "reward_amount", "details", "has_document", "document_url", "detail_page_url", "interpol_notice_id", "link_kind", "scraped_at", "enrichment_status")
 SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in CANONICAL])
@@ -46,7 +51,7 @@ def read_delimited(spark: SparkSession, path: str, sep: str = "\t", header: bool
             return spark.createDataFrame([], "`0` string")
         names = first["c"] if header else [str(i) for i in range(len(first["c"]))]
         return cells.where(F.col("n") > skip_rows + 1 if header else F.lit(True)).select(*[F.get("c", i).alias(x) for i, x in enumerate(names)])
-    df = spark.read.option("sep", sep).option("encoding", encoding).option("header", header).csv(path)
+    df = spark.read.option("sep", sep).option("encoding", encoding).option("header", header).option("escape", '"').option("multiLine", True).csv(path)
     return df if header else df.toDF(*[str(i) for i in range(len(df.columns))])
 
 
@@ -62,24 +67,58 @@ def read_xml(spark: SparkSession, path: str, row_tag: str, schema: str) -> DataF
     return spark.read.format("xml").option("rowTag", row_tag).schema(schema).load(path)
 
 
-def read_sheet(spark: SparkSession, path: str) -> DataFrame:
-    """``(file, row_no, cells)`` of spreadsheets; a file that is no workbook is read as TSV."""
+WORKBOOK, OLD_WORKBOOK = b"PK\x03\x04", b"\xd0\xcf\x11\xe0"
+_MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+_REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
+
+
+def workbook_sheets(content: bytes) -> Iterator[tuple[str, list[list[str]]]]:
+    """Name and rows of text cells of each sheet of an xlsx file, in the workbook's order."""
+    with zipfile.ZipFile(io.BytesIO(content)) as z:
+        shared = [["".join(t.text or "" for t in si.iter(f"{_MAIN}t"))] for si in ElementTree.fromstring(z.read("xl/sharedStrings.xml"))] if "xl/sharedStrings.xml" in z.namelist() else []
+        targets = {r.get("Id"): r.get("Target") for r in ElementTree.fromstring(z.read("xl/_rels/workbook.xml.rels"))}
+        for sheet in ElementTree.fromstring(z.read("xl/workbook.xml")).iter(f"{_MAIN}sheet"):
+            target = targets[sheet.get(f"{_REL}id")].lstrip("/")
+            rows: list[list[str]] = []
+            for row in ElementTree.fromstring(z.read(target if target.startswith("xl/") else f"xl/{target}")).iter(f"{_MAIN}row"):
+                at = int(row.get("r", len(rows) + 1))
+                rows += [[] for _ in range(at - len(rows))]
+                for cell in row.iter(f"{_MAIN}c"):
+                    place = 0
+                    for ch in (x for x in cell.get("r", "") if x.isalpha()):
+                        place = place * 26 + ord(ch) - 64
+                    own = rows[at - 1]
+                    own += [""] * (place - len(own))
+                    kind, value = cell.get("t"), cell.find(f"{_MAIN}v")
+                    text = "".join(t.text or "" for t in cell.iter(f"{_MAIN}t")) if kind == "inlineStr" else (value.text or "" if value is not None else "")
+                    own[place - 1 if place else -1 :] = [shared[int(text)][0] if kind == "s" and text else text]
+            yield sheet.get("name", ""), rows
+
+
+def read_sheet(spark: SparkSession, path: str, sheet: str | int | None = None) -> DataFrame:
+    """``(file, sheet, row_no, cells)`` of all sheets of workbooks, or of one by name or position.
+
+    A file without a workbook's signature is mislabelled text and is read as tab-separated lines. A workbook that
+    can't be read is an error, never text.
+    """
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import io
+    def sheets(content: bytes) -> Iterator[tuple[str, list[list[str]]]]:
+        if content.startswith(WORKBOOK):
+            yield from workbook_sheets(content)
+        elif content.startswith(OLD_WORKBOOK):
+            for name, cells in pd.read_excel(io.BytesIO(content), sheet_name=None, header=None, dtype=str).items():
+                yield name, cells.fillna("").values.tolist()
+        else:
+            yield "", [line.split("\t") for line in content.decode("utf-8", "replace").splitlines()]
 
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
             for file, content in zip(batch["path"], batch["content"], strict=True):
-                try:
-                    sheet = pd.read_excel(io.BytesIO(content), header=None, dtype=str)
-                    cells = sheet.fillna("").values.tolist()
-                except Exception:  # mislabelled text, or no workbook reader installed
-                    cells = [line.split("\t") for line in content.decode("utf-8", "replace").splitlines()]
-                out += [(file, i, [str(c) for c in r]) for i, r in enumerate(cells)]
-            yield pd.DataFrame(out, columns=["file", "row_no", "cells"])
+                for k, (name, cells) in enumerate(sheets(content)):
+                    if sheet is None or sheet in (k, name):
+                        yield pd.DataFrame([(file, name, i, [str(c) for c in r]) for i, r in enumerate(cells)], columns=["file", "sheet", "row_no", "cells"])
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(rows, "file string, row_no int, cells array<string>")
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(rows, "file string, sheet string, row_no int, cells array<string>")
 
 
 class _Tables(HTMLParser):
@@ -112,14 +151,18 @@ class _Tables(HTMLParser):
             self._cell.append(data)
 
 
-def table_rows(html: str | None) -> list[tuple[int, dict[str, str]]]:
-    """The rows of the largest table, each cell by position and by header, the first link as ``_href``."""
+def table_rows(html: str | None, header_word: str | None = None) -> list[tuple[int, dict[str, str]]]:
+    """The rows of the largest table, each cell by position and by header, the first link as ``_href``.
+
+    With a word, only tables count whose first row holds it.
+    """
     p = _Tables()
     p.feed(html or "")
     p.close()
-    if not p.tables:
+    tables = [t for t in p.tables if header_word is None or t and header_word.lower() in " ".join(t[0]["cells"]).lower()]
+    if not tables:
         return []
-    rows = max(p.tables, key=len)
+    rows = max(tables, key=len)
     head = next((r["cells"] for r in rows if r["head"]), [])
     out = []
     for r in rows:
@@ -133,13 +176,13 @@ def table_rows(html: str | None) -> list[tuple[int, dict[str, str]]]:
     return out
 
 
-def html_tables(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """``(key, row_no, cells)`` for each row of each page's largest table."""
+def html_tables(pages: DataFrame, key: str = "page_id", html: str = "html", header_word: str | None = None) -> DataFrame:
+    """``(key, row_no, cells)`` for each row of each page's largest table, or the largest whose first row holds a word."""
     kind = pages.schema[key].dataType.simpleString()
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame([(k, n, c) for k, h in zip(batch[key], batch[html], strict=True) for n, c in table_rows(h)], columns=[key, "row_no", "cells"])
+            yield pd.DataFrame([(k, n, c) for k, h in zip(batch[key], batch[html], strict=True) for n, c in table_rows(h, header_word)], columns=[key, "row_no", "cells"])
 
     return pages.select(key, html).mapInPandas(rows, f"{key} {kind}, row_no int, cells map<string,string>")
 
@@ -173,18 +216,33 @@ def merged_tables(rows: DataFrame, key: str, order: str, header: str) -> DataFra
     return rows.withColumn("_new", F.when(F.lag(header).over(w).eqNullSafe(F.col(header)), 0).otherwise(1)).withColumn("table_no", F.sum("_new").over(w)).drop("_new")
 
 
-def sheet_body(rows: DataFrame, header_word: str, stop_words: tuple[str, ...]) -> DataFrame:
-    """Rows after the first that holds the header word and before the first later one that begins with a stop word."""
-    text = F.lower(F.array_join("cells", " "))
-    stop = F.exists(F.array(*[F.lit(x) for x in stop_words]), lambda x: F.startswith(F.ltrim(text), x))
-    head = rows.groupBy("file").agg(F.min(F.when(text.contains(header_word), F.col("row_no"))).alias("head"))
-    j = rows.join(head, "file").where("head is not null and row_no > head")
-    end = j.groupBy("file").agg(F.min(F.when(stop, F.col("row_no"))).alias("stop"))
-    return j.join(end, "file").where("stop is null or row_no < stop").select("file", "row_no", "cells")
+def sheet_body(rows: DataFrame, header_word: str, stop_words: tuple[str, ...], skip: str = "summary") -> DataFrame:
+    """``(file, sheet, period_from, period_to, row_no, cells)``: rows of each sheet after the first that holds the header word and before the first later one that begins with a stop word.
+
+    Sheets named like ``skip`` and rows without text are left out. The period is what the sheet states above its header.
+    """
+    rows = rows.where(~F.lower("sheet").contains(skip)).withColumn("line", F.lower(F.array_join("cells", " ")))
+    head = F.min(F.when(F.col("line").contains(header_word), F.col("row_no")))
+    heads = rows.groupBy("file", "sheet").agg(head.alias("head"))
+    j = rows.join(heads, ["file", "sheet"])
+    period = j.where("row_no < head").select("file", "sheet", "row_no", stated_period(F.array_join("cells", " ")).alias("p")).where("p.period_from is not null").groupBy("file", "sheet").agg(F.min_by("p", "row_no").alias("p"))
+    stop = F.exists(F.array(*[F.lit(x) for x in stop_words]), lambda x: F.startswith(F.regexp_replace("line", r"^[^a-z]+", ""), x))
+    body = j.where("head is not null and row_no > head")
+    ends = body.groupBy("file", "sheet").agg(F.min(F.when(stop, F.col("row_no"))).alias("stop"))
+    body = body.join(ends, ["file", "sheet"]).where((F.col("stop").isNull() | (F.col("row_no") < F.col("stop"))) & (F.trim("line") != ""))
+    return body.join(period, ["file", "sheet"], "left").select("file", "sheet", "p.period_from", "p.period_to", "row_no", "cells")
+
+
+MOST_BOUNDS = 1000
 
 
 def words_to_columns(words: DataFrame, bounds: DataFrame) -> DataFrame:
-    """OCR words -> cells: the column by range of x, the row by the running number of serial marks."""
+    """OCR words -> cells: the column by range of x, the row by the running number of serial marks.
+
+    ``bounds`` are the columns of one layout, at most ``MOST_BOUNDS``; they are broadcast.
+    """
+    if len(bounds.take(MOST_BOUNDS + 1)) > MOST_BOUNDS:
+        raise ValueError(f"a layout has at most {MOST_BOUNDS} columns")
     placed = words.join(F.broadcast(bounds), (F.col("x") >= F.col("lo")) & (F.col("x") < F.col("hi")))
     w = Window.partitionBy("page").orderBy("y", "x")
     serial = (F.col("column_name") == "serial") & F.col("word").rlike(r"^\d+\.?$")
@@ -193,9 +251,9 @@ def words_to_columns(words: DataFrame, bounds: DataFrame) -> DataFrame:
 
 
 def routed(records: DataFrame, routes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Records with a known label and a name, by a lookup of labels; and counts of the labels that have no route."""
-    known = records.join(F.broadcast(routes), "label").where(F.coalesce(F.trim("name"), F.lit("")) != "")
-    return known, records.join(F.broadcast(routes), "label", "left_anti").groupBy("label").agg(F.count("*").alias("n"))
+    """Records with a known label and a name, by a lookup of labels; and counts of the labels that have no route. Spark broadcasts the routes while they are small."""
+    known = records.join(routes, "label").where(F.coalesce(F.trim("name"), F.lit("")) != "")
+    return known, records.join(routes, "label", "left_anti").groupBy("label").agg(F.count("*").alias("n"))
 
 
 def warned_sources(log: DataFrame, first: int = 20) -> DataFrame:

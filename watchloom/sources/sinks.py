@@ -1,7 +1,12 @@
-"""Writers: canonical files, replacement by key, guarded overwrites, upserts. Spark's committer makes each one atomic."""
+"""Writers: canonical files, replacement by key, swaps of whole tables, upserts.
+
+Spark's committer makes a write to a new folder atomic; a swap keeps the old table until the new one is in place.
+"""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,19 +47,74 @@ def replace_changed(new: DataFrame, path: str, *keys: str) -> None:
     replace_partitions(new, path, *keys)
 
 
+def settle(spark: SparkSession, path: str) -> None:
+    """Finish a swap that stopped half-way: where the table is gone its predecessor comes back, else that goes."""
+    fs, at = _fs(spark, path)
+    old = _fs(spark, f"{path}.old")[1]
+    if fs.exists(old) and not fs.exists(at):
+        _move(fs, old, at)
+    elif fs.exists(old):
+        fs.delete(old, True)
+
+
+def _move(fs, a, b) -> None:
+    if not fs.rename(a, b):
+        raise OSError(f"could not move {a} to {b}")
+
+
+def swap(df: DataFrame, path: str) -> None:
+    """Replace a table as a whole. The old one stays beside it until the new one is in place; ``settle`` mends a crash in between."""
+    spark = df.sparkSession
+    settle(spark, path)
+    fs, at = _fs(spark, path)
+    fresh, old = _fs(spark, f"{path}.new")[1], _fs(spark, f"{path}.old")[1]
+    df.write.mode("overwrite").parquet(f"{path}.new")
+    if fs.exists(at):
+        _move(fs, at, old)
+    _move(fs, fresh, at)
+    fs.delete(old, True)
+
+
+def clustered_swap(df: DataFrame, path: str, *keys: str) -> None:
+    """A load with its order remade: rows are sorted by range of the keys, so that files and row groups can be skipped."""
+    swap(df.repartitionByRange(*keys).sortWithinPartitions(*keys), path)
+
+
+def replace_source(df: DataFrame, path: str, source_id: str, least: int = 1) -> bool:
+    """A one-off load: one source's records replace those that are there, unless they are fewer than ``least``."""
+    own = df.where(F.col("source_id") == source_id)
+    if len(own.take(least)) < least:
+        return False
+    replace_partitions(own, path, "source_id")
+    return True
+
+
 def guarded_overwrite(df: DataFrame, path: str, least: float = 0.5) -> bool:
     """Overwrite unless the new table has less than a share of the rows that are there."""
     spark = df.sparkSession
+    settle(spark, path)
     if exists(spark, path) and df.count() < least * spark.read.parquet(path).count():
         return False
-    fs, at = _fs(spark, path)
-    fresh = f"{path}.new"
-    df.write.mode("overwrite").parquet(fresh)
-    fs.delete(at, True)
-    fs.rename(_fs(spark, fresh)[1], at)
+    swap(df, path)
     return True
 
 
+def write_json(spark: SparkSession, path: str, value: object) -> None:
+    """A small JSON document, written beside its place and moved there in one step."""
+    jvm = spark.sparkContext._jvm
+    fs, fresh = _fs(spark, f"{path}.tmp")
+    out = fs.create(fresh, True)
+    try:
+        out.write(bytearray(json.dumps(value, indent=2, default=str).encode()))
+    finally:
+        out.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fresh.toUri() if fresh.toUri().getScheme() else fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    overwrite = getattr(jvm, "org.apache.hadoop.fs.Options$Rename").OVERWRITE
+    options = spark.sparkContext._gateway.new_array(getattr(jvm, "org.apache.hadoop.fs.Options$Rename"), 1)
+    options[0] = overwrite
+    context.rename(fresh, _fs(spark, path)[1], options)
+
+
 def upserted(old: DataFrame, new: DataFrame, keys: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
     """``old`` with ``new`` merged in by key; columns in ``keep`` stay where the new value is null."""
     n = new.select(*[F.col(c).alias(f"n_{c}") if c not in keys else F.col(c) for c in new.columns], F.lit(True).alias("n_there"))
