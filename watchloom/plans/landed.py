@@ -528,10 +528,11 @@ def e04_llps(s, d):
     return grammars.parsed("llps", lines, _documents(s)).select("line_no", "name")
 
 
-@q("E04_directors", f"with x as (select p_partkey as id, upper(p_name) as n, {CIN_OF.format('p_partkey')} as cin, lpad(p_partkey::varchar, 8, '1') as din from part) select id as line_no, case id % 3 when 0 then n when 1 then 'Ram Lal' else n end as name, 'DIN: ' || din || ' | Company: ' || case id % 3 when 0 then 'ACME LTD' when 1 then n || ' PRIVATE LIMITED' else 'Long Name Works' end || ' | CIN: ' || cin || ' | ROC: Delhi | ROC Code: ' || case id % 3 when 0 then 'RC-DL1' else '' end || ' | Source PDF: Some Notice | PDF date: 1.2.2020' as details from x")
+@q("E04_directors", f"with x as (select p_partkey as id, upper(p_name) as n, {CIN_OF.format('p_partkey')} as cin, lpad(p_partkey::varchar, 8, '1') as din from part) select id as line_no, case id % 3 when 0 then n when 1 then 'Ram O''' else n end as name, 'DIN: ' || din || ' | Company: ' || case id % 3 when 0 then 'ACME LTD' when 1 then 'Lal ' || n || ' PRIVATE LIMITED' else 'Long Name Works' end || ' | CIN: ' || cin || ' | ROC: Delhi | ROC Code: ' || case id % 3 when 0 then 'RC-DL1' else '' end || ' | Source PDF: Some Notice | PDF date: 1.2.2020' as details from x")
 def e04_directors(s, d):
     p = parts(s, d).select("id", "name")
-    lines = _lines(p, ("#", " ", "C", " ACME LTD ", "D", " ", "N"), ("#", " ", "D", " Ram Lal ", "N", " PRIVATE LIMITED ", "C", " Violated"), ("#", " ", "D", " ", "N", " Long Name Works ", "C"))
+    lines = _lines(p, ("#", " ", "C", " ACME LTD ", "D", " ", "N"), ("#", " ", "D", " Ram O'Lal ", "N", " PRIVATE LIMITED ", "C", " Violated"), ("#", " ", "D", " ", "N", " Long Name Works ", "C"))
+    # the company's form is matched without case, from the first letters that it allows: after the apostrophe here;
     # each record on a page of its own under a header's words; what follows the director's name comes on a second line
     paged = lines.withColumn("page", F.col("line_no"))
     noise = paged.select("file", "page", F.lit(-1).alias("line_no"), F.lit("Section  Status for").alias("line"))
