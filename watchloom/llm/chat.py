@@ -14,7 +14,8 @@ in one row of a grouped minimum, so copies are never paired.
 Order of turns: ``turn`` (nulls last); rows of one turn by their hashes where prefixes are compared,
 by role and text where they are rendered. Null roles render as ``unknown``,
 null texts as empty. Rows without conv_id make one conversation, whose id is null. Repeated rows
-are turns of their own. Other columns are ignored; empty tables give empty results.
+are turns of their own. Other columns are ignored; empty tables give empty results. Very long texts are kept whole. A
+rendered conversation is one row: that row, and nothing else, holds all its turns.
 """
 
 from __future__ import annotations

@@ -25,7 +25,8 @@ id are rows of their own, linked by their texts only. Other columns are ignored.
 ``keep_one`` drops rows: of each component one row stays, the first by id (rows without an id last) and
 then by a hash of the text; of rows that repeat its id and text the least one by all columns stays. Rows without
 shingles all stay. A row is told from others by id and text, so that an id which repeats with other texts loses
-only the rows that copy something. Its other columns pass through and must be ones that can be ordered.
+only the rows that copy something. Its other columns pass through and must be ones that can be ordered; the names
+``__who``, ``__t`` and ``__row`` are taken. Very long texts are taken whole, a set of hashes each.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ computed first, so that a host with a third of all rows is summed before it is s
 
 Null hosts and paths are groups of their own. Null and empty texts have the features of no text.
 Without labels of both kinds every document's own probability is the share of good labels, 0.5
-where there is none. Repeated rows come back as often as they came; other columns are ignored.
+where there is none. Very long texts are read whole; one that would pass ``MAX_BYTES`` is left out of the labelled
+sample only. Repeated rows come back as often as they came; other columns are ignored.
 """
 
 from __future__ import annotations
