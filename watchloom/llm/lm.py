@@ -37,12 +37,12 @@ from pyspark.sql import functions as F
 from .common import Words, chunks, cut, held_out, texts
 
 FOLDS, FOLD = 7, 2
-HIDDEN, WINDOW, STREAMS = 16, 32, 128
+HIDDEN, WINDOW, STREAMS = 16, 32, 256
 TOP_WORDS, TOP_ENDINGS, SLOTS = 24, 38, 16
 ROUNDS, COPY_TOKENS, MOST_COPIES = 8, 1 << 20, 4096
 PIECE = 1 << 17  # tokens that a copy is trained on at once
 FREQUENT = 1 << 17
-RATE = 0.02
+RATE = 0.03
 END, REST = 0, 1
 
 
