@@ -132,7 +132,11 @@ def f18(s, d):
     return r.select("source_id", F.explode(problems).alias("problem")).groupBy("source_id", "problem").agg(F.count("*").alias("n"))
 
 
-NAV = ", ".join(f"'{x}'" for x in rules.NAV_TERMS)
+#: Stated here once more, so that a wrong word in the rules shows.
+NAV = "'home', 'about', 'contact', 'login', 'search', 'menu', 'back', 'next', 'previous', 'submit', 'click here', 'read more', 'download', 'skip to content'"
+BLOCKED = ("request rejected", "access denied", "please enable javascript", "javascript is required", "captcha required", "verify you are human", "are you a robot", "checking your browser", "human verification", "the requested url was rejected")
+HIGH = "wanted|sanction|fugitive|terror|banned|red[-_]?notice|interpol|nia_|mha_|ofac|un_|cbi_|ed_"
+MEDIUM = "defaulter|debarred|suspend|enforc|penalt|disqualif|revok|disciplin|caution|warn|alert|prohibit|cancel"
 
 
 @q("F19_garbage_flags", f"with {DOCS}, k as (select source_id, name, details, count(*) as c from docs group by all), g as (select source_id, sum(case when lower(trim(name)) in ({NAV}) then c else 0 end) / sum(c) as nav, sum(case when c >= 2 then c else 0 end) / sum(c) as dup, sum(case when trim(coalesce(name, '')) = '' and trim(coalesce(details, '')) = '' then c else 0 end) / sum(c) as emp from k group by 1) select source_id, case when nav > 0.3 then 'garbage_nav' when dup > 0.5 then 'garbage_dupes' when emp > 0.7 then 'garbage_empty' else 'clean' end as flag, round(dup, 6) as dup from g")
@@ -212,7 +216,7 @@ def f29(s, d):
     return table(s, d, "pages").select("page_id", rules.needs_script(F.col("html")).alias("script"))
 
 
-@q("S15_blocked_pages", f"with p as (select page_id, substr(lower({VISIBLE}), 1, 8000) as v from pages) select page_id, " + " or ".join(f"strpos(v, '{w}') > 0" for w in rules.BLOCK_PHRASES) + " as blocked from p")
+@q("S15_blocked_pages", f"with p as (select page_id, substr(lower({VISIBLE}), 1, 8000) as v from pages) select page_id, " + " or ".join(f"strpos(v, '{w}') > 0" for w in BLOCKED) + " as blocked from p")
 def s15(s, d):
     return table(s, d, "pages").select("page_id", rules.blocked_page(X.visible_text(F.col("html"))).alias("blocked"))
 
@@ -467,7 +471,7 @@ def r04(s, d):
     return g.select("name", rules.verdict(F.col("a"), F.col("l"), F.col("hits")).alias("verdict"))
 
 
-@q("R05_group_risk", f"with x as (select p_name as name, {SID.format('p_partkey')} as sid from part), g as (select name, list_filter(list(distinct sid), lambda v: regexp_matches(v, '(?i){rules.HIGH_WORDS}')) as hi, list_filter(list(distinct sid), lambda v: regexp_matches(v, '(?i){rules.MEDIUM_WORDS}')) as me from x group by 1) select name, case when len(hi) > 0 then 'HIGH' when len(me) > 0 then 'MEDIUM' else 'LOW' end as level, array_to_string(list_sort(case when len(hi) > 0 then hi else me end), ',') as signals from g")
+@q("R05_group_risk", f"with x as (select p_name as name, {SID.format('p_partkey')} as sid from part), g as (select name, list_filter(list(distinct sid), lambda v: regexp_matches(v, '(?i){HIGH}')) as hi, list_filter(list(distinct sid), lambda v: regexp_matches(v, '(?i){MEDIUM}')) as me from x group by 1) select name, case when len(hi) > 0 then 'HIGH' when len(me) > 0 then 'MEDIUM' else 'LOW' end as level, array_to_string(list_sort(case when len(hi) > 0 then hi else me end), ',') as signals from g")
 def r05(s, d):
     g = parts(s, d).groupBy("name").agg(F.collect_set(_sid(F.col("id"))).alias("v")).withColumn("r", rules.group_risk(F.col("v")))
     return g.select("name", "r.level", joined(F.array_sort("r.signals")).alias("signals"))
