@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, line_dedup, lm, mixing, quality, token_counts, topk, toxicity
+from . import chat, decontaminate, filter_audit, line_dedup, lm, mixing, quality, token_counts, topk, toxicity
 from .common import read
 from .near_dup import SketchSpec, near_duplicates
 
@@ -54,6 +54,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 OP1 = f"""
 with recursive w as (select doc_id, regexp_extract_all({LOWER.format("text")}, '{WORD}') as ws from documents),
 d as (select doc_id, case when len(ws) >= 3 then list_distinct(list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i + 2], ' ')))
@@ -111,10 +115,29 @@ select doc_id, count(*) as n_lines, count(*) filter (lost) as n_dropped, sha256(
 """
 
 
+OP11 = f"""
+with d as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as text, min(doc_id) over (partition by coalesce(text, '')) as least from documents),
+w as (select *, regexp_extract_all(text, '{WORD}') as ws from d),
+l as (select doc_id, max((coalesce(quality, 0) = 1)::int) as q, max((coalesce(toxic, 0) = 1)::int) as t from labels group by 1),
+m as (select part, coalesce(q, 0) as q, coalesce(t, 0) as t, (len(ws) < 50)::int as a, (100 * len(list_distinct(ws)) < 65 * len(ws))::int as b, (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text))::int as c,
+  regexp_matches(text, '[#$%&*|]')::int as d, coalesce(doc_id > least, false)::int as e from w left join l using (doc_id)),
+g as (select part, q, t, map {{'A': a, 'B': b, 'C': c, 'D': d, 'E': e}} as mask, a + b + c + d + e as failed, count(*) as n from m group by all),
+x as (select unnest(['A', 'B', 'C', 'D', 'E']) as f),
+o as (select concat(p.f, q.f, r.f, s.f, t.f) as filter_order from x p, x q, x r, x s, x t where len(list_distinct([p.f, q.f, r.f, s.f, t.f])) = 5),
+st as (select filter_order, unnest(range(1, 6))::int as step from o),
+k as (select filter_order, step, filter_order[step] as f, string_split(filter_order[1:step - 1], '') as before from st),
+c as (select part, filter_order, step, k.f as filter, n, q, t, failed, mask[k.f] as fails, coalesce(list_max(list_transform(list_filter(before, lambda y: y <> ''), lambda y: mask[y])), 0) as gone from g, k),
+s as (select part, filter_order, step, filter, sum(n) filter (fails = 0 and gone = 0) as kept, sum(n) filter (fails = 1 and gone = 0) as removed, sum(n) filter (fails = 1 and gone = 1) as redundant, sum(n) filter (fails = 1 and failed = 1) as unique_fails,
+  sum(n) filter (fails = 1 and gone = 0 and q = 1) as good_lost, sum(n) filter (fails = 1 and gone = 0 and t = 1) as toxic_lost from c group by all)
+select part, filter_order, step, coalesce(kept, 0)::bigint as kept, coalesce(removed, 0)::bigint as removed, coalesce(redundant, 0)::bigint as redundant, coalesce(unique_fails, 0)::bigint as unique_fails,
+  coalesce(good_lost, 0)::bigint as good_lost, coalesce(toxic_lost, 0)::bigint as toxic_lost, coalesce(sum(removed) over (partition by part, filter), 0)::bigint as shapley from s
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op1_minhash, op2_lm_score, op3_toxicity, op4_decontaminate, op5_chat_format, op6_topk, op7_token_counts, op8_line_dedup, op9_mixing, op10_quality)
+    every = (op1_minhash, op2_lm_score, op3_toxicity, op4_decontaminate, op5_chat_format, op6_topk, op7_token_counts, op8_line_dedup, op9_mixing, op10_quality, op11_filter_audit)
     return {q.__name__: q for q in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_minhash": OP1, "op4_decontaminate": OP4, "op5_chat_format": OP5, "op6_topk": OP6, "op8_line_dedup": OP8}
+    return {"op1_minhash": OP1, "op4_decontaminate": OP4, "op5_chat_format": OP5, "op6_topk": OP6, "op8_line_dedup": OP8, "op11_filter_audit": OP11}
