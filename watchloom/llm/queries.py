@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, filter_audit, line_dedup, lm, mixing, quality, token_counts, topk, toxicity
+from . import chat, decontaminate, filter_audit, line_dedup, lm, mixing, prefix_trie, quality, token_counts, topk, toxicity
 from .common import read
 from .near_dup import SketchSpec, near_duplicates
 
@@ -58,6 +58,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.report(read(spark, sf_dir, "conversations"))
+
+
 OP1 = f"""
 with recursive w as (select doc_id, regexp_extract_all({LOWER.format("text")}, '{WORD}') as ws from documents),
 d as (select doc_id, case when len(ws) >= 3 then list_distinct(list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i + 2], ' ')))
@@ -134,10 +138,25 @@ select part, filter_order, step, coalesce(kept, 0)::bigint as kept, coalesce(rem
 """
 
 
+OP12 = """
+with t as (select conv_id as c, turn, {'r': coalesce(role, ''), 't': coalesce(text, '')} as x from conversations where conv_id is not null),
+o as (select c, list(x order by turn nulls first) as ts, list_transform(range(1, length(c::varchar) + 1), lambda i: ord((c::varchar)[i])::bigint) as digits from t group by c),
+h as (select c, ts, c - c % 100 as g, xor(list_reduce(list_prepend(4294967295, digits), lambda crc, d: list_reduce(list_prepend(xor(crc, d), range(8)), lambda y, k: xor(y >> 1, (y & 1) * 3988292384))), 4294967295) % 6 as h from o),
+r as (select a.c, list_concat(coalesce(b.ts[1:a.h], []), a.ts[a.h + 1:]) as ts from h a left join o b on b.c = a.g),
+p as (select c, ts, unnest(range(0, len(ts) + 1)) as depth from r),
+n as (select ts[1:depth] as pre, depth, min(c) as conv_id, count(*) as n_convs, sha256(coalesce(string_agg(c::varchar, ',' order by c) filter (depth = len(ts)), '')) as ends_sha256 from p group by 1, 2),
+k as (select a.pre, a.depth, count(b.pre) as n_children from n a left join n b on b.depth = a.depth + 1 and b.pre[1:a.depth] = a.pre group by 1, 2),
+s as (select a.pre, a.depth, count(*) filter (n_children = 0) as n_leaves, sum((b.n_convs - 1) * coalesce(length(b.pre[b.depth].t), 0))::bigint as saved_tokens
+  from n a join n b on b.depth >= a.depth and b.pre[1:a.depth] = a.pre join k on k.depth = b.depth and k.pre = b.pre group by 1, 2)
+select a.conv_id, a.depth, b.conv_id as parent_conv_id, a.n_convs, n_children, n_leaves, saved_tokens, a.ends_sha256
+from n a join k on k.depth = a.depth and k.pre = a.pre join s on s.depth = a.depth and s.pre = a.pre left join n b on b.depth = a.depth - 1 and a.pre[1:b.depth] = b.pre
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op1_minhash, op2_lm_score, op3_toxicity, op4_decontaminate, op5_chat_format, op6_topk, op7_token_counts, op8_line_dedup, op9_mixing, op10_quality, op11_filter_audit)
+    every = (op1_minhash, op2_lm_score, op3_toxicity, op4_decontaminate, op5_chat_format, op6_topk, op7_token_counts, op8_line_dedup, op9_mixing, op10_quality, op11_filter_audit, op12_prefix_trie)
     return {q.__name__: q for q in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_minhash": OP1, "op4_decontaminate": OP4, "op5_chat_format": OP5, "op6_topk": OP6, "op8_line_dedup": OP8, "op11_filter_audit": OP11}
+    return {"op1_minhash": OP1, "op4_decontaminate": OP4, "op5_chat_format": OP5, "op6_topk": OP6, "op8_line_dedup": OP8, "op11_filter_audit": OP11, "op12_prefix_trie": OP12}
