@@ -588,7 +588,7 @@ def test_names_are_registered():
     import __spark_entry__ as e
 
     names = set(e.queries())
-    assert {int(re.match(r"op(\d+)_", x)[1]) for x in names if x.startswith("op")} == set(range(1, 11)) and "pipeline" in names
+    assert {int(re.match(r"op(\d+)_", x)[1]) for x in names if x.startswith("op")} == set(range(1, 14)) and "pipeline" in names
     assert json.dumps(sorted(e.oracle_sql()))
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, filter_audit, line_dedup, lm, mixing, prefix_trie, quality, token_counts, topk, toxicity
+from . import chat, decontaminate, filter_audit, language_id, line_dedup, lm, mixing, prefix_trie, quality, token_counts, topk, toxicity
 from .common import read
 from .near_dup import SketchSpec, near_duplicates
 
@@ -62,6 +62,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.report(read(spark, sf_dir, "conversations"))
 
 
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.report(read(spark, sf_dir, "documents"))
+
+
 OP1 = f"""
 with recursive w as (select doc_id, regexp_extract_all({LOWER.format("text")}, '{WORD}') as ws from documents),
 d as (select doc_id, case when len(ws) >= 3 then list_distinct(list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i + 2], ' ')))
@@ -154,7 +158,7 @@ from n a join k on k.depth = a.depth and k.pre = a.pre join s on s.depth = a.dep
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op1_minhash, op2_lm_score, op3_toxicity, op4_decontaminate, op5_chat_format, op6_topk, op7_token_counts, op8_line_dedup, op9_mixing, op10_quality, op11_filter_audit, op12_prefix_trie)
+    every = (op1_minhash, op2_lm_score, op3_toxicity, op4_decontaminate, op5_chat_format, op6_topk, op7_token_counts, op8_line_dedup, op9_mixing, op10_quality, op11_filter_audit, op12_prefix_trie, op13_language_id)
     return {q.__name__: q for q in every}
 
 
