@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 FILTERS = "ABCDE"
 COPY = 1 << FILTERS.index("E")
 HELD_BYTES = 64 << 20
+ROUTED_BYTES = 32 << 20
 UPPER = bytes(range(65, 91))
 MARKS = frozenset(b"#$%&*|")
 ROWS = "doc_id long, part string, mask int, n long"
@@ -105,11 +106,16 @@ def _resolve(rows: Iterator) -> Iterator[tuple[int | None, str, int, int]]:
         yield from ((doc_id, part, mask, n) for part, n in parts.items())
 
 
+def partitions(docs: DataFrame, size: int = ROUTED_BYTES) -> int:
+    """How many partitions the texts are routed to, so that each gets about ``size`` bytes of text at most."""
+    return 1 + (docs.agg(F.sum(F.octet_length(F.col("text").cast("string")).cast("long"))).first()[0] or 0) // size
+
+
 def flagged(docs: DataFrame, held_bytes: int = HELD_BYTES) -> DataFrame:
     """``(doc_id, part, mask, n)``: the filters that ``n`` equal rows fail, a bit each."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.coalesce(F.col("source").cast("string"), F.lit(""))).rdd
-    n = max(2 * rows.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = max(partitions(docs), int(spark.conf.get("spark.sql.shuffle.partitions")))
     out = rows.mapPartitions(_route(held_bytes)).repartitionAndSortWithinPartitions(n, lambda key: key[0]).mapPartitions(_resolve)
     return spark.createDataFrame(out, ROWS, verifySchema=False)
 
