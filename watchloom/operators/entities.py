@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.similarity import jaccard, subset, text_trigrams, word_trigrams
+from ..functions.similarity import jaccard, sequence_ratio, subset, text_trigrams, word_trigrams
 from ..functions.text import entity_key, group_key, token_bag
 from ..functions.values import stable_id
 from ..shared import numbered, shared_dir
@@ -112,13 +112,38 @@ def closure(edges: DataFrame) -> DataFrame:
             return at
 
 
-def positional_pairs(keys: DataFrame, reach: int = 49) -> DataFrame:
-    """Each key with the next ``reach`` keys in order of first appearance. ``keys(key, first)``.
+LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789 "
+
+
+def letter_counts(key: Column) -> Column:
+    """How often a key has each of ``LETTERS``, and all else in one number."""
+    n = F.array(*[F.length(key) - F.length(F.replace(key, F.lit(c), F.lit(""))) for c in LETTERS])
+    return F.concat(n, F.array(F.length(key) - F.aggregate(n, F.lit(0), lambda a, x: a + x)))
+
+
+def neighbour_matches(records: DataFrame, threshold: float = 0.85, reach: int = 49, most: int | None = None) -> DataFrame:
+    """Near keys of ``records(key, id, name, source)``: ``(ka, kb, name_a, name_b, ratio, sources)``, in order of the keys' first ids.
+
+    A pair counts where both keys together come from two sources or more; ``sources`` has them, sorted. What two keys share of letters bounds their
+    ratio from above, so that built-ins leave few pairs to Python. ``most`` keeps the first so many pairs by position.
+    """
+    own = records.where(F.col("key") != "").groupBy("key").agg(F.min("id").alias("first"), F.min_by("name", "id").alias("name"), F.collect_set("source").alias("sources"))
+    own = own.withColumn("letters", letter_counts(F.col("key")))
+    pairs = positional_pairs(own, reach, ("name", "sources", "letters"))
+    pairs = pairs.withColumn("both", F.array_sort(F.array_union("sources_a", "sources_b"))).where(F.size("both") >= 2)
+    shared = F.aggregate(F.zip_with("letters_a", "letters_b", lambda x, y: F.least(x, y)), F.lit(0), lambda a, x: a + x)
+    near = pairs.where(2 * shared >= (threshold - 1e-9) * (F.length("ka") + F.length("kb"))).withColumn("ratio", sequence_ratio(F.col("ka"), F.col("kb"))).where(F.col("ratio") >= threshold)
+    found = near.select("pa", "pb", "ka", "kb", "name_a", "name_b", "ratio", F.col("both").alias("sources"))
+    return (found.orderBy("pa", "pb").limit(most) if most is not None else found).drop("pa", "pb")
+
+
+def positional_pairs(keys: DataFrame, reach: int = 49, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Each key with the next ``reach`` keys in order of first appearance. ``keys(key, first, ...)``; ``carry`` names columns that come along.
 
     Positions come from a range-partitioned sort with counted offsets; the range join is an equi-join on blocks of positions.
     """
     pos = numbered(keys, F.col("first"), F.col("key"), name="pos")
     step = reach + 1
-    left = pos.select(F.col("key").alias("ka"), F.col("pos").alias("pa"), F.explode(F.array(F.floor(F.col("pos") / step), F.floor(F.col("pos") / step) + 1)).alias("blk"))
-    right = pos.select(F.col("key").alias("kb"), F.col("pos").alias("pb"), F.floor(F.col("pos") / step).alias("blk"))
-    return left.join(right, "blk").where((F.col("pb") > F.col("pa")) & (F.col("pb") <= F.col("pa") + reach)).select("ka", "kb", "pa", "pb")
+    left = pos.select(F.col("key").alias("ka"), F.col("pos").alias("pa"), *[F.col(c).alias(f"{c}_a") for c in carry], F.explode(F.array(F.floor(F.col("pos") / step), F.floor(F.col("pos") / step) + 1)).alias("blk"))
+    right = pos.select(F.col("key").alias("kb"), F.col("pos").alias("pb"), *[F.col(c).alias(f"{c}_b") for c in carry], F.floor(F.col("pos") / step).alias("blk"))
+    return left.join(right, "blk").where((F.col("pb") > F.col("pa")) & (F.col("pb") <= F.col("pa") + reach)).drop("blk")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -12,41 +10,6 @@ from . import screening
 from .rules import verdict
 
 
-@dataclass
-class SourceConfig:
-    """A source's configuration with its defaults; :meth:`problems` lists what is wrong."""
-
-    source_id: str = ""
-    agency: str = ""
-    list_name: str = ""
-    engine: str = ""
-    url: str = ""
-    format: str = "csv"
-    encoding: str = "utf-8"
-    delimiter: str = ","
-    has_header: bool = True
-    field_map: dict[str, str] = field(default_factory=dict)
-    min_records: int = 1
-    max_empty_name_pct: float = 20.0
-    retries: int = 3
-    timeout_seconds: int = 30
-
-    ENGINES = ("file_download", "html_table", "api_json")
-    FORMATS = ("csv", "tsv", "xlsx", "xls", "xml", "json")
-
-    def problems(self) -> list[str]:
-        out = [f"{k} is missing" for k in ("source_id", "agency", "list_name", "url") if not getattr(self, k)]
-        if self.engine not in self.ENGINES:
-            out.append(f"engine {self.engine!r} is unknown")
-        if self.format not in self.FORMATS:
-            out.append(f"format {self.format!r} is unknown")
-        if "name" not in self.field_map:
-            out.append("field_map has no name")
-        if not 0 <= self.max_empty_name_pct <= 100:
-            out.append("max_empty_name_pct is no percentage")
-        return out
-
-
 def header_difference(columns: list[str], wanted: tuple[str, ...]) -> tuple[list[str], list[str]]:
     """Columns that lack and columns that are too many."""
     return [c for c in wanted if c not in columns], [c for c in columns if c not in wanted]
@@ -66,8 +29,8 @@ def escalate(matches: DataFrame, enough: int = 5) -> DataFrame:
     return matches.join(earlier.where(F.col("before") < enough).select("q_id", "tier"), ["q_id", "tier"], "left_semi")
 
 
-def investment_search(odi: DataFrame, company: str | None = None, country: str | None = None, activity: str | None = None, kind: str | None = None, since: str | None = None, until: str | None = None, least: float | None = None, most: float | None = None, year: int | None = None, page: int = 1, per_page: int = 50) -> DataFrame:
-    """Conjunction of the filters that are given, latest and largest first, one page of it."""
+def matching_investments(odi: DataFrame, company: str | None = None, country: str | None = None, activity: str | None = None, kind: str | None = None, since: str | None = None, until: str | None = None, least: float | None = None, most: float | None = None, year: int | None = None) -> DataFrame:
+    """The conjunction of the filters that are given."""
     at = day(F.col("period_from"))
     wanted: list[Column] = []
     for column, value in (("indian_party", company), ("country", country), ("activity", activity)):
@@ -87,10 +50,13 @@ def investment_search(odi: DataFrame, company: str | None = None, country: str |
         wanted.append(F.substring("period_from", 7, 4) == str(year))
     for w in wanted:
         odi = odi.where(w)
-    return odi.orderBy(at.desc_nulls_last(), F.desc_nulls_last("total"), "id").offset((page - 1) * per_page).limit(per_page)
+    return odi
 
 
-MOST_EXPORTED = 10_000
+def investment_search(odi: DataFrame, page: int = 1, per_page: int = 50, **filters) -> DataFrame:
+    """One page of what the filters leave, latest and largest first."""
+    found = matching_investments(odi, **filters)
+    return found.orderBy(day(F.col("period_from")).desc_nulls_last(), F.desc_nulls_last("total"), "id").offset((page - 1) * per_page).limit(per_page)
 
 
 def name_report(spark: SparkSession, name: str, records: DataFrame, threshold: float = 0.3) -> DataFrame:
@@ -135,8 +101,18 @@ def country_report(odi: DataFrame, most: int = 20) -> DataFrame:
     return c.withColumn("place", place).where(F.col("place") <= most).withColumn("total", F.col("total").cast("double"))
 
 
-def export(odi: DataFrame, path: str, **filters) -> DataFrame:
-    """The first ``MOST_EXPORTED`` rows of a search as a CSV file with a header, and the rows."""
-    found = investment_search(odi, page=1, per_page=MOST_EXPORTED, **filters)
-    found.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
-    return odi.sparkSession.read.schema(found.schema).option("header", True).csv(path)
+def export(odi: DataFrame, path: str, form: str = "csv", **filters) -> DataFrame:
+    """All rows that the filters leave, oldest first and then by id, as CSV with headers or as JSON lines; and the rows as read back.
+
+    The sort is a range partitioning by date and id: each file holds a range, and the files' names follow it. Nulls are blank in CSV.
+    """
+    found = matching_investments(odi, **filters)
+    rows = found.orderBy(day(F.col("period_from")).asc_nulls_last(), "id")
+    spark = odi.sparkSession
+    if form == "json":
+        rows.write.mode("overwrite").json(path)
+        return spark.read.schema(found.schema).json(path)
+    if form != "csv":
+        raise ValueError(f"export as {form!r} is not known")
+    rows.write.mode("overwrite").option("header", True).option("nullValue", "").option("escape", '"').csv(path)
+    return spark.read.schema(found.schema).option("header", True).option("escape", '"').csv(path)

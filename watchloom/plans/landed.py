@@ -12,6 +12,8 @@ from ..functions import values as V
 from ..operators import rules
 from ..shared import shared_dir
 from ..sources import configured, files, grammars, sinks
+from ..sources import dump_labels as DL
+from ..sources import json_array as J
 from ..streaming import changes as C
 from .views import DOCS, LOG, ODI, PARTIES, PARTS, SNAPS, docs, investments, log, parties, parts, snapshot, table
 
@@ -155,20 +157,44 @@ def s21(s, d):
     return log(s, d).select("id", F.coalesce(F.element_at(m, "k"), F.col("source_id")).alias("name"))
 
 
-ROUTES = "r as (select * from (values ('click', 'src_a'), ('view', 'src_b')) v(label, target))"
+def _label(labels: list[str]) -> str:
+    return "case doc_id % {} {} end".format(len(labels), " ".join(f"when {i} then '{x}'" for i, x in enumerate(labels)))
 
 
-@q("S22_routed_records", f"with {LOG}, {ROUTES} select target, count(*) as n from log join r on label = source_id group by 1")
+#: What the landed dumps of ``documents`` carry: a label by id, and the first line under one of three keys or none.
+COMPANY_DUMP = [*DL.COMPANY_LABELS, "Some Other List"]
+NEGATIVE_DUMP = [*DL.NEGATIVE_LABELS, *DL.NEGATIVE_SKIPPED, "Some Other List", "Another List"]
+FIRST_LINE = "trim(string_split(coalesce(text, ''), chr(10))[1])"
+
+
+def _dump(s, d, labels: list[str]) -> str:
+    """All documents as JSON arrays, a file a partition."""
+    at = landing(s)
+    line = F.element_at(F.split("text", "\n"), 1)
+    t = table(s, d, "documents").select(
+        F.col("doc_id").cast("string").alias("_id"), F.element_at(F.array(*[F.lit(x) for x in labels]), (F.col("doc_id") % len(labels) + 1).cast("int")).alias("source"),
+        F.when(F.col("doc_id") % 4 == 0, line).alias("name"), F.when(F.col("doc_id") % 4 == 1, line).alias("defaulterName"), F.when(F.col("doc_id") % 4 == 2, line).alias("companyName"), F.struct(F.col("text").alias("value")).alias("raw"),
+    )
+    J.write_json_array(t, at)
+    return at
+
+
+@q("S22_routed_records", f"with d as (select doc_id, {_label(COMPANY_DUMP)} as label, case when doc_id % 4 <> 3 then {FIRST_LINE} else '' end as name from documents), r as (select * from (values {', '.join(f'({chr(39)}{k}{chr(39)}, {chr(39)}{v}{chr(39)})' for k, (v, _) in DL.COMPANY_LABELS.items())}) v(label, target)) select doc_id, target, name from d join r using (label) where name <> ''")
 def s22(s, d):
-    routes = s.createDataFrame([("click", "src_a"), ("view", "src_b")], "label string, target string")
-    known, _ = files.routed(log(s, d).select(F.col("source_id").alias("label"), F.col("user_id").cast("string").alias("name")), routes)
-    return known.groupBy("target").agg(F.count("*").alias("n"))
+    routes = s.createDataFrame([(k, v) for k, (v, _) in DL.COMPANY_LABELS.items()], "label string, target string")
+    found, _ = J.route_records(J.read_json_array(s, _dump(s, d, COMPANY_DUMP)), routes, names=("name", "defaulterName", "companyName"))
+    return found.select(J.written("_id").cast("long").alias("doc_id"), "target", "name")
 
 
-@q("S23_unmapped_labels", f"with {LOG}, {ROUTES} select source_id as label, count(*) as n from log where source_id not in (select label from r) group by 1")
+@q("S23_label_outcomes", f"with d as (select {_label(NEGATIVE_DUMP)} as label, case when doc_id % 4 = 0 then {FIRST_LINE} else '' end as name from documents) select label, case when label in ({', '.join(f'{chr(39)}{x}{chr(39)}' for x in DL.NEGATIVE_SKIPPED)}) then 'skipped' when label in ('Some Other List', 'Another List') then 'unrouted' when name = '' then 'nameless' else 'routed' end as outcome, count(*) as n from d group by 1, 2")
 def s23(s, d):
-    routes = s.createDataFrame([("click", "src_a"), ("view", "src_b")], "label string, target string")
-    return files.routed(log(s, d).select(F.col("source_id").alias("label"), F.col("user_id").cast("string").alias("name")), routes)[1]
+    routes = s.createDataFrame([(k, *v) for k, v in DL.NEGATIVE_LABELS.items()], "label string, target string, agency string")
+    return J.label_outcomes(J.read_json_array(s, _dump(s, d, NEGATIVE_DUMP)), routes, DL.NEGATIVE_SKIPPED)
+
+
+@q("S23_unmapped_labels", f"select {_label(NEGATIVE_DUMP)} as label, count(*) as n from documents where {_label(NEGATIVE_DUMP)} in ('Some Other List', 'Another List') group by 1")
+def s23_unmapped(s, d):
+    return s23(s, d).where("outcome = 'unrouted'").select("label", "n")
 
 
 @q("S24_predicate_routes", f"with {PARTS} select id, case when name like '%red%' then 'r' when name like '%blue%' then 'b' else 'other' end as route from parts")

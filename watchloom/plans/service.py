@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.titles import entity_of_title
 from ..operators import entities, rules, service
-from ..sources import sinks
+from ..sources import config_schema, sinks
 from .aggregates import INTERESTING
 from .landed import landing
 from .relations import SCREEN, _queries
@@ -110,9 +110,9 @@ def e08_health(s, d):
     return service.health(parts(s, d), log(s, d))
 
 
-@q("E08_export_call", f"with {ODI} select id, country, total::double as total from odi where year(strptime(period_from, '%d/%m/%Y')) = 1996 and total <= 50000 order by strptime(period_from, '%d/%m/%Y') desc, odi.total desc, id limit 10000")
+@q("E08_export_call", f"with {ODI} select id, country, total::double as total from odi where total <= 400000")
 def e08_export(s, d):
-    got = service.export(investments(s, d), f"{landing(s)}/export", most=50000, since="1996-01-01", until="1996-12-31")
+    got = service.export(investments(s, d), f"{landing(s)}/export", most=400000)
     return got.select("id", "country", F.col("total").cast("double").alias("total"))
 
 
@@ -122,10 +122,25 @@ def f11(s, d):
     return parts(s, d).withColumn("sid", guarded).where("sid is not null and sid <> ''").agg(F.count("*").alias("n"))
 
 
-@q("F17_config_checks", "select * from (values ('empty', 6), ('good', 0)) v(config, problems)")
+#: Configurations of ``part``: wrong in a way that follows from the row.
+CONFIG_PROBLEMS = """concat_ws(',', case when p_partkey % 7 = 0 then 'list_name' end, case when p_partkey % 4 = 3 then 'engine' end, case when p_partkey % 5 = 0 then 'field_map' end, case when p_size < 5 then 'validation.min_records' end,
+  case when p_retailprice > 1500 then 'validation.max_empty_name_pct' end, case when p_size % 9 = 0 then 'resilience.retries' end, case when p_partkey % 4 = 0 and p_partkey % 3 = 2 then 'format' end, case when p_partkey % 4 = 1 and p_size % 2 = 1 then 'pagination.type' end)"""
+
+
+@q("F17_config_checks", f"select p_partkey as id, {CONFIG_PROBLEMS} as problems, case when p_partkey % 2 = 0 then 5.0 else p_retailprice / 15 end as max_empty_name_pct, 60 as timeout_seconds, 10 as retry_delay_seconds, true as snapshot_raw from part")
 def f17(s, d):
-    good = service.SourceConfig("x", "a", "l", "html_table", "http://h", field_map={"name": "Name"})
-    return s.createDataFrame([("empty", len(service.SourceConfig().problems())), ("good", len(good.problems()))], "config string, problems int")
+    p = table(s, d, "part")
+    key, size, price = F.col("p_partkey"), F.col("p_size"), F.col("p_retailprice")
+    config = F.struct(
+        F.col("p_name").alias("source_id"), F.col("p_type").alias("agency"), F.when(key % 7 == 0, "").otherwise(F.col("p_brand")).alias("list_name"), F.lit("IN").alias("country"), F.lit("http://host/list").alias("url"),
+        F.element_at(F.array(*map(F.lit, ("file_download", "html_table", "api_json", "ftp"))), (key % 4 + 1).cast("int")).alias("engine"),
+        F.element_at(F.array(*map(F.lit, ("csv", "tsv", "pdf"))), (key % 3 + 1).cast("int")).alias("format"), F.when(key % 5 != 0, F.struct(F.col("p_type").alias("name"))).alias("field_map"),
+        F.struct((size - 5).alias("min_records"), F.when((key % 2 == 1) | (price > 1500), price / 15).alias("max_empty_name_pct")).alias("validation"),
+        F.struct(F.when(size % 9 == 0, -1).alias("retries")).alias("resilience"), F.struct(F.when(size % 2 == 1, "cursor").otherwise("offset").alias("type")).alias("pagination"),
+    )
+    found = config_schema.checked(p.select(key.alias("id"), F.to_json(config).alias("config"), price.alias("price")))
+    shown = F.when(F.col("id") % 2 == 0, F.when(F.col("price") > 1500, 5.0).otherwise(F.col("max_empty_name_pct"))).otherwise(F.col("max_empty_name_pct"))
+    return found.select("id", joined("problems").alias("problems"), shown.alias("max_empty_name_pct"), "timeout_seconds", "retry_delay_seconds", "snapshot_raw")
 
 
 @q("U06_header_difference", "select * from (values ('missing', 15), ('extra', 1)) v(kind, n)")

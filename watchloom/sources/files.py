@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import io
 import zipfile
 from collections.abc import Callable, Iterator
@@ -9,6 +10,7 @@ from html.parser import HTMLParser
 from xml.etree import ElementTree
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,34 +27,117 @@ def canonical(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*[F.coalesce(columns.get(c, F.col(c) if c in df.columns else F.lit("")).cast("string"), F.lit("")).alias(c) for c in CANONICAL])
 
 
+def _lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+    """``(file, at, value)``: the physical lines of files, with the byte at which their split begins."""
+    return spark.read.option("encoding", encoding).text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value")
+
+
+def quotes_span_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> bool:
+    """Whether some line has an odd number of quotes, so that a cell may go on in the next. Only then must a file be one task."""
+    value = F.col("value")
+    odd = (F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))) % 2 == 1
+    return not _lines(spark, path, encoding).where(odd).select(F.lit(1)).limit(1).isEmpty()
+
+
+HEAD_BYTES = 1 << 20
+
+
+def _numbered_lines(skip: int, before):
+    """Lines without the first ``skip`` of each file, and whether one is the first that is left; ``before``: lines before each split at a file's beginning."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[tuple[str, int], int] = {}
+        known = before.value
+        for batch in batches:
+            keep, first = [], []
+            for split in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                n = skip + 2  # further down
+                if split in known:
+                    n = seen[split] = seen.get(split, known[split]) + 1
+                keep.append(n > skip)
+                first.append(n == skip + 1)
+            out = pa.RecordBatch.from_arrays([batch.column(0), pa.array(first, pa.bool_()), batch.column(2)], names=["file", "first", "value"])
+            yield out.filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def lines_after(spark: SparkSession, path: str, skip: int = 0, encoding: str = "UTF-8") -> DataFrame:
+    """``(file, first, value)``: the lines after the first ``skip`` of each file, which must lie in its first ``HEAD_BYTES``.
+
+    Lines have numbers within their split; the few splits that begin that early are counted first.
+    """
+    lines = _lines(spark, path, encoding)
+    heads = lines.where(F.col("at") < HEAD_BYTES).groupBy("file", "at").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    early = heads.select("file", "at", before.alias("before")).where(F.col("before") <= skip).collect()  # a row or two a file
+    known = spark.sparkContext.broadcast({(r["file"], r["at"]): r["before"] for r in early})
+    return lines.mapInArrow(_numbered_lines(skip, known), "file string, first boolean, value string")
+
+
 def read_canonical(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Records of all files whose header is exact, and the files that were turned away with theirs.
 
-    Headers come from the text of the files' first lines, so the CSV scan has a fixed schema and no inference.
+    Headers are the first lines of the files' first splits, so the CSV scan has a fixed schema and no inference.
     """
-    lines = spark.read.option("wholetext", False).text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
-    wanted = ",".join(CANONICAL)
-    heads = lines.where(F.col("value").startswith("source_agency,")).groupBy("file").agg(F.max(F.when(F.col("value") == wanted, 1).otherwise(0)).alias("exact"))
-    rows = spark.read.schema(SCHEMA).option("header", True).option("enforceSchema", True).option("multiLine", True).option("escape", '"').csv(path).select("*", F.col("_metadata.file_path").alias("file"))
-    good = rows.join(heads.where("exact = 1"), "file", "left_semi").drop("file")
-    turned_away = rows.select("file").distinct().join(heads.where("exact = 1"), "file", "left_anti")
-    return canonical(good), turned_away
+    heads = lines_after(spark, path).where("first").select("file", (F.col("value") == ",".join(CANONICAL)).alias("exact"))
+    rows = spark.read.schema(SCHEMA).option("header", True).option("enforceSchema", True).option("multiLine", quotes_span_lines(spark, path)).option("escape", '"').csv(path).select("*", F.col("_metadata.file_path").alias("file"))
+    good = rows.join(heads.where("exact"), "file", "left_semi").drop("file")
+    return canonical(good), heads.where("not exact").select("file")
+
+
+MOST_HEADERS = 1000
+
+
+def _cells_of_lines(lines: DataFrame, sep: str) -> DataFrame:
+    """``(file, first, cells)`` of lines, by Spark's CSV parser."""
+    firsts = [r["value"] for r in lines.where("first").select("value").distinct().take(MOST_HEADERS + 1)]
+    if len(firsts) > MOST_HEADERS:
+        raise ValueError(f"files have more than {MOST_HEADERS} different first lines")
+    width = max((len(next(csv.reader([x], delimiter=sep))) for x in firsts), default=1)
+    row = F.from_csv("value", F.lit(", ".join(f"c{i} string" for i in range(width))), {"sep": sep, "escape": '"', "mode": "PERMISSIVE"})
+    return lines.select("file", "first", row.alias("r")).select("file", "first", F.array(*[F.col(f"r.c{i}") for i in range(width)]).alias("cells"))
+
+
+def _cells_of_files(spark: SparkSession, path: str, sep: str, skip: int, encoding: str) -> DataFrame:
+    """``(file, first, cells)`` of files whose quotes span lines; a file is one task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for file, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                text = io.TextIOWrapper(io.BytesIO(content), encoding, "replace", newline="")
+                for _ in range(skip):
+                    text.readline()
+                rows = [r for r in csv.reader(text, delimiter=sep) if r]
+                cells = [[c or None for c in r] for r in rows]
+                yield pa.RecordBatch.from_arrays([pa.array([file] * len(cells), pa.string()), pa.array([i == 0 for i in range(len(cells))], pa.bool_()), pa.array(cells, pa.list_(pa.string()))], names=["file", "first", "cells"])
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "file string, first boolean, cells array<string>")
 
 
 def read_delimited(spark: SparkSession, path: str, sep: str = "\t", header: bool = True, skip_rows: int = 0, encoding: str = "UTF-8") -> DataFrame:
-    """CSV or TSV as text columns; without a header they are named 0, 1, ..."""
-    if skip_rows:
-        lines = spark.read.option("encoding", encoding).text(path).select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"))
-        n = F.row_number().over(Window.partitionBy("file").orderBy("at"))
-        kept = lines.withColumn("n", n).where(F.col("n") > skip_rows)
-        cells = kept.select("file", "n", F.split("value", f"\\Q{sep}\\E").alias("c"))
-        first = cells.where(F.col("n") == skip_rows + 1).orderBy("file").first()
-        if first is None:
-            return spark.createDataFrame([], "`0` string")
-        names = first["c"] if header else [str(i) for i in range(len(first["c"]))]
-        return cells.where(F.col("n") > skip_rows + 1 if header else F.lit(True)).select(*[F.get("c", i).alias(x) for i, x in enumerate(names)])
-    df = spark.read.option("sep", sep).option("encoding", encoding).option("header", header).option("escape", '"').option("multiLine", True).csv(path)
-    return df if header else df.toDF(*[str(i) for i in range(len(df.columns))])
+    """CSV or TSV as text columns; without a header they are named 0, 1, ...
+
+    Quoted cells may hold separators, quotes and line ends; a file is split into tasks unless cells span lines. With ``skip_rows`` each file's
+    first lines are dropped and each has a header of its own: columns meet by name, in the order of the headers' texts.
+    """
+    spans = quotes_span_lines(spark, path, encoding)
+    if not skip_rows:
+        df = spark.read.option("sep", sep).option("encoding", encoding).option("header", header).option("escape", '"').option("multiLine", spans).csv(path)
+        return df if header else df.toDF(*[str(i) for i in range(len(df.columns))])
+    cells = _cells_of_files(spark, path, sep, skip_rows, encoding) if spans else _cells_of_lines(lines_after(spark, path, skip_rows, encoding).where("trim(value) <> ''"), sep)
+    if not header:
+        width = cells.where("first").agg(F.max(F.size("cells"))).first()[0] or 1
+        return cells.select(*[F.get("cells", F.lit(i)).alias(str(i)) for i in range(width)])
+    heads = cells.where("first").select("file", F.col("cells").alias("head"))
+    kinds = [r["head"] for r in heads.select("head").distinct().take(MOST_HEADERS + 1)]
+    if len(kinds) > MOST_HEADERS:
+        raise ValueError(f"files have more than {MOST_HEADERS} different headers")
+    names = list(dict.fromkeys(c for head in sorted(kinds, key=str) for c in head if c))
+    if not names:
+        return spark.createDataFrame([], "`0` string")
+    body = cells.where("not first").join(heads, "file")
+    return body.select(*[F.get("cells", F.array_position("head", F.lit(c)).cast("int") - 1).alias(c) for c in names])
 
 
 def read_json_records(spark: SparkSession, path: str, records: str = "$") -> DataFrame:
@@ -250,12 +335,6 @@ def words_to_columns(words: DataFrame, bounds: DataFrame) -> DataFrame:
     return rows.groupBy("page", "row_no", "column_name").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("y", "x", "word"))), lambda r: r["word"]), " ").alias("cell"))
 
 
-def routed(records: DataFrame, routes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Records with a known label and a name, by a lookup of labels; and counts of the labels that have no route. Spark broadcasts the routes while they are small."""
-    known = records.join(routes, "label").where(F.coalesce(F.trim("name"), F.lit("")) != "")
-    return known, records.join(routes, "label", "left_anti").groupBy("label").agg(F.count("*").alias("n"))
-
-
 def warned_sources(log: DataFrame, first: int = 20) -> DataFrame:
     """Sources named in WARN lines, once each, in order."""
     found = log.select("line_no", F.nullif(F.regexp_extract("value", r"WARN.*?source=(\S+)", 1), F.lit("")).alias("source_id")).where("source_id is not null")
