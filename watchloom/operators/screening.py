@@ -1,9 +1,10 @@
 """Tiered name screening, single or in bulk, as one distributed plan.
 
 Tier 1 is equality without case, tier 2 contains (queries of three characters or more), tier 3 word-trigram
-similarity. Names that can match a query share one of a few of its trigrams with it: the rarest of all for contains,
-as many of the rarest as the threshold asks for for similarity. So all tiers are equi-joins, whatever the number of
-queries; up to ``MAX_QUERIES`` they are broadcast, and then names aren't shuffled before they match.
+similarity. Names that can match a query share one of a few of its keys with it: the whole name for equality, the rarest of its
+trigrams for contains, as many of the rarest as the threshold asks for for similarity. So all tiers are equi-joins on
+(key, id), whatever the number of queries, and names are fetched for candidates only. Up to ``MAX_QUERIES`` queries are broadcast, and then names' keys aren't
+shuffled before they match. ``gram_index`` keeps the keys on disk.
 """
 
 from __future__ import annotations
@@ -12,15 +13,51 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.similarity import inner_trigrams, jaccard, word_trigrams
+from ..shared import cut
 from .rules import level, overall
 from .similarity_join import prefix_length, similarity_join
 
 MAX_QUERIES = 1000
 
 
-def _tagged(words: Column, inner: Column) -> Column:
-    """Trigrams of either kind in one array."""
-    return F.concat(F.transform(words, lambda g: F.concat(F.lit("w"), g)), F.transform(inner, lambda g: F.concat(F.lit("i"), g)))
+def name_keys(name: Column) -> Column:
+    """What a name can be found by: its word trigrams (w), inner trigrams (i) and all of it (e), in lower case."""
+    low = F.lower(name)
+    tagged = lambda kind, grams: F.transform(grams, lambda g: F.concat(F.lit(kind), g))
+    return F.concat(tagged("w", word_trigrams(name)), tagged("i", inner_trigrams(low)), F.array(F.concat(F.lit("e"), low)))
+
+
+def asked(queries: DataFrame) -> DataFrame:
+    """``(q_id, ql, qg, gram)``: the keys of queries of two characters or more."""
+    q = queries.select("q_id", F.trim("query").alias("query")).where(F.length("query") >= 2)
+    return q.select("q_id", F.lower("query").alias("ql"), word_trigrams(F.col("query")).alias("qg"), F.explode(name_keys(F.col("query"))).alias("gram"))
+
+
+def most_keys(threshold: float) -> Column:
+    """How many of the rarest keys of its kind suffice to find all matches."""
+    return F.when(F.col("gram").startswith("w"), prefix_length(F.size("qg"), threshold)).otherwise(1)
+
+
+def rarest(keys: DataFrame, counts: DataFrame, threshold: float) -> DataFrame:
+    """The keys that suffice: ``keys`` of :func:`asked`, ``counts(gram, k)`` where a key occurs at all."""
+    kind = F.substring("gram", 1, 1)
+    place = F.row_number().over(Window.partitionBy("q_id", kind).orderBy(F.coalesce("k", F.lit(0)), "gram"))
+    return keys.join(counts, "gram", "left").withColumn("place", place).where(F.col("place") <= most_keys(threshold)).select("q_id", "ql", "qg", "gram")
+
+
+def dealt(pairs: DataFrame) -> DataFrame:
+    """Candidates are few bytes and much work: dealt over all tasks, which adaptive execution then leaves so."""
+    return pairs.repartition(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id")
+
+
+def ranked(pairs: DataFrame, threshold: float, limit: int) -> DataFrame:
+    """The matches among candidates ``(q_id, ql, qg, id, name, source_id)``, the best ``limit`` of each query."""
+    low = F.lower("name")
+    sim = F.when(low == F.col("ql"), 1.0).otherwise(jaccard(F.col("qg"), word_trigrams(F.col("name"))))
+    tier = F.when(low == F.col("ql"), 1).when((F.length("ql") >= 3) & low.contains(F.col("ql")), 2).when(F.col("sim") >= threshold, 3)
+    found = pairs.withColumn("sim", sim).withColumn("tier", tier).where("tier is not null").drop("qg")
+    order = Window.partitionBy("q_id").orderBy("tier", F.desc(F.round("sim", 6)), F.length("name"), "id")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit).select("q_id", "id", "name", "source_id", "tier", "sim", "rank")
 
 
 def screen(queries: DataFrame, names: DataFrame, threshold: float = 0.3, limit: int = 10) -> DataFrame:
@@ -33,26 +70,13 @@ def screen(queries: DataFrame, names: DataFrame, threshold: float = 0.3, limit:
     def few(df: DataFrame) -> DataFrame:
         return F.broadcast(df) if small else df
 
-    q = queries.select("q_id", F.trim("query").alias("query")).where(F.length("query") >= 2)
-    q = q.withColumn("ql", F.lower("query")).withColumn("qg", word_trigrams(F.col("query"))).withColumn("qi", inner_trigrams(F.col("ql")))
-    n = names.where(F.col("name").isNotNull()).select("id", "name", "source_id", F.lower("name").alias("nl"), word_trigrams(F.col("name")).alias("ng"))
-    posted = n.withColumn("gram", F.explode(_tagged(F.col("ng"), inner_trigrams(F.col("nl")))))
-
-    asked = q.select("q_id", "ql", "qg", F.explode(_tagged(F.col("qg"), F.col("qi"))).alias("gram"))
-    counts = posted.select("gram").join(few(asked.select("gram").distinct()), "gram", "left_semi").groupBy("gram").agg(F.count("*").alias("k"))
-    kind = F.substring("gram", 1, 1).alias("kind")
-    place = F.row_number().over(Window.partitionBy("q_id", kind).orderBy(F.coalesce("k", F.lit(0)), "gram"))
-    most = F.when(F.col("gram").startswith("i"), 1).otherwise(prefix_length(F.size("qg"), threshold))
-    keys = asked.join(counts, "gram", "left").withColumn("place", place).where(F.col("place") <= most).select("q_id", "ql", "qg", "gram")
-
-    sim = jaccard(F.col("qg"), F.col("ng"))
-    near = posted.join(few(keys), "gram").withColumn("sim", sim)
-    tier = F.when((F.length("ql") >= 3) & F.col("nl").contains(F.col("ql")), 2).when(F.col("sim") >= threshold, 3)
-    near = near.withColumn("tier", tier).where("tier is not null").select("q_id", "id", "name", "source_id", "tier", "sim")
-    exact = n.join(few(q.select("q_id", "ql")), n["nl"] == F.col("ql")).select("q_id", "id", "name", "source_id", F.lit(1).alias("tier"), F.lit(1.0).alias("sim"))
-    found = exact.unionByName(near).groupBy("q_id", "id").agg(F.min_by(F.struct("name", "source_id", "tier", "sim"), "tier").alias("m")).select("q_id", "id", "m.*")
-    order = Window.partitionBy("q_id").orderBy("tier", F.desc(F.round("sim", 6)), F.length("name"), "id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit)
+    wanted = asked(queries)
+    n = names.where(F.col("name").isNotNull())
+    posted = n.select("id", F.explode(F.array_distinct(name_keys(F.col("name")))).alias("gram"))
+    hits = cut(posted.join(few(wanted.select("gram").distinct()), "gram", "left_semi"))
+    keys = rarest(wanted, hits.groupBy("gram").agg(F.count("*").alias("k")), threshold)
+    pairs = hits.join(few(keys), "gram").groupBy("q_id", "id").agg(F.first("ql").alias("ql"), F.first("qg").alias("qg"))
+    return ranked(dealt(pairs).join(n.select("id", "name", "source_id"), "id"), threshold, limit)
 
 
 def similar(queries: DataFrame, names: DataFrame, threshold: float) -> DataFrame:

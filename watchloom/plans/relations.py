@@ -9,6 +9,7 @@ from ..functions import similarity as Y
 from ..functions import text as X
 from ..functions import values as V
 from ..operators import entities, rules, screening
+from ..operators.gram_index import GramIndex
 from .aggregates import INTERESTING
 from .scalars import pick
 from .views import DOCS, LOG, ODI, PARTIES, PARTS, docs, investments, joined, log, parties, parts, table
@@ -372,6 +373,19 @@ def j20(s, d):
     return screening.screen(_queries(s), parties(s, d), 0.6).withColumn("sim", F.round("sim", 6))
 
 
+CHANGED = SCREEN.replace("parties as (", "base as (", 1).replace("qs as (", "parties as (select id, case when id % 5 = 0 then name || ' Ltd' else name end as name, source_id from base where id % 7 <> 0), qs as (", 1)
+
+
+@q("J20_indexed_screening", CHANGED + " select q_id, id, name, source_id, tier::int as tier, round(sim, 6) as sim, k::int as rank from r where k <= 10")
+def j20_index(s, d):
+    """From the stored index, after a change that replaces a fifth of the names and removes a seventh."""
+    p = parties(s, d).select("id", "name", "source_id")
+    index = GramIndex(s)
+    index.change(p)
+    index.change(p.where("id % 5 = 0 and id % 7 <> 0").withColumn("name", F.concat("name", F.lit(" Ltd"))), p.where("id % 7 = 0").select("id"))
+    return index.screen(_queries(s), 0.6).withColumn("sim", F.round("sim", 6))
+
+
 @q("O03_screening_levels", SCREEN + ", m as (select q_id, count(*) as matches from r where k <= 10 group by 1) select q.q_id, query, coalesce(matches, 0) as matches, case when matches > 0 then 'LOW' else 'CLEAR' end as level from qs q left join m on m.q_id = q.q_id")
 def o03(s, d):
     got = screening.report(_queries(s), screening.screen(_queries(s), parties(s, d), 0.6), s.createDataFrame([], "q_id int, hits long"))
