@@ -188,6 +188,12 @@ class LineRuns:
         fs.delete(path(self.path), True)
 
 
+def buckets_for(spark: SparkSession, rows: int) -> int:
+    """A bucket for each ``BUCKET_ROWS``, as far as Spark's catalogue takes them; beyond that buckets grow, and the sorts that merge them spill."""
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    return min(most, max(8, -(-rows // BUCKET_ROWS)))
+
+
 def dropped_keys(found: DataFrame, runs: LineRuns, min_docs: int = MIN_DOCS) -> DataFrame:
     """``(doc_id, __drop)``: the line hashes that a document loses, as one array of 16-byte values.
 
@@ -233,7 +239,7 @@ def fold(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batche
     at = f"{shared_dir(spark)}/lines-{uuid.uuid4().hex}"
     lines(docs, id_col, text_col, min_chars).withColumn("batch", F.pmod(F.xxhash64("doc_id"), F.lit(batches))).write.partitionBy("batch").parquet(f"{at}/found")
     found = spark.read.schema("doc_id long, key binary, batch int").parquet(f"{at}/found")
-    runs = LineRuns(spark, f"{at}/runs", fanout, buckets=max(8, -(-found.count() // BUCKET_ROWS)))
+    runs = LineRuns(spark, f"{at}/runs", fanout, buckets=buckets_for(spark, found.count()))
     for b in range(batches):
         runs.add(found.where(F.col("batch") == b).select("doc_id", "key").distinct(), b)
     lost = cut(dropped_keys(found.select("doc_id", "key").distinct(), runs, min_docs).withColumnRenamed("doc_id", "__id"))

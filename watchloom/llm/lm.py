@@ -10,7 +10,7 @@ slot 0 holds one unknown token of count 0, so the probabilities of all tokens su
 * Counts cover every training document: they are summed in numpy for a task and then shuffled.
 * The network is trained by truncated backpropagation (windows of ``WINDOW`` tokens, state carried
   on, reset after each end). Training documents are dealt by a hash of id and text into ``ROUNDS`` rounds
-  and as many copies of the network as the number of tokens asks for (``COPY_TOKENS``, ``MOST_COPIES``), in the
+  and as many copies of the network as the number of tokens asks for (one for each ``COPY_TOKENS``), in the
   order of that hash. A round trains each copy on all its documents of the round and averages the copies by
   their tokens, so that each training document is learned from once. What a copy learns from and in which order
   doesn't depend on files, partitions or batches: scores agree on any layout but for the rounding of sums.
@@ -39,7 +39,9 @@ from .common import Words, chunks, cut, held_out, texts
 FOLDS, FOLD = 7, 2
 HIDDEN, WINDOW, STREAMS = 16, 32, 256
 TOP_WORDS, TOP_ENDINGS, SLOTS = 24, 38, 16
-ROUNDS, COPY_TOKENS, MOST_COPIES = 8, 1 << 20, 4096
+ROUNDS, COPY_TOKENS = 8, 1 << 20
+MOST_TASKS = 1 << 16  # beyond it a task trains several copies, one after the other
+FAN = 64  # rows of weights that are summed by one task, or by the driver
 PIECE = 1 << 17  # tokens that a copy is trained on at once
 FREQUENT = 1 << 17
 RATE = 0.03
@@ -393,18 +395,23 @@ def _sum_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(training: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS, copy_tokens: int = COPY_TOKENS) -> dict[str, np.ndarray]:
     """Averaged local training over all of ``training(doc_id, text)``, in ``rounds`` rounds."""
     spark, p = training.sparkSession, start(vocab)
-    copies = max(1, min(MOST_COPIES, vocab.total // copy_tokens))
-    groups = max(1, math.isqrt(copies))
+    copies = max(1, vocab.total // copy_tokens)
+    tasks = min(copies, MOST_TASKS)
+    groups = max(1, math.isqrt(tasks))
     x = F.xxhash64(F.lit(7), "doc_id", "text")
     dealt = training.select(F.pmod(F.shiftright(x, 8), F.lit(copies)).cast("int").alias("copy"), F.pmod(x, F.lit(rounds)).cast("int").alias("round"), x.alias("x"), "text")
     dealt = dealt.mapInArrow(_sequence_rows(spark.sparkContext.broadcast(vocab)), TRAINING)
-    dealt = cut(dealt.repartitionById(copies, F.col("copy")).sortWithinPartitions("copy", "round", "x"))
+    dealt = cut(dealt.repartitionById(tasks, F.col("copy") % tasks).sortWithinPartitions("copy", "round", "x"))
     for k in range(rounds):
         shared = spark.sparkContext.broadcast(p)
         got = dealt.where(F.col("round") == k).mapInArrow(_train_rows(shared, groups), WEIGHTS)
         if groups > 1:
             got = got.repartition(groups, "g").mapInArrow(_sum_rows, WEIGHTS)
-        got = got.collect()  # at most sqrt(copies) rows
+        left = groups
+        while left > FAN:
+            left = -(-left // FAN)
+            got = got.withColumn("g", F.spark_partition_id() % left).repartition(left, "g").mapInArrow(_sum_rows, WEIGHTS)
+        got = got.collect()  # at most FAN rows
         shared.unpersist()
         if got:
             flat, at = (sum(np.array(r["w"]) for r in got) / sum(r["n"] for r in got)).astype(np.float32), 0

@@ -19,8 +19,8 @@ matches in the last 8 bytes of its input and stores what saves less than 2 bytes
 Labels are learned from at most ``max_rows`` labelled rows and ``max_bytes`` of text, never from fold 0 of 5 by
 crc32 of the id. Either label has half of the rows or all that it has (the rows with the least hash of
 their id); the calibration weighs them back to their shares among all labels. A text that would pass
-``max_bytes`` is left out of the sample. The ordinary dictionary is trained on the first ``DICTIONARY_BYTES`` of
-the sample's ordinary texts, a hundred times its size and more. Every text is scored whole, a very long one in
+``max_bytes`` is left out of the sample. The ordinary dictionary is trained on all ordinary texts of the
+sample. Every text is scored whole, a very long one in
 pieces that overlap. No other column enters a score.
 
 Null and empty texts get the calibration's score of zero windows. Without labels of both kinds the
@@ -52,7 +52,7 @@ WINDOW = 3
 LEVELS = 8
 RUN = 5
 CHANCE = 0.05
-SIZE, DICTIONARY_BYTES = 1 << 16, 16 << 20
+SIZE = 1 << 16
 CARRIER = bytes(range(128, 160))
 PIECE = 1 << 17  # windows looked at at once
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -187,11 +187,11 @@ def typical_pairs(toxic: list[bytes | None], ordinary: list[bytes | None], start
 
 
 def dictionary(samples: list[bytes], size: int) -> tuple[bytes, bool]:
-    """A trained dictionary; the different samples themselves where they are too few to train on."""
+    """A trained dictionary of up to ``size`` bytes; all different samples themselves where they are too few to train on."""
     try:
         return zstandard.train_dictionary(size, samples, k=50, d=6).as_bytes(), True
     except zstandard.ZstdError:
-        return b"".join(dict.fromkeys(samples))[-size:] or b" " * 8, False
+        return b"".join(dict.fromkeys(samples)) or b" " * 8, False
 
 
 def different(docs: list[bytes | None]) -> list[bytes]:
@@ -221,15 +221,11 @@ def marked_windows(toxic: list[bytes | None], ordinary: list[bytes | None]) -> l
 
 
 def train(rows: list[tuple[bytes | None, int, float]], size: int = SIZE) -> Model:
-    """From texts, labels and weights. ``size`` is the most that either dictionary may take."""
+    """From texts, labels and weights. ``size`` is the most that either trained dictionary may take."""
     toxic, ordinary = ([t for t, y, _ in rows if y == k] for k in (1, 0))
     if not toxic or not ordinary:
         return Model(prior=len(toxic) / len(rows) if rows else 0.0)
-    lines, held = [], 0
-    for own in map(words, ordinary):
-        if held < DICTIONARY_BYTES and own:
-            lines.append(b" " + b" ".join(own)[: DICTIONARY_BYTES] + b" ")
-            held += len(lines[-1])
+    lines = [b" " + b" ".join(own) + b" " for own in map(words, ordinary) if own]
     d0, t0 = dictionary(lines, size)
     d1, t1 = dictionary(marked_windows(toxic, ordinary), size)
     weights = np.array([u for _, _, u in rows])
