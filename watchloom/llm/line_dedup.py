@@ -37,6 +37,7 @@ from .common import SPACE, cut, shared_dir, texts
 
 MIN_CHARS, MIN_DOCS = 20, 3
 FANOUT = 3
+PIECE_ROWS = 512
 SALTS = 16
 BUCKET_ROWS = 1_000_000  # rows of lines for a bucket of the runs
 BITS = 1 << 24  # of the map of documents that may lose lines, at most 2^18 rows
@@ -57,11 +58,18 @@ def digest(key: bytes) -> bytes:
     return xxhash.xxh3_128_digest(key)
 
 
+def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of ``PIECE_ROWS`` rows at most, so that a worker holds the lines of few documents."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, PIECE_ROWS):
+            yield batch.slice(lo, PIECE_ROWS)
+
+
 def _line_rows(min_chars: int):
     """Each document's distinct line hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             ids, keys = [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), texts(batch.column(1)), strict=True):
                 own = {digest(k) for k in map(line_key, (text or b"").split(b"\n")) if len(k) >= min_chars and code_points(k) >= min_chars}
@@ -213,7 +221,7 @@ def bit_map(ids: DataFrame, bits: int = BITS) -> DataFrame:
 
 def _rewrite_rows(at_text: int, at_drop: int, min_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             out, n_lines, n_dropped = [], [], []
             for text, drop in zip(texts(batch.column(at_text)), batch.column(at_drop).to_pylist(), strict=True):
                 own = (text or b"").split(b"\n")
