@@ -15,6 +15,7 @@ from ..sources import configured, files, grammars, sinks
 from ..sources import dump_labels as DL
 from ..sources import json_array as J
 from ..streaming import changes as C
+from ..streaming import freshness, snapshots
 from .views import DOCS, LOG, ODI, PARTIES, PARTS, SNAPS, docs, investments, log, parties, parts, snapshot, table
 
 QUERIES: dict = {}
@@ -621,9 +622,21 @@ def t02_stream(s, d):
     before, after = (snapshot(s, d, x).coalesce(1) for x in (False, True))
     before.write.parquet(f"{at}/in/1")
     after.write.parquet(f"{at}/in/2")
-    run = C.stream_changes(s, f"{at}/in/*", before.schema, f"{at}/state", f"{at}/out", f"{at}/ckpt", ["name", "details"])
+    run = snapshots.stream_lists(s, f"{at}/in/*", before.schema, f"{at}/state", f"{at}/ckpt", ["name", "details"], 16)
     run.awaitTermination()
-    return s.read.parquet(f"{at}/out/batch=1")
+    return snapshots.ListState(s, f"{at}/state").changes(1).drop("version")
+
+
+@q("T02_incremental_changes", f"with {SNAPS}, third as (select name, source_list, case when source_list = 'F' and name like '%7' then details || ' again' else details end as details from curr where name not like '%99'), prev_ as (select * from curr) select case when p.name is null then 'added' when c.name is null then 'removed' else 'modified' end as change_type, coalesce(c.name, p.name) as entity_name, coalesce(c.source_list, p.source_list) as source_list from prev_ p full join third c on p.name = c.name and p.source_list = c.source_list where p.name is null or c.name is null or p.details <> c.details")
+def t02_incremental(s, d):
+    """The third of three snapshots against the state in buckets; a replay of the second in between."""
+    second = snapshot(s, d, True)
+    again = F.when((F.col("source_list") == "F") & F.col("name").endswith("7"), F.concat("details", F.lit(" again"))).otherwise(F.col("details"))
+    third = second.where(~F.col("name").endswith("99")).withColumn("details", again)
+    state = snapshots.ListState(s, landing(s), 16)
+    for k, snap in enumerate((snapshot(s, d, False), second, second, third)):
+        state.take(snap, ["name", "details"], version=min(k, 1) if k < 3 else 2)
+    return state.changes(2).drop("version")
 
 
 @q("T03_count_change", f"with {SNAPS} select (select count(*) from prev) as old_count, (select count(*) from curr) as new_count, 'count_change' as change_type")
@@ -645,6 +658,29 @@ def t05(s, d):
     return g.select("user_id", V.age_days(F.col("m"), "2024-02-08").cast("long").alias("age")).where("age >= 10")
 
 
+FRESH = """with e as (select distinct user_id::varchar as source_id, epoch_us(ts) // 1000 as ms, case when user_id % 10 = 0 then 3 else 1 end as factor from events), w as (select max(ms) - 3600000 as w from e),
+f as (select source_id, factor, ms, lead(ms) over (partition by source_id order by ms) as nxt from e, w where ms <= w),
+a as (select source_id, 'STALE' as alarm, ms + 43200000 * factor as due, ms, nxt from f union all select source_id, 'VERY_STALE', ms + 172800000 * factor, ms, nxt from f)
+select source_id, alarm, epoch_ms(due) as at_time, epoch_ms(ms) as last_seen from a, w where due <= w and (nxt is null or nxt >= due)
+union all select source_id, 'RECOVERED', epoch_ms(nxt), epoch_ms(ms) from f where nxt >= ms + 43200000 * factor"""
+
+
+@q("T05_stream_freshness", FRESH)
+def t05_stream(s, d):
+    """Three landings, each taken up by a new run of the stream, with rows that come late and again."""
+    at = landing(s)
+    e = table(s, d, "events").select("user_id", "ts")
+    first, last = e.agg(F.min("ts"), F.max("ts")).first()
+    cuts = [first + (last - first) * k / 3 for k in range(4)]
+    for k in range(3):
+        own = e.where(F.col("ts").between(cuts[k], cuts[k + 1]))
+        late = e.where((F.col("ts") < cuts[k]) & (F.col("user_id") % 5 == 0))
+        own.unionByName(late).write.mode("append").parquet(f"{at}/in")
+        stream = freshness.alarms(s.readStream.schema(e.schema).parquet(f"{at}/in"), "user_id", "ts", F.col("user_id") % 10 == 0, 0.5, 2)
+        freshness.with_timers(stream.writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/ckpt").trigger(availableNow=True)).awaitTermination()
+    return s.read.schema(freshness.ALARMS).parquet(f"{at}/out").withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("at", "last_seen")}).withColumnRenamed("at", "at_time")
+
+
 @q("T06_run_state", f"with {PARTS}, o as (select distinct source_id, case when source_id < 'Brand#3' then 'HTTP_DOWN' else 'HTTP_OK' end as h from parts) select source_id, case when source_id like '%1' then 'HTTP_OK' else h end as last_http, case when source_id like '%1' and h = 'HTTP_DOWN' then '2024-01-02' end as last_healed from o")
 def t06(s, d):
     o = parts(s, d).select("source_id").distinct().withColumns({"last_http": F.when(F.col("source_id") < "Brand#3", "HTTP_DOWN").otherwise("HTTP_OK"), "last_failed": F.lit(None).cast("string"), "last_healed": F.lit(None).cast("string")})
@@ -657,16 +693,16 @@ def t08(s, d):
     return C.windowed_counts(log(s, d), "scraped_at", "source_id")
 
 
-@q("T08_stream_windows", f"with {LOG} select date_trunc('day', scraped_at)::timestamp as start, source_id, count(*) as n from log group by 1, 2")
+@q("T08_stream_windows", f"with {LOG}, g as (select date_trunc('day', scraped_at)::timestamp as start, source_id, count(*) as n from log group by 1, 2) select * from g where start + interval 1 day <= (select max(scraped_at) - interval 1 hour from log)")
 def t08_stream(s, d):
+    """The windows that the watermark has closed, appended to a folder."""
     at = landing(s)
     e = log(s, d)
     e.write.parquet(f"{at}/in")
-    name = f"w{uuid.uuid4().hex}"
     counts = C.windowed_counts(s.readStream.schema(e.schema).parquet(f"{at}/in"), "scraped_at", "source_id")
-    run = counts.writeStream.outputMode("complete").format("memory").queryName(name).option("checkpointLocation", f"{at}/ckpt").trigger(availableNow=True).start()
+    run = counts.writeStream.outputMode("append").format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/ckpt").trigger(availableNow=True).start()
     run.awaitTermination()
-    return s.table(name)
+    return s.read.schema(counts.schema).parquet(f"{at}/out")
 
 
 @q("T08_sliding_windows", f"with {LOG}, h as (select scraped_at, source_id, date_trunc('day', scraped_at) + interval 12 hours * floor(hour(scraped_at) / 12) as w from log), s as (select w as start, source_id from h union all select w - interval 12 hours, source_id from h) select start::timestamp as start, source_id, count(*) as n from s group by 1, 2")
