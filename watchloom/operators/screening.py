@@ -79,6 +79,24 @@ def screen(queries: DataFrame, names: DataFrame, threshold: float = 0.3, limit:
     return ranked(dealt(pairs).join(n.select("id", "name", "source_id"), "id"), threshold, limit)
 
 
+def containing(queries: DataFrame, names: DataFrame) -> DataFrame:
+    """``(q_id, name)``: the different names that hold a query, without case, by the rarest inner trigram of each query.
+
+    Queries of under three characters have none and are compared with every name.
+    """
+    n = names.where("name is not null").select("name", F.lower("name").alias("nl")).distinct()
+    q = queries.select("q_id", F.lower("query").alias("ql"))
+    keys = q.select("q_id", "ql", F.explode(inner_trigrams(F.col("ql"))).alias("gram"))
+    hits = n.select("name", "nl", F.explode(inner_trigrams(F.col("nl"))).alias("gram")).join(keys.select("gram").distinct(), "gram", "left_semi")
+    counts = hits.groupBy("gram").agg(F.count("*").alias("k"))
+    one = keys.join(counts, "gram", "left").groupBy("q_id", "ql").agg(F.min_by("gram", F.struct(F.coalesce("k", F.lit(0)), "gram")).alias("gram"))
+    found = hits.join(one, "gram").where(F.col("nl").contains(F.col("ql"))).select("q_id", "name")
+    short = q.where(F.length("ql") < 3)
+    if short.isEmpty():
+        return found
+    return found.unionByName(n.join(F.broadcast(short) if short.count() <= MAX_QUERIES else short, F.col("nl").contains(F.col("ql"))).select("q_id", "name"))
+
+
 def similar(queries: DataFrame, names: DataFrame, threshold: float) -> DataFrame:
     """``(q_id, id, name, source_id, tier, sim)``: word-trigram similarity over different texts, joined back to the names."""
     left = queries.select(F.col("q_id").alias("id"), word_trigrams(F.col("query")).alias("g"))

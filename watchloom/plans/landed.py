@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions import values as V
-from ..operators import rules
+from ..operators import crawl, rules
 from ..shared import shared_dir
 from ..sources import configured, files, grammars, sinks
 from ..sources import dump_labels as DL
@@ -595,6 +595,24 @@ def k22(s, d):
     return s.read.parquet(f"{at}/live").groupBy("source_id").agg(F.count("*").alias("n"))
 
 
+PLACES = """p as (select rtrim(lower(split_part(bare, '/', 1)) || substr(bare, length(split_part(bare, '/', 1)) + 1), '/') as src, html from (select regexp_replace(regexp_replace(url, '^[A-Za-z][A-Za-z0-9+.-]*://', ''), '[?#].*$', '') as bare, html from pages)),
+h as (select src, unnest(regexp_extract_all(html, 'href=["'']([^"'']*)["'']', 1)) as href from p),
+l as (select src, rtrim(split_part(src, '/', 1) || regexp_replace(href, '[?#].*$', ''), '/') as dst from h where regexp_replace(trim(href), '#.*$', '') <> ''),
+f as (select distinct array_to_string(parts[1:i - 1], '/') as up, array_to_string(parts[1:i], '/') as down from (select parts, unnest(range(2, len(parts) + 1)) as i from (select string_split(src, '/') as parts from p))),
+e as (select distinct src, dst from (select * from l union all select up, down from f union all select down, up from f) where src <> dst and split_part(src, '/', 1) = split_part(dst, '/', 1)),
+d0 as (select split_part(src, '/', 1) as domain, min(src) as place from p group by 1),
+n1 as (select domain, dst as place, row_number() over (partition by domain order by dst) as n from (select distinct domain, dst from d0 join e on src = place where dst not in (select place from d0))), d1 as (select domain, place from n1 where n <= 99),
+c1 as (select domain, count(*) as k from (select domain from d0 union all select domain from d1) group by 1),
+n2 as (select domain, dst as place, row_number() over (partition by domain order by dst) as n from (select distinct domain, dst from d1 join e on src = place where dst not in (select place from d0 union all select place from d1))), d2 as (select domain, place from n2 join c1 using (domain) where n <= 100 - k),
+found as (select domain, place, 0 as depth from d0 union all select domain, place, 1 from d1 union all select domain, place, 2 from d2)"""
+
+
+@q("S40_domain_crawl", f"with {PLACES} select domain, found.place, depth, count(p.src) as landed from found left join p on p.src = found.place group by 1, 2, 3")
+def s40(s, d):
+    pages = table(s, d, "pages")
+    return crawl.with_pages(crawl.crawl(crawl.entries(pages), crawl.edges(pages)), pages)
+
+
 # --- change capture and streams ------------------------------------------------------------------
 DIFF = f"with {SNAPS} select case when p.name is null then 'added' when c.name is null then 'removed' else 'modified' end as change_type, coalesce(c.name, p.name) as entity_name, coalesce(c.source_list, p.source_list) as source_list from prev p full join curr c on p.name = c.name and p.source_list = c.source_list where p.name is null or c.name is null or p.details <> c.details"
 

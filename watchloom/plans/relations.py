@@ -10,6 +10,7 @@ from ..functions import text as X
 from ..functions import values as V
 from ..operators import entities, rules, screening
 from ..operators.gram_index import GramIndex
+from ..shared import numbered
 from .aggregates import INTERESTING
 from .scalars import pick
 from .views import DOCS, LOG, ODI, PARTIES, PARTS, docs, investments, joined, log, parties, parts, table
@@ -268,11 +269,12 @@ def w02(s, d):
     return entities.fuzzy_links(g, p, 0.3).withColumn("sim", F.round("sim", 6))
 
 
-@q("J06_left_aggregate", f"with {PARTS}, g as (select distinct name from parts), a as (select name, count(distinct source_agency) as agencies from parts where size > 45 group by 1) select g.name, coalesce(agencies, 0) as agencies from g left join a using (name)")
+@q("J06_left_aggregate", f"with {PARTS}, a as (select source_id, count(distinct source_agency) as agencies from parts group by 1), l as (select distinct 'Brand#' || (o_orderkey % 60) as source_id from orders) select l.source_id, coalesce(agencies, 0) as agencies from l left join a using (source_id)")
 def j06(s, d):
-    p = parts(s, d)
-    a = p.where("size > 45").groupBy("name").agg(F.countDistinct("source_agency").alias("agencies"))
-    return p.select("name").distinct().join(a, "name", "left").select("name", F.coalesce("agencies", F.lit(0)).alias("agencies"))
+    """Sources that a list names, with what the records have of them; some have none."""
+    listed = table(s, d, "orders").select(F.concat(F.lit("Brand#"), F.col("o_orderkey") % 60).alias("source_id")).distinct()
+    a = parts(s, d).groupBy("source_id").agg(F.countDistinct("source_agency").alias("agencies"))
+    return listed.join(a, "source_id", "left").select("source_id", F.coalesce("agencies", F.lit(0)).alias("agencies"))
 
 
 @q("J07_exists_in_array", f"with {PARTS}, g as (select name, list(distinct source_id) as src from parts group by 1) select name, len(list_filter(src, lambda x: regexp_matches(x, '#[12][1-3]'))) > 0 as hit from g")
@@ -352,7 +354,8 @@ QSQL = "qs as (select * from (values " + ", ".join(f"({i + 1}, '{n}')" for i, n
 
 @q("J18_cross_reference", f"with {ODI}, {QSQL}, m as (select q_id, o.*, row_number() over (partition by q_id order by total desc nulls last, id) as k from qs join odi o on o.indian_party ilike '%' || query || '%'), t as (select * from m where k <= 50) select q_id, count(*) as n, sum(total)::double as total, array_to_string(list_sort(list(distinct country)), ',') as countries from t group by 1")
 def j18(s, d):
-    j = investments(s, d).join(F.broadcast(_queries(s)), F.contains(F.lower("indian_party"), F.lower("query")))
+    odi = investments(s, d)
+    j = odi.join(screening.containing(_queries(s), odi.select(F.col("indian_party").alias("name"))), odi["indian_party"] == F.col("name"))
     w = Window.partitionBy("q_id").orderBy(F.desc_nulls_last("total"), "id")
     return j.withColumn("k", F.row_number().over(w)).where("k <= 50").groupBy("q_id").agg(F.count("*").alias("n"), F.sum("total").cast("double").alias("total"), joined(F.array_sort(F.collect_set("country"))).alias("countries"))
 
@@ -395,7 +398,8 @@ def o03(s, d):
 @q("O02_similarity_order", f"with {PARTS}, n as (select distinct name from parts), x as (select name, {GRAMS.format('name')} as a, {GRAMS.format(chr(39) + 'red wdget' + chr(39))} as b from n) select name, round({JACCARD.format('a', 'b')}, 4) as sim, row_number() over (order by round({JACCARD.format('a', 'b')}, 6) desc, length(name), name)::int as k from x where {JACCARD.format('a', 'b')} >= 0.3")
 def o02(s, d):
     n = parts(s, d).select("name").distinct().withColumn("sim", Y.similarity(F.col("name"), F.lit("red wdget"))).where("sim >= 0.3")
-    return n.select("name", F.round("sim", 4).alias("sim"), F.row_number().over(Window.orderBy(F.desc(F.round("sim", 6)), F.length("name"), "name")).alias("k"))
+    ordered = numbered(n, F.desc(F.round("sim", 6)), F.length("name"), F.col("name"), name="k")
+    return ordered.select("name", F.round("sim", 4).alias("sim"), F.col("k").cast("int").alias("k"))
 
 
 @q("J22_period_fix", f"with {ODI}, f as (select activity, max(substr(period_from, 7, 4)) as y from odi group by 1), o as (select id, activity, substr(period_from, 7, 4) as y from odi) select o.id, o.y as old, f.y as new from o join f using (activity) where o.y <> f.y")
