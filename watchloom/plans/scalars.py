@@ -30,39 +30,40 @@ def pick_sql(column: str, *values) -> str:
     return f"([{quoted}])[({column} % {len(values)} + 1)::int]"
 
 
-def one(name: str, values: tuple, results: tuple, build, out: str = "out", kind: str = "varchar"):
-    """A query over ``part`` whose input runs through ``values``; the SQL states the result of each."""
-    given = ", ".join("null" if v is None else ("'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v).lower()) for v in results)
-    sql = f"select p_partkey as id, (([{given}])[(p_partkey % {len(values)} + 1)::int])::{kind} as {out} from part"
-
-    @q(name, sql)
-    def run(s, d):
-        return parts(s, d).select("id", build(pick(F.col("id"), *values)).alias(out))
-
-    return run
-
-
-def built(name: str, cases: tuple, build, table_name: str = "part", key: str = "p_partkey", word: str = "p_name"):
+def built(name: str, cases: tuple, build, table_name: str = "part", key: str = "p_partkey", word: str = "p_name", column=None, out_word: str | None = None, kind: str = "varchar"):
     """A query over all rows of a table: texts are made around each row's own words, and the SQL makes what must come out.
 
-    ``cases``: pairs of texts in which ``{}`` stands for the words; a result of null is None.
+    ``cases``: pairs of texts in which ``{}`` stands for the words; a result of null is None. ``word`` is the words' SQL and ``column`` their Column;
+    ``out_word`` is the SQL of what becomes of them.
     """
 
     def around(text: str | None) -> str:
-        return "null" if text is None else " || ".join(f"{word} || '{p}'" if i else f"'{p}'" for i, p in enumerate(text.replace("'", "''").split("{}")))
+        return "null" if text is None else " || ".join(f"({out_word or word})::varchar || '{p}'" if i else f"'{p}'" for i, p in enumerate(str(text).replace("'", "''").split("{}")))
 
     whens = " ".join(f"when {i} then {around(result)}" for i, (_, result) in enumerate(cases))
 
-    @q(name, f"select {key} as id, case {key} % {len(cases)} {whens} end as out from {table_name}")
+    @q(name, f"select {key} as id, (case {key} % {len(cases)} {whens} end)::{kind} as out from {table_name}")
     def run(s, d):
         w = F.col("w")
-        texts = F.array(*[F.concat(*[x for i, p in enumerate(t.split("{}")) for x in ((w, F.lit(p)) if i else (F.lit(p),))]) for t, _ in cases])
-        rows = table(s, d, table_name).select(F.col(key).alias("id"), F.col(word).alias("w"))
+        texts = F.array(*[F.lit(None).cast("string") if t is None else F.concat(*[x for i, p in enumerate(t.split("{}")) for x in ((w, F.lit(p)) if i else (F.lit(p),))]) for t, _ in cases])
+        rows = table(s, d, table_name).select(F.col(key).alias("id"), (F.col(word) if column is None else column()).cast("string").alias("w"))
         return rows.select("id", build(F.element_at(texts, (F.col("id") % len(cases) + 1).cast("int"))).alias("out"))
 
     return run
 
 
+def dated(name: str, cases: tuple, build, form: str, sql_form: str, out_form: str | None = None, kind: str = "varchar"):
+    """As ``built``, around the dates of ``orders``."""
+    day = "strftime(o_orderdate, '{}')"
+    built(name, cases, build, "orders", "o_orderkey", day.format(sql_form), lambda: F.date_format("o_orderdate", form), day.format(out_form or sql_form), kind)
+
+
+def numbered_parts(name: str, cases: tuple, build, kind: str = "varchar", width: int = 0):
+    """As ``built``, around the numbers of parts."""
+    sql = f"lpad(p_partkey::varchar, {width}, '0')" if width else "p_partkey::varchar"
+    built(name, cases, build, "part", "p_partkey", sql, lambda: F.lpad(F.col("p_partkey").cast("string"), width, "0") if width else F.col("p_partkey").cast("string"), None, kind)
+
+
 TAIL = " and everything else that makes such a line longer than eighty characters in all cases"
 built("X12_exchange_name", (("Shri {} Traders, Address: 4 Some Road" + TAIL, "{} Traders"), ("{} (Director: somebody" + TAIL, "{}"), ("{} Address: none" + TAIL, "{} Address: none" + TAIL), ("Mr {}; Listed", "Mr {}; Listed")), X.exchange_name)
 built("X12_commodity_name", (("{} Commodities Limited. 6B, Ground Floor" + TAIL, "{} Commodities Limited"), ("{} Commodities 34 ,C R Avenue" + TAIL, "{} Commodities"), ("{} Commodities Ltd 335 Some Road" + TAIL, "{} Commodities Ltd"), ("{} Commodities, 3 Some Road" + TAIL, "{} Commodities"), ("{} Commodities 33/1", "{} Commodities 33/1"), ("AB 12, {}" + TAIL, "AB 12, {}" + TAIL)), X.commodity_name)
@@ -83,42 +84,44 @@ def x20(s, d):
 
 built("X22_split_description", (("{} Bank, Order No. 5 of 2020", "{} Bank#, Order No. 5 of 2020"), ("{}  Ltd u/s 13", "{} Ltd#u/s 13"), ("{} Dated 4 May", "{}#Dated 4 May"), ("{} Ordering", "{}#Ordering"), ("{} (reporting entity) x", "{}#(reporting entity) x"), ("{}.", "{}.#")), lambda c: F.concat(X.split_description(c)["name"], F.lit("#"), X.split_description(c)["rest"]))
 built("X32_ocr_artefacts", (("| {} ~ B |", "{} B"), ("__{}=", "{}"), ("[{}] {{x}};", "{} x"), ("{}", "{}")), X.without_clutter)
-NB = " "
-one("X01_squeeze", (f"  a{NB} b ", "c\t\nd", "", "e"), ("a b", "c d", "", "e"), X.squeeze)
-one("X02_squeeze_edges", ("; A B. ,", "-x-", "y"), ("A B", "x", "y"), X.squeeze_edges)
-one("X03_blank_missing", ("N/A", " - ", "none", " ok ", None), ("", "", "", "ok", ""), X.blank_missing)
-one("X04_drop_controls", ("a\x00b\x07", "tab\tok", " x\x1f "), ("ab", "tab\tok", "x"), X.drop_controls)
-one("X04_valid_request", ("a", "ab", " \x00b "), (False, True, False), X.valid_request, kind="boolean")
-one("X05_entity_key", ("M/s. ABC Pvt. Ltd.", "Shri Ravi  Kumar", "Müller & Söhne Company", None), ("abc", "ravi kumar", "müller söhne", ""), X.entity_key)
-one("X06_token_bag", ("the ram and co ram", "c b", ""), ("co,ram,ram", "b,c", ""), lambda c: F.array_join(X.token_bag(c), ","))
-one("X07_cross_source_key", ("Mr. A.B. Cee @ Dee", "Shri X alias Y", "राम कुमार!", None), ("a b cee", "x", "राम कुमार", ""), X.cross_source_key)
-one("X08_group_key", ("  ABC d ", "\tx"), ("abc d", "\tx"), X.group_key)
-one("X09_strip_titles", ("Shri Dr. Ram", "MR RAM", "Ram"), ("Ram", "RAM", "Ram"), X.strip_titles)
-one("X11_keep_original", ("old", "original_title: T | old", ""), ("original_title: T | old", "original_title: T | old", "original_title: T"), lambda c: X.keep_original(c, F.lit("T")))
-one("X14_person_parts", ("Ram s/o Shyam r/o Delhi", "Gita r/o Pune", "Only Name"), ("Ram|Shyam|Delhi", "Gita|-|Pune", "Only Name|-|-"), lambda c: F.concat_ws("|", X.person_parts(c)["name"], F.coalesce(X.person_parts(c)["father"], F.lit("-")), F.coalesce(X.person_parts(c)["address"], F.lit("-"))))
-one("X15_split_persons", ("MR. A B MRS C D SHRI E F", "MR ONE"), ("MR. A B;MRS C D;SHRI E F", "MR ONE"), lambda c: F.array_join(X.split_persons(c), ";"))
-one("X16_split_companies", ("Abc Limited Def Pvt Ltd Ghi", "One Ltd"), ("Abc Limited;Def Pvt Ltd;Ghi", "One Ltd"), lambda c: F.array_join(X.split_companies(c), ";"))
-one("X17_versus", ("A Ltd vs. B Ltd", "C v D", "E"), ("A Ltd/B Ltd", "C/D", "E/"), lambda c: F.concat(X.versus(c)["first"], F.lit("/"), F.coalesce(X.versus(c)["second"], F.lit(""))))
-one("X21_predicates", ("Ram Lal", "ACME Limited", "राम", "x1"), ("true,false,true", "false,true,true", "false,false,false", "false,false,true"), lambda c: F.concat_ws(",", X.person_like(c).cast("string"), X.company_like(c).cast("string"), X.mostly_latin(c).cast("string")))
-one("X23_slug", ("Reserve Bank (RBI) -- List!", "A"), ("reserve-bank-rbi-list", "a"), X.slug)
-one("X24_file_name", ("a b/c:d.csv",), ("a_b_c_d.csv",), X.file_name)
-one("X27_short_label", ("Securities Board (SEBI)", "Short", "A very long agency name that goes on"), ("SEBI", "Short", "A very long agency name that"), X.short_label)
-one("X28_ellipsis", ("abcdefgh", "abc"), ("abcd…", "abc"), lambda c: X.ellipsis(c, 5))
-one("X28_escape", ("<a & \"b\">",), ("&lt;a &amp; &quot;b&quot;&gt;",), X.escape_html)
-one("X30_stable_page", ("<p>x</p><time>now</time>", "<input type='hidden' value='t'>y"), ("<p>x</p>", "y"), X.stable_page)
-one("D02_birth_date", ("1980-02-03", "03/02/1980", "03.02.1980", "31/02/1980", "01-01-1899", "2099-01-01", "text", ""), ("1980-02-03", "1980-02-03", "1980-02-03", None, None, None, None, None), lambda c: V.birth_date(c, "2026-01-01"))
-one("D03_stamp", ("2024-01-02T03:04:05Z", "2024-01-02 03:04:05.123", "2024-01-02", "x"), ("2024-01-02 03:04:05", "2024-01-02 03:04:05", "2024-01-02 00:00:00", None), lambda c: F.date_format(V.stamp(c), "yyyy-MM-dd HH:mm:ss"))
-one("D04_stamp_ok", ("2024-01-02 03:04:05", "02-Jan-2024", "2024/01/02", ""), (True, True, False, False), V.stamp_ok, kind="boolean")
-one("D05_inferred_period", ("Data for September 2013", "ODI_feb_2019", "OFDI010913.xls", "OFDI14092023", "nothing"), ("2013-09-01", "2019-02-01", "2013-09-01", "2023-08-01", None), lambda c: F.date_format(V.inferred_period(F.lit(""), c), "yyyy-MM-dd"))
-one("D06_stated_period", ("From : 01/02/2020 To : 29/02/2020", "none"), ("2020-02-01/2020-02-29", None), lambda c: F.concat(F.date_format(V.stated_period(c)["period_from"], "yyyy-MM-dd"), F.lit("/"), F.date_format(V.stated_period(c)["period_to"], "yyyy-MM-dd")))
-one("M01_safe_float", ("1,234.5", "nil", "NaN", "-7", ""), (1234.5, 0.0, 0.0, -7.0, 0.0), V.safe_float, kind="double")
-one("M01_safe_int", ("1,234", "12.9", "x"), (1234, 12, None), V.safe_int, kind="integer")
-one("M02_digits_amount", ("Rs. 10,000/-", "none", "5"), (10000, None, 5), V.digits_amount, kind="bigint")
-one("M02_first_digits", ("abc 12 of 34", "x"), (12, None), V.first_digits, kind="bigint")
-one("M03_phrase_amount", ("fined USD 12,500.00 today", "nothing"), ("12,500.00", None), V.phrase_amount)
-one("H06_company_numbers", ("x U12345MH2001PTC123456 y L00000DL1999PLC000001", "none"), ("U12345MH2001PTC123456,L00000DL1999PLC000001", ""), lambda c: F.array_join(V.company_numbers(c), ","))
-one("H09_number_kinds", ("U12345MH2001PTC123456", "12345678", "AAB-1234"), ("company", "director", "other"), lambda c: F.when(c.rlike(f"^{V.COMPANY_NUMBER}$"), "company").when(c.rlike(V.DIRECTOR_NUMBER), "director").otherwise("other"))
-one("X04_composed", ("é", "ok"), ("é", "ok"), Y.composed)
+NB = "\u00a0"
+built("X01_squeeze", ((f"  a{NB} {{}} ", "a {}"), ("{}\t\nd", "{} d"), ("", ""), ("{}", "{}")), X.squeeze)
+built("X02_squeeze_edges", (("; {}. ,", "{}"), ("-{}-", "{}"), ("{}", "{}")), X.squeeze_edges)
+built("X03_blank_missing", (("N/A", ""), (" - ", ""), ("none", ""), (" {} ", "{}"), (None, ""), ("{} none", "{} none")), X.blank_missing)
+built("X04_drop_controls", (("{}\x00b\x07", "{}b"), ("{}\tok", "{}\tok"), (" {}\x1f ", "{}")), X.drop_controls)
+built("X04_valid_request", (("a", "false"), ("{}", "true"), (" \x00b ", "false"), ("{}" * 100, "false")), X.valid_request, kind="boolean")
+built("X05_entity_key", (("M/s. {} Pvt. Ltd.", "{}"), ("Shri {}  Kumar", "{} kumar"), ("{} & Söhne Company", "{} söhne"), (None, "")), X.entity_key)
+built("X06_token_bag", (("the {} and co", "{}"),), lambda c: F.array_join(X.token_bag(c), ","), out_word="array_to_string(list_sort(list_append(string_split(p_name, ' '), 'co')), ',')")
+built("X07_cross_source_key", (("Mr. {} @ Dee", "{}"), ("Shri {} alias Y", "{}"), ("राम {}!", "राम {}"), (None, "")), X.cross_source_key)
+built("X08_group_key", (("  {} D ", "{} d"), ("\tx {}", "\tx {}")), X.group_key)
+built("X09_strip_titles", (("Shri Dr. {}", "{}"), ("MR {}", "{}"), ("{}", "{}")), X.strip_titles)
+built("X11_keep_original", (("{}", "original_title: T | {}"), ("original_title: T | {}", "original_title: T | {}"), ("", "original_title: T")), lambda c: X.keep_original(c, F.lit("T")))
+built("X14_person_parts", (("{} s/o Shyam r/o Delhi", "{}|Shyam|Delhi"), ("{} r/o Pune", "{}|-|Pune"), ("Only {}", "Only {}|-|-")), lambda c: F.concat_ws("|", X.person_parts(c)["name"], F.coalesce(X.person_parts(c)["father"], F.lit("-")), F.coalesce(X.person_parts(c)["address"], F.lit("-"))))
+built("X15_split_persons", (("MR. {} B MRS C D SHRI E F", "MR. {} B;MRS C D;SHRI E F"), ("MR {}", "MR {}")), lambda c: F.array_join(X.split_persons(c), ";"), word="upper(p_name)", column=lambda: F.upper("p_name"))
+built("X16_split_companies", (("{} Limited Def Pvt Ltd Ghi", "{} Limited;Def Pvt Ltd;Ghi"), ("{} Ltd", "{} Ltd")), lambda c: F.array_join(X.split_companies(c), ";"))
+built("X17_versus", (("{} Ltd vs. B Ltd", "{} Ltd/B Ltd"), ("C v {}", "C/{}"), ("{}", "{}/")), lambda c: F.concat(X.versus(c)["first"], F.lit("/"), F.coalesce(X.versus(c)["second"], F.lit(""))))
+built("X21_predicates", (("Ram Lal", "true,false,true"), ("ACME {} Limited", "false,true,true"), ("राम", "false,false,false"), ("x1 {}", "false,false,true")), lambda c: F.concat_ws(",", X.person_like(c).cast("string"), X.company_like(c).cast("string"), X.mostly_latin(c).cast("string")))
+built("X23_slug", (("{} (RBI) -- List!", "{}-rbi-list"), ("{}", "{}")), X.slug, out_word="replace(p_name, ' ', '-')")
+built("X24_file_name", (("{} b/c:d.csv", "{}_b_c_d.csv"),), X.file_name, out_word="replace(p_name, ' ', '_')")
+built("X27_short_label", (("{} Board (SEBI)", "SEBI"), ("Short {}", "Short {}")), X.short_label)
+built("X28_ellipsis", (("{}", "{}…"), ("abc", "abc")), lambda c: X.ellipsis(c, 5), out_word="substr(p_name, 1, 4)")
+built("X28_escape", (("<{} & \"b\">", "&lt;{} &amp; &quot;b&quot;&gt;"), ("{}", "{}")), X.escape_html)
+built("X30_stable_page", (("<p>{}</p><time>now</time>", "<p>{}</p>"), ("<input type='hidden' value='t'>{}", "{}")), X.stable_page)
+dated("D02_birth_date", (("{}", "{}"), ("31/02/1980", None), ("01-01-1899", None), ("2099-01-01", None), ("{} text", None), ("", None)), lambda c: V.birth_date(c, "2026-01-01"), "yyyy-MM-dd", "%Y-%m-%d")
+dated("D02_birth_date_by_day", (("{}", "{}"), (" {}", "{}")), lambda c: V.birth_date(c, "2026-01-01"), "dd/MM/yyyy", "%d/%m/%Y", "%Y-%m-%d")
+dated("D03_stamp", (("{}T03:04:05Z", "{} 03:04:05"), ("{} 03:04:05.123", "{} 03:04:05"), ("{}", "{} 00:00:00"), ("x{}", None)), lambda c: F.date_format(V.stamp(c), "yyyy-MM-dd HH:mm:ss"), "yyyy-MM-dd", "%Y-%m-%d")
+dated("D04_stamp_ok", (("{} 03:04:05", "true"), ("{}", "true"), ("on {}", "false"), ("", "false")), V.stamp_ok, "yyyy-MM-dd", "%Y-%m-%d", kind="boolean")
+LATER = "strftime(o_orderdate + interval 20 years, '{}')"
+built("D05_inferred_period", (("Data for {}", "{}"), ("ODI {} final", "{}"), ("nothing", None)), lambda c: F.date_format(V.inferred_period(F.lit(""), c), "yyyy-MM-dd"), "orders", "o_orderkey", LATER.format("%B %Y"), lambda: F.date_format(F.add_months("o_orderdate", 240), "MMMM yyyy"), LATER.format("%Y-%m-01"))
+dated("D06_stated_period", (("From : {} To : 31/12/2020", "{}/2020-12-31"), ("from {}", None)), lambda c: F.concat(F.date_format(V.stated_period(c)["period_from"], "yyyy-MM-dd"), F.lit("/"), F.date_format(V.stated_period(c)["period_to"], "yyyy-MM-dd")), "dd/MM/yyyy", "%d/%m/%Y", "%Y-%m-%d")
+numbered_parts("M01_safe_float", (("1,{}.5", "1{}.5"), ("nil {}", "0"), ("NaN", "0"), ("-{}", "-{}"), ("", "0")), V.safe_float, "double")
+numbered_parts("M01_safe_int", (("1,{}", "1{}"), ("{}.9", "{}"), ("x{}", None)), V.safe_int, "integer")
+numbered_parts("M02_digits_amount", (("Rs. {},000/-", "{}000"), ("none", None), ("{}", "{}")), V.digits_amount, "bigint")
+numbered_parts("M02_first_digits", (("abc {} of 34", "{}"), ("x", None)), V.first_digits, "bigint")
+numbered_parts("M03_phrase_amount", (("fined USD {},500.00 today", "{},500.00"), ("nothing {}", None)), V.phrase_amount, width=2)
+numbered_parts("H06_company_numbers", (("x U12345MH2001PTC{} y L00000DL1999PLC000001", "U12345MH2001PTC{},L00000DL1999PLC000001"), ("none {}", "")), lambda c: F.array_join(V.company_numbers(c), ","), width=6)
+numbered_parts("H09_number_kinds", (("U12345MH2001PTC{}", "company"), ("12{}", "director"), ("AAB-{}", "other")), lambda c: F.when(c.rlike(f"^{V.COMPANY_NUMBER}$"), "company").when(c.rlike(V.DIRECTOR_NUMBER), "director").otherwise("other"), width=6)
+built("X04_composed", (("{} e\u0301", "{} é"), ("{}", "{}")), Y.composed)
 
 
 @q("X25_packed_details", f"with {PARTS} select id, concat_ws(' | ', case when trim(name) <> '' then 'Name: ' || substr(trim(name), 1, 5) end, case when id % 3 <> 0 then 'Agency: ' || substr(source_agency, 1, 5) end, 'List: ' || substr(source_id, 1, 5)) as details from parts")
