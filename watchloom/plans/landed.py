@@ -16,7 +16,7 @@ from ..sources import dump_labels as DL
 from ..sources import json_array as J
 from ..streaming import changes as C
 from ..streaming import freshness, snapshots
-from .views import DOCS, LOG, ODI, PARTIES, PARTS, SNAPS, docs, investments, log, parties, parts, snapshot, table
+from .views import LISTED, DOCS, LOG, ODI, PARTIES, PARTS, SNAPS, docs, investments, log, parties, parts, snapshot, table, listed
 
 QUERIES: dict = {}
 
@@ -61,24 +61,24 @@ def s03(s, d):
     return files.read_delimited(s, at, header=False).select(F.col("0").alias("id"), F.col("1").alias("name"))
 
 
-@q("S04_mislabelled_sheet", "select n_nationkey::varchar as k, n_name as name from nation")
+@q("S04_mislabelled_sheet", f"select n_nationkey::varchar as k, n_name as name from {LISTED}")
 def s04(s, d):
     at = landing(s)
-    table(s, d, "nation").select(F.concat_ws("\t", F.col("n_nationkey").cast("string"), "n_name").alias("value")).coalesce(1).write.text(at)
+    listed(s, d).select(F.concat_ws("\t", F.col("n_nationkey").cast("string"), "n_name").alias("value")).coalesce(1).write.text(at)
     return files.read_as(s, "xls", f"{at}/*.txt").select(F.get("cells", 0).alias("k"), F.get("cells", 1).alias("name"))
 
 
-@q("S05_xml_scan", "select n_nationkey::bigint as k, n_name as name from nation")
+@q("S05_xml_scan", f"select n_nationkey::bigint as k, n_name as name from {LISTED}")
 def s05(s, d):
     at = landing(s)
-    table(s, d, "nation").select(F.col("n_nationkey").cast("long").alias("k"), F.col("n_name").alias("name")).write.format("xml").option("rootTag", "list").option("rowTag", "entry").save(at)
+    listed(s, d).select(F.col("n_nationkey").cast("long").alias("k"), F.col("n_name").alias("name")).write.format("xml").option("rootTag", "list").option("rowTag", "entry").save(at)
     return files.read_xml(s, at, "entry", "k long, name string")
 
 
-@q("S06_json_path_scan", "select n_name as name, n_regionkey::int as region from nation")
+@q("S06_json_path_scan", f"select n_name as name, n_regionkey::int as region from {LISTED}")
 def s06(s, d):
     at = landing(s)
-    n = table(s, d, "nation").agg(F.to_json(F.struct(F.struct(F.collect_list(F.struct(F.col("n_name").alias("name"), F.col("n_regionkey").alias("region"))).alias("items")).alias("data"))).alias("value"))
+    n = listed(s, d).agg(F.to_json(F.struct(F.struct(F.collect_list(F.struct(F.col("n_name").alias("name"), F.col("n_regionkey").alias("region"))).alias("items")).alias("data"))).alias("value"))
     n.coalesce(1).write.text(at)
     r = files.read_json_records(s, at, "$.data.items")
     return r.select(V.json_path(F.col("record"), "$.name").alias("name"), V.json_path(F.col("record"), "$.region").cast("int").alias("region"))
@@ -91,19 +91,19 @@ def s08(s, d):
 
 
 def _table_pages(s, d) -> DataFrame:
-    n = table(s, d, "nation")
+    n = listed(s, d)
     row = F.concat(F.lit("<tr><td><a href='/n/"), F.col("n_nationkey").cast("string"), F.lit("'>"), F.col("n_name"), F.lit("</a></td><td>"), F.col("n_nationkey").cast("string"), F.lit("</td></tr>"))
     g = n.groupBy(F.col("n_regionkey").cast("long").alias("page_id")).agg(F.array_join(F.array_sort(F.collect_list(row)), "").alias("rows"))
     return g.select("page_id", F.concat(F.lit("<p>x</p><table><tr><td>small</td></tr></table><table><tr><th>Name</th><th>Key</th></tr>"), "rows", F.lit("</table>")).alias("html"))
 
 
-@q("S10_html_tables", "select n_regionkey::bigint as page_id, n_name as name, n_nationkey::varchar as key, '/n/' || n_nationkey as href from nation")
+@q("S10_html_tables", f"select n_regionkey::bigint as page_id, n_name as name, n_nationkey::varchar as key, '/n/' || n_nationkey as href from {LISTED}")
 def s10(s, d):
     t = files.html_tables(_table_pages(s, d))
     return t.select("page_id", F.element_at("cells", "Name").alias("name"), F.element_at("cells", "1").alias("key"), F.element_at("cells", "_href").alias("href"))
 
 
-@q("S20_required_headers", "select n_regionkey::bigint as page_id, count(*) as n from nation group by 1")
+@q("S20_required_headers", f"select n_regionkey::bigint as page_id, count(*) as n from {LISTED} group by 1")
 def s20(s, d):
     t = files.html_tables(_table_pages(s, d)).where(F.forall(F.array(F.lit("Name"), F.lit("Key")), lambda k: F.array_contains(F.map_keys("cells"), k)))
     return t.groupBy("page_id").agg(F.count("*").alias("n"))
@@ -235,16 +235,16 @@ def s29(s, d):
     return files.jurisdiction_list(s, {"black": ["A"], "grey": ["B", "C"]}).select("name", "source_list")
 
 
-@q("S30_sheet_body", "with x as (select n_regionkey as r, n_nationkey, n_name from nation) select 'region ' || r as sheet, n_name as party, n_nationkey::int as total, make_date(2020, r + 1, 1) as period_from from x")
+@q("S30_sheet_body", f"with x as (select n_regionkey as r, n_nationkey, n_name from {LISTED}) select 'region ' || r as sheet, n_name as party, n_nationkey::int as total, make_date(2020, r + 1, 1) as period_from from x")
 def s30(s, d):
-    n = table(s, d, "nation").select(F.concat(F.lit("region "), F.col("n_regionkey").cast("string")).alias("sheet"), "n_regionkey", "n_nationkey", "n_name")
+    n = listed(s, d).select(F.concat(F.lit("region "), F.col("n_regionkey").cast("string")).alias("sheet"), "n_regionkey", "n_nationkey", "n_name")
     cells = lambda *c: F.array(*[F.lit(x) if isinstance(x, str) else x for x in c])
     month = F.lpad((F.col("n_regionkey") + 1).cast("string"), 2, "0")
     one = n.select("sheet", "n_regionkey").distinct()
     above = one.select("sheet", F.lit(0).alias("row_no"), cells(F.concat(F.lit("From : 01/"), month, F.lit("/2020 To : 28/"), month, F.lit("/2020"))).alias("cells"))
     head = one.select("sheet", F.lit(3).alias("row_no"), cells("Sr", "Name of Indian Party", "Total").alias("cells"))
     body = n.select("sheet", (F.col("n_nationkey") * 2 + 4).cast("int").alias("row_no"), cells(F.lit("1"), F.col("n_name"), F.col("n_nationkey").cast("string")).alias("cells"))
-    foot = one.select("sheet", F.lit(90).alias("row_no"), cells(" ", "Total", "12").alias("cells")).union(one.select("sheet", F.lit(91).alias("row_no"), cells("9", "Late Ltd", "1").alias("cells"))).union(one.select("sheet", F.lit(5).alias("row_no"), cells(" ", "").alias("cells")))
+    foot = one.select("sheet", F.lit(1 << 30).alias("row_no"), cells(" ", "Total", "12").alias("cells")).union(one.select("sheet", F.lit((1 << 30) + 1).alias("row_no"), cells("9", "Late Ltd", "1").alias("cells"))).union(one.select("sheet", F.lit(5).alias("row_no"), cells(" ", "").alias("cells")))
     every = above.union(head).union(body).union(foot).union(head.withColumn("sheet", F.lit("Summary"))).union(body.withColumn("sheet", F.lit("Summary"))).withColumn("file", F.lit("f"))
     return files.sheet_body(every, "indian party", ("total", "note")).select("sheet", F.get("cells", 1).alias("party"), F.get("cells", 2).cast("int").alias("total"), "period_from")
 
@@ -310,17 +310,17 @@ def s35_mixed(s, d):
     return _from_config(s, MIXED_CONFIG, at)
 
 
-@q("S35_xml_config", _config_sql(XML_CONFIG, "n_name", "'R' || n_regionkey || ' | ' || n_nationkey", rest="from nation"))
+@q("S35_xml_config", _config_sql(XML_CONFIG, "n_name", "'R' || n_regionkey || ' | ' || n_nationkey", rest=f"from {LISTED}"))
 def s35_xml(s, d):
     at = landing(s)
-    table(s, d, "nation").select(F.col("n_name").alias("name"), F.concat(F.lit("R"), F.col("n_regionkey").cast("string")).alias("region"), F.col("n_nationkey").alias("code")).write.format("xml").option("rootTag", "list").option("rowTag", "entry").save(at)
+    listed(s, d).select(F.col("n_name").alias("name"), F.concat(F.lit("R"), F.col("n_regionkey").cast("string")).alias("region"), F.col("n_nationkey").alias("code")).write.format("xml").option("rootTag", "list").option("rowTag", "entry").save(at)
     return _from_config(s, XML_CONFIG, at)
 
 
-@q("S35_sheet_config", _config_sql(TSV_CONFIG, "n_name", "n_nationkey || ' | ' || n_regionkey", rest="from nation"))
+@q("S35_sheet_config", _config_sql(TSV_CONFIG, "n_name", "n_nationkey || ' | ' || n_regionkey", rest=f"from {LISTED}"))
 def s35_sheet(s, d):
     at = landing(s)
-    lines = table(s, d, "nation").select(F.col("n_nationkey").alias("o"), F.concat_ws("\t", F.col("n_nationkey").cast("string"), "n_name", F.col("n_regionkey").cast("string")).alias("value"))
+    lines = listed(s, d).select(F.col("n_nationkey").alias("o"), F.concat_ws("\t", F.col("n_nationkey").cast("string"), "n_name", F.col("n_regionkey").cast("string")).alias("value"))
     top = s.createDataFrame([(-2, "a banner"), (-1, "Key\tName \tRegion")], "o int, value string")
     top.union(lines).coalesce(1).sortWithinPartitions("o").select("value").write.text(at)
     return _from_config(s, TSV_CONFIG, f"{at}/*.txt")
@@ -339,18 +339,18 @@ def _land_names(s, d):
     return at
 
 
-@q("S31_alias_columns", "select n_nationkey::varchar as k, n_name as name from nation")
+@q("S31_alias_columns", f"select n_nationkey::varchar as k, n_name as name from {LISTED}")
 def s31(s, d):
-    n = table(s, d, "nation").select(F.map_from_arrays(F.array(F.lit("Sr No"), F.lit("Entity Name")), F.array(F.col("n_nationkey").cast("string"), F.col("n_name"))).alias("cells"))
+    n = listed(s, d).select(F.map_from_arrays(F.array(F.lit("Sr No"), F.lit("Entity Name")), F.array(F.col("n_nationkey").cast("string"), F.col("n_name"))).alias("cells"))
     alias = lambda *names: F.coalesce(*[F.element_at("cells", F.lit(x)) for x in names])
     return n.select(alias("No", "Sr No").alias("k"), alias("Name", "Entity Name").alias("name"))
 
 
-@q("S32_labelled_fields", "select n_nationkey as k, n_name as name, 'R' || n_regionkey as region from nation")
+@q("S32_labelled_fields", f"select n_nationkey as k, n_name as name, 'R' || n_regionkey as region from {LISTED}")
 def s32(s, d):
     text = F.concat(F.lit("Name: "), F.col("n_name"), F.lit(" Name (alias): none Region: R"), F.col("n_regionkey").cast("string"))
     m = files.labelled_fields(text, ("Name", r"Name \(alias\)", "Region"))
-    return table(s, d, "nation").select(F.col("n_nationkey").alias("k"), F.element_at(m, "Name").alias("name"), F.element_at(m, "Region").alias("region"))
+    return listed(s, d).select(F.col("n_nationkey").alias("k"), F.element_at(m, "Name").alias("name"), F.element_at(m, "Region").alias("region"))
 
 
 @q("S33_stateful_lines", "with c as (select conv_id, turn, case when role = 'user' then turn end as m from conversations) select conv_id, turn, last_value(m ignore nulls) over (partition by conv_id order by turn rows between unbounded preceding and current row) as company from c")
@@ -384,10 +384,10 @@ def s38(s, d):
     return files.warned_sources(lines)
 
 
-@q("S39_bulk_names", "select n_name as name from nation")
+@q("S39_bulk_names", f"select n_name as name from {LISTED}")
 def s39(s, d):
     at = landing(s)
-    n = table(s, d, "nation")
+    n = listed(s, d)
     n.select(F.concat(F.lit(" "), F.col("n_name")).alias("Name")).union(n.select(F.lit("  "))).write.option("header", True).csv(at)
     t = files.read_delimited(s, at, ",")
     return t.select(F.trim("Name").alias("name")).where("name <> ''")
@@ -440,11 +440,11 @@ def k09(s, d):
     return p.exceptAll(p.where("id % 10 <> 0"))
 
 
-@q("K10_reload", "select count(*) as n from nation")
+@q("K10_reload", f"select count(*) as n from {LISTED}")
 def k10(s, d):
     at = landing(s)
     table(s, d, "orders").select("o_orderkey").write.mode("overwrite").parquet(at)
-    table(s, d, "nation").write.mode("overwrite").parquet(at)
+    listed(s, d).write.mode("overwrite").parquet(at)
     return s.read.parquet(at).agg(F.count("*").alias("n"))
 
 
@@ -568,18 +568,18 @@ def e04_directors(s, d):
     return found.select("line_no", "name", "details")
 
 
-@q("E06_table_with_header", "select n_regionkey as region, n_name as name from nation")
+@q("E06_table_with_header", f"select n_regionkey as region, n_name as name from {LISTED}")
 def e06(s, d):
     page = _table_html(("Nation", "Key"), (F.col("n_name"), F.col("n_nationkey").cast("string")))
     big = "<table><tr><td>other</td></tr>" + "<tr><td>x</td></tr>" * 50 + "</table>"
-    pages = page(table(s, d, "nation"), "n_regionkey").withColumn("html", F.concat(F.col("value"), F.lit(big)))
+    pages = page(listed(s, d), "n_regionkey").withColumn("html", F.concat(F.col("value"), F.lit(big)))
     return files.html_tables(pages, "n_regionkey", "html", header_word="nation").select(F.col("n_regionkey").alias("region"), F.element_at("cells", "Nation").alias("name"))
 
 
-@q("K21_latest_snapshot", "select count(*) as n from nation where n_nationkey < 20")
+@q("K21_latest_snapshot", f"select count(*) as n from {LISTED} where n_nationkey < 20")
 def k21(s, d):
     at = landing(s)
-    n = table(s, d, "nation")
+    n = listed(s, d)
     sinks.write_snapshot(n, at, "20240101")
     sinks.write_snapshot(n.where("n_nationkey < 20"), at, "20240102")
     return s.read.parquet(f"{at}/run={sinks.snapshot_stamps(s, at)[0]}").agg(F.count("*").alias("n"))
@@ -733,10 +733,10 @@ def t09(s, d):
     return C.sessions(log(s, d), "scraped_at", "user_id", "6 hours")
 
 
-@q("E01_reader_registry", "select n_name as name from nation")
+@q("E01_reader_registry", f"select n_name as name from {LISTED}")
 def e01(s, d):
     at = landing(s)
-    table(s, d, "nation").select("n_name").write.option("header", True).csv(at)
+    listed(s, d).select("n_name").write.option("header", True).csv(at)
     return files.read_as(s, "csv", at).select(F.col("n_name").alias("name"))
 
 

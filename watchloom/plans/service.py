@@ -10,7 +10,7 @@ from ..sources import config_schema, sinks
 from .aggregates import INTERESTING
 from .landed import landing
 from .relations import SCREEN, _queries
-from .views import LOG, ODI, PARTIES, PARTS, investments, joined, log, parties, parts, table
+from .views import LISTED, LOG, ODI, PARTIES, PARTS, investments, joined, log, parties, parts, table, listed
 
 QUERIES: dict = {}
 
@@ -177,10 +177,10 @@ def k19(s, d):
     return t.select("source_id", F.coalesce("rows", F.lit(0)).alias("rows"), "last_id", status.alias("status"))
 
 
-@q("K23_refresh_if_newer", "select count(*) as n from nation")
+@q("K23_refresh_if_newer", f"select count(*) as n from {LISTED}")
 def k23(s, d):
     at = landing(s)
-    n = table(s, d, "nation")
+    n = listed(s, d)
     sinks.write_snapshot(n.limit(3), f"{at}/backup", "1")
     if sinks.snapshot_stamps(s, f"{at}/backup")[0] < "2":
         sinks.write_snapshot(n, f"{at}/backup", "2")

@@ -31,6 +31,15 @@ def parties(spark: SparkSession, sf_dir: str) -> DataFrame:
 PARTIES = "parties as (select id, name, source_id, n_name as address from (select c_custkey as id, c_name as name, 'customer' as source_id, c_nationkey as k from customer union all select s_suppkey + 10000000, s_name, 'supplier', s_nationkey from supplier) join nation on n_nationkey = k)"
 
 
+def listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as a list with a key, a name and one of five regions."""
+    c = table(spark, sf_dir, "customer")
+    return c.select(F.col("c_custkey").alias("n_nationkey"), F.col("c_name").alias("n_name"), (F.col("c_nationkey") % 5).alias("n_regionkey"))
+
+
+LISTED = "(select c_custkey as n_nationkey, c_name as n_name, c_nationkey % 5 as n_regionkey from customer) nation"
+
+
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
     return d.select(F.col("doc_id").alias("id"), F.element_at(F.split("text", "\n"), 1).alias("name"), F.col("text").alias("details"), F.col("source").alias("source_id"), F.col("lang").alias("source_agency"))
