@@ -182,3 +182,29 @@ def test_alarms_do_not_depend_on_batches_and_survive_restarts(spark, tmp_path):
         got = Counter((r.source_id, r.alarm, r.at, r.last_seen) for r in spark.read.schema(freshness.ALARMS).parquet(str(home / "out")).collect())
         assert got == want and {a for _, a, _, _ in got} == {"STALE", "VERY_STALE", "RECOVERED"}
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") != freshness.ROCKS
+
+
+# --- results that are kept -------------------------------------------------------------------------
+def test_results_expire_and_follow_versions(spark, tmp_path):
+    from watchloom.operators.result_cache import ResultCache
+
+    now, computed = [1000.0], []
+
+    def ask(cache, call, version, **arguments):
+        def compute():
+            computed.append((call, version))
+            return spark.createDataFrame([(call, version, len(computed))], "call string, version int, k int")
+
+        return tuple(cache.get(call, arguments, version, compute).first())
+
+    cache = ResultCache(spark, str(tmp_path / "results"), clock=lambda: now[0])
+    assert ask(cache, "a", 1, x=1, y=2) == ask(cache, "a", 1, y=2, x=1) == ("a", 1, 1)  # a hit
+    assert ask(ResultCache(spark, cache.path, clock=lambda: now[0] + 299), "a", 1, x=1, y=2) == ("a", 1, 1)  # in another session, in time
+    assert ask(cache, "a", 1, x=2) == ("a", 1, 2) and ask(cache, "b", 1, x=1, y=2) == ("b", 1, 3)  # other arguments, another call
+    assert ask(cache, "a", 2, x=1, y=2) == ("a", 2, 4)  # a newer version
+    assert len(cache._entries(cache.key("a", {"x": 1, "y": 2}))) == 1
+    now[0] += 301
+    assert ask(cache, "a", 2, x=1, y=2) == ("a", 2, 5)  # too old
+    spark.range(3).write.parquet(f"{cache.path}/{cache.key('c', {})}/1-{int(now[0] * 1000)}-x")
+    (tmp_path / "results" / cache.key("c", {})).joinpath(f"1-{int(now[0] * 1000)}-x", "_SUCCESS").unlink()
+    assert ask(cache, "c", 1) == ("c", 1, 6)  # what stopped half-way doesn't count

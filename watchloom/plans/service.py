@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.titles import entity_of_title
 from ..operators import entities, rules, service
+from ..operators.result_cache import ResultCache
 from ..sources import config_schema, sinks
 from .aggregates import INTERESTING
 from .landed import landing
@@ -116,6 +117,25 @@ def e08_export(s, d):
     return got.select("id", "country", F.col("total").cast("double").alias("total"))
 
 
+@q("T07_cached_call", f"with {PARTS} select source_id, max(name) as last_name, count(*) as n from parts where id % 3 <> 0 and source_id <> '' group by 1")
+def t07(s, d):
+    """The list of sources, asked of a table's first version twice and of its second once: two computations, three answers."""
+    p, cache, done = parts(s, d), ResultCache(s, landing(s)), []
+
+    def ask(version: int):
+        def compute():
+            done.append(version)
+            return service.source_list(p if version == 1 else p.where("id % 3 <> 0"))
+
+        return cache.get("sources", {"least": 1}, version, compute)
+
+    ask(1), ask(1)
+    found = ask(2)
+    if done != [1, 2]:
+        raise RuntimeError(f"computed for versions {done}")
+    return found
+
+
 @q("F11_source_guards", f"with {PARTS} select count(*) as n from parts where source_id is not null and source_id <> '' and id % 5 <> 0")
 def f11(s, d):
     guarded = F.when(F.col("id") % 5 != 0, F.col("source_id")).otherwise(F.when(F.col("id") % 2 == 0, ""))
