@@ -11,7 +11,7 @@ COMPANY_LABELS = {
     "MCA Struck off Company": ("mca_companies_struck_off", "Companies Struck Off (STK-7) U/S 248(5)"),
     "MCA Defaulter Directors": ("mca_defaulter_directors", "Defaulter Directors (Filing Default)"),
     "MCA Proclaimed Director": ("mca_proclaimed_offenders", "Proclaimed Offenders U/S 82 Cr.PC"),
-    "MCA Vanishing Company": ("mca_vanishing_companies", "Vanishing Companies (MCA via WatchOut)"),
+    "MCA Vanishing Company": ("mca_vanishing_companies", "Vanishing Companies (MCA)"),
     "MCA MLM Company": ("mca_mlm_companies", "MLM / Money-Circulation Companies (Negative List)"),
     "MCA Defaulter Secretaries": ("mca_defaulter_secretaries", "Defaulter Company Secretaries (Filing Default)"),
 }
