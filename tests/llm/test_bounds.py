@@ -40,3 +40,21 @@ def test_copies_beyond_the_tasks_are_trained_one_after_the_other(spark, monkeypa
     monkeypatch.setattr(lm, "FAN", 2)
     few = lm.train(docs, vocab, rounds=2, copy_tokens=60)
     assert vocab.total // 60 > 20 and all(np.allclose(whole[k], few[k], atol=1e-5) for k in whole)
+
+
+def test_a_run_has_one_file_a_bucket_however_keys_are_dealt(spark, tmp_path, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    deal = DataFrame.repartition
+    monkeypatch.setattr(DataFrame, "repartition", lambda self, n, *by: deal(self, max(n, 21) if by else n, *by))
+    runs = line_dedup.LineRuns(spark, str(tmp_path / "runs"), fanout=2, buckets=4)
+    batches = [[(b * 1000 + i, f"{i % 200 if i % 3 else b * 1000 + i}".encode()) for i in range(300)] for b in range(3)]
+    for rows in batches:
+        assert runs.add(spark.createDataFrame(rows, "doc_id long, key binary"))
+    assert all(len(list((tmp_path / "runs" / "runs-4" / "-".join(map(str, r))).glob("*.parquet"))) <= 4 for r in runs.runs())
+    want = {}
+    for doc_id, key in (x for rows in batches for x in rows):
+        n, last = want.get(key, (0, 0))
+        want[key] = (n + 1, max(last, doc_id))
+    assert {bytes(r.key): (r.n_docs, r.max_id) for r in runs.entries().collect()} == want
+    runs.forget()

@@ -126,7 +126,8 @@ class LineRuns:
     def _write(self, rows: DataFrame, run: tuple[int, int, int]) -> None:
         name = "-".join(map(str, run))
         table = f"watchloom_run_{uuid.uuid4().hex}"
-        rows.repartition(self.buckets, "key").write.mode("overwrite").format("parquet").option("path", f"{self.at}/{name}").bucketBy(self.buckets, "key").sortBy("key").saveAsTable(table)
+        by_bucket = rows.repartitionById(self.buckets, F.pmod(F.hash("key"), F.lit(self.buckets)))  # one file a bucket, however rows were dealt before
+        by_bucket.write.mode("overwrite").format("parquet").option("path", f"{self.at}/{name}").bucketBy(self.buckets, "key").sortBy("key").saveAsTable(table)
         self._tables[name] = table
 
     def unseen(self, batch: DataFrame) -> DataFrame:
