@@ -58,3 +58,22 @@ def test_a_run_has_one_file_a_bucket_however_keys_are_dealt(spark, tmp_path, mon
         want[key] = (n + 1, max(last, doc_id))
     assert {bytes(r.key): (r.n_docs, r.max_id) for r in runs.entries().collect()} == want
     runs.forget()
+
+
+def test_scoring_steps_once_for_each_token(monkeypatch):
+    """Short documents beside a long one aren't padded; scores are those of each document alone."""
+    rng, n = np.random.default_rng(3), np.array([70, 1, 5, 33, 2])
+    c = 4
+    v = lm.Vocabulary(10, 3, 2, np.full(65536, 1, dtype=np.uint8), np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint8), np.full(c, 9.0), np.full(c, 6.0), np.zeros(0, dtype=np.uint64), np.zeros(0))
+    v.slots = np.array([[2.0, -1, -1], [3.0, 2, 1], [4.0, 1, -1], [1.0, 1, 1]])
+    p = lm.start(v, hidden=4)
+    ids = rng.integers(1, c, n.sum()).astype(np.uint8)
+    ids[np.cumsum(n) - 1] = lm.END
+    slots = np.where(ids == 1, rng.integers(0, 3, len(ids)), 0).astype(np.uint8)
+    real, taken = lm.step, []
+    monkeypatch.setattr(lm, "step", lambda p, x, h: taken.append(len(x)) or real(p, x, h))
+    got = lm.class_scores(p, ids, n, slots=slots)
+    assert sum(taken) == n.sum()
+    ends = np.cumsum(n)
+    alone = [lm.class_scores(p, ids[b - k : b], np.array([k]), slots=slots[b - k : b])[0] for k, b in zip(n, ends, strict=True)]
+    assert np.allclose(got, alone, atol=1e-4)

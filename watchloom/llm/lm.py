@@ -14,8 +14,8 @@ slot 0 holds one unknown token of count 0, so the probabilities of all tokens su
   order of that hash. A round trains each copy on all its documents of the round and averages the copies by
   their tokens, so that each training document is learned from once. What a copy learns from and in which order
   doesn't depend on files, partitions or batches: scores agree on any layout but for the rounding of sums.
-* Scoring runs all documents of a batch in step, longest first, in windows; the hidden state goes
-  from window to window, so each text is scored whole.
+* Scoring runs all documents of a batch in step, longest first, only as far as each goes; the hidden state goes
+  from token to token, so each text is scored whole.
 
 The counts of frequent tokens (at most ``FREQUENT``) are broadcast; all others are looked up by
 a shuffled join. A document is training unless crc32 of its id as text mod 7 is 2; a row without
@@ -44,6 +44,7 @@ MOST_TASKS = 1 << 16  # beyond it a task trains several copies, one after the ot
 FAN = 64  # rows of weights that are summed by one task, or by the driver
 PIECE = 1 << 17  # tokens that a copy is trained on at once
 FREQUENT = 1 << 17
+BLOCK = 1 << 13  # tokens whose classes are scored at once
 RATE = 0.03
 END, REST = 0, 1
 
@@ -195,28 +196,43 @@ def start(vocab: Vocabulary, hidden: int = HIDDEN, seed: int = 5) -> dict[str, n
     return {k: v.astype(np.float32) for k, v in p.items()}
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
-
-
 def step(p: dict[str, np.ndarray], x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
     """One token of each stream. Gates: z keeps the state, r lets it into the candidate n."""
     k = h.shape[1]
-    a, g = p["x"][x], h @ p["u"]
-    zr = sigmoid(a[:, : 2 * k] + g[:, : 2 * k])
+    a, g = np.take(p["x"], x, axis=0), h @ p["u"]
+    zr = a[:, : 2 * k] + g[:, : 2 * k]
+    np.negative(zr, out=zr)
+    np.exp(zr, out=zr)
+    zr += 1
+    np.reciprocal(zr, out=zr)
     z, r = zr[:, :k], zr[:, k:]
     s = g[:, 2 * k :] + p["n"]
-    n = np.tanh(a[:, 2 * k :] + r * s)
-    return n + z * (h - n), z, r, s, n
+    n = r * s
+    n += a[:, 2 * k :]
+    np.tanh(n, out=n)
+    after = h - n
+    after *= z
+    after += n
+    return after, z, r, s, n
 
 
-def by_class(p: dict[str, np.ndarray], y: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Classes with more than one slot, and where ``y`` has them."""
-    order = np.argsort(y, kind="stable")
+def by_class(p: dict[str, np.ndarray], y: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """Where ``y`` has classes with more than one slot, class after class, and each class's part of that."""
     several = p["sb"][:, 1] > ABSENT / 2
-    bounds = np.searchsorted(y[order], np.arange(len(several) + 1))
-    for k in np.flatnonzero(several & (bounds[1:] > bounds[:-1])):
-        yield int(k), order[bounds[k] : bounds[k + 1]]
+    rows = np.flatnonzero(several[y])
+    rows = rows[np.argsort(y[rows], kind="stable")]
+    bounds = np.searchsorted(y[rows], np.arange(len(several) + 1))
+    return rows, [(int(k), slice(bounds[k], bounds[k + 1])) for k in np.flatnonzero(bounds[1:] > bounds[:-1])]
+
+
+def slot_logs(p: dict[str, np.ndarray], own: np.ndarray, parts: list[tuple[int, slice]]) -> np.ndarray:
+    """Log probabilities ``(slot, row)`` of the slots within the classes of rows of states, as ``by_class`` orders them."""
+    out = np.empty((p["sb"].shape[1], len(own)), dtype=own.dtype)
+    for c, at in parts:
+        out[:, at] = p["sv"][c] @ own[at].T + p["sb"][c][:, None]
+    out -= out.max(axis=0)
+    out -= np.log(np.exp(out).sum(axis=0))
+    return out
 
 
 def log_softmax(x: np.ndarray) -> np.ndarray:
@@ -230,38 +246,44 @@ def window_gradient(p: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, h: n
     ``slot``: the slots of y; ``counts``: which of y count, all if not given.
     """
     k, steps = h.shape[1], len(x)
+    goes_on = (x != END)[..., None].astype(h.dtype)
     kept = []
     for t in range(steps):
-        h0 = np.where((x[t] == END)[:, None], np.float32(0), h)
+        h0 = h * goes_on[t]
         h, z, r, s, n = step(p, x[t], h0)
         kept.append((h0, h, z, r, s, n))
     hs = np.stack([q[1] for q in kept])
-    logits = hs @ p["v"] + p["b"]
-    logits -= logits.max(axis=-1, keepdims=True)
-    e = np.exp(logits)
-    prob = e / e.sum(axis=-1, keepdims=True)
-    i, j = np.ogrid[:steps, : x.shape[1]]
-    used = np.ones(y.shape, dtype=bool) if counts is None else counts
-    loss = float(-np.log(prob[i, j, y] + 1e-30)[used].sum())
+    own, n, right = hs.reshape(-1, k), hs.shape[0] * hs.shape[1], y.ravel()
+    prob = p["v"].T @ own.T  # (class, token): sums over classes run along rows
+    prob += p["b"][:, None]
+    prob -= prob.max(axis=0)
+    np.exp(prob, out=prob)
+    prob /= prob.sum(axis=0)
+    used = np.ones(n, dtype=bool) if counts is None else counts.ravel()
+    at = np.arange(n)
+    loss = float(-np.log(prob[right, at] + 1e-30)[used].sum())
     d = prob
-    d[i, j, y] -= 1
-    d[~used] = 0
+    d[right, at] -= 1
+    if not used.all():
+        d[:, ~used] = 0
     g = {name: np.zeros_like(w) for name, w in p.items()}
-    flat = d.reshape(-1, d.shape[-1])
-    own = hs.reshape(-1, k)
-    g["v"], g["b"] = own.T @ flat, flat.sum(axis=0)
-    dhs = (d @ p["v"].T).reshape(-1, k)
+    g["v"], g["b"] = (d @ own).T, d.sum(axis=1)
+    dhs = d.T @ p["v"].T
     if slot is not None:
-        at, right = used.ravel(), slot.ravel()
-        for c, rows in by_class(p, y.ravel()):
-            rows = rows[at[rows]]
-            lp = log_softmax(own[rows] @ p["sv"][c].T + p["sb"][c])
-            hit = (np.arange(len(rows)), right[rows])
-            loss -= float(lp[hit].sum())
-            ds = np.exp(lp)
-            ds[hit] -= 1
-            g["sv"][c], g["sb"][c] = ds.T @ own[rows], ds.sum(axis=0)
-            dhs[rows] += ds @ p["sv"][c]
+        rows, parts = by_class(p, right)
+        states, of = own[rows], slot.ravel()[rows]
+        lp = slot_logs(p, states, parts)
+        hit, there = (of, np.arange(len(rows))), used[rows]
+        loss -= float(lp[hit][there].sum())
+        ds = np.exp(lp, out=lp)
+        ds[hit] -= 1
+        if not there.all():
+            ds[:, ~there] = 0
+        more = np.empty_like(states)
+        for c, part in parts:
+            g["sv"][c], g["sb"][c] = ds[:, part] @ states[part], ds[:, part].sum(axis=1)
+            more[part] = ds[:, part].T @ p["sv"][c]
+        dhs[rows] += more
     dhs = dhs.reshape(hs.shape)
     dh = np.zeros_like(h)
     das = []
@@ -276,7 +298,7 @@ def window_gradient(p: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, h: n
         g["u"] += h0.T @ du
         g["n"] += ds.sum(axis=0)
         das.append(np.concatenate([dz, dr, dn], axis=1))
-        dh = np.where((x[t] == END)[:, None], np.float32(0), dh * z + du @ p["u"].T)
+        dh = (dh * z + du @ p["u"].T) * goes_on[t]
     da = np.stack(das[::-1]).reshape(-1, 3 * k)
     one_hot = np.zeros((len(da), p["x"].shape[0]), dtype=np.float32)
     one_hot[np.arange(len(da)), x.ravel()] = 1
@@ -439,34 +461,34 @@ def class_scores(p: dict[str, np.ndarray], ids: np.ndarray, n: np.ndarray, windo
     n, first = n[order], first[order]
     before = np.concatenate([np.full(1, END, dtype=ids.dtype), ids[:-1]])
     h = np.zeros((len(n), p["u"].shape[0]), dtype=np.float32)
-    for lo in range(0, int(n[0]), window):
-        live = int(np.searchsorted(-n, -lo))  # documents with more than lo tokens
-        h = h[:live]
-        at = first[:live, None] + np.arange(lo, lo + window)
-        inside = np.arange(lo, lo + window) < n[:live, None]
-        at = np.where(inside, at, 0)
-        x, y = before[at], ids[at]
-        hs = np.empty((window, live, h.shape[1]), dtype=np.float32)
-        for t in range(min(window, int(n[0]) - lo)):
-            h = step(p, x[:, t], h)[0]
-            hs[t] = h
-        used = min(window, int(n[0]) - lo)
-        own = hs[:used].reshape(-1, h.shape[1])
-        logits = own @ p["v"]
-        logits += p["b"]
-        logits = logits.reshape(used, live, -1)
-        top = logits.max(axis=-1)
-        np.subtract(logits, top[..., None], out=logits)
-        picked = np.take_along_axis(logits, y.T[:used, :, None].astype(np.int64), axis=-1)[..., 0]
-        np.exp(logits, out=logits)
-        got = picked - np.log(logits.sum(axis=-1))
-        if slots is not None:
-            flat, right = got.reshape(-1), slots[at].T[:used].ravel()
-            for c, rows in by_class(p, y.T[:used].ravel()):
-                lp = log_softmax(own[rows] @ p["sv"][c].T + p["sb"][c])
-                flat[rows] += lp[np.arange(len(rows)), right[rows]]
-            got = flat.reshape(got.shape)
-        out[order[:live]] += np.where(inside.T[:used], got, 0).sum(axis=0, dtype=np.float64)
+    live = np.searchsorted(-n, -np.arange(int(n[0])))  # documents with more than t tokens
+    states, tokens, held = [], [], 0
+
+    def add_up() -> None:
+        own, at = np.concatenate(states), np.concatenate(tokens)
+        whose = order[np.concatenate([np.arange(len(x)) for x in tokens])]
+        for lo in range(0, len(own), BLOCK):
+            part, y = own[lo : lo + BLOCK], ids[at[lo : lo + BLOCK]]
+            logits = p["v"].T @ part.T
+            logits += p["b"][:, None]
+            logits -= logits.max(axis=0)
+            got = logits[y, np.arange(len(y))]
+            np.exp(logits, out=logits)
+            got -= np.log(logits.sum(axis=0))
+            if slots is not None:
+                rows, parts = by_class(p, y)
+                got[rows] += slot_logs(p, part[rows], parts)[slots[at[lo : lo + BLOCK]][rows], np.arange(len(rows))]
+            out[:] += np.bincount(whose[lo : lo + BLOCK], weights=got, minlength=len(out))
+
+    for t in range(int(n[0])):
+        at = first[: live[t]] + t
+        h = step(p, before[at], h[: live[t]])[0]
+        states.append(h)
+        tokens.append(at)
+        held += len(h)
+        if len(states) >= window and held >= BLOCK or t + 1 == len(live):
+            add_up()
+            states, tokens, held = [], [], 0
     return out
 
 
