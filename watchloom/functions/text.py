@@ -234,11 +234,16 @@ def escape_html(c: Column) -> Column:
     return c
 
 
-def human_number(c: Column) -> Column:
+def human_number(c: Column, millions: bool = True) -> Column:
+    """Thousands as ``1.2K`` and ``114K``; from a million on ``4.84M``, or thousands still without ``millions``."""
+
     def rounded(x: Column, digits: int) -> Column:
         return F.format_string(f"%.{digits}f", x)
 
-    return F.when(c.isNull(), "-").when(c >= 1_000_000, F.concat(rounded(c / 1e6, 2), F.lit("M"))).when(c >= 10_000, F.concat(rounded(c / 1e3, 0), F.lit("K"))).when(c >= 1000, F.concat(rounded(c / 1e3, 1), F.lit("K"))).otherwise(c.cast("string"))
+    large = F.when(c.isNull(), "-")
+    if millions:
+        large = large.when(c >= 1_000_000, F.concat(rounded(c / 1e6, 2), F.lit("M")))
+    return large.when(c >= 10_000, F.concat(rounded(c / 1e3, 0), F.lit("K"))).when(c >= 1000, F.concat(rounded(c / 1e3, 1), F.lit("K"))).otherwise(c.cast("string"))
 
 
 def stable_page(c: Column) -> Column:
