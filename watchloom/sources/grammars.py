@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 # How numbers, codes and companies are written, words that are no data, and the labels of details.
 COMPANY_NUMBER = r"[LU]\d{5}[A-Z]{2}\d{4}[A-Z]{3}\d{6}"
 DIRECTOR_NUMBER = r"\b\d{6,8}\b"
+SERIAL = rf"^\d+[\s.):-]+(?=\d{{6,8}}\b|{COMPANY_NUMBER}.*{DIRECTOR_NUMBER})"  # a line's number, right before the director's or the company's
 OFFICE_CODE = r"\bRC[-A-Z0-9]{2,8}\b"
 PARTNERSHIP_NUMBER = r"\b[A-Z]{2,3}-\d{4}\b"
 COMPANY = r"(?i)\b[A-Z][A-Z0-9&.,()\- /]{2,}\s+(?:LIMITED|LTD\.?|LLP|PVT\.?\s*LTD\.?|PRIVATE\s+LIMITED)\b"
@@ -70,7 +71,10 @@ def partnerships(lines: DataFrame, documents: DataFrame) -> DataFrame:
 
 
 def directors(lines: DataFrame, documents: DataFrame) -> DataFrame:
-    """Disqualified directors, in either order of director and company; lines that continue one are joined to it."""
+    """Disqualified directors, in either order of director and company; lines that continue one are joined to it.
+
+    A line's number may have as many digits as a director's; it is that only where the line has no other.
+    """
     noise = F.forall(F.split(F.lower("line"), r"\s+"), lambda w: w.isin(*NOISE))
     x = _known(lines, documents).where(~noise)
     page = Window.partitionBy("file", "page").orderBy("line_no")
@@ -79,6 +83,7 @@ def directors(lines: DataFrame, documents: DataFrame) -> DataFrame:
     parts = F.array_sort(F.collect_list(F.struct("line_no", "line")))
     x = x.groupBy("file", "page", "record", "title", "office", "date").agg(F.min("line_no").alias("line_no"), F.array_join(F.transform(parts, lambda p: p["line"]), " ").alias("line"))
     x = x.where(F.col("line").rlike(COMPANY_NUMBER) & F.col("line").rlike(DIRECTOR_NUMBER))
+    x = x.withColumn("line", F.regexp_replace("line", SERIAL, ""))
     line = F.col("line")
     x = x.withColumns({"cin": _first(line, COMPANY_NUMBER), "din": _first(line, DIRECTOR_NUMBER), "code": F.coalesce(_first(line, OFFICE_CODE), F.lit("")), "at_cin": F.regexp_instr(line, F.lit(COMPANY_NUMBER)), "at_din": F.regexp_instr(line, F.lit(DIRECTOR_NUMBER)), "at_code": F.regexp_instr(line, F.lit(OFFICE_CODE))})
 
