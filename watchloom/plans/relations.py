@@ -10,6 +10,7 @@ from ..functions import text as X
 from ..functions import values as V
 from ..operators import entities, rules, screening
 from ..operators.gram_index import GramIndex
+from ..operators.nearest import nearest
 from ..shared import numbered
 from .aggregates import INTERESTING
 from .scalars import pick
@@ -594,8 +595,6 @@ def y04(s, d):
 
 @q("Y05_cosine_top", "with v as (select vec_id, embedding::double[] as e from embeddings), q as (select vec_id as qid, e as qe from v where vec_id % 50 = 0), x as (select qid, vec_id, list_cosine_similarity(qe, e) as c from q, v where vec_id <> qid), r as (select *, row_number() over (partition by qid order by round(c, 9) desc, vec_id) as k from x) select qid, vec_id, round(c, 6) as c from r where k <= 3")
 def y05(s, d):
-    v = table(s, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("e"))
-    few = v.where("vec_id % 50 = 0").select(F.col("vec_id").alias("qid"), F.col("e").alias("qe"))
-    x = v.join(few, F.col("vec_id") != F.col("qid")).select("qid", "vec_id", Y.cosine(F.col("qe"), F.col("e")).alias("c"))
-    w = Window.partitionBy("qid").orderBy(F.desc(F.round("c", 9)), "vec_id")
-    return x.withColumn("k", F.row_number().over(w)).where("k <= 3").select("qid", "vec_id", F.round("c", 6).alias("c"))
+    v = table(s, d, "embeddings").select("vec_id", "embedding")
+    found = nearest(v, v.where("vec_id % 50 = 0"), 3)
+    return found.select(F.col("query_id").alias("qid"), "vec_id", F.round("cosine", 6).alias("c"))
